@@ -15,7 +15,9 @@ class InboxConfig:
     ``rows_per_file`` is the size at which one window stops being the work of a
     single task and is range-split over several ordered part files.
     ``storage_seconds`` is the span of one storage folder; choose it so that a
-    folder holds at least some hundred megabytes.
+    folder holds at least some hundred megabytes. ``rebalance_writes`` spends one
+    exchange per micro-batch on evenly sized files, for batches that are small
+    against the number of source partitions.
     """
 
     window_seconds: int = 5
@@ -30,6 +32,7 @@ class InboxConfig:
     max_windows_per_run: int = 17_280
     rows_per_file: int = 100_000
     max_lag: int = 10_000
+    rebalance_writes: bool = False
     window_warn_bytes: int = 100 * 1024 * 1024
 
     def __post_init__(self) -> None:

@@ -1,8 +1,6 @@
 """Envelope decoding: delivery text to event columns plus a rejection reason.
 
-Everything is a column expression. ``decode`` adds one struct column through
-a generator, which the optimizer never pushes predicates into, so a filter on
-the outcome does not parse the text a second time.
+Built-in functions only; written as SQL text where an expression is long.
 """
 
 from __future__ import annotations
@@ -12,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.timestamps import present, strict_instant, to_millis
+from tidegate.functions.timestamps import strict_instant, to_millis
 from tidegate.functions.windows import window_bucket
 from tidegate.schema import CORRUPT, ENVELOPE
 
@@ -29,6 +27,17 @@ JSON_OPTIONS = {
     "allowNonNumericNumbers": "false",
 }
 
+BLANK = r"^\p{javaWhitespace}*$"
+
+# Envelope field and the event column it becomes; empty text when missing.
+OPTIONAL_FIELDS = [
+    ("guid", "guid"),
+    ("operation", "operation"),
+    ("requestName", "request_name"),
+    ("applicationId", "application_id"),
+    ("clientAddress", "client_address"),
+]
+
 TEXT_FIELDS = [
     "specversion",
     "id",
@@ -49,43 +58,36 @@ def read_envelope(value: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """Null, empty or only Unicode white space."""
-    return text.isNull() | text.rlike(r"^\p{javaWhitespace}*$")
-
+    return text.isNull() | text.rlike(BLANK)
 
-def null_to_empty(text: Column) -> Column:
-    return F.coalesce(text, F.lit(""))
 
+def null_to_empty(text: str) -> Column:
+    return F.expr(f"coalesce({text}, '')")
 
-def json_kind(value: Column, path: str) -> Column:
-    """JSON type name at ``path``; only evaluated for the rare texts that need it."""
-    node = F.try_variant_get(F.try_parse_json(value), f"$.{path}", "variant")
-    return F.schema_of_variant(node)
 
+def json_kind(value: str, path: str) -> str:
+    """SQL text for the JSON type name at ``path``; meant for the rare texts that need it."""
+    return f"schema_of_variant(try_variant_get(try_parse_json({value}), '$.{path}', 'variant'))"
 
-def _get(envelope: Column, path: str) -> Column:
-    for name in path.split("."):
-        envelope = envelope.getField(name)
-    return envelope
 
-
-def _holds_container(value: Column, envelope: Column) -> Column:
+def _holds_container(value: str, envelope: str) -> str:
     """A text field given as an object or array, which the JSON reader turns into text."""
-    result = F.lit(False)
-    for path in TEXT_FIELDS:
-        text = _get(envelope, path)
-        looks = text.startswith("{") | text.startswith("[")
-        result = result | (looks & json_kind(value, path).rlike("^(OBJECT|ARRAY)"))
-    return F.coalesce(result, F.lit(False))
+    tests = [
+        f"((startswith({envelope}.{path}, '{{') OR startswith({envelope}.{path}, '['))"
+        f" AND {json_kind(value, path)} RLIKE '^(OBJECT|ARRAY)')"
+        for path in TEXT_FIELDS
+    ]
+    return " OR ".join(tests)
 
 
-def _bad_integer(value: Column, envelope: Column, path: str) -> Column:
+def _bad_integer(value: str, envelope: str, path: str) -> str:
     """Not an integer that fits 64 bits; a JSON number with a fraction is allowed, such text is not."""
-    text = F.trim(_get(envelope, path))
-    fraction = text.rlike(r"^-?\d+\.\d+([eE][+-]?\d+)?$") & F.coalesce(
-        json_kind(value, path).rlike("^(DECIMAL|DOUBLE)"), F.lit(False)
-    )
-    whole = text.rlike(r"^[+-]?\d+$") & text.try_cast("bigint").isNotNull()
-    return F.coalesce((text != "") & ~whole & ~fraction, F.lit(False))
+    text = f"trim({envelope}.{path})"
+    return rf"""(
+        {text} <> ''
+        AND NOT ({text} RLIKE r'^[+-]?\d+$' AND try_cast({text} AS BIGINT) IS NOT NULL)
+        AND NOT ({text} RLIKE r'^-?\d+\.\d+([eE][+-]?\d+)?$'
+                 AND coalesce({json_kind(value, path)} RLIKE '^(DECIMAL|DOUBLE)', false)))"""
 
 
 Parser = Callable[[DataFrame, int], DataFrame]
@@ -98,42 +100,34 @@ def envelope_parser(deliveries: DataFrame, window_seconds: int) -> DataFrame:
     projection computes what the next one uses more than once, so the text and
     both timestamps are parsed a single time.
     """
-    value, env, data = F.col("value"), F.col("_env"), F.col("_env.data")
     parsed = (
-        deliveries.withColumn("_env", read_envelope(value))
+        deliveries.withColumn("_env", read_envelope(F.col("value")))
         .withColumns(
             {
-                "_time": strict_instant(env["time"]),
-                "_data_time": strict_instant(data["timestamp"]),
+                "_time": strict_instant("_env.time"),
+                "_data_time": strict_instant("_env.data.timestamp"),
             }
         )
-        .withColumn("_instant", F.coalesce("_data_time", "_time"))
-    )
-    undecodable = (
-        env.isNull()
-        | env[CORRUPT].isNotNull()
-        | (present(env["time"]) & F.col("_time").isNull())
-        | (present(data["timestamp"]) & F.col("_data_time").isNull())
-        | _bad_integer(value, env, "data.slupTimestamp")
-        | _holds_container(value, env)
-    )
-    reason = (
-        F.when(undecodable, NOT_JSON)
-        .when(is_blank(env["id"]), MISSING_ID)
-        .when(data.isNull(), MISSING_DATA)
-        .when(F.col("_instant").isNull(), NO_TIMESTAMP)
+        .withColumn("_instant", F.expr("coalesce(_data_time, _time)"))
     )
+    undecodable = f"""
+        _env IS NULL OR _env.{CORRUPT} IS NOT NULL
+        OR (trim(_env.time) <> '' AND _time IS NULL)
+        OR (trim(_env.data.timestamp) <> '' AND _data_time IS NULL)
+        OR {_bad_integer("value", "_env", "data.slupTimestamp")}
+        OR {_holds_container("value", "_env")}"""
+    reason = rf"""
+        CASE WHEN {undecodable} THEN '{NOT_JSON}'
+             WHEN _env.id IS NULL OR _env.id RLIKE r'{BLANK}' THEN '{MISSING_ID}'
+             WHEN _env.data IS NULL THEN '{MISSING_DATA}'
+             WHEN _instant IS NULL THEN '{NO_TIMESTAMP}' END"""
     return parsed.select(
         *deliveries.columns,
-        reason.alias("reason"),
+        F.expr(reason).alias("reason"),
         window_bucket(F.col("_instant"), window_seconds).alias("window_bucket"),
         to_millis(F.col("_instant")).alias("event_ts"),
-        env["id"].alias("event_id"),
-        null_to_empty(data["guid"]).alias("guid"),
-        null_to_empty(data["operation"]).alias("operation"),
-        null_to_empty(data["requestName"]).alias("request_name"),
-        null_to_empty(data["applicationId"]).alias("application_id"),
-        null_to_empty(data["clientAddress"]).alias("client_address"),
+        F.col("_env.id").alias("event_id"),
+        *[null_to_empty(f"_env.data.{path}").alias(name) for path, name in OPTIONAL_FIELDS],
     )
 
 
@@ -144,5 +138,4 @@ def decode(deliveries: DataFrame, window_seconds: int, parser: Parser = envelope
     which would parse every text once more inside the filter; it cannot push
     one through a generator.
     """
-    parsed = parser(deliveries, window_seconds)
-    return parsed.select(F.inline(F.array(F.struct(*parsed.columns))))
+    return parser(deliveries, window_seconds).selectExpr("inline(array(struct(*)))")

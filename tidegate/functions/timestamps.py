@@ -9,21 +9,20 @@ from pyspark.sql import functions as F
 ISO_INSTANT = (
     r"(?i)^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2}|\+00(00)?)$"
 )
-EPOCH_NUMBER = r"^[+-]?\d{1,12}(\.\d{1,9})?$"
+EPOCH_NUMBER = r"^[+-]?\d{1,12}(\.\d{1,17})?(E\d{1,2})?$"
 
 
-def strict_instant(text: Column) -> Column:
-    """Timestamp of an ISO instant with a zone, or of epoch seconds; null for anything else."""
-    trimmed = F.trim(text)
-    epoch_micros = (trimmed.try_cast("decimal(27,9)") * F.lit(1_000_000)).try_cast("bigint")
-    return F.when(trimmed.rlike(ISO_INSTANT), F.upper(trimmed).try_cast("timestamp")).when(
-        trimmed.rlike(EPOCH_NUMBER), F.timestamp_micros(epoch_micros)
-    )
+def strict_instant(text: str) -> Column:
+    """Timestamp of an ISO instant with a zone, or of epoch seconds; null for anything else.
 
-
-def present(text: Column) -> Column:
-    """True when a timestamp field holds something; null and empty text both mean absent."""
-    return F.coalesce(F.trim(text) != "", F.lit(False))
+    ``text`` names a column or field.
+    """
+    return F.expr(f"""
+        CASE
+          WHEN trim({text}) RLIKE r'{ISO_INSTANT}' THEN try_cast(upper(trim({text})) AS TIMESTAMP)
+          WHEN trim({text}) RLIKE r'{EPOCH_NUMBER}' THEN timestamp_micros(
+            try_cast(try_cast(trim({text}) AS DECIMAL(27, 9)) * 1000000 AS BIGINT))
+        END""")
 
 
 def to_millis(ts: Column) -> Column:

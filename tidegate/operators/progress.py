@@ -27,10 +27,16 @@ def live_progress(ledger: DataFrame, now_epoch: int, ttl_seconds: int) -> DataFr
     return ledger.where(F.col("drained_at") > oldest)
 
 
-def stored_before_seal(events: DataFrame, config: InboxConfig) -> DataFrame:
-    """Event keys first received before their window sealed: what a punctual drain emits."""
+def _first_seen(events: DataFrame, config: InboxConfig) -> DataFrame:
+    """Event keys with whether they were first received before their window sealed."""
     first_seen = events.groupBy(*EVENT_KEY).agg(F.min("ingest_time").alias("first_seen"))
-    return first_seen.where(~is_sealed(F.col("window_bucket"), F.unix_seconds("first_seen"), config))
+    sealed = is_sealed(F.col("window_bucket"), F.unix_seconds("first_seen"), config)
+    return first_seen.withColumn("in_time", ~sealed)
+
+
+def stored_before_seal(events: DataFrame, config: InboxConfig) -> DataFrame:
+    """Event keys a punctual drain emits."""
+    return _first_seen(events, config).where("in_time").select(*EVENT_KEY)
 
 
 def ledger_as_of(events: DataFrame, now_epoch: int, config: InboxConfig) -> DataFrame:
@@ -39,15 +45,13 @@ def ledger_as_of(events: DataFrame, now_epoch: int, config: InboxConfig) -> Data
     Covers every window from the first stored one to the newest sealed at
     ``now_epoch``, empty ones included.
     """
-    sealed = is_sealed(F.col("window_bucket"), now_epoch, config)
     counts = (
-        stored_before_seal(events, config)
-        .where(sealed)
+        _first_seen(events, config)
         .groupBy("window_bucket")
-        .agg(F.count("*").alias("event_count"))
+        .agg(F.count_if("in_time").alias("event_count"))
     )
     newest = F.lit(last_sealed_bucket(now_epoch, config)).cast("bigint")
-    bounds = events.agg(F.min("window_bucket").alias("first")).withColumn("last", newest)
+    bounds = counts.agg(F.min("window_bucket").alias("first")).withColumn("last", newest)
     windows = window_range(bounds.where("first <= last"), config.window_seconds)
     filled = fill_gaps(windows, counts)
     return filled.select(

@@ -49,10 +49,10 @@ def fill_gaps(windows: DataFrame, counts: DataFrame) -> DataFrame:
 
 def windows_gapfilled(events: DataFrame, window_seconds: int) -> DataFrame:
     """Every window from the first to the last stored one, empty ones included."""
-    bounds = events.agg(
+    counts = window_counts(events).select("window_bucket", "event_count")
+    bounds = counts.agg(
         F.min("window_bucket").alias("first"), F.max("window_bucket").alias("last")
     )
-    counts = window_counts(events).select("window_bucket", "event_count")
     return fill_gaps(window_range(bounds, window_seconds), counts)
 
 

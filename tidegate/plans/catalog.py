@@ -25,7 +25,7 @@ from tidegate.operators.outcomes import (
     with_ingest_time,
 )
 from tidegate.plans.drain import drain, ordered_parts, replay_windows, window_ledger
-from tidegate.schema import EVENT_KEY
+from tidegate.schema import EVENT, EVENT_KEY
 from tidegate.session import configure, cut_lineage, fresh_dir
 from tidegate.sinks.window_files import LINE_NAMES, json_files, line_json, parquet_files
 from tidegate.sources.deliveries import file_batch
@@ -83,6 +83,11 @@ def _stored(spark: SparkSession, sf_dir: str, config: InboxConfig) -> InboxStore
     return store
 
 
+def _inbox(spark: SparkSession, sf_dir: str, config: InboxConfig = NARROW) -> DataFrame:
+    """Stored writes, for queries that read the events more than once: the text is parsed once."""
+    return _stored(spark, sf_dir, config).accepted()
+
+
 def _history(spark: SparkSession, sf_dir: str) -> InboxStore:
     """The same with hourly windows, a long retention and a drain start at the first stored window."""
     keep = replace(HOURLY, inbox_ttl_seconds=TEN_YEARS, progress_ttl_seconds=TEN_YEARS)
@@ -133,9 +138,9 @@ def scan_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scan_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest hourly window, in drain order."""
-    events = upsert_latest(_events(spark, sf_dir, HOURLY))
-    newest = _events(spark, sf_dir, HOURLY).agg(F.max("window_bucket").alias("b")).scalar()
-    return win.scan_window(events, newest).select(*_plain_columns())
+    store = _stored(spark, sf_dir, HOURLY)
+    newest = store.accepted().agg(F.max("window_bucket").alias("b")).first()["b"]
+    return win.scan_window(store.inbox(newest, newest), newest).select(*_plain_columns())
 
 
 @query
@@ -287,7 +292,7 @@ def blank_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lookup_most_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full-key lookup of the most redelivered event: one stored row."""
-    events = _events(spark, sf_dir)
+    events = _inbox(spark, sf_dir)
     order = [F.col("copies").desc(), *EVENT_KEY]
     target = key_counts(events).orderBy(*order).limit(1)
     part = lambda name: target.select(name).scalar()
@@ -329,7 +334,7 @@ def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def late_behind_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored events at or behind the cursor the ledger holds."""
-    events = _events(spark, sf_dir, HOURLY)
+    events = _inbox(spark, sf_dir, HOURLY)
     ledger = ledger_ops.ledger_as_of(events, NOW, HOURLY)
     cursor = ledger_ops.cursor_of(ledger, HOURLY.drain_id)
     return _keys(upsert_latest(ledger_ops.late_arrivals(events, cursor)))
@@ -357,7 +362,7 @@ def windows_gapfilled_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def undrained_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _events(spark, sf_dir)
+    events = _inbox(spark, sf_dir)
     ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
     return ledger_ops.undrained_windows(
         win.window_counts(events).select("window_bucket", "event_count"), ledger, NARROW.drain_id
@@ -366,14 +371,14 @@ def undrained_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def drain_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _events(spark, sf_dir)
+    events = _inbox(spark, sf_dir)
     ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
     return ledger_ops.drain_reconcile(events, ledger, NARROW.drain_id).where("actual > 0")
 
 
 @query
 def late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _events(spark, sf_dir)
+    events = _inbox(spark, sf_dir)
     ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
     emitted = ledger_ops.stored_before_seal(events, NARROW)
     late = ledger_ops.late_side_output(events, emitted, ledger, NARROW.drain_id)
@@ -410,7 +415,7 @@ def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def last_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cursor per drain identity; two identities share the ledger."""
-    events = _events(spark, sf_dir)
+    events = _inbox(spark, sf_dir)
     ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
     other = replace(HOURLY, drain_id="hourly")
     hourly = ledger_ops.ledger_as_of(win.rebucket(events, 3600), NOW, other)
@@ -485,7 +490,7 @@ def compacted_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping segments merged by compaction, redeliveries gone from the files."""
     store = _stored(spark, sf_dir, NARROW)
     ingest_batch(store, _deliveries(spark, sf_dir), "batch-1", F.col("timestamp"))
-    store.compact()
+    store.drop(store.compact())
     return _keys(store.accepted())
 
 
@@ -575,7 +580,7 @@ def drain_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bootstrap_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First window each bootstrap rule would drain at the last arrival of the data."""
-    events = _events(spark, sf_dir)
+    events = _inbox(spark, sf_dir)
     w = NARROW.window_seconds
     ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
     resume = ledger.agg((F.max("window_bucket") + w).alias("bucket")).select(
@@ -597,7 +602,7 @@ def replayed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _history(spark, sf_dir)
     path = fresh_dir(spark, "replay")
     replay_windows(store, parquet_files(path), NOW, AFTER, "replay", AFTER, AFTER)
-    return _keys(spark.read.parquet(f"{path}/drain_id=replay"))
+    return _keys(spark.read.schema(EVENT).parquet(f"{path}/drain_id=replay"))
 
 
 @query

@@ -110,6 +110,8 @@ def drain_span(
             F.timestamp_seconds(F.lit(drained_at)).alias("drained_at"),
         )
     )
+    if store.ledger_is_fragmented(drain_id):
+        store.compact_progress(drain_id, now_epoch)
     totals = windows.agg(F.count("*").alias("w"), F.sum("event_count").alias("e")).first()
     return DrainRun(drain_id, first, last, totals["w"], totals["e"])
 

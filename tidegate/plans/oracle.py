@@ -124,7 +124,7 @@ def _drained(drained_at: str) -> str:
   SELECT unnest(generate_series(min(window_bucket), {{last}}, 3600)) AS window_bucket FROM k
 )
 SELECT 'primary' AS drain_id, span.window_bucket, count(k.event_id) AS event_count,
-  {drained_at} AS drained_at
+  CAST({drained_at} AS BIGINT) AS drained_at
 FROM span LEFT JOIN k USING (window_bucket) GROUP BY ALL"""
 
 

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -44,6 +46,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*columns)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

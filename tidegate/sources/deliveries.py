@@ -24,9 +24,14 @@ def kafka_stream(
     servers: str,
     topic: str,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Topic from the earliest offset; needs the Kafka connector on the class path."""
+    """Topic from the earliest offset; needs the Kafka connector on the class path.
+
+    ``min_partitions`` splits the offset range of a topic partition that holds
+    far more than the others over several tasks.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -36,6 +41,8 @@ def kafka_stream(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
     return _kafka_columns(reader.load())
 
 

@@ -15,6 +15,7 @@ deletes.
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -37,7 +38,24 @@ from tidegate.schema import (
     STORED_FULL,
     STORED_PARTITIONS,
 )
-from tidegate.session import cut_lineage, delete_dir, exists, list_dirs
+from tidegate.session import cut_lineage, delete_dir, empty_table, exists, list_dirs
+
+
+MERGED = "merged"
+MAX_LEDGER_SEGMENTS = 64
+
+
+def _replace_partitions(rows: DataFrame, columns: list[str], path: str) -> None:
+    """Write rows, replacing exactly the partitions they hold.
+
+    Jobs stage their files separately, so several may write below one path at a time.
+    """
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*columns)
+        .parquet(path)
+    )
 
 
 @dataclass(frozen=True)
@@ -88,16 +106,13 @@ class InboxStore:
             ).alias("storage_bucket"),
             F.lit(segment).alias("segment"),
         )
+        if self.config.rebalance_writes:
+            rows = rows.hint("rebalance", "outcome", "storage_bucket")
         return rows.sortWithinPartitions(*STORED_PARTITIONS, *EVENT_KEY)
 
     def write_segment(self, stored: DataFrame) -> None:
         """Write one segment; the same segment written again replaces itself."""
-        (
-            stored.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*STORED_PARTITIONS)
-            .parquet(self.deliveries_path)
-        )
+        _replace_partitions(stored, STORED_PARTITIONS, self.deliveries_path)
 
     def _folders(self, outcome: str, first: int | None, last: int | None) -> list[str]:
         """Storage folders that can hold the windows ``first``..``last``."""
@@ -114,7 +129,7 @@ class InboxStore:
         """Stored deliveries of one outcome; only folders in the given span are listed."""
         paths = self._folders(outcome, first, last)
         if not paths:
-            return self.spark.createDataFrame([], STORED_FULL)
+            return empty_table(self.spark, STORED_FULL)
         reader = self.spark.read.schema(STORED_FULL).option("basePath", self.deliveries_path)
         return reader.parquet(*paths)
 
@@ -144,17 +159,18 @@ class InboxStore:
 
     # -- maintenance --------------------------------------------------------
 
-    def compact(self, first: int | None = None, last: int | None = None) -> str | None:
+    def compact(self, first: int | None = None, last: int | None = None) -> list[str]:
         """Merge the segments of each storage folder in the span into one row per key.
 
-        Reads exactly the segments it later deletes, so writes arriving
-        meanwhile are left alone. Range partitioning on the unique key gives
-        even, ordered files however uneven the folders are.
+        Returns the superseded folders for ``drop`` to delete once no running
+        job reads them; until then they are only redundant. Writes arriving
+        meanwhile are neither merged nor returned. Range partitioning on the
+        unique key gives even, ordered files however uneven the folders are.
         """
         folders = self._folders(ACCEPTED, first, last)
         old = [f"{f}/{s}" for f in folders for s in list_dirs(self.spark, f)]
         if not old:
-            return None
+            return []
         segment = f"compact-{uuid.uuid4().hex}"
         reader = self.spark.read.schema(STORED_FULL).option("basePath", self.deliveries_path)
         rows = reader.parquet(*old)
@@ -166,9 +182,11 @@ class InboxStore:
                 *STORED_PARTITIONS, *EVENT_KEY
             )
         )
-        for path in old:
+        return old
+
+    def drop(self, folders: list[str]) -> None:
+        for path in folders:
             delete_dir(self.spark, path)
-        return segment
 
     def expire(self, now_epoch: int) -> list[int]:
         """Drop the storage folders in which every row has outlived its retention."""
@@ -192,20 +210,16 @@ class InboxStore:
     def _progress_schema(self) -> T.StructType:
         return T.StructType([*PROGRESS.fields, T.StructField("segment", T.StringType())])
 
-    def append_progress(self, windows: DataFrame) -> None:
+    def append_progress(self, windows: DataFrame, kind: str = "run") -> None:
         """Record drained windows; repeating a record is harmless."""
-        (
-            windows.select(*PROGRESS.fieldNames())
-            .withColumn("segment", F.lit(uuid.uuid4().hex))
-            .coalesce(1)  # at most max_windows_per_run narrow rows
-            .write.mode("append")
-            .partitionBy("drain_id", "segment")
-            .parquet(self.progress_path)
-        )
+        segment = f"{time.time_ns():020d}-{kind}"
+        rows = windows.select(*PROGRESS.fieldNames()).withColumn("segment", F.lit(segment))
+        # One file: a run records at most max_windows_per_run narrow rows.
+        _replace_partitions(rows.coalesce(1), ["drain_id", "segment"], self.progress_path)
 
     def _progress_rows(self) -> DataFrame:
         if not list_dirs(self.spark, self.progress_path):
-            return self.spark.createDataFrame([], self._progress_schema())
+            return empty_table(self.spark, self._progress_schema())
         return self.spark.read.schema(self._progress_schema()).parquet(self.progress_path)
 
     def progress(self, now_epoch: int | None = None) -> DataFrame:
@@ -216,47 +230,58 @@ class InboxStore:
         return latest_progress(rows)
 
     def last_drained(self, drain_id: str, now_epoch: int | None = None) -> int | None:
-        mine = self.progress(now_epoch).where(F.col("drain_id") == drain_id)
-        return mine.agg(F.max("window_bucket").alias("last")).first()["last"]
+        """Highest recorded window; a repeated record cannot change a maximum."""
+        path = f"{self.progress_path}/drain_id={drain_id}"
+        if not list_dirs(self.spark, path):
+            return None
+        rows = self.spark.read.schema(self._progress_schema()).parquet(path)
+        if now_epoch is not None:
+            rows = live_progress(rows, now_epoch, self.config.progress_ttl_seconds)
+        return rows.agg(F.max("window_bucket").alias("last")).first()["last"]
 
-    def forget_progress(self, drain_id: str, first: int | None = None) -> None:
-        """Remove ledger rows of one drain identity from ``first`` on, so they drain again."""
-        base = f"{self.progress_path}/drain_id={drain_id}"
-        self._rewrite_progress(drain_id, base, F.col("window_bucket") < F.lit(first or 0))
+    def forget_progress(self, drain_id: str, first: int) -> None:
+        """Remove a drain identity's ledger rows from window ``first`` on, so they drain again."""
+        old, rows = self._ledger_segments(drain_id)
+        if old:
+            self.append_progress(cut_lineage(rows.where(F.col("window_bucket") < first)), MERGED)
+            self.drop(old)
 
     def compact_progress(self, drain_id: str, now_epoch: int) -> None:
-        """Merge a ledger's many small segments and drop its expired rows."""
-        base = f"{self.progress_path}/drain_id={drain_id}"
-        oldest = F.timestamp_seconds(F.lit(now_epoch - self.config.progress_ttl_seconds))
-        self._rewrite_progress(drain_id, base, F.col("drained_at") > oldest)
+        """Merge a ledger's small segments and leave out its expired rows.
 
-    def _rewrite_progress(self, drain_id: str, base: str, keep: Column) -> None:
+        Deletes only what an earlier merge replaced, so a job that has just
+        listed the ledger still finds its files. Run by the drainer itself.
+        """
+        old, rows = self._ledger_segments(drain_id)
+        if old:
+            kept = live_progress(rows, now_epoch, self.config.progress_ttl_seconds)
+            merged = [i for i, path in enumerate(old) if path.endswith(MERGED)]
+            self.append_progress(kept, MERGED)
+            self.drop(old[: merged[-1]] if merged else [])
+
+    def _ledger_segments(self, drain_id: str) -> tuple[list[str], DataFrame]:
+        """Segment folders of one ledger, oldest first, and their latest rows."""
+        base = f"{self.progress_path}/drain_id={drain_id}"
         old = [f"{base}/{s}" for s in list_dirs(self.spark, base)]
         if not old:
-            return
+            return [], self.progress()
         reader = self.spark.read.schema(self._progress_schema())
-        rows = reader.option("basePath", self.progress_path).parquet(*old)
-        kept = cut_lineage(latest_progress(rows).where(keep))
-        self.append_progress(kept)
-        for path in old:
-            delete_dir(self.spark, path)
+        return old, latest_progress(reader.option("basePath", self.progress_path).parquet(*old))
+
+    def ledger_is_fragmented(self, drain_id: str) -> bool:
+        segments = list_dirs(self.spark, f"{self.progress_path}/drain_id={drain_id}")
+        return len(segments) > MAX_LEDGER_SEGMENTS
 
     # -- counters -----------------------------------------------------------
 
     def metrics(self) -> DataFrame:
         """Counters per micro-batch; a replayed batch replaces its own row."""
         if not exists(self.spark, self.metrics_path):
-            return self.spark.createDataFrame([], METRICS)
+            return empty_table(self.spark, METRICS)
         return self.spark.read.schema(METRICS).parquet(self.metrics_path)
 
     def write_metrics(self, row: DataFrame) -> None:
-        (
-            row.select(*METRICS.fieldNames())
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("segment")
-            .parquet(self.metrics_path)
-        )
+        _replace_partitions(row.select(*METRICS.fieldNames()), ["segment"], self.metrics_path)
 
     def register_views(self) -> None:
         """Expose the tables to ``spark.sql``."""
