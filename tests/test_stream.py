@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import time
+
+import pytest
+from conftest import deliveries_of, envelope
+from pyspark.sql import functions as F
+from test_store import T0, contents, iso, ledger, make_store, put
+
+from tidegate.config import CONFIGURED
+from tidegate.schema import STORED_FULL
+from tidegate.sinks.window_files import json_files
+from tidegate.sources.deliveries import file_stream
+from tidegate.sources.store import InboxStore
+from tidegate.streaming.drainer import run_drainer
+from tidegate.streaming.ingest import stream_ingest
+from tidegate.streaming.sealing import seal_by_event_time
+
+arrival = lambda: F.col("timestamp")
+
+
+def land(spark, path, values, arrivals, first_offset=0):
+    batch = deliveries_of(spark, values, arrivals, first_offset=first_offset)
+    batch.coalesce(1).write.mode("append").parquet(path)
+
+
+def run(spark, source, store, checkpoint, **kwargs):
+    stream = file_stream(spark, source, max_files_per_trigger=1)
+    query = stream_ingest(stream, store, checkpoint, arrival, **kwargs)
+    query.awaitTermination()
+    return query
+
+
+def test_ingest_stores_events_and_dead_letters_and_resumes(spark, tmp_path):
+    store, source, offsets = make_store(spark, tmp_path), str(tmp_path / "in"), str(tmp_path / "cp")
+    land(spark, source, [envelope("a", iso(T0)), "oops"], [T0 * 1000 + 1000] * 2)
+    run(spark, source, store, offsets)
+    land(spark, source, [envelope("a", iso(T0)), envelope("b", iso(T0 + 5))], [T0 * 1000 + 9000] * 2, 2)
+    run(spark, source, store, offsets)
+    assert contents(store.inbox()) == [(0, "a", 9), (5, "b", 9)]
+    assert [r.value for r in store.dead_letters().collect()] == ["oops"]
+    totals = store.metrics().agg(F.sum("success").alias("s"), F.sum("parse_error").alias("p")).first()
+    assert (totals.s, totals.p) == (3, 1)
+    run(spark, source, store, offsets)
+    assert store.accepted().count() == 3
+
+
+def test_failed_batch_does_not_advance_and_replays_cleanly(spark, tmp_path):
+    store, source, offsets = make_store(spark, tmp_path), str(tmp_path / "in"), str(tmp_path / "cp")
+    land(spark, source, [envelope("a", iso(T0)), "oops"], [T0 * 1000 + 1000] * 2)
+
+    def dead_letter_sink_down(letters):
+        raise OSError("dead letter topic is down")
+
+    with pytest.raises(Exception, match="dead letter topic is down"):
+        run(spark, source, store, offsets, dead_letter_sink=dead_letter_sink_down)
+    assert store.metrics().count() == 0
+    published = []
+    run(spark, source, store, offsets, dead_letter_sink=lambda x: published.extend(x.collect()))
+    assert [(r.key, r.value, r.reason) for r in published] == [(None, "oops", "not_json")]
+    assert store.accepted().count() == 1
+    assert store.dead_letters().count() == 1
+    assert store.metrics().count() == 1
+
+
+def test_a_new_checkpoint_redelivers_without_duplicates(spark, tmp_path):
+    store, source = make_store(spark, tmp_path), str(tmp_path / "in")
+    land(spark, source, [envelope(f"e{i}", iso(T0 + i)) for i in range(10)], [T0 * 1000] * 10)
+    run(spark, source, store, str(tmp_path / "cp1"))
+    before = contents(store.inbox())
+    run(spark, source, store, str(tmp_path / "cp2"))
+    assert store.accepted().count() == 20
+    assert contents(store.inbox()) == before
+
+
+@pytest.mark.parametrize(("cursor", "late"), [(T0 + 5, 1), (T0, 1), (T0 - 5, 0), (None, 0)])
+def test_late_writes_are_counted_and_kept(spark, tmp_path, cursor, late):
+    store = make_store(spark, tmp_path)
+    if cursor is not None:
+        store.append_progress(ledger(spark, "primary", [cursor], T0))
+    counters = put(store, [(0, "a", 1), (10, "b", 11)], "batch-0")
+    assert counters == {"success": 2, "parse_error": 0, "late_arrival": late}
+    assert store.inbox().count() == 2
+
+
+def test_empty_batch(spark, tmp_path):
+    store = make_store(spark, tmp_path)
+    counters = put(store, [(0, "a", 1)], "batch-0")
+    assert counters["success"] == 1
+    from tidegate.streaming.ingest import ingest_batch
+
+    empty = deliveries_of(spark, ["x"]).where("false")
+    assert ingest_batch(store, empty, "batch-1") == {"success": 0, "parse_error": 0, "late_arrival": 0}
+    assert store.inbox().count() == 1
+
+
+def test_seals_by_event_time_once_the_stream_moved_past(spark, tmp_path):
+    store = make_store(spark, tmp_path, allowed_lateness_seconds=10)
+    source = str(tmp_path / "events")
+    seconds = [0, 1, 4, 5, 9, 12, 20]
+    rows = spark.createDataFrame([(s,) for s in seconds], "s bigint")
+    rows.select(F.timestamp_seconds(F.lit(T0) + F.col("s")).alias("event_ts")).write.parquet(source)
+    events = spark.readStream.schema("event_ts timestamp").parquet(source)
+    query = (
+        seal_by_event_time(events, store.config)
+        .writeStream.format("parquet")
+        .option("path", str(tmp_path / "sealed"))
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    sealed = spark.read.parquet(str(tmp_path / "sealed")).orderBy("window_bucket").collect()
+    assert [(r.window_bucket - T0, r.deliveries) for r in sealed] == [(0, 3), (5, 2)]
+
+
+def test_periodic_drainer(spark, tmp_path):
+    config = {"allowed_lateness_seconds": 10, "bootstrap": CONFIGURED, "start_bucket": T0, "poll_interval_ms": 200}
+    store = make_store(spark, tmp_path, **config)
+    put(store, [(0, "a", 1), (6, "b", 7)], "b0")
+    query = run_drainer(store, json_files(str(tmp_path / "out")), str(tmp_path / "cp"), lambda: T0 + 20)
+    deadline = time.time() + 60
+    while store.last_drained("primary") is None and time.time() < deadline:
+        time.sleep(0.5)
+    query.stop()
+    assert store.last_drained("primary") == T0 + 5
+
+
+def test_stored_schema_is_what_is_read(spark, tmp_path):
+    store = make_store(spark, tmp_path)
+    put(store, [(0, "a", 1)], "batch-0")
+    assert store.accepted().schema.fieldNames() == STORED_FULL.fieldNames()
+    assert isinstance(InboxStore(spark, store.root).config.window_seconds, int)

@@ -26,12 +26,14 @@ def window_counts(events: DataFrame) -> DataFrame:
 def window_range(bounds: DataFrame, window_seconds: int) -> DataFrame:
     """Every window start between ``first`` and ``last`` of a one-row frame.
 
-    Two nested sequences keep each generated array small however long the span.
+    Two nested sequences keep each generated array small however long the span,
+    and the exchange between them spreads the inner one over the cluster.
     """
     stride = window_seconds * GAP_FAN_OUT
     outer = bounds.where("first IS NOT NULL").select(
         "last", F.explode(F.sequence("first", "last", F.lit(stride).cast("bigint"))).alias("_from")
     )
+    outer = outer.repartition("_from")
     upto = F.least(F.col("_from") + F.lit(stride - window_seconds), F.col("last"))
     return outer.select(
         F.explode(F.sequence("_from", upto, F.lit(window_seconds).cast("bigint"))).alias(

@@ -37,8 +37,10 @@ from tidegate.streaming.sealing import seal_by_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The test events are thin and span a month: one storage folder per day.
-NARROW = InboxConfig(window_seconds=5, allowed_lateness_seconds=60, storage_seconds=86_400)
+# The test events are thin and span a month: one storage folder per day, few files in each.
+NARROW = InboxConfig(
+    window_seconds=5, allowed_lateness_seconds=60, storage_seconds=86_400, rebalance_writes=True
+)
 HOURLY = replace(NARROW, window_seconds=3600)
 
 # 2024-01-16T12:01:00Z, inside the month of the test events.
@@ -145,7 +147,7 @@ def scan_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = ledger_ops.ledger_as_of(_events(spark, sf_dir, HOURLY), NOW, HOURLY)
+    ledger = ledger_ops.ledger_as_of(_inbox(spark, sf_dir, HOURLY), NOW, HOURLY)
     return ledger.withColumn("drained_at", F.unix_seconds("drained_at"))
 
 
@@ -352,12 +354,12 @@ def late_data_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def windows_gapfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return win.windows_gapfilled(_events(spark, sf_dir, HOURLY), HOURLY.window_seconds)
+    return win.windows_gapfilled(_inbox(spark, sf_dir, HOURLY), HOURLY.window_seconds)
 
 
 @query
 def windows_gapfilled_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return win.windows_gapfilled(_events(spark, sf_dir), NARROW.window_seconds)
+    return win.windows_gapfilled(_inbox(spark, sf_dir), NARROW.window_seconds)
 
 
 @query

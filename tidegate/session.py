@@ -46,6 +46,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal the rows of too few input splits over all cores, ahead of costly per-row work.
+
+    Input that already has a split per core passes through without an exchange.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
     return spark.range(0).select(*columns)

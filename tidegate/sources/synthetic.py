@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.timestamps import epoch_micros_ntz
+from tidegate.session import spread
 
 EVENTS = T.StructType(
     [
@@ -32,7 +33,7 @@ TOPIC = "cloud-events"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegate.functions.envelope import Parser, decode, envelope_parser
 from tidegate.operators.outcomes import REJECTED, counter_columns, dead_letters, with_ingest_time
 from tidegate.schema import METRICS
+from tidegate.session import spread
 from tidegate.sources.store import InboxStore
 
 QUERY_ID = "sql.streaming.queryId"
@@ -44,16 +45,15 @@ def ingest_batch(
     clock = F.current_timestamp() if ingest_time is None else ingest_time
     config = store.config
     cursor = store.last_drained(config.drain_id) or 0
-    decoded = with_ingest_time(decode(deliveries, config.window_seconds, parser), clock)
+    decoded = decode(spread(deliveries), config.window_seconds, parser)
+    decoded = with_ingest_time(decoded, clock)
     observation = Observation()
     observed = decoded.observe(observation, *counter_columns(cursor))
     store.write_segment(store.stored_form(observed, segment))
     counters = {k: int(v or 0) for k, v in observation.get.items()}
     if dead_letter_sink is not None and counters["parse_error"]:
         rejected = store.read(REJECTED).where(F.col("segment") == segment)
-        dead_letter_sink(
-            dead_letters(rejected.withColumnRenamed("payload", "value"))
-        )
+        dead_letter_sink(dead_letters(rejected.withColumnRenamed("payload", "value")))
     row = deliveries.sparkSession.range(1).select(
         F.lit(segment).alias("segment"),
         *[F.lit(counters[k]).cast("bigint").alias(k) for k in ("success", "parse_error", "late_arrival")],
