@@ -16,10 +16,10 @@ REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 HEADLINE = [
     "parse_events",
     "reject_reasons",
-    "counters",
-    "upsert_inbox",
+    "ingest_counters",
+    "upsert_latest",
     "window_counts",
-    "redeliveries",
+    "dedup_stats",
     "latency_percentiles",
     "window_size_audit",
     "windows_gapfilled_narrow",
@@ -29,8 +29,8 @@ HEADLINE = [
     "compacted_inbox",
     "drain_files",
     "drain_cycle",
-    "stream_ingest_inbox",
-    "sealed_by_event_time",
+    "stream_ingest",
+    "seal_by_event_time",
 ]
 
 

@@ -15,7 +15,9 @@ from tidegate.functions.windows import (
 )
 from tidegate.operators.window_queries import (
     GAP_FAN_OUT,
+    drain_position,
     estimated_window_bytes,
+    ordered_window,
     window_range,
     windows_gapfilled,
 )
@@ -85,6 +87,16 @@ def test_gap_fill(spark):
     assert windows_gapfilled(events.where("false"), 5).count() == 0
 
 
+def test_order_and_positions(spark):
+    rows = [(ms, f"id{i}") for i in range(7) for ms in (1_000_000, 1_000_500, 1_003_000, 1_006_000)]
+    events = events_of(spark, rows).repartition(3)
+    ordered = [(r.window_bucket, r.event_ts, r.event_id) for r in ordered_window(events, 5).collect()]
+    assert ordered == sorted(ordered) and len(ordered) == 28
+    placed = drain_position(events).orderBy("window_bucket", "position").collect()
+    assert [(r.window_bucket, r.event_ts, r.event_id) for r in placed] == ordered
+    assert [r.position for r in placed] == [*range(1, 22), *range(1, 8)]
+
+
 def test_size_estimate_and_config_checks():
     assert estimated_window_bytes(5) == 40_960_000
     for bad in ({"window_seconds": 0}, {"allowed_lateness_seconds": -1}, {"bootstrap": "x"}, {"drain_id": "a/b"}, {"rows_per_file": 0}):

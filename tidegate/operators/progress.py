@@ -107,4 +107,5 @@ def late_side_output(events: DataFrame, emitted: DataFrame, ledger: DataFrame, d
     """
     changed = drain_reconcile(events, ledger, drain_id).where("late_rows <> 0").select("window_bucket")
     candidates = events.join(changed, "window_bucket", "left_semi")
-    return upsert_latest(candidates).join(emitted.select(*EVENT_KEY), EVENT_KEY, "left_anti")
+    known = emitted.select(*EVENT_KEY).join(changed, "window_bucket", "left_semi")
+    return upsert_latest(candidates).join(known, EVENT_KEY, "left_anti")

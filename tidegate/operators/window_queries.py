@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.config import InboxConfig
@@ -68,9 +68,31 @@ def scan_window(events: DataFrame, bucket: int | Column) -> DataFrame:
     return events.where(F.col("window_bucket") == bucket).orderBy("event_ts", "event_id")
 
 
-def ordered_window(events: DataFrame) -> DataFrame:
-    """Whole windows, each sorted by event time and id: one exchange, no global sort."""
-    return events.repartition("window_bucket").sortWithinPartitions(*EVENT_KEY)
+def ordered_window(events: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Drain order: by window, event time and id, over all partitions in sequence.
+
+    Ranges of the full key cut a window of any size over many tasks.
+    """
+    count = [partitions] if partitions else []
+    ranged = events.repartitionByRange(*count, *EVENT_KEY)
+    return ranged.sortWithinPartitions(*EVENT_KEY)
+
+
+def drain_position(events: DataFrame) -> DataFrame:
+    """One-based position of each event in its window, without gathering the window.
+
+    A running count over the distinct event times of a window is added to the
+    position among the events of one instant.
+    """
+    instants = events.groupBy("window_bucket", "event_ts").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("window_bucket").orderBy("event_ts")
+    before = F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    starts = instants.select(
+        "window_bucket", "event_ts", F.coalesce(before, F.lit(0)).alias("_before")
+    )
+    among = F.row_number().over(Window.partitionBy("window_bucket", "event_ts").orderBy("event_id"))
+    ranked = events.withColumn("_among", among).join(starts, ["window_bucket", "event_ts"])
+    return ranked.withColumn("position", F.col("_before") + F.col("_among")).drop("_among", "_before")
 
 
 def live_rows(events: DataFrame, now: Column, ttl_seconds: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.config import CONFIGURED, InboxConfig
@@ -52,14 +52,14 @@ TEN_YEARS = 10 * 365 * 86_400
 CATALOG: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    """Register ``fn`` under its own name."""
+def query(name: str) -> Callable[[Query], Query]:
+    """Register a query under ``name``."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(configure(spark), sf_dir)
+    def register(fn: Query) -> Query:
+        CATALOG[name] = lambda spark, sf_dir: fn(configure(spark), sf_dir)
+        return fn
 
-    CATALOG[fn.__name__] = run
-    return fn
+    return register
 
 
 # -- inputs ------------------------------------------------------------------
@@ -127,7 +127,7 @@ def _keys(events: DataFrame) -> DataFrame:
 # -- scans -------------------------------------------------------------------
 
 
-@query
+@query("scan_deliveries")
 def scan_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "landed")
     _deliveries(spark, sf_dir).write.parquet(path)
@@ -137,7 +137,7 @@ def scan_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("scan_window")
 def scan_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest hourly window, in drain order."""
     store = _stored(spark, sf_dir, HOURLY)
@@ -145,19 +145,19 @@ def scan_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.scan_window(store.inbox(newest, newest), newest).select(*_plain_columns())
 
 
-@query
+@query("scan_progress")
 def scan_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = ledger_ops.ledger_as_of(_inbox(spark, sf_dir, HOURLY), NOW, HOURLY)
     return ledger.withColumn("drained_at", F.unix_seconds("drained_at"))
 
 
-@query
+@query("scan_dead_letters")
 def scan_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     letters = dead_letters(_decoded(spark, sf_dir))
     return letters.select("key", "value", "offset").orderBy("offset").limit(20)
 
 
-@query
+@query("sample_inbox")
 def sample_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = upsert_latest(_events(spark, sf_dir)).select(
         "window_bucket", F.unix_millis("event_ts").alias("event_ts_ms"), "event_id", "operation"
@@ -168,14 +168,14 @@ def sample_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- projections -------------------------------------------------------------
 
 
-@query
+@query("parse_events")
 def parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every accepted delivery as an event, redeliveries included."""
     events = _events(spark, sf_dir)
     return events.select("offset", *_plain_columns()).drop("payload")
 
 
-@query
+@query("parse_texts")
 def parse_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long multilingual texts through the envelope and back, unchanged."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -196,7 +196,7 @@ def parse_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("resolve_event_ts")
 def resolve_event_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event time in micros before it is cut to storage precision, and which field it came from."""
     decoded = _decoded(spark, sf_dir).where("reason IS NULL")
@@ -210,7 +210,7 @@ def resolve_event_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("null_to_empty")
 def null_to_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     return events.groupBy("request_name").agg(
@@ -219,12 +219,12 @@ def null_to_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("payload_verbatim")
 def payload_verbatim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select("offset", "payload")
 
 
-@query
+@query("ingest_time")
 def ingest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     delay = F.unix_millis("ingest_time") - F.unix_millis("event_ts")
     return _events(spark, sf_dir).select(
@@ -232,7 +232,7 @@ def ingest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("window_bucket")
 def window_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window of every event under three window sizes."""
     events = read_events(spark, sf_dir)
@@ -242,7 +242,7 @@ def window_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("tumbling_window")
 def tumbling_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spark's own tumbling window starts at the same bucket."""
     starts = F.window(F.col("ts").cast("timestamp"), "5 seconds")
@@ -250,13 +250,13 @@ def tumbling_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(F.unix_seconds("w.start").alias("window_bucket"), "events")
 
 
-@query
+@query("seal_time")
 def seal_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     buckets = _events(spark, sf_dir).select("window_bucket").distinct()
     return buckets.select("window_bucket", seal_time(F.col("window_bucket"), NARROW).alias("sealed_after"))
 
 
-@query
+@query("sink_json")
 def sink_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window line of every stored event, read back field by field."""
     line = upsert_latest(_events(spark, sf_dir)).select(line_json().alias("line"))
@@ -268,22 +268,22 @@ def sink_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- filters -----------------------------------------------------------------
 
 
-@query
+@query("valid_events")
 def accepted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select("topic", "partition", "offset", "event_id")
 
 
-@query
+@query("dead_letters")
 def rejected_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead_letters(_decoded(spark, sf_dir))
 
 
-@query
+@query("reject_reasons")
 def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead_letter_summary(_decoded(spark, sf_dir))
 
 
-@query
+@query("blank_id")
 def blank_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which padded ids count as blank: Unicode white space does, a no-break space does not."""
     forms = F.array(F.lit(""), F.lit(" \t"), F.lit("\u2003"), F.lit("\u00a0"))
@@ -291,31 +291,31 @@ def blank_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(spark, sf_dir).select("event_id", is_blank(form).alias("blank"))
 
 
-@query
+@query("key_lookup")
 def lookup_most_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full-key lookup of the most redelivered event: one stored row."""
     events = _inbox(spark, sf_dir)
     order = [F.col("copies").desc(), *EVENT_KEY]
     target = key_counts(events).orderBy(*order).limit(1)
-    part = lambda name: target.select(name).scalar()
-    found = key_lookup(events, part("window_bucket"), part("event_ts"), part("event_id"))
+    key = target.select(F.struct(*EVENT_KEY).alias("key")).scalar()
+    found = key_lookup(events, *[key[c] for c in EVENT_KEY])
     return found.withColumn("event_ts_ms", F.unix_millis("event_ts")).drop("event_ts")
 
 
-@query
+@query("sealed_windows")
 def sealed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = win.window_counts(_events(spark, sf_dir))
     return win.sealed_windows(counts, NOW, NARROW)
 
 
-@query
+@query("live_rows")
 def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows still retained one day before the middle of the month."""
     rows = win.live_rows(_events(spark, sf_dir), F.timestamp_seconds(F.lit(NOW)), 86_400)
     return _keys(upsert_latest(rows))
 
 
-@query
+@query("replay_range")
 def replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored events of every window from a start window on."""
     start = NOW - NOW % NARROW.window_seconds
@@ -325,7 +325,7 @@ def replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- ledger against inbox ----------------------------------------------------
 
 
-@query
+@query("late_arrivals")
 def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes that arrived behind the cursor of a drainer that keeps up."""
     cursor = cursor_when_keeping_up(F.unix_seconds("ingest_time"), NARROW)
@@ -333,7 +333,7 @@ def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.select("offset", "event_id", "window_bucket")
 
 
-@query
+@query("late_behind_ledger")
 def late_behind_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored events at or behind the cursor the ledger holds."""
     events = _inbox(spark, sf_dir, HOURLY)
@@ -342,7 +342,7 @@ def late_behind_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keys(upsert_latest(ledger_ops.late_arrivals(events, cursor)))
 
 
-@query
+@query("late_data_kept")
 def late_data_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late events stay in their natural window: on-time and late rows per window."""
     cursor = cursor_when_keeping_up(F.unix_seconds("ingest_time"), HOURLY)
@@ -352,17 +352,17 @@ def late_data_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("windows_gapfilled")
 def windows_gapfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.windows_gapfilled(_inbox(spark, sf_dir, HOURLY), HOURLY.window_seconds)
 
 
-@query
+@query("windows_gapfilled_narrow")
 def windows_gapfilled_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.windows_gapfilled(_inbox(spark, sf_dir), NARROW.window_seconds)
 
 
-@query
+@query("undrained_windows")
 def undrained_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _inbox(spark, sf_dir)
     ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
@@ -371,14 +371,14 @@ def undrained_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("drain_reconcile")
 def drain_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _inbox(spark, sf_dir)
     ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
     return ledger_ops.drain_reconcile(events, ledger, NARROW.drain_id).where("actual > 0")
 
 
-@query
+@query("late_side_output")
 def late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _inbox(spark, sf_dir)
     ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
@@ -396,12 +396,12 @@ def _lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_lag(next_offsets(rows, processed), next_offsets(rows))
 
 
-@query
+@query("offset_lag")
 def partition_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lag(spark, sf_dir)
 
 
-@query
+@query("lag_summary")
 def lag_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lag_summary(_lag(spark, sf_dir), NARROW)
 
@@ -409,12 +409,12 @@ def lag_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- aggregations ------------------------------------------------------------
 
 
-@query
+@query("window_counts")
 def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.window_counts(_events(spark, sf_dir, HOURLY))
 
 
-@query
+@query("last_drained")
 def last_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cursor per drain identity; two identities share the ledger."""
     events = _inbox(spark, sf_dir)
@@ -424,24 +424,24 @@ def last_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger_ops.last_drained(ledger.unionByName(hourly))
 
 
-@query
+@query("ingest_counters")
 def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     cursor = cursor_when_keeping_up(F.unix_seconds("ingest_time"), NARROW)
     return ingest_counters(_decoded(spark, sf_dir), cursor)
 
 
-@query
+@query("throughput")
 def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latency_ops.throughput(_events(spark, sf_dir))
 
 
-@query
+@query("latency_percentiles")
 def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     histogram = latency_ops.latency_histogram(_events(spark, sf_dir))
     return latency_ops.percentiles(histogram, [0.5, 0.95, 0.99])
 
 
-@query
+@query("window_size_audit")
 def window_size_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _events(spark, sf_dir, HOURLY).withColumn(
         "payload_bytes", F.octet_length("payload").cast("bigint")
@@ -450,7 +450,7 @@ def window_size_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.window_size_audit(upsert_latest(rows), small)
 
 
-@query
+@query("dedup_stats")
 def redeliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_stats(_events(spark, sf_dir))
 
@@ -458,20 +458,19 @@ def redeliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- upsert, order, limits ---------------------------------------------------
 
 
-@query
+@query("upsert_latest")
 def upsert_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(upsert_latest(_events(spark, sf_dir)))
 
 
-@query
+@query("ordered_window")
 def ordered_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drain order as a position inside each window."""
-    ordered = win.ordered_window(upsert_latest(_events(spark, sf_dir, HOURLY)))
-    position = F.row_number().over(Window.partitionBy("window_bucket").orderBy("event_ts", "event_id"))
-    return ordered.select("window_bucket", "event_id", position.cast("bigint").alias("position"))
+    ordered = win.ordered_window(upsert_latest(_inbox(spark, sf_dir, HOURLY)))
+    return win.drain_position(ordered).select("window_bucket", "event_id", "position")
 
 
-@query
+@query("newest_windows")
 def newest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return win.latest_windows(win.window_counts(_events(spark, sf_dir, HOURLY)), 10)
 
@@ -479,7 +478,7 @@ def newest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- sinks -------------------------------------------------------------------
 
 
-@query
+@query("write_inbox")
 def write_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored inbox, read back after every delivery was written twice."""
     store = _stored(spark, sf_dir, NARROW)
@@ -487,7 +486,7 @@ def write_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(store.inbox())
 
 
-@query
+@query("compacted_inbox")
 def compacted_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping segments merged by compaction, redeliveries gone from the files."""
     store = _stored(spark, sf_dir, NARROW)
@@ -496,12 +495,12 @@ def compacted_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keys(store.accepted())
 
 
-@query
+@query("write_dead_letters")
 def write_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, NARROW).dead_letters()
 
 
-@query
+@query("drain_files")
 def drain_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines of every drained window, read back with the folder's window."""
     store = _history(spark, sf_dir)
@@ -513,7 +512,7 @@ def drain_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{path}/drain_id={store.config.drain_id}")
 
 
-@query
+@query("pluggable_sink")
 def custom_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's own sink: drained windows summed per operation."""
     store = _history(spark, sf_dir)
@@ -527,7 +526,7 @@ def custom_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{store.config.drain_id}")
 
 
-@query
+@query("record_progress")
 def record_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger holds one row per window although every window is recorded twice."""
     store = _history(spark, sf_dir)
@@ -548,7 +547,7 @@ def record_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streaming and drain cycles ----------------------------------------------
 
 
-@query
+@query("stream_ingest")
 def stream_ingest_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streamed deliveries: the stored inbox after the stream caught up."""
     store = InboxStore(spark, fresh_dir(spark, "inbox"), NARROW)
@@ -558,7 +557,7 @@ def stream_ingest_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(store.inbox())
 
 
-@query
+@query("stream_ingest_metrics")
 def stream_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = InboxStore(spark, fresh_dir(spark, "inbox"), NARROW)
     stream = deliveries(stream_events(spark, sf_dir))
@@ -569,7 +568,7 @@ def stream_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("drain_cycle")
 def drain_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger after two cycles, the second resuming where the first stopped."""
     store = _history(spark, sf_dir)
@@ -579,7 +578,7 @@ def drain_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.progress().withColumn("drained_at", F.unix_seconds("drained_at"))
 
 
-@query
+@query("bootstrap_cursor")
 def bootstrap_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First window each bootstrap rule would drain at the last arrival of the data."""
     events = _inbox(spark, sf_dir)
@@ -598,7 +597,7 @@ def bootstrap_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resume.unionByName(latest).unionByName(start)
 
 
-@query
+@query("replay_windows")
 def replayed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second half of the month emitted again under another drain identity."""
     store = _history(spark, sf_dir)
@@ -607,7 +606,7 @@ def replayed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keys(spark.read.schema(EVENT).parquet(f"{path}/drain_id=replay"))
 
 
-@query
+@query("split_large_windows")
 def split_large_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every window treated as too large for one task still drains whole."""
     store = _stored(spark, sf_dir, replace(HOURLY, rows_per_file=15))
@@ -620,7 +619,7 @@ def split_large_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keys(spark.read.parquet(path))
 
 
-@query
+@query("seal_by_event_time")
 def sealed_by_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly windows sealed by the stream's own watermark, written as they seal."""
     decoded = decode(deliveries(stream_events(spark, sf_dir)), HOURLY.window_seconds)

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tidegate.config import InboxConfig
 from tidegate.functions.windows import bootstrap_cursor, last_sealed_bucket
 from tidegate.operators.latest import upsert_latest
-from tidegate.operators.window_queries import fill_gaps, window_counts
-from tidegate.schema import EVENT_COLUMNS, EVENT_KEY, ORIGIN_COLUMNS
+from tidegate.operators.window_queries import fill_gaps, ordered_window, window_counts
+from tidegate.schema import EVENT_COLUMNS, ORIGIN_COLUMNS
 from tidegate.session import cut_lineage
 from tidegate.sinks.window_files import WindowSink
 from tidegate.sources.store import InboxStore
@@ -78,8 +78,8 @@ def ordered_parts(rows: DataFrame, windows: DataFrame, config: InboxConfig) -> l
     parts = [(upsert_latest(by_window).select(*EVENT_COLUMNS), small)]
     if totals["large"]:
         large_rows = columns.join(F.broadcast(large.select("window_bucket")), "window_bucket", "left_semi")
-        spread = upsert_latest(large_rows).repartitionByRange(tasks(totals["large"]), *EVENT_KEY)
-        parts.append((spread.sortWithinPartitions(*EVENT_KEY).select(*EVENT_COLUMNS), large))
+        ordered = ordered_window(upsert_latest(large_rows), tasks(totals["large"]))
+        parts.append((ordered.select(*EVENT_COLUMNS), large))
     return parts
 
 

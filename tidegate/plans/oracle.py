@@ -170,20 +170,20 @@ ORACLE: dict[str, str] = {
     "payload_verbatim": N + f'SELECT "offset", {TEXT} AS payload FROM ok',
     "ingest_time": N
     + 'SELECT "offset", ingest_ms, (event_id * 37 + copy * 61) % 181 * 1000 AS delay_ms FROM ok',
-    "window_buckets": """SELECT event_id, epoch_us(ts) // 1000000 // 5 * 5 AS bucket_5,
+    "window_bucket": """SELECT event_id, epoch_us(ts) // 1000000 // 5 * 5 AS bucket_5,
       epoch_us(ts) // 1000000 // 7 * 7 AS bucket_7,
       epoch_us(ts) // 1000000 // 3600 * 3600 AS bucket_3600 FROM events""",
     "tumbling_window": """SELECT epoch_us(ts) // 1000000 // 5 * 5 AS window_bucket, count(*) AS events
       FROM events GROUP BY ALL""",
-    "seal_times": N + "SELECT DISTINCT window_bucket, window_bucket + 65 AS sealed_after FROM k",
-    "sink_lines": N + f"SELECT {LINE} FROM u",
-    "accepted_events": N
+    "seal_time": N + "SELECT DISTINCT window_bucket, window_bucket + 65 AS sealed_after FROM k",
+    "sink_json": N + f"SELECT {LINE} FROM u",
+    "valid_events": N
     + """SELECT 'cloud-events' AS topic, "partition", "offset", CAST(event_id AS VARCHAR) AS event_id FROM ok""",
-    "rejected_deliveries": LETTERS,
+    "dead_letters": LETTERS,
     "reject_reasons": N
     + f"SELECT {REASON} AS reason, count(*) AS deliveries FROM d WHERE kind IN (13, 29, 41, 53) GROUP BY ALL",
-    "blank_ids": "SELECT event_id, event_id % 4 <> 3 AS blank FROM events",
-    "lookup_most_redelivered": N
+    "blank_id": "SELECT event_id, event_id % 4 <> 3 AS blank FROM events",
+    "key_lookup": N
     + """SELECT window_bucket, event_ts_ms, event_id, CAST(1 AS BIGINT) AS stored_rows, copies
       FROM k ORDER BY copies DESC, window_bucket, event_ts_ms, event_id LIMIT 1""",
     "sealed_windows": N
@@ -215,8 +215,8 @@ ORACLE: dict[str, str] = {
       WHERE window_bucket IN (SELECT window_bucket FROM l)
         AND (window_bucket, event_ts_ms, CAST(event_id AS VARCHAR)) NOT IN
           (SELECT (window_bucket, event_ts_ms, event_id) FROM emitted)""",
-    "partition_lag": LAG + "SELECT * FROM lag",
-    "lag_totals": LAG
+    "offset_lag": LAG + "SELECT * FROM lag",
+    "lag_summary": LAG
     + """SELECT max(lag) AS largest_lag, CAST(sum(lag) AS BIGINT) AS total_lag,
       count(*) AS partitions, CAST(10000 AS BIGINT) AS max_lag FROM lag""",
     "window_counts": H
@@ -227,7 +227,7 @@ ORACLE: dict[str, str] = {
     + f"""SELECT 'primary' AS drain_id, max(window_bucket) AS last_bucket FROM l
       UNION ALL
       SELECT 'hourly', max({(NOW - 3660) // 3600 * 3600}::BIGINT) FROM k""",
-    "counters": COUNTERS + "(SELECT count(*) FROM ok WHERE late) AS late_arrival",
+    "ingest_counters": COUNTERS + "(SELECT count(*) FROM ok WHERE late) AS late_arrival",
     "throughput": N
     + """SELECT count(*) AS deliveries, (max(ingest_ms) - min(ingest_ms)) / 1000 AS elapsed_seconds,
       count(*) / ((max(ingest_ms) - min(ingest_ms)) / 1000) AS per_second FROM ok""",
@@ -240,11 +240,11 @@ ORACLE: dict[str, str] = {
     + f"""SELECT window_bucket, count(*) AS event_count,
       CAST(sum(strlen({TEXT})) AS BIGINT) AS payload_bytes,
       sum(strlen({TEXT})) > 8000 AS oversized FROM u GROUP BY ALL""",
-    "redeliveries": N
+    "dedup_stats": N
     + """SELECT CAST(sum(copies) AS BIGINT) AS deliveries, count(*) AS distinct_events,
       CAST(sum(copies - 1) AS BIGINT) AS redeliveries, max(copies) AS max_copies FROM k""",
-    "upsert_inbox": INBOX,
-    "ordered_windows": H
+    "upsert_latest": INBOX,
+    "ordered_window": H
     + """SELECT window_bucket, event_id,
       row_number() OVER (PARTITION BY window_bucket ORDER BY event_ts_ms, event_id) AS position FROM k""",
     "newest_windows": H
@@ -254,21 +254,21 @@ ORACLE: dict[str, str] = {
     "compacted_inbox": N + f"SELECT {KEYS} FROM u",
     "write_dead_letters": LETTERS,
     "drain_files": H + f"SELECT window_bucket, {LINE} FROM u",
-    "custom_sink": H + "SELECT window_bucket, operation, count(*) AS events FROM u GROUP BY ALL",
+    "pluggable_sink": H + "SELECT window_bucket, operation, count(*) AS events FROM u GROUP BY ALL",
     "record_progress": _drained(str(AFTER)).format(last="max(window_bucket)"),
-    "stream_ingest_inbox": INBOX,
+    "stream_ingest": INBOX,
     "stream_ingest_metrics": COUNTERS + "CAST(0 AS BIGINT) AS late_arrival",
     "drain_cycle": _drained(
         f"CASE WHEN span.window_bucket + 3660 <= {NOW} THEN {NOW} ELSE {AFTER} END"
     ).format(last=(AFTER - 3660) // 3600 * 3600),
-    "bootstrap_cursors": N
+    "bootstrap_cursor": N
     + _ledger(5, NOW)
     + """SELECT 'resume' AS rule, max(window_bucket) + 5 AS bucket FROM l
       UNION ALL SELECT 'latest', (max(ingest_ms) // 1000 - 65) // 5 * 5 FROM ok
       UNION ALL SELECT 'configured', min(window_bucket) FROM ok""",
-    "replayed_windows": H + f"SELECT {KEYS} FROM u WHERE window_bucket >= {NOW // 3600 * 3600}",
+    "replay_windows": H + f"SELECT {KEYS} FROM u WHERE window_bucket >= {NOW // 3600 * 3600}",
     "split_large_windows": H + f"SELECT {KEYS} FROM u",
-    "sealed_by_event_time": H
+    "seal_by_event_time": H
     + """SELECT window_bucket, count(*) AS deliveries FROM ok
       GROUP BY window_bucket
       HAVING (window_bucket + 3600) * 1000 <= (SELECT max(event_ts_ms) FROM ok) - 60000""",
