@@ -131,3 +131,13 @@ def test_stored_schema_is_what_is_read(spark, tmp_path):
     put(store, [(0, "a", 1)], "batch-0")
     assert store.accepted().schema.fieldNames() == STORED_FULL.fieldNames()
     assert isinstance(InboxStore(spark, store.root).config.window_seconds, int)
+
+
+def test_replayed_dead_letters_replace_themselves_across_hours(spark, tmp_path):
+    from tidegate.streaming.ingest import ingest_batch
+
+    store = make_store(spark, tmp_path)
+    batch = deliveries_of(spark, ["oops"], [T0 * 1000])
+    for hour in (0, 1, 2):
+        ingest_batch(store, batch, "batch-0", F.timestamp_seconds(F.lit(T0 + 3600 * hour)))
+    assert store.dead_letters().count() == 1

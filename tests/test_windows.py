@@ -99,6 +99,13 @@ def test_order_and_positions(spark):
 
 def test_size_estimate_and_config_checks():
     assert estimated_window_bytes(5) == 40_960_000
-    for bad in ({"window_seconds": 0}, {"allowed_lateness_seconds": -1}, {"bootstrap": "x"}, {"drain_id": "a/b"}, {"rows_per_file": 0}):
+    wrong = {
+        "window_seconds": 0,
+        "allowed_lateness_seconds": -1,
+        "bootstrap": "x",
+        "drain_id": "a/b",
+        "rows_per_file": 0,
+    }
+    for name, value in wrong.items():
         with pytest.raises(ValueError):
-            InboxConfig(**bad)
+            InboxConfig(**{name: value})

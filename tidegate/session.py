@@ -49,7 +49,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def spread(rows: DataFrame) -> DataFrame:
     """Deal the rows of too few input splits over all cores, ahead of costly per-row work.
 
-    Input that already has a split per core passes through without an exchange.
+    For a plain scan: it asks for the physical plan. Input that already has a
+    split per core passes through without an exchange.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

@@ -85,6 +85,8 @@ class InboxStore:
         each file in key order, which keeps Parquet statistics selective.
         """
         accepted = F.col("reason").isNull()
+        # Rejected deliveries go by their source time, which a replay repeats.
+        place = F.coalesce("window_bucket", F.unix_seconds("timestamp"), F.lit(0))
         event_columns = [
             F.when(accepted, F.col(c)).alias(c)
             for c in EVENT_COLUMNS
@@ -98,12 +100,11 @@ class InboxStore:
             "key",
             *ORIGIN_COLUMNS,
             "reason",
+            "timestamp",
         ).select(
             *STORED.fieldNames(),
             F.when(accepted, ACCEPTED).otherwise(REJECTED).alias("outcome"),
-            storage_bucket(
-                F.coalesce(F.col("window_bucket"), F.unix_seconds("ingest_time")), self.config
-            ).alias("storage_bucket"),
+            storage_bucket(place, self.config).alias("storage_bucket"),
             F.lit(segment).alias("segment"),
         )
         if self.config.rebalance_writes:

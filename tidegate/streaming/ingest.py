@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegate.functions.envelope import Parser, decode, envelope_parser
 from tidegate.operators.outcomes import REJECTED, counter_columns, dead_letters, with_ingest_time
 from tidegate.schema import METRICS
-from tidegate.session import spread
 from tidegate.sources.store import InboxStore
 
 QUERY_ID = "sql.streaming.queryId"
@@ -45,7 +44,7 @@ def ingest_batch(
     clock = F.current_timestamp() if ingest_time is None else ingest_time
     config = store.config
     cursor = store.last_drained(config.drain_id) or 0
-    decoded = decode(spread(deliveries), config.window_seconds, parser)
+    decoded = decode(deliveries, config.window_seconds, parser)
     decoded = with_ingest_time(decoded, clock)
     observation = Observation()
     observed = decoded.observe(observation, *counter_columns(cursor))
