@@ -89,6 +89,19 @@ def test_compaction_keeps_the_inbox_and_leaves_one_row_per_key(spark, tmp_path):
     assert len(list_dirs(spark, f"{store.deliveries_path}/outcome=accepted/storage_bucket={T0}")) == 2
 
 
+def test_compacted_folders_are_read_without_an_exchange(spark, tmp_path):
+    store = make_store(spark, tmp_path)
+    put(store, [(0, "a", 1), (0, "a", 2), (3600, "b", 3601)], "batch-0")
+    store.drop(store.compact())
+    physical = lambda: store.inbox()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in physical()
+    assert contents(store.inbox()) == [(0, "a", 2), (3600, "b", 3601)]
+    put(store, [(0, "a", 9), (1, "c", 9)], "batch-1")
+    assert physical().count("Exchange") == 1
+    assert contents(store.inbox()) == [(0, "a", 9), (0, "c", 9), (3600, "b", 3601)]
+    assert contents(store.inbox(T0 + 3600, T0 + 3605)) == [(3600, "b", 3601)]
+
+
 def test_expiry(spark, tmp_path):
     store = make_store(spark, tmp_path, inbox_ttl_seconds=100)
     put(store, [(0, "a", 10), (3600, "b", 20), (3600, "b", 200)], "batch-0")

@@ -251,7 +251,7 @@ ORACLE: dict[str, str] = {
     + """SELECT window_bucket, count(*) AS event_count, CAST(sum(copies) AS BIGINT) AS deliveries
       FROM k GROUP BY ALL ORDER BY window_bucket DESC LIMIT 10""",
     "write_inbox": INBOX,
-    "compacted_inbox": N + f"SELECT {KEYS} FROM u",
+    "compacted_inbox": INBOX,
     "write_dead_letters": LETTERS,
     "drain_files": H + f"SELECT window_bucket, {LINE} FROM u",
     "pluggable_sink": H + "SELECT window_bucket, operation, count(*) AS events FROM u GROUP BY ALL",

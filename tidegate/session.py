@@ -21,16 +21,18 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the one the cluster names, a temporary one only in local mode."""
-    folder = spark.sparkContext.getConf().get(CHECKPOINT_CONF) or spark.conf.get(
-        CHECKPOINT_CONF, None
+    context = spark.sparkContext
+    folder = (
+        spark.conf.get(CHECKPOINT_CONF, None)
+        or context.getConf().get(CHECKPOINT_CONF)
+        or context.getCheckpointDir()
     )
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tidegate-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidegate-"))
+    return context.getCheckpointDir()
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

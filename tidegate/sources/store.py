@@ -38,9 +38,17 @@ from tidegate.schema import (
     STORED_FULL,
     STORED_PARTITIONS,
 )
-from tidegate.session import cut_lineage, delete_dir, empty_table, exists, list_dirs
+from tidegate.session import (
+    configure,
+    cut_lineage,
+    delete_dir,
+    empty_table,
+    exists,
+    list_dirs,
+)
 
 
+COMPACT = "compact"
 MERGED = "merged"
 MAX_LEDGER_SEGMENTS = 64
 
@@ -58,12 +66,23 @@ def _replace_partitions(rows: DataFrame, columns: list[str], path: str) -> None:
     )
 
 
+def _between(rows: DataFrame, first: int | None, last: int | None) -> DataFrame:
+    if first is not None:
+        rows = rows.where(F.col("window_bucket") >= first)
+    if last is not None:
+        rows = rows.where(F.col("window_bucket") <= last)
+    return rows
+
+
 @dataclass(frozen=True)
 class InboxStore:
     spark: SparkSession
     root: str
     config: InboxConfig = field(default_factory=InboxConfig)
 
+    def __post_init__(self) -> None:
+        configure(self.spark)
+
     @property
     def deliveries_path(self) -> str:
         return f"{self.root}/deliveries"
@@ -128,7 +147,9 @@ class InboxStore:
 
     def read(self, outcome: str, first: int | None = None, last: int | None = None) -> DataFrame:
         """Stored deliveries of one outcome; only folders in the given span are listed."""
-        paths = self._folders(outcome, first, last)
+        return self._read_folders(self._folders(outcome, first, last))
+
+    def _read_folders(self, paths: list[str]) -> DataFrame:
         if not paths:
             return empty_table(self.spark, STORED_FULL)
         reader = self.spark.read.schema(STORED_FULL).option("basePath", self.deliveries_path)
@@ -136,12 +157,7 @@ class InboxStore:
 
     def accepted(self, first: int | None = None, last: int | None = None) -> DataFrame:
         """Every accepted write, optionally only of the windows ``first``..``last``."""
-        rows = self.read(ACCEPTED, first, last)
-        if first is not None:
-            rows = rows.where(F.col("window_bucket") >= first)
-        if last is not None:
-            rows = rows.where(F.col("window_bucket") <= last)
-        return rows
+        return _between(self.read(ACCEPTED, first, last), first, last)
 
     def live(self, now: Column, first: int | None = None, last: int | None = None) -> DataFrame:
         """Accepted writes still retained. Expiry follows the last write, so it commutes with the upsert."""
@@ -149,9 +165,24 @@ class InboxStore:
         return self.accepted(first, last).where(F.col("ingest_time") > F.timestamp_micros(oldest))
 
     def inbox(self, first: int | None = None, last: int | None = None) -> DataFrame:
-        """The upserted table: the last write of every key."""
-        rows = self.accepted(first, last).select(*EVENT_COLUMNS, *ORIGIN_COLUMNS)
-        return upsert_latest(rows).select(*EVENT_COLUMNS)
+        """The upserted table: the last write of every key.
+
+        A key never leaves its storage folder, and a folder holding nothing but
+        one compaction has each key once: those are read without an exchange.
+        """
+        merged, mixed = [], []
+        for folder in self._folders(ACCEPTED, first, last):
+            segments = list_dirs(self.spark, folder)
+            if len(segments) == 1 and segments[0].startswith(f"segment={COMPACT}"):
+                merged.append(f"{folder}/{segments[0]}")
+            else:
+                mixed.append(folder)
+        unique = _between(self._read_folders(merged), first, last).select(*EVENT_COLUMNS)
+        if not mixed:
+            return unique
+        rows = _between(self._read_folders(mixed), first, last)
+        latest = upsert_latest(rows.select(*EVENT_COLUMNS, *ORIGIN_COLUMNS)).select(*EVENT_COLUMNS)
+        return latest.unionByName(unique) if merged else latest
 
     def dead_letters(self) -> DataFrame:
         return self.read(REJECTED).select(
@@ -172,9 +203,8 @@ class InboxStore:
         old = [f"{f}/{s}" for f in folders for s in list_dirs(self.spark, f)]
         if not old:
             return []
-        segment = f"compact-{uuid.uuid4().hex}"
-        reader = self.spark.read.schema(STORED_FULL).option("basePath", self.deliveries_path)
-        rows = reader.parquet(*old)
+        segment = f"{COMPACT}-{uuid.uuid4().hex}"
+        rows = self._read_folders(old)
         files = max(1, -(-rows.count() // self.config.rows_per_file))
         latest = upsert_latest(rows).withColumn("segment", F.lit(segment))
         ordered = latest.repartitionByRange(files, "storage_bucket", *EVENT_KEY)
