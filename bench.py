@@ -15,11 +15,9 @@ REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 # Parse and split, upsert, windows, ledger, storage, drain, streaming.
 HEADLINE = [
     "parse_events",
-    "reject_reasons",
     "ingest_counters",
     "upsert_latest",
     "window_counts",
-    "dedup_stats",
     "latency_percentiles",
     "window_size_audit",
     "windows_gapfilled_narrow",

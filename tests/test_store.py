@@ -193,3 +193,33 @@ def test_shared_folder_is_the_configured_one(spark):
 def test_config(bad):
     with pytest.raises(ValueError):
         InboxConfig(**bad)
+
+
+def test_events_of_any_age_are_stored_found_and_drained(spark, tmp_path):
+    from tidegate.plans.drain import replay_windows
+    from tidegate.sinks.window_files import json_files
+
+    store = make_store(spark, tmp_path, inbox_ttl_seconds=10**10)
+    stamps = {
+        "0001-01-01T00:00:00Z": -62135596800,
+        "1800-06-01T12:00:03Z": -5351572797,
+        "1969-12-31T23:59:53Z": -7,
+        "1970-01-01T00:00:03Z": 3,
+        "9999-12-31T23:59:59Z": 253402300799,
+    }
+    values = [envelope(f"e{i}", stamp) for i, stamp in enumerate(stamps)]
+    ingest_batch(store, deliveries_of(spark, values, [T0 * 1000] * 5), "batch-0", F.col("timestamp"))
+    store.drop(store.compact())
+    buckets = {r.event_id: r.window_bucket for r in store.inbox().select("event_id", "window_bucket").collect()}
+    assert buckets == {f"e{i}": int(s / 5) * 5 for i, s in enumerate(stamps.values())}
+    for event_id, bucket in buckets.items():
+        found = store.inbox(bucket, bucket).select("event_id").collect()
+        assert [r.event_id for r in found] == [event_id]
+    out = str(tmp_path / "out")
+    for bucket in (-5, 0):
+        replay_windows(store, json_files(out), bucket, bucket, "old", T0, T0)
+    lines = spark.read.schema("eventId string, eventTs string").json(out).collect()
+    assert sorted((r.eventId, r.eventTs) for r in lines) == [
+        ("e2", "1969-12-31T23:59:53Z"),
+        ("e3", "1970-01-01T00:00:03Z"),
+    ]

@@ -17,7 +17,7 @@ DELIVERY = _struct(
 
 CORRUPT = "_corrupt"
 
-# Scalars are read as text and checked by expressions, because a JSON reader
+# Field names of the envelope. Scalars are read as text and checked by expressions, because a JSON reader
 # that casts them is either laxer or stricter than the envelope contract.
 ENVELOPE = _struct(
     specversion=STRING,

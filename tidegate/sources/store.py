@@ -138,12 +138,14 @@ class InboxStore:
         """Storage folders that can hold the windows ``first``..``last``."""
         base = f"{self.deliveries_path}/outcome={outcome}"
         size = self.config.storage_seconds
-        return [
-            f"{base}/{name}"
-            for name in list_dirs(self.spark, base)
-            if (first is None or int(name.split("=")[1]) > first - size)
-            and (last is None or int(name.split("=")[1]) <= last)
-        ]
+
+        def holds(name: str) -> bool:
+            # Folders count away from 1970, so the ones up to 0 also reach downwards.
+            start = int(name.split("=")[1])
+            lowest = start if start > 0 else start - size + 1
+            return (first is None or start + size > first) and (last is None or lowest <= last)
+
+        return [f"{base}/{name}" for name in list_dirs(self.spark, base) if holds(name)]
 
     def read(self, outcome: str, first: int | None = None, last: int | None = None) -> DataFrame:
         """Stored deliveries of one outcome; only folders in the given span are listed."""
