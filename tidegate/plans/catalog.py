@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -608,15 +609,13 @@ def replayed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("split_large_windows")
 def split_large_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every window treated as too large for one task still drains whole."""
-    store = _stored(spark, sf_dir, replace(HOURLY, rows_per_file=15))
-    rows = store.accepted()
+    """Windows above the average size are treated as too large for one task and still drain whole."""
+    rows = _inbox(spark, sf_dir, HOURLY)
     span = rows.agg(F.min("window_bucket").alias("a"), F.max("window_bucket").alias("b")).first()
-    ledger = cut_lineage(window_ledger(rows, span["a"], span["b"], store.config))
-    path = fresh_dir(spark, "parts")
-    for events, _ in ordered_parts(rows, ledger, store.config):
-        events.write.mode("append").parquet(path)
-    return _keys(spark.read.parquet(path))
+    ledger = cut_lineage(window_ledger(rows, span["a"], span["b"], HOURLY))
+    average = ledger.agg(F.ceil(F.avg("deliveries")).alias("rows")).first()["rows"]
+    parts = ordered_parts(rows, ledger, replace(HOURLY, rows_per_file=average))
+    return _keys(reduce(DataFrame.unionByName, [events for events, _ in parts]))
 
 
 @query("seal_by_event_time")
