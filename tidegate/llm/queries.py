@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidegate.llm.common import table
+from tidegate.llm.common import Scratch, table
+from tidegate.llm.decontamination import find_leaks
+from tidegate.llm.line_dedup import dedup_lines
 from tidegate.llm.packing import pack
+from tidegate.llm.quality_model import fit_on_labels, score_features
+from tidegate.llm.quality_rules import judge, trusted_sample
 from tidegate.llm.sharding import HashTree, assign_shards
 from tidegate.llm.token_files import read_token_files, write_token_files
 from tidegate.session import fresh_dir
@@ -35,9 +40,73 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), tree, tree.grow(region=0, rack=0))
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    return judge(table(spark, sf_dir, "documents"), trusted_sample(table(spark, sf_dir, "labels")))
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with at most one edit in ten characters."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), rate=0.1)
+
+
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as ids in flat files, read back from them."""
     folder = fresh_dir(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return read_token_files(spark, folder)
+
+
+def held_out(modulus: int, remainder: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
+
+
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels a quality model may learn from."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
+    return labels.where(~held_out(5, 0))
+
+
+@query
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and prediction of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model, found = fit_on_labels(docs, quality_labels(spark, sf_dir), Scratch(spark, "quality"))
+    return score_features(found, model).select(
+        "doc_id",
+        F.coalesce(held_out(5, 0), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten documents share."""
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+# The blanks of a line's ends and the capitals are the contract's; DuckDB strips by pattern.
+SQL["op10_line_dedup"] = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS nth
+    FROM documents
+), keyed AS (
+    SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), shared AS (
+    SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(shared.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (WHERE shared.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN shared USING (key)
+GROUP BY doc_id
+"""
