@@ -54,10 +54,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as ids in flat files, read back from them."""
-    folder = fresh_dir(spark, "token-files")
-    write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
-    return read_token_files(spark, folder)
+    """Every document as ids in flat files, read back from them. The vocabulary's ids fit into 16 bits."""
+    folder, vocabulary = fresh_dir(spark, "token-files"), public_tokenizers.path("word_bpe_49k.json")
+    write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary, end_id=2, width=2)
+    return read_token_files(spark, folder, width=2)
 
 
 def held_out(modulus: int, remainder: int):

@@ -62,7 +62,7 @@ def write_token_files(
     an empty table leaves an empty manifest; other columns are not read.
     """
     spark = docs.sparkSession
-    dtype = WIDTHS[width]
+    dtype, limit = WIDTHS[width], 1 << 8 * width
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, kind).encode
@@ -80,6 +80,8 @@ def write_token_files(
             for ids in encode(batch.column("text").to_pylist()):
                 files["off"].write(np.int64(ids_seen).astype("<i8").tobytes())
                 files["ids"].write(np.append(ids, end_id).astype(dtype).tobytes())
+                if len(ids) and ids.max() >= limit:
+                    raise ValueError(f"ids do not fit into {width} bytes")
                 ids_seen += len(ids) + 1
             docs_seen += batch.num_rows
         if files:
