@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.common import Scratch, table
 from tidegate.llm.decontamination import find_leaks
 from tidegate.llm.line_dedup import dedup_lines
+from tidegate.llm.near_dedup import near_duplicates
 from tidegate.llm.packing import pack
 from tidegate.llm.quality_model import fit_on_labels, score_features
 from tidegate.llm.quality_rules import judge, trusted_sample
@@ -110,3 +111,9 @@ SELECT doc_id, count(*) AS n_lines, count(shared.key) AS n_dropped,
 FROM keyed LEFT JOIN shared USING (key)
 GROUP BY doc_id
 """
+
+
+@query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near duplicates at 85 percent."""
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85, words=5)
