@@ -16,6 +16,7 @@ from tidegate.llm.packing import pack
 from tidegate.llm.quality_model import fit_on_labels, score_features
 from tidegate.llm.quality_rules import judge, trusted_sample
 from tidegate.llm.sharding import HashTree, assign_shards
+from tidegate.llm.suffix_dedup import remove_repeats
 from tidegate.llm.token_files import read_token_files, write_token_files
 from tidegate.session import fresh_dir
 
@@ -117,3 +118,10 @@ GROUP BY doc_id
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near duplicates at 85 percent."""
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85, words=5)
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings of earlier documents."""
+    found = remove_repeats(table(spark, sf_dir, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
