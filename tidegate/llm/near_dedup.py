@@ -58,17 +58,22 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingle_set(text: str | None, words: int, hasher: PieceHash) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles; of the whole sequence when it is shorter."""
+def word_hashes(text: str | None, hasher: PieceHash) -> np.ndarray:
+    """64-bit hash of each word, with ASCII letters folded, in order."""
     data = np.frombuffer((text or "").encode().lower(), np.uint8)
     if not len(data):
         return np.empty(0, np.uint64)
     solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
     step = np.diff(solid.astype(np.int8), prepend=0, append=0)
     start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    if not len(start):
-        return np.empty(0, np.uint64)
-    h = _mix(hasher.of(data, start, end) + (end - start).astype(np.uint64))
+    return _mix(hasher.of(data, start, end) + (end - start).astype(np.uint64))
+
+
+def shingle_set(text: str | None, words: int, hasher: PieceHash) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles; of the whole sequence when it is shorter."""
+    h = word_hashes(text, hasher)
+    if not len(h):
+        return h
     size = min(words, len(h))
     draw = np.random.default_rng(words).integers(1, 1 << 62, words, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     total = np.full(len(h) - size + 1, size, np.uint64)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.common import Scratch, table
 from tidegate.llm.decontamination import find_leaks
 from tidegate.llm.line_dedup import dedup_lines
+from tidegate.llm.lm_scoring import score_texts
 from tidegate.llm.near_dedup import near_duplicates
 from tidegate.llm.packing import pack
 from tidegate.llm.quality_model import fit_on_labels, score_features
@@ -125,3 +126,10 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 50-byte strings of earlier documents."""
     found = remove_repeats(table(spark, sf_dir, "documents"), length=50)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document under the attention model and under the unigram base."""
+    docs = table(spark, sf_dir, "documents")
+    return score_texts(docs, held_out(7, 2), public_tokenizers.path("word_bpe_49k.json"))
