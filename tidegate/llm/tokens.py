@@ -42,8 +42,9 @@ class PieceHash:
     """Hash of any byte range of a block by prefix sums: sum of value(byte) * base^position."""
 
     def __init__(self, length: int = 2 * BLOCK_BYTES, seed: int = 20240229) -> None:
+        self.seed = seed
         self.values = _byte_values(seed)
-        base = 0x9E3779B97F4A7C15 | 1
+        base = 0x9E3779B97F4A7C15
         self.power = self._powers(base, length)
         self.inverse = self._powers(pow(base, -1, 1 << 64), length)
 
@@ -55,7 +56,7 @@ class PieceHash:
 
     def grow(self, length: int) -> None:
         if length > len(self.power):
-            self.__init__(2 * length)
+            self.__init__(2 * length, self.seed)
 
     def of(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         self.grow(len(data) + 1)
