@@ -1,20 +1,79 @@
-"""A training corpus from ``documents``: stages that each read what the one before wrote."""
+"""A training corpus from ``documents``: five stages, each reading what the one before wrote.
+
+All but the last return the columns of ``documents``. A stage judges its own input: its
+decisions follow from the documents that reached it (and from ``labels`` and ``benchmark``).
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidegate.llm.common import Scratch, table
+from tidegate.llm.decontamination import without_leaks
+from tidegate.llm.line_dedup import dedup_lines
+from tidegate.llm.near_dedup import near_duplicates
+from tidegate.llm.packing import pack
+from tidegate.llm.quality_model import fit_on_labels, keep_good
+from tidegate.llm.queries import quality_labels
 from tidegate.session import fresh_dir
 
-STAGES: list = []
+#: Documents in which a line must occur to be removed from all of them.
+LINE_DOCS = 10
+#: Percent of common shingles from which documents count as near duplicates.
+SIMILARITY = 80
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    model, _ = fit_on_labels(docs, quality_labels(spark, sf_dir), Scratch(spark, "pipeline-quality"))
+    return keep_good(docs, model, threshold=0.3)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many of them share; ``n_chars`` follows the text."""
+    kept = dedup_lines(docs, min_docs=LINE_DOCS)
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        kept = kept.withColumn("n_chars", changed)
+    return kept.select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest doc_id."""
+    dropped = near_duplicates(docs, percent=SIMILARITY, words=5).where("not kept")
+    gone = dropped.select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"), rate=0.1)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all remaining documents in sequences of 2048 tokens."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, capacity=2048)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_copies", near_copies),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
-#: Word scoring, near duplicates and packing are beyond SQL; tests compare with brute force.
+#: The classifier, near duplicates and packing are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage; every stage is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         folder = fresh_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)

@@ -1,0 +1,46 @@
+"""The pipeline keeps clean documents, each stage judged on its own input; queries against the tables."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from tidegate.llm.queries import QUERIES, SQL
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_take_effect_and_keep_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, counts = docs.columns, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == columns, name
+        folder = corpus_pipeline.fresh_dir(spark, f"test-{name}")
+        out.write.parquet(folder)
+        docs = spark.read.parquet(folder)
+        counts.append(docs.count())
+    assert counts[0] > counts[1] == counts[2] > counts[3] >= counts[4] > counts[0] // 2
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert packed.select("doc_id").distinct().count() == counts[4]
+
+
+def test_run_gives_packed_pieces(spark):
+    rows = corpus_pipeline.run(spark, SF)
+    assert {"doc_id", "sequence_id", "offset", "length"} <= set(rows.columns) and rows.count() > 100
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, name):
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    cursor = duck.execute(SQL[name])
+    columns = [c[0] for c in cursor.description]
+    mine = QUERIES[name](spark, SF).select(*columns).collect()
+    assert sorted(map(tuple, mine)) == sorted(cursor.fetchall())
+
+
+def test_one_query_for_each_operator():
+    numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
+    assert numbers == list(range(1, 11))

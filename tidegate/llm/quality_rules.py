@@ -92,6 +92,8 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, buckets: int, smoothing:
     raw, target = [0] * buckets, [0] * buckets
     for r in counts:
         raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
+    if not any(target):
+        return [0] * buckets
     all_raw, all_target = sum(raw) + smoothing * buckets, sum(target) + smoothing * buckets
     return [
         round(UNIT * (math.log((t + smoothing) / all_target) - math.log((r + smoothing) / all_raw)))
@@ -114,7 +116,8 @@ def judge(
     repeated 5-word windows), kept (not base_failed and a mean ratio of at least the threshold) and
     ratio (null without words). Null text: no words, so base_failed. Repeated rows are
     judged alike, each for itself; a null doc_id is never trusted but judged; an empty table
-    gives no rows; with no trusted rows all ratios are near zero and rules alone decide. Other columns are not read.
+    gives no rows; with no trusted text all ratios are zero
+    and the rules alone decide. Other columns are not read.
     """
     ratios = bucket_ratios(docs, trusted, buckets)
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<int>")
