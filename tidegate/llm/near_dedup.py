@@ -7,7 +7,8 @@ rule two classes that agree on at least ``least`` coordinates meet under the fir
 share, which lies in both prefixes. Further agreement is counted on the two lists
 alone, skipping all that follows; survivors are confirmed on their full shingle sets.
 
-Groups of near copies never expand into all pairs. First every posting list is a star
+Groups of near copies never expand into all pairs. Candidates of which too few shingles
+occur in any other candidate are dropped, as no partner is possible. Then every posting list is a star
 around one member, a different one in each list; then only members outside a list's
 largest component are compared with the others, which loses no link between components.
 """
@@ -175,13 +176,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
         .where(F.size("shared") >= least)
         .select("node", F.col("shared.key").alias("keys"))
     )
-    nodes = scratch.save(nodes, "nodes")
-    prefixes = nodes.select("node", F.explode(F.slice("keys", F.lit(1), F.size("keys") - (least - 1))).alias("key"))
-    prefixes = scratch.save(prefixes, "prefixes")
-
+    nodes = scratch.save(nodes, "candidates")
     # Full sets of the classes that may have a partner, from one text of each.
     wanted = nodes.select("node").join(classes.select("node", "digest"), "node")
     sets = scratch.save(_sets(docs, found, wanted, words), "sets")
+    nodes = scratch.save(nodes.join(_supported(sets, percent), "node", "left_semi"), "nodes")
+    prefixes = nodes.select("node", F.explode(F.slice("keys", F.lit(1), F.size("keys") - (least - 1))).alias("key"))
+    prefixes = scratch.save(prefixes, "prefixes")
 
     star = prefixes.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("b"), F.count(F.lit(1)).alias("n"))
     star = prefixes.join(star.where("n > 1"), "key").where("node <> b")
@@ -231,6 +232,29 @@ def _sets(docs: DataFrame, found: DataFrame, wanted: DataFrame, words: int) -> D
     return sets.groupBy("node").agg(F.first("hashes").alias("hashes"))
 
 
+def _supported(sets: DataFrame, percent: int) -> DataFrame:
+    """The classes (node) of which enough shingles occur in another candidate as well.
+
+    A partner must hold ``percent`` of a class's shingles, so a class with more shingles of
+    its own has none. This takes most members of a family of loosely similar texts out before any pair is made.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in doc_batches(batches, 256):
+            hashes = [np.frombuffer(raw, np.int64) for raw in batch.column("hashes").to_pylist()]
+            sizes = [len(h) for h in hashes]
+            nodes = np.repeat(batch.column("node").to_numpy(), sizes)
+            yield pa.RecordBatch.from_arrays(
+                [longs(nodes), longs(np.repeat(sizes, sizes)), longs(np.concatenate(hashes))],
+                names=["node", "size", "hash"],
+            )
+
+    each = sets.mapInArrow(rows, "node long, size long, hash long")
+    shared = each.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    held = each.join(shared, "hash").groupBy("node", "size").agg(F.count(F.lit(1)).alias("n"))
+    return held.where(100 * F.col("n") >= percent * F.col("size")).select("node")
+
+
 def _across(prefixes: DataFrame, labelled: DataFrame, least: int) -> DataFrame:
     """Pairs of different components that agree on enough coordinates.
 
