@@ -142,7 +142,7 @@ def test_near_duplicates_hard_tables(spark):
 
 def test_agreement_bound_leaves_few_out():
     for percent in (50, 80, 85):
-        p, least = percent / 100, least_agreement(percent)
+        p, least = percent / 100, least_agreement(percent / 100)
         miss = sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(least))
         assert miss <= near_dedup.MISS < miss + math.comb(64, least) * p**least * (1 - p) ** (64 - least)
 

@@ -4,8 +4,8 @@ Documents with equal shingle sets are one class. Each class posts itself under i
 coordinate-value pairs. Values that one class alone has can match nothing; a class with too
 few others is done. The rest order their values from rare to frequent, and by the prefix
 rule two classes that agree on at least ``least`` coordinates meet under the first value they
-share, which lies in both prefixes. Further agreement is counted on the two lists
-alone, skipping all that follows; survivors are confirmed on their full shingle sets.
+share, which lies in both prefixes. Further agreement is counted on the two lists and on
+one-bit coordinates; survivors are confirmed on their full shingle sets.
 
 Groups of near copies never expand into all pairs. Candidates of which too few shingles
 occur in any other candidate are dropped, as no partner is possible. Then every posting list is a star
@@ -17,11 +17,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,8 @@ from tidegate.llm.components import components
 from tidegate.llm.tokens import PieceHash, worker_value
 
 COORDINATES = 64
+#: Further coordinates of which candidates keep one bit each, for a sharper count of agreements.
+BITS = 2048
 #: Chance that a pair at the threshold agrees on fewer coordinates than asked for.
 MISS = 1e-6
 BLOCK = 1 << 14
@@ -44,11 +47,14 @@ SKETCH_SCHEMA = T.StructType(
 )
 
 
-def least_agreement(percent: int, coordinates: int = COORDINATES) -> int:
-    """Largest count that a pair at the threshold reaches but for a chance of MISS."""
-    p, below = percent / 100, 0.0
+def least_agreement(chance: float, coordinates: int = COORDINATES) -> int:
+    """Largest count that a pair with this chance to agree on a coordinate reaches but for a chance of MISS."""
+    if chance >= 1:
+        return coordinates
+    below = 0.0
     for count in range(coordinates + 1):
-        below += math.comb(coordinates, count) * p**count * (1 - p) ** (coordinates - count)
+        ways = math.lgamma(coordinates + 1) - math.lgamma(count + 1) - math.lgamma(coordinates - count + 1)
+        below += math.exp(ways + count * math.log(chance) + (coordinates - count) * math.log1p(-chance))
         if below > MISS:
             return max(1, count)
     return coordinates
@@ -92,6 +98,21 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(32)).astype("<u4")
 
 
+def bits(hashes: np.ndarray) -> np.ndarray:
+    """One bit of the smallest hash under each of BITS multiplications, in 64-bit words."""
+    factors = np.random.default_rng(1).integers(1, 1 << 62, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    out = np.full(BITS, ~np.uint64(0))
+    for i in range(0, len(hashes), 256):
+        np.minimum(out, (factors[:, None] * hashes[None, i : i + 256]).min(axis=1), out=out)
+    return np.packbits(_mix(out) >> np.uint64(63) == 1).view(np.int64)
+
+
+def _agree(a: str, b: str, least: int) -> Column:
+    """Whether two columns of bits agree on at least ``least`` of them."""
+    words = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITS // 64)]
+    return reduce(Column.__add__, words) <= BITS - least
+
+
 def _hasher() -> PieceHash:
     return worker_value("shingles", lambda: PieceHash(1 << 18, 5))
 
@@ -157,7 +178,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
-    least = least_agreement(percent)
+    least = least_agreement(percent / 100)
+    # Bits of unequal coordinates are equal half of the time.
+    least_bits = least_agreement((1 + percent / 100) / 2, BITS)
     found = scratch.save(sketches(docs, words), "sketches")
     classes = (
         found.where("n_shingles > 0")
@@ -180,22 +203,23 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
     # Full sets of the classes that may have a partner, from one text of each.
     wanted = nodes.select("node").join(classes.select("node", "digest"), "node")
     sets = scratch.save(_sets(docs, found, wanted, words), "sets")
-    nodes = scratch.save(nodes.join(_supported(sets, percent), "node", "left_semi"), "nodes")
+    nodes = nodes.join(_supported(sets, percent), "node", "left_semi").join(sets.select("node", "bits"), "node")
+    nodes = scratch.save(nodes, "nodes")
     prefixes = nodes.select("node", F.explode(F.slice("keys", F.lit(1), F.size("keys") - (least - 1))).alias("key"))
     prefixes = scratch.save(prefixes, "prefixes")
 
     star = prefixes.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("b"), F.count(F.lit(1)).alias("n"))
     star = prefixes.join(star.where("n > 1"), "key").where("node <> b")
     pairs = star.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    keys_a = nodes.select(F.col("node").alias("a"), F.col("keys").alias("ka"))
-    keys_b = nodes.select(F.col("node").alias("b"), F.col("keys").alias("kb"))
-    pairs = pairs.join(keys_a, "a").join(keys_b, "b").where(F.size(F.array_intersect("ka", "kb")) >= least)
+    bits_a = nodes.select(F.col("node").alias("a"), F.col("bits").alias("ba"))
+    bits_b = nodes.select(F.col("node").alias("b"), F.col("bits").alias("bb"))
+    pairs = pairs.join(bits_a, "a").join(bits_b, "b").where(_agree("ba", "bb", least_bits))
     links = scratch.save(_confirmed(pairs, sets, percent), "links")
 
     labels = components(links, scratch, "first")
-    labelled = nodes.join(labels, "node", "left").select("node", "keys", F.coalesce("component", "node").alias("component"))
+    labelled = nodes.join(labels, "node", "left").select("node", "keys", "bits", F.coalesce("component", "node").alias("component"))
     labelled = scratch.save(labelled, "labelled")
-    more = scratch.save(_confirmed(_across(prefixes, labelled, least), sets, percent), "more")
+    more = scratch.save(_confirmed(_across(prefixes, labelled, least, least_bits), sets, percent), "more")
     labels = components(links.union(more), scratch, "second")
 
     own = classes.join(labels, "node", "left").select(
@@ -224,12 +248,15 @@ def _sets(docs: DataFrame, found: DataFrame, wanted: DataFrame, words: int) -> D
             sets = [shingle_set(t, words, hasher) for t in batch.column("text").to_pylist()]
             # Rows that share a doc_id may hold other texts.
             fits = [xxhash.xxh3_128_digest(s.tobytes()) == d for s, d in zip(sets, digests, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "hashes"]
-            ).filter(pa.array(fits, pa.bool_()))
+            columns = [
+                batch.column("node"),
+                pa.array([s.tobytes() for s in sets], pa.binary()),
+                pa.array([bits(s) for s in sets], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "hashes", "bits"]).filter(pa.array(fits, pa.bool_()))
 
-    sets = joined.select("node", "digest", "text").mapInArrow(rows, "node long, hashes binary")
-    return sets.groupBy("node").agg(F.first("hashes").alias("hashes"))
+    sets = joined.select("node", "digest", "text").mapInArrow(rows, "node long, hashes binary, bits array<long>")
+    return sets.groupBy("node").agg(F.first("hashes").alias("hashes"), F.first("bits").alias("bits"))
 
 
 def _supported(sets: DataFrame, percent: int) -> DataFrame:
@@ -255,7 +282,7 @@ def _supported(sets: DataFrame, percent: int) -> DataFrame:
     return held.where(100 * F.col("n") >= percent * F.col("size")).select("node")
 
 
-def _across(prefixes: DataFrame, labelled: DataFrame, least: int) -> DataFrame:
+def _across(prefixes: DataFrame, labelled: DataFrame, least: int, least_bits: int) -> DataFrame:
     """Pairs of different components that agree on enough coordinates.
 
     In each posting list the members outside its largest component are the few; each pair
@@ -269,13 +296,18 @@ def _across(prefixes: DataFrame, labelled: DataFrame, least: int) -> DataFrame:
     )
     open_ = posts.join(largest.where("components > 1"), "key")
     few = open_.where("component <> largest").select(
-        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("keys").alias("ka")
+        "key",
+        F.col("node").alias("a"),
+        F.col("component").alias("ca"),
+        F.col("keys").alias("ka"),
+        F.col("bits").alias("ba"),
     )
     every = open_.select(
         "key",
         F.col("node").alias("b"),
         F.col("component").alias("cb"),
         F.col("keys").alias("kb"),
+        F.col("bits").alias("bb"),
         (F.col("component") == F.col("largest")).alias("many"),
     )
     shared = F.array_intersect("ka", "kb")
@@ -283,6 +315,7 @@ def _across(prefixes: DataFrame, labelled: DataFrame, least: int) -> DataFrame:
         few.join(every, "key")
         .where(F.col("ca") != F.col("cb"))
         .where(F.col("many") | (F.col("a") < F.col("b")))
+        .where(_agree("ba", "bb", least_bits))
         .where((F.size(shared) >= least) & (F.get(shared, F.lit(0)) == F.col("key")))
         .select("a", "b")
     )
