@@ -41,10 +41,15 @@ def doc_lines(text: str | None) -> list[bytes]:
 
 def probes(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     """Positions of hashes in a filter of a power of two of bits."""
+    return positions(hashes, np.uint64(64 - bits.bit_length() + 1))
+
+
+def positions(hashes: np.ndarray, shift) -> Iterator[np.ndarray]:
+    """The digits above ``shift`` (of each hash its own, if an array) of PROBES products of each hash."""
     step = (hashes >> np.uint64(32)) | np.uint64(1)
     for i in range(PROBES):
         mixed = (hashes + np.uint64(i) * step) * np.uint64(0x9E3779B97F4A7C15)
-        yield (mixed >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+        yield (mixed >> shift).astype(np.int64)
 
 
 class Seen:
