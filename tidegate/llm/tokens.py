@@ -16,9 +16,9 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 
 #: Bytes of text handled at once; longer texts are cut between pieces.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Pieces one worker keeps; beyond it the table starts anew.
-MOST_KEPT = 3_000_000
+MOST_KEPT = 1_500_000
 #: Words given to the library in one call.
 WORDS_A_CALL = 256
 
@@ -125,7 +125,7 @@ class Encoder:
     def _empty(self) -> None:
         self.known = np.empty(0, np.uint64)
         self.at = np.empty(0, np.int64)
-        self.length = np.empty(0, np.int64)
+        self.length = np.empty(0, np.int32)
         self.ids = np.empty(0, np.uint32)
 
     def _learn(self, before: np.ndarray, hashes: np.ndarray, pieces: list[bytes]) -> None:
@@ -141,7 +141,7 @@ class Encoder:
         self.ids = np.concatenate([self.ids, *ids])
         self.known = np.insert(self.known, before, hashes)
         self.at = np.insert(self.at, before, at)
-        self.length = np.insert(self.length, before, length)
+        self.length = np.insert(self.length, before, length.astype(np.int32))
 
     def block(self, data: bytes, doc_start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of consecutive texts in one buffer and, per text, the number of its ids."""
@@ -162,7 +162,7 @@ class Encoder:
             spans = zip(start[where].tolist(), end[where].tolist(), strict=True)
             self._learn(at[new], unique[new], [data[a:b] for a, b in spans])
             at = np.searchsorted(self.known, unique)
-        length = self.length[at][which]
+        length = self.length[at][which].astype(np.int64)
         total = np.cumsum(length)
         source = np.repeat(self.at[at][which] - (total - length), length) + np.arange(total[-1] if len(total) else 0)
         before = np.append(0, total)
