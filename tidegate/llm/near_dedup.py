@@ -60,7 +60,7 @@ def least_agreement(chance: float, coordinates: int = COORDINATES) -> int:
     return coordinates
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
+def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return h ^ (h >> np.uint64(29))
 
@@ -73,7 +73,7 @@ def word_hashes(text: str | None, hasher: PieceHash) -> np.ndarray:
     solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
     step = np.diff(solid.astype(np.int8), prepend=0, append=0)
     start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    return _mix(hasher.of(data, start, end) + (end - start).astype(np.uint64))
+    return mix(hasher.of(data, start, end) + (end - start).astype(np.uint64))
 
 
 def shingle_set(text: str | None, words: int, hasher: PieceHash) -> np.ndarray:
@@ -86,7 +86,7 @@ def shingle_set(text: str | None, words: int, hasher: PieceHash) -> np.ndarray:
     total = np.full(len(h) - size + 1, size, np.uint64)
     for i in range(size):
         total += h[i : len(h) - size + 1 + i] * draw[i]
-    return np.unique(_mix(total))
+    return np.unique(mix(total))
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
@@ -104,7 +104,7 @@ def bits(hashes: np.ndarray) -> np.ndarray:
     out = np.full(BITS, ~np.uint64(0))
     for i in range(0, len(hashes), 256):
         np.minimum(out, (factors[:, None] * hashes[None, i : i + 256]).min(axis=1), out=out)
-    return np.packbits(_mix(out) >> np.uint64(63) == 1).view(np.int64)
+    return np.packbits(mix(out) >> np.uint64(63) == 1).view(np.int64)
 
 
 def _agree(a: str, b: str, least: int) -> Column:
