@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_store import T0, iso, make_store, put
 
 from tidegate.config import CONFIGURED
-from tidegate.plans.drain import drain, ordered_parts, replay_windows, window_ledger
+from tidegate.plans.drain import drain, ordered_events, replay_windows, window_ledger
 from tidegate.sinks.window_files import LINE_NAMES, json_files, parquet_files
 from tidegate.sources.store import InboxStore
 
@@ -20,7 +20,7 @@ def ledger_of(store):
 
 
 def window_lines(path, bucket, drain_id="primary"):
-    folder = Path(path) / f"drain_id={drain_id}" / f"window_bucket={bucket}"
+    folder = Path(path) / f"drain_id={drain_id}" / f"day={bucket // 86400 * 86400}" / f"window_bucket={bucket}"
     files = sorted(folder.glob("part-*"))
     return [json.loads(line) for f in files for line in f.read_text().splitlines()]
 
@@ -92,18 +92,83 @@ def test_redrained_window_that_is_empty_now_loses_its_files(spark, tmp_path):
     sink = parquet_files(out)
     replay_windows(store, sink, T0, T0 + 5, "again", T0 + 50, T0 + 50)
     folder = Path(out) / "drain_id=again"
-    assert len(list(folder.glob("window_bucket=*"))) == 2
+    assert len(list(folder.glob("*/window_bucket=*"))) == 2
     replay_windows(store, sink, T0, T0 + 5, "again", T0 + 150, T0 + 150)
-    assert [p.name for p in folder.glob("window_bucket=*")] == [f"window_bucket={T0 + 5}"]
+    assert [p.name for p in folder.glob("*/window_bucket=*")] == [f"window_bucket={T0 + 5}"]
 
 
 def test_bounded_runs_cover_a_long_backlog(spark, tmp_path):
     store = make_store(spark, tmp_path, max_windows_per_run=4, **CONFIG)
     put(store, [(s, f"id{s}", s) for s in range(0, 50, 3)], "b0")
     sink = parquet_files(str(tmp_path / "out"))
-    runs = [drain(store, sink, T0 + 60, T0 + 60).windows for _ in range(4)]
-    assert runs == [4, 4, 2, 0]
+    calls = []
+
+    def counted(events, windows, drain_id):
+        calls.append(windows.count())
+        sink(events, windows, drain_id)
+
+    run = drain(store, counted, T0 + 60, T0 + 60)
+    assert (calls, run.windows, run.events, run.first, run.last) == ([4, 4, 2], 10, 17, T0, T0 + 45)
     assert sum(ledger_of(store).values()) == 17
+    assert drain(store, counted, T0 + 60, T0 + 60).windows == 0
+
+
+def test_a_failing_run_keeps_the_ledger_of_earlier_ones(spark, tmp_path):
+    store = make_store(spark, tmp_path, max_windows_per_run=2, **CONFIG)
+    put(store, [(s, f"id{s}", s) for s in range(20)], "b0")
+    sink, calls = parquet_files(str(tmp_path / "out")), []
+
+    def second_breaks(events, windows, drain_id):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("sink is down")
+        sink(events, windows, drain_id)
+
+    with pytest.raises(OSError, match="sink is down"):
+        drain(store, second_breaks, T0 + 30, T0 + 30)
+    assert ledger_of(store) == {0: 5, 5: 5}
+    run = drain(store, sink, T0 + 30, T0 + 31)
+    assert (run.first, run.last) == (T0 + 10, T0 + 15)
+
+
+def test_windows_of_any_size_come_in_ascending_order(spark, tmp_path):
+    store = make_store(spark, tmp_path, rows_per_file=10, **CONFIG)
+    put(store, [(i % 5, f"id{i}", 9) for i in range(40)] + [(11, "one", 12)], "b0")
+    met = []
+
+    def watch(events, windows, drain_id):
+        met.append([r.window_bucket - T0 for r in events.select("window_bucket").toLocalIterator()])
+
+    drain(store, watch, T0 + 30, T0 + 30)
+    assert met == [[0] * 40 + [10]]
+
+
+def test_late_output_compares_keys_not_counts(spark, tmp_path):
+    from tidegate.operators.progress import drain_reconcile, late_side_output
+
+    store = make_store(spark, tmp_path, **CONFIG)
+    put(store, [(0, "a", 1), (1, "b", 1)], "b0")
+    out = str(tmp_path / "out")
+    drain(store, parquet_files(out), T0 + 15, T0 + 15)
+    emitted = spark.read.parquet(f"{out}/drain_id=primary")
+    put(store, [(0, "a", 1), (2, "z", 20), (7, "open", 20)], "b1")
+    now = store.accepted().where("event_id <> 'b'")
+    late = late_side_output(now, emitted, store.progress(), "primary")
+    assert [r.event_id for r in late.collect()] == ["z"]
+    lost = drain_reconcile(now.where("event_id = 'open'"), store.progress(), "primary")
+    rows = sorted((r.window_bucket - T0, r.recorded, r.actual, r.late_rows) for r in lost.collect())
+    assert rows == [(0, 2, 0, -2), (5, None, 1, None)]
+    assert late._jdf.queryExecution().optimizedPlan().toString().count("outcome") <= 2 * late.count() + 2
+
+
+def test_a_second_record_within_a_second_wins(spark, tmp_path):
+    store = make_store(spark, tmp_path, **CONFIG)
+    put(store, [(0, "a", 1), (1, "b", 2)], "b0")
+    sink = parquet_files(str(tmp_path / "out"))
+    replay_windows(store, sink, T0, T0, "again", T0 + 50, T0 + 50)
+    short = InboxStore(spark, store.root, type(store.config)(inbox_ttl_seconds=48, **CONFIG))
+    replay_windows(short, sink, T0, T0, "again", T0 + 50, T0 + 50)
+    assert [r.event_count for r in store.progress().collect()] == [0]
 
 
 def test_replay_uses_its_own_identity(spark, tmp_path):
@@ -114,7 +179,7 @@ def test_replay_uses_its_own_identity(spark, tmp_path):
     runs = replay_windows(store, json_files(out), T0 + 6, T0 + 90, "replay", T0 + 30, T0 + 31)
     assert [(r.first - T0, r.last - T0) for r in runs] == [(5, 10), (15, 15)]
     assert len(window_lines(out, T0 + 5, "replay")) == 5
-    assert (store.last_drained("primary"), store.last_drained("replay")) == (T0 + 5, T0 + 15)
+    assert (store.last_drained("primary"), store.last_drained("replay")) == (T0 + 15, T0 + 15)
 
 
 def test_forgotten_windows_drain_again(spark, tmp_path):
@@ -143,7 +208,7 @@ def test_large_window_spreads_over_ordered_files(spark, tmp_path):
     out = str(tmp_path / "out")
     run = drain(store, json_files(out), T0 + 20, T0 + 20)
     assert run.events == 151
-    files = list((Path(out) / "drain_id=primary" / f"window_bucket={T0}").glob("part-*"))
+    files = list((Path(out) / "drain_id=primary").glob(f"day=*/window_bucket={T0}/part-*"))
     assert len(files) > 3
     got = [(x["eventTs"], x["eventId"]) for x in window_lines(out, T0)]
     assert got == sorted(got) and len(got) == 150
@@ -156,8 +221,7 @@ def test_hot_key_does_not_make_a_window_hot_for_long(spark, tmp_path):
     ledger = window_ledger(store.accepted(), T0, T0, store.config)
     row = ledger.first()
     assert (row.event_count, row.deliveries) == (2, 101)
-    parts = ordered_parts(store.accepted(), ledger, store.config)
-    rows = [r for events, _ in parts for r in events.collect()]
+    rows = ordered_events(store.accepted(), row.deliveries, store.config).collect()
     assert sorted((r.event_id, int(r.ingest_time.timestamp()) - T0) for r in rows) == [("b", 1), ("hot", 99)]
 
 

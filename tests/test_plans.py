@@ -8,10 +8,11 @@ from pathlib import Path
 from pyspark.sql import functions as F
 from test_store import T0, make_store, put
 
+from tidegate.config import InboxConfig
 from tidegate.operators.latest import upsert_latest
-from tidegate.operators.window_queries import window_counts, window_size_audit
+from tidegate.operators.window_queries import drain_position, window_counts, window_size_audit
 from tidegate.plans.catalog import _decoded, _events
-from tidegate.plans.drain import ordered_parts, window_ledger
+from tidegate.plans.drain import ordered_events
 from tidegate.session import spread
 
 SF = "/root/testdata/sf0.001"
@@ -55,13 +56,31 @@ def test_retention_filter_reaches_the_scan(spark, tmp_path):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(ingest_time", text)
 
 
-def test_drain_of_ordinary_windows_is_one_exchange_and_one_sort(spark, tmp_path):
-    store = stored(spark, tmp_path)
-    windows = window_ledger(store.accepted(), T0, T0 + 25, store.config)
-    ((events, _),) = ordered_parts(store.accepted(), windows, store.config)
-    text = plan(events)
-    assert text.count("Exchange ") == 1 and text.count("Sort ") == 1
-    assert "hashpartitioning(window_bucket" in text
+def test_drain_is_one_upsert_and_one_ordered_exchange(spark, tmp_path):
+    text = plan(ordered_events(stored(spark, tmp_path).accepted(), 30, InboxConfig()))
+    assert text.count("Exchange hashpartitioning(window_bucket") == 1
+    assert text.count("Exchange ") == 2 and "rangepartitioning(window_bucket" in text or "SinglePartition" in text
+    assert "WindowGroupLimit" in text.split("Exchange hashpartitioning")[1]
+
+
+def test_percentiles_parse_the_text_once(spark):
+    from tidegate.plans.catalog import CATALOG
+
+    assert "from_json" not in plan(CATALOG["latency_percentiles"](spark, SF))
+    assert "from_json" not in plan(CATALOG["windows_gapfilled_narrow"](spark, SF))
+
+
+def test_lookups_and_replays_read_only_their_folders(spark):
+    from tidegate.plans.catalog import CATALOG
+
+    for name in ("key_lookup", "replay_range"):
+        folders = {re.search(r"storage_bucket=(\d+)", f).group(1) for f in CATALOG[name](spark, SF).inputFiles()}
+        assert 1 <= len(folders) <= (1 if name == "key_lookup" else 17)
+
+
+def test_positions_do_not_gather_a_window(spark, tmp_path):
+    text = plan(drain_position(stored(spark, tmp_path).accepted().select("window_bucket", "event_ts", "event_id")))
+    assert "partitionBy" not in text and not re.search(r"Window \[row_number", text)
 
 
 def test_text_is_parsed_once_even_behind_a_filter(spark):

@@ -15,7 +15,8 @@ T0 = 1_784_196_000
 
 
 def make_store(spark, tmp_path, **config):
-    return InboxStore(spark, str(tmp_path / "inbox"), InboxConfig(**config))
+    # The instants are fixed: a test that is not about retention must not meet it.
+    return InboxStore(spark, str(tmp_path / "inbox"), InboxConfig(**{"inbox_ttl_seconds": 10**10, **config}))
 
 
 def put(store, rows, segment, first_offset=0):
@@ -110,7 +111,66 @@ def test_expiry(spark, tmp_path):
     assert store.live(now(110)).count() == 2
     assert store.expire(T0 + 110) == []
     assert store.expire(T0 + 111) == [T0]
-    assert contents(store.inbox()) == [(3600, "b", 200)]
+    assert contents(store.inbox(now=now(150))) == [(3600, "b", 200)]
+
+
+def test_reads_hide_expired_rows_of_shared_folders(spark, tmp_path):
+    store = make_store(spark, tmp_path, inbox_ttl_seconds=60)
+    put(store, [(0, "old", 1), (1, "new", 100)], "batch-0")
+    now = F.timestamp_seconds(F.lit(T0 + 110))
+    assert contents(store.inbox(now=now)) == [(0, "new", 100)]
+    store.drop(store.compact())
+    assert contents(store.inbox(now=now)) == [(0, "new", 100)]
+    store.register_views()
+    assert spark.table("inbox").count() == store.inbox().count()
+
+
+def test_a_write_during_expiry_survives(spark, tmp_path, monkeypatch):
+    store = make_store(spark, tmp_path, inbox_ttl_seconds=100)
+    put(store, [(0, "a", 10)], "batch-0")
+    plain = InboxStore._read_folders
+
+    def read_then_write(self, paths):
+        rows = plain(self, paths)
+        if any("outcome=accepted" in p for p in paths):
+            monkeypatch.setattr(InboxStore, "_read_folders", plain)
+            put(store, [(1, "late", 300)], "batch-1")
+        return rows
+
+    monkeypatch.setattr(InboxStore, "_read_folders", read_then_write)
+    assert store.expire(T0 + 301) == [T0]
+    assert contents(store.inbox(now=F.timestamp_seconds(F.lit(T0 + 301)))) == [(0, "late", 300)]
+
+
+def test_old_counters_are_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidegate.sources.store.MAX_LEDGER_SEGMENTS", 2)
+    store = make_store(spark, tmp_path)
+    for i in range(4):
+        put(store, [(i, f"id{i}", i + 1)], f"batch-{i}")
+    store.expire(T0)
+    assert len(list_dirs(spark, store.metrics_path)) == 1
+    assert store.metrics().agg(F.sum("success")).first()[0] == 4
+
+
+def test_files_of_a_batch_do_not_follow_its_tasks(spark, tmp_path):
+    store = make_store(spark, tmp_path)
+    values = [envelope(f"e{i}", iso(T0 + i)) for i in range(64)] + ["bad"]
+    ingest_batch(store, deliveries_of(spark, values).repartition(16), "batch-0", F.col("timestamp"))
+    assert len(store.accepted().inputFiles()) + len(store.read("rejected").inputFiles()) <= 3
+
+
+def test_dead_letter_sink_reads_its_own_segment_only(spark, tmp_path, monkeypatch):
+    store = make_store(spark, tmp_path)
+    for i in range(3):
+        put(store, [(i, f"id{i}", i)], f"old-{i}")
+        ingest_batch(store, deliveries_of(spark, ["bad"], [T0 * 1000]), f"older-{i}", F.col("timestamp"))
+    listed, got = [], []
+    monkeypatch.setattr("tidegate.sources.store.list_dirs", lambda s, p: listed.append(p) or list_dirs(s, p))
+    letters = lambda df: got.extend(df.collect())
+    batch = deliveries_of(spark, ["worse", envelope("a", iso(T0))], [T0 * 1000] * 2)
+    ingest_batch(store, batch, "now", F.col("timestamp"), dead_letter_sink=letters)
+    assert [r.value for r in got] == ["worse"]
+    assert not any("storage_bucket" in p for p in listed)
 
 
 def test_empty_store_has_typed_empty_tables(spark, tmp_path):

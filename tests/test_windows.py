@@ -16,7 +16,6 @@ from tidegate.functions.windows import (
 from tidegate.operators.window_queries import (
     GAP_FAN_OUT,
     drain_position,
-    estimated_window_bytes,
     ordered_window,
     window_range,
     windows_gapfilled,
@@ -98,7 +97,6 @@ def test_order_and_positions(spark):
 
 
 def test_size_estimate_and_config_checks():
-    assert estimated_window_bytes(5) == 40_960_000
     wrong = {
         "window_seconds": 0,
         "allowed_lateness_seconds": -1,

@@ -12,12 +12,13 @@ CONFIGURED = "CONFIGURED"
 class InboxConfig:
     """Validated inbox settings; every duration is in whole seconds.
 
-    ``rows_per_file`` is the size at which one window stops being the work of a
-    single task and is range-split over several ordered part files.
+    ``rows_per_file`` is the number of deliveries of one task of a drain or compaction,
+    so the size at which a window spreads over several ordered part files.
     ``storage_seconds`` is the span of one storage folder; choose it so that a
     folder holds at least some hundred megabytes. ``rebalance_writes`` spends one
-    exchange per micro-batch on evenly sized files, for batches that are small
-    against the number of source partitions.
+    exchange per micro-batch on evenly sized files; without it every task writes a
+    file per folder it meets. ``max_windows_per_run`` bounds one run of a drain, not
+    the drain: runs follow each other until nothing sealed is left.
     """
 
     window_seconds: int = 5
@@ -32,7 +33,7 @@ class InboxConfig:
     max_windows_per_run: int = 17_280
     rows_per_file: int = 100_000
     max_lag: int = 10_000
-    rebalance_writes: bool = False
+    rebalance_writes: bool = True
     window_warn_bytes: int = 100 * 1024 * 1024
 
     def __post_init__(self) -> None:

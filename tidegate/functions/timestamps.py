@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 ISO_INSTANT = (
     r"(?i)^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2}|\+00(00)?)$"
 )
-EPOCH_NUMBER = r"^[+-]?\d{1,12}(\.\d{1,17})?(E\d{1,2})?$"
+EPOCH_NUMBER = r"^[+-]?\d{1,13}(\.\d{1,17})?(E\d{1,2})?$"
 
 
 def strict_instant(text: str) -> Column:

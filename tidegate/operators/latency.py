@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.session import cut_lineage
+
 # Latency steps per coarse bin; bins grow with the value so their number stays bounded.
 MANTISSA_BITS = 7
 
@@ -29,6 +31,8 @@ def percentiles(histogram: DataFrame, fractions: list[float]) -> DataFrame:
     A running total over a bounded number of coarse bins finds the bin holding
     each position; only those bins are then walked value by value.
     """
+    # Walked twice: the small table is kept, so the text behind it is parsed once.
+    histogram = cut_lineage(histogram)
     bins = histogram.groupBy(_coarse_bin(F.col("latency_ms")).alias("bin")).agg(
         F.sum("n").alias("n")
     )

@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegate.config import InboxConfig
-from tidegate.functions.windows import is_sealed, last_sealed_bucket, seal_time
 from tidegate.operators.latest import upsert_latest
 from tidegate.operators.outcomes import is_late
-from tidegate.operators.window_queries import fill_gaps, window_counts, window_range
+from tidegate.operators.window_queries import ordered_window, window_counts
 from tidegate.schema import EVENT_KEY, PROGRESS
 
 
 def latest_progress(ledger: DataFrame) -> DataFrame:
-    """One ledger row per (drain_id, window_bucket), the last record wins."""
+    """One ledger row per (drain_id, window_bucket): the last record, by time and then by segment."""
+    later = [F.col("segment").desc()] if "segment" in ledger.columns else []
     order = Window.partitionBy("drain_id", "window_bucket").orderBy(
-        F.col("drained_at").desc(), F.col("event_count").desc()
+        F.col("drained_at").desc(), *later, F.col("event_count").desc()
     )
     ranked = ledger.withColumn("_rn", F.row_number().over(order)).where("_rn = 1")
     return ranked.select(*PROGRESS.fieldNames())
@@ -27,41 +26,6 @@ def live_progress(ledger: DataFrame, now_epoch: int, ttl_seconds: int) -> DataFr
     return ledger.where(F.col("drained_at") > oldest)
 
 
-def _first_seen(events: DataFrame, config: InboxConfig) -> DataFrame:
-    """Event keys with whether they were first received before their window sealed."""
-    first_seen = events.groupBy(*EVENT_KEY).agg(F.min("ingest_time").alias("first_seen"))
-    sealed = is_sealed(F.col("window_bucket"), F.unix_seconds("first_seen"), config)
-    return first_seen.withColumn("in_time", ~sealed)
-
-
-def stored_before_seal(events: DataFrame, config: InboxConfig) -> DataFrame:
-    """Event keys a punctual drain emits."""
-    return _first_seen(events, config).where("in_time").select(*EVENT_KEY)
-
-
-def ledger_as_of(events: DataFrame, now_epoch: int, config: InboxConfig) -> DataFrame:
-    """Ledger of a drainer that never falls behind: each window as stored when it sealed.
-
-    Covers every window from the first stored one to the newest sealed at
-    ``now_epoch``, empty ones included.
-    """
-    counts = (
-        _first_seen(events, config)
-        .groupBy("window_bucket")
-        .agg(F.count_if("in_time").alias("event_count"))
-    )
-    newest = F.lit(last_sealed_bucket(now_epoch, config)).cast("bigint")
-    bounds = counts.agg(F.min("window_bucket").alias("first")).withColumn("last", newest)
-    windows = window_range(bounds.where("first <= last"), config.window_seconds)
-    filled = fill_gaps(windows, counts)
-    return filled.select(
-        F.lit(config.drain_id).alias("drain_id"),
-        "window_bucket",
-        "event_count",
-        F.timestamp_seconds(seal_time(F.col("window_bucket"), config)).alias("drained_at"),
-    )
-
-
 def last_drained(ledger: DataFrame) -> DataFrame:
     """Highest drained window per drain identity."""
     return ledger.groupBy("drain_id").agg(F.max("window_bucket").alias("last_bucket"))
@@ -85,12 +49,16 @@ def undrained_windows(windows: DataFrame, ledger: DataFrame, drain_id: str) -> D
 
 
 def drain_reconcile(events: DataFrame, ledger: DataFrame, drain_id: str) -> DataFrame:
-    """Ledger count against the count stored now; the difference arrived after the drain."""
+    """Ledger count against the count stored now, for windows on either side.
+
+    ``recorded`` is null for a window not drained, ``actual`` 0 for one that holds nothing
+    now; ``late_rows`` is positive where events arrived after the drain, negative where they were lost or expired.
+    """
     recorded = ledger.where(F.col("drain_id") == drain_id).select(
         "window_bucket", F.col("event_count").alias("recorded")
     )
     actual = window_counts(events).select("window_bucket", F.col("event_count").alias("actual"))
-    joined = recorded.join(actual, "window_bucket", "left")
+    joined = recorded.join(actual, "window_bucket", "full")
     actual_or_zero = F.coalesce("actual", F.lit(0))
     return joined.select(
         "window_bucket",
@@ -101,11 +69,11 @@ def drain_reconcile(events: DataFrame, ledger: DataFrame, drain_id: str) -> Data
 
 
 def late_side_output(events: DataFrame, emitted: DataFrame, ledger: DataFrame, drain_id: str) -> DataFrame:
-    """Events of drained windows whose key was not part of the drained output.
+    """Events of drained windows whose key was not part of the drained output, in drain order.
 
-    Only windows whose counts differ are compared key by key.
+    Keys are compared, not counts: one event may have expired while another arrived.
     """
-    changed = drain_reconcile(events, ledger, drain_id).where("late_rows <> 0").select("window_bucket")
-    candidates = events.join(changed, "window_bucket", "left_semi")
-    known = emitted.select(*EVENT_KEY).join(changed, "window_bucket", "left_semi")
-    return upsert_latest(candidates).join(known, EVENT_KEY, "left_anti")
+    drained = ledger.where(F.col("drain_id") == drain_id).select("window_bucket")
+    candidates = events.join(drained, "window_bucket", "left_semi")
+    late = upsert_latest(candidates).join(emitted.select(*EVENT_KEY), EVENT_KEY, "left_anti")
+    return ordered_window(late)

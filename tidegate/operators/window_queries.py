@@ -9,6 +9,7 @@ from tidegate.config import InboxConfig
 from tidegate.functions.windows import bucket_of_seconds, is_sealed, seal_time
 from tidegate.operators.latest import key_counts
 from tidegate.schema import EVENT_KEY
+from tidegate.session import cut_lineage
 
 # Windows generated per inner sequence when a gap is filled.
 GAP_FAN_OUT = 4096
@@ -51,7 +52,8 @@ def fill_gaps(windows: DataFrame, counts: DataFrame) -> DataFrame:
 
 def windows_gapfilled(events: DataFrame, window_seconds: int) -> DataFrame:
     """Every window from the first to the last stored one, empty ones included."""
-    counts = window_counts(events).select("window_bucket", "event_count")
+    # Read twice below: one narrow row per window is kept instead of counting again.
+    counts = cut_lineage(window_counts(events).select("window_bucket", "event_count"))
     bounds = counts.agg(
         F.min("window_bucket").alias("first"), F.max("window_bucket").alias("last")
     )
@@ -81,18 +83,23 @@ def ordered_window(events: DataFrame, partitions: int | None = None) -> DataFram
 def drain_position(events: DataFrame) -> DataFrame:
     """One-based position of each event in its window, without gathering the window.
 
-    A running count over the distinct event times of a window is added to the
-    position among the events of one instant.
+    Ranges of the full key put a window's events into consecutive tasks, hot windows and
+    instants included. The key order is kept as a table; a position is the place in the
+    task plus the window's events in earlier tasks, and only those counts are summed up.
     """
-    instants = events.groupBy("window_bucket", "event_ts").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy("window_bucket").orderBy("event_ts")
-    before = F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
-    starts = instants.select(
-        "window_bucket", "event_ts", F.coalesce(before, F.lit(0)).alias("_before")
+    place = F.monotonically_increasing_id()
+    keys = ordered_window(events.select(*EVENT_KEY)).select(
+        *EVENT_KEY, F.shiftright(place, 33).alias("_task"), place.bitwiseAND((1 << 33) - 1).alias("_place")
     )
-    among = F.row_number().over(Window.partitionBy("window_bucket", "event_ts").orderBy("event_id"))
-    ranked = events.withColumn("_among", among).join(starts, ["window_bucket", "event_ts"])
-    return ranked.withColumn("position", F.col("_before") + F.col("_among")).drop("_among", "_before")
+    placed = cut_lineage(keys)
+    counts = placed.groupBy("window_bucket", "_task").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    earlier = Window.partitionBy("window_bucket").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1
+    starts = counts.select("window_bucket", "_task", before.alias("_before"))
+    position = placed.join(starts, ["window_bucket", "_task"]).select(
+        *EVENT_KEY, (F.col("_place") + F.col("_before")).alias("position")
+    )
+    return events.join(position, EVENT_KEY)
 
 
 def live_rows(events: DataFrame, now: Column, ttl_seconds: int) -> DataFrame:
@@ -110,15 +117,6 @@ def window_size_audit(events: DataFrame, config: InboxConfig) -> DataFrame:
     )
 
 
-# The planning load behind the window size estimate.
-PEAK_EVENTS_PER_SECOND = 2_000
-PLANNED_EVENT_BYTES = 4_096
-
-
-def estimated_window_bytes(window_seconds: int) -> int:
-    return window_seconds * PEAK_EVENTS_PER_SECOND * PLANNED_EVENT_BYTES
-
-
 def latest_windows(counts: DataFrame, n: int) -> DataFrame:
     """Top-k report: the n newest windows."""
     return counts.orderBy(F.col("window_bucket").desc()).limit(n)

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegate.config import CONFIGURED, InboxConfig
@@ -25,7 +24,7 @@ from tidegate.operators.outcomes import (
     valid_events,
     with_ingest_time,
 )
-from tidegate.plans.drain import drain, ordered_parts, replay_windows, window_ledger
+from tidegate.plans.drain import drain, ordered_events, replay_windows, window_ledger
 from tidegate.schema import EVENT, EVENT_KEY
 from tidegate.session import configure, cut_lineage, fresh_dir
 from tidegate.sinks.window_files import LINE_NAMES, json_files, line_json, parquet_files
@@ -39,8 +38,14 @@ from tidegate.streaming.sealing import seal_by_event_time
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The test events are thin and span a month: one storage folder per day, few files in each.
+# They are from 2024, so the retention must not hide them.
+TEN_YEARS = 10 * 365 * 86_400
 NARROW = InboxConfig(
-    window_seconds=5, allowed_lateness_seconds=60, storage_seconds=86_400, rebalance_writes=True
+    window_seconds=5,
+    allowed_lateness_seconds=60,
+    storage_seconds=86_400,
+    inbox_ttl_seconds=TEN_YEARS,
+    progress_ttl_seconds=TEN_YEARS,
 )
 HOURLY = replace(NARROW, window_seconds=3600)
 
@@ -48,7 +53,8 @@ HOURLY = replace(NARROW, window_seconds=3600)
 NOW = 1_705_406_460
 # 2024-02-01T00:00:00Z, after every test event.
 AFTER = 1_706_745_600
-TEN_YEARS = 10 * 365 * 86_400
+# This source partition is down until after the drain: all its deliveries are late.
+LATE_PARTITION = 4
 
 CATALOG: dict[str, Query] = {}
 
@@ -86,17 +92,32 @@ def _stored(spark: SparkSession, sf_dir: str, config: InboxConfig) -> InboxStore
     return store
 
 
-def _inbox(spark: SparkSession, sf_dir: str, config: InboxConfig = NARROW) -> DataFrame:
-    """Stored writes, for queries that read the events more than once: the text is parsed once."""
-    return _stored(spark, sf_dir, config).accepted()
+def _from_first(store: InboxStore, **changes) -> InboxStore:
+    """The same store with a drain that starts at the first stored window."""
+    first = store.accepted().agg(F.min("window_bucket").alias("b")).first()["b"]
+    return replace(store, config=replace(store.config, bootstrap=CONFIGURED, start_bucket=first, **changes))
 
 
 def _history(spark: SparkSession, sf_dir: str) -> InboxStore:
-    """The same with hourly windows, a long retention and a drain start at the first stored window."""
-    keep = replace(HOURLY, inbox_ttl_seconds=TEN_YEARS, progress_ttl_seconds=TEN_YEARS)
-    store = _stored(spark, sf_dir, keep)
-    first = store.accepted().agg(F.min("window_bucket").alias("b")).first()["b"]
-    return InboxStore(spark, store.root, replace(keep, bootstrap=CONFIGURED, start_bucket=first))
+    return _from_first(_stored(spark, sf_dir, HOURLY))
+
+
+# Stores that several queries read and none changes, one per session and input: the text is parsed and drained once.
+_OUTAGES: dict[tuple[str, str], tuple[InboxStore, str]] = {}
+
+
+def _outage(spark: SparkSession, sf_dir: str) -> tuple[InboxStore, str]:
+    """An hourly inbox drained at NOW, after which the late partition was ingested; and the drained files."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _OUTAGES:
+        rows = _deliveries(spark, sf_dir)
+        store, files = InboxStore(spark, fresh_dir(spark, "inbox"), HOURLY), fresh_dir(spark, "windows")
+        ingest_batch(store, rows.where(F.col("partition") != LATE_PARTITION), "in-time", F.col("timestamp"))
+        store = _from_first(store)
+        drain(store, parquet_files(files), NOW, NOW)
+        ingest_batch(store, rows.where(F.col("partition") == LATE_PARTITION), "late", F.col("timestamp"))
+        _OUTAGES[key] = (store, files)
+    return _OUTAGES[key]
 
 
 def _plain_columns() -> list[Column | str]:
@@ -148,14 +169,17 @@ def scan_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scan_progress")
 def scan_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = ledger_ops.ledger_as_of(_inbox(spark, sf_dir, HOURLY), NOW, HOURLY)
-    return ledger.withColumn("drained_at", F.unix_seconds("drained_at"))
+    """The stored ledger of a drain."""
+    store, _ = _outage(spark, sf_dir)
+    return store.progress().withColumn("drained_at", F.unix_seconds("drained_at"))
 
 
 @query("scan_dead_letters")
 def scan_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    letters = dead_letters(_decoded(spark, sf_dir))
-    return letters.select("key", "value", "offset").orderBy("offset").limit(20)
+    """The first stored dead letters by partition and offset."""
+    store, _ = _outage(spark, sf_dir)
+    letters = store.dead_letters().select("key", "value", "partition", "offset")
+    return letters.orderBy("partition", "offset").limit(20)
 
 
 @query("sample_inbox")
@@ -294,12 +318,12 @@ def blank_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("key_lookup")
 def lookup_most_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full-key lookup of the most redelivered event: one stored row."""
-    events = _inbox(spark, sf_dir)
+    """Full-key lookup of the most redelivered event, in the storage folder of its window: one stored row."""
+    store, _ = _outage(spark, sf_dir)
     order = [F.col("copies").desc(), *EVENT_KEY]
-    target = key_counts(events).orderBy(*order).limit(1)
-    key = target.select(F.struct(*EVENT_KEY).alias("key")).scalar()
-    found = key_lookup(events, *[key[c] for c in EVENT_KEY])
+    key = key_counts(store.accepted()).orderBy(*order).limit(1).first()
+    events = store.accepted(key.window_bucket, key.window_bucket)
+    found = key_lookup(events, *[F.lit(key[c]) for c in EVENT_KEY])
     return found.withColumn("event_ts_ms", F.unix_millis("event_ts")).drop("event_ts")
 
 
@@ -318,9 +342,17 @@ def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("replay_range")
 def replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored events of every window from a start window on."""
-    start = NOW - NOW % NARROW.window_seconds
-    return _keys(upsert_latest(_events(spark, sf_dir).where(F.col("window_bucket") >= start)))
+    """Stored events of every window from a start window on; earlier storage folders are not read."""
+    store, _ = _outage(spark, sf_dir)
+    return _keys(store.inbox(first=NOW // HOURLY.window_seconds * HOURLY.window_seconds))
+
+
+@query("inbox_ttl")
+def inbox_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ordinary read a day and a half after NOW: writes older than a day are hidden, also in shared folders."""
+    store, _ = _outage(spark, sf_dir)
+    short = replace(store, config=replace(store.config, inbox_ttl_seconds=86_400))
+    return _keys(short.inbox(now=F.timestamp_seconds(F.lit(NOW + 129_600))))
 
 
 # -- ledger against inbox ----------------------------------------------------
@@ -328,19 +360,19 @@ def replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("late_arrivals")
 def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes that arrived behind the cursor of a drainer that keeps up."""
-    cursor = cursor_when_keeping_up(F.unix_seconds("ingest_time"), NARROW)
-    late = _events(spark, sf_dir).where(is_late(F.col("window_bucket"), cursor))
+    """Writes of the late batch at or behind the cursor the ledger held when they came."""
+    store, _ = _outage(spark, sf_dir)
+    cursor = store.last_drained(store.config.drain_id)
+    late = ledger_ops.late_arrivals(store.accepted().where(F.col("segment") == "late"), cursor)
     return late.select("offset", "event_id", "window_bucket")
 
 
 @query("late_behind_ledger")
 def late_behind_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored events at or behind the cursor the ledger holds."""
-    events = _inbox(spark, sf_dir, HOURLY)
-    ledger = ledger_ops.ledger_as_of(events, NOW, HOURLY)
-    cursor = ledger_ops.cursor_of(ledger, HOURLY.drain_id)
-    return _keys(upsert_latest(ledger_ops.late_arrivals(events, cursor)))
+    store, _ = _outage(spark, sf_dir)
+    cursor = ledger_ops.cursor_of(store.progress(), store.config.drain_id)
+    return _keys(ledger_ops.late_arrivals(store.inbox(), cursor))
 
 
 @query("late_data_kept")
@@ -355,36 +387,35 @@ def late_data_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("windows_gapfilled")
 def windows_gapfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return win.windows_gapfilled(_inbox(spark, sf_dir, HOURLY), HOURLY.window_seconds)
+    return win.windows_gapfilled(_events(spark, sf_dir, HOURLY), HOURLY.window_seconds)
 
 
 @query("windows_gapfilled_narrow")
 def windows_gapfilled_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return win.windows_gapfilled(_inbox(spark, sf_dir), NARROW.window_seconds)
+    return win.windows_gapfilled(_events(spark, sf_dir), NARROW.window_seconds)
 
 
 @query("undrained_windows")
 def undrained_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _inbox(spark, sf_dir)
-    ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
-    return ledger_ops.undrained_windows(
-        win.window_counts(events).select("window_bucket", "event_count"), ledger, NARROW.drain_id
-    )
+    store, _ = _outage(spark, sf_dir)
+    windows = win.window_counts(store.accepted()).select("window_bucket", "event_count")
+    return ledger_ops.undrained_windows(windows, store.progress(), store.config.drain_id)
 
 
 @query("drain_reconcile")
 def drain_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _inbox(spark, sf_dir)
-    ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
-    return ledger_ops.drain_reconcile(events, ledger, NARROW.drain_id).where("actual > 0")
+    """The ledger against the inbox without the first day, which has expired since."""
+    store, _ = _outage(spark, sf_dir)
+    kept = store.accepted(first=store.config.start_bucket + 86_400)
+    return ledger_ops.drain_reconcile(kept, store.progress(), store.config.drain_id)
 
 
 @query("late_side_output")
 def late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _inbox(spark, sf_dir)
-    ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
-    emitted = ledger_ops.stored_before_seal(events, NARROW)
-    late = ledger_ops.late_side_output(events, emitted, ledger, NARROW.drain_id)
+    """Stored events of drained windows that the drained files do not hold."""
+    store, files = _outage(spark, sf_dir)
+    emitted = spark.read.schema(EVENT).parquet(f"{files}/drain_id={store.config.drain_id}")
+    late = ledger_ops.late_side_output(store.accepted(), emitted, store.progress(), store.config.drain_id)
     return _plain(late)
 
 
@@ -417,12 +448,12 @@ def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("last_drained")
 def last_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cursor per drain identity; two identities share the ledger."""
-    events = _inbox(spark, sf_dir)
-    ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
-    other = replace(HOURLY, drain_id="hourly")
-    hourly = ledger_ops.ledger_as_of(win.rebucket(events, 3600), NOW, other)
-    return ledger_ops.last_drained(ledger.unionByName(hourly))
+    """Cursor per drain identity; a drain and a replay of its first ten days share the ledger."""
+    store = _history(spark, sf_dir)
+    sink, start = parquet_files(fresh_dir(spark, "windows")), store.config.start_bucket
+    drain(store, sink, NOW, NOW)
+    replay_windows(store, sink, start, start + 10 * 86_400, "replay", NOW, NOW)
+    return ledger_ops.last_drained(store.progress())
 
 
 @query("ingest_counters")
@@ -467,8 +498,8 @@ def upsert_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ordered_window")
 def ordered_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drain order as a position inside each window."""
-    ordered = win.ordered_window(upsert_latest(_inbox(spark, sf_dir, HOURLY)))
-    return win.drain_position(ordered).select("window_bucket", "event_id", "position")
+    store, _ = _outage(spark, sf_dir)
+    return win.drain_position(store.inbox()).select("window_bucket", "event_id", "position")
 
 
 @query("newest_windows")
@@ -510,7 +541,7 @@ def drain_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "window_bucket BIGINT, " + ", ".join(
         f"{n} {'BIGINT' if n == 'windowBucket' else 'STRING'}" for n in LINE_NAMES
     )
-    return spark.read.schema(schema).json(f"{path}/drain_id={store.config.drain_id}")
+    return spark.read.schema(schema).json(f"{path}/drain_id={store.config.drain_id}").drop("day")
 
 
 @query("pluggable_sink")
@@ -521,10 +552,13 @@ def custom_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def summarise(events: DataFrame, windows: DataFrame, drain_id: str) -> None:
         counts = events.groupBy("window_bucket", "operation").agg(F.count("*").alias("events"))
-        counts.write.mode("append").parquet(f"{path}/{drain_id}")
+        # Windows that come again replace what they wrote before.
+        written = counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        written.partitionBy("window_bucket").parquet(f"{path}/{drain_id}")
 
     drain(store, summarise, AFTER, AFTER)
-    return spark.read.parquet(f"{path}/{store.config.drain_id}")
+    schema = "window_bucket BIGINT, operation STRING, events BIGINT"
+    return spark.read.schema(schema).parquet(f"{path}/{store.config.drain_id}")
 
 
 @query("record_progress")
@@ -581,21 +615,58 @@ def drain_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bootstrap_cursor")
 def bootstrap_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First window each bootstrap rule would drain at the last arrival of the data."""
-    events = _inbox(spark, sf_dir)
-    w = NARROW.window_seconds
-    ledger = ledger_ops.ledger_as_of(events, NOW, NARROW)
-    resume = ledger.agg((F.max("window_bucket") + w).alias("bucket")).select(
-        F.lit("resume").alias("rule"), "bucket"
-    )
-    now = F.unix_seconds(F.max("ingest_time"))
-    latest = events.agg(cursor_when_keeping_up(now, NARROW).alias("bucket")).select(
-        F.lit("latest").alias("rule"), "bucket"
-    )
-    start = events.agg(F.min("window_bucket").alias("bucket")).select(
-        F.lit("configured").alias("rule"), "bucket"
-    )
-    return resume.unionByName(latest).unionByName(start)
+    """First window an actual drain covers under each bootstrap rule."""
+    store = _stored(spark, sf_dir, HOURLY)
+    start = _from_first(store).config.start_bucket
+    sink = parquet_files(fresh_dir(spark, "windows"))
+    rules = {
+        "latest": {},
+        "configured": {"bootstrap": CONFIGURED, "start_bucket": start},
+        "inside_a_window": {"bootstrap": CONFIGURED, "start_bucket": start + 1_234},
+        "start_zero": {"bootstrap": CONFIGURED, "start_bucket": 0},
+    }
+    firsts = []
+    for rule, settings in rules.items():
+        mine = replace(store, config=replace(HOURLY, drain_id=rule, **settings))
+        firsts.append((rule, drain(mine, sink, NOW, NOW).first))
+    again = replace(store, config=replace(HOURLY, drain_id="latest"))
+    firsts.append(("resume", drain(again, sink, AFTER, AFTER).first))
+    # One row per rule; the ledger holds the same windows as first ones.
+    ledger = store.progress().groupBy("drain_id").agg(F.min("window_bucket").alias("ledger_first"))
+    named = spark.createDataFrame(firsts, "rule string, bucket bigint")
+    resumed = F.when(F.col("rule") == "resume", "latest").otherwise(F.col("rule"))
+    joined = named.withColumn("drain_id", resumed).join(ledger, "drain_id")
+    return joined.select("rule", "bucket", (F.col("bucket") == F.col("ledger_first")).alias("is_ledger_first"))
+
+
+@query("drain_backlog")
+def drain_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month of 5-second windows in one drain whose runs are far shorter: every window is recorded."""
+    store = _from_first(_stored(spark, sf_dir, NARROW), max_windows_per_run=120_000)
+
+    def discard(events: DataFrame, windows: DataFrame, drain_id: str) -> None:
+        events.write.format("noop").mode("overwrite").save()
+
+    drain(store, discard, AFTER, AFTER)
+    return store.progress().select("window_bucket", "event_count")
+
+
+@query("drain_order")
+def drain_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order in which a sink meets windows of mixed sizes over several runs."""
+    store = _from_first(_stored(spark, sf_dir, HOURLY), max_windows_per_run=200, rows_per_file=10)
+    path, runs = fresh_dir(spark, "order"), []
+
+    def numbered(events: DataFrame, windows: DataFrame, drain_id: str) -> None:
+        runs.append(len(runs))
+        met = events.select("window_bucket", F.monotonically_increasing_id().alias("row"))
+        first = met.groupBy("window_bucket").agg(F.min("row").alias("row"))
+        first.withColumn("run", F.lit(runs[-1])).write.parquet(f"{path}/call={runs[-1]}")
+
+    drain(store, numbered, AFTER, AFTER)
+    # One row per window: the report itself.
+    seen = spark.read.schema("window_bucket BIGINT, row BIGINT, run INT").parquet(path)
+    return seen.select("window_bucket", F.row_number().over(Window.orderBy("run", "row")).alias("nth"))
 
 
 @query("replay_windows")
@@ -609,13 +680,11 @@ def replayed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("split_large_windows")
 def split_large_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows above the average size are treated as too large for one task and still drain whole."""
-    rows = _inbox(spark, sf_dir, HOURLY)
-    span = rows.agg(F.min("window_bucket").alias("a"), F.max("window_bucket").alias("b")).first()
-    ledger = cut_lineage(window_ledger(rows, span["a"], span["b"], HOURLY))
-    average = ledger.agg(F.ceil(F.avg("deliveries")).alias("rows")).first()["rows"]
-    parts = ordered_parts(rows, ledger, replace(HOURLY, rows_per_file=average))
-    return _keys(reduce(DataFrame.unionByName, [events for events, _ in parts]))
+    """Tasks of an average window's size: larger windows spread over several and still drain whole."""
+    store, _ = _outage(spark, sf_dir)
+    sizes = win.window_counts(store.accepted()).agg(F.ceil(F.avg("deliveries")).alias("a"), F.sum("deliveries").alias("d"))
+    size = sizes.first()
+    return _keys(ordered_events(store.accepted(), size["d"], replace(HOURLY, rows_per_file=size["a"])))
 
 
 @query("seal_by_event_time")

@@ -1,4 +1,4 @@
-"""Bulk drain: every sealed window after the cursor, in order, once."""
+"""Bulk drain: every sealed window after the cursor, in ascending order, once."""
 
 from __future__ import annotations
 
@@ -44,43 +44,15 @@ def window_ledger(rows: DataFrame, first: int, last: int, config: InboxConfig) -
     return fill_gaps(span, window_counts(rows))
 
 
-def ordered_parts(rows: DataFrame, windows: DataFrame, config: InboxConfig) -> list[tuple[DataFrame, DataFrame]]:
-    """Latest events in drain order, with the windows each part covers.
+def ordered_events(rows: DataFrame, deliveries: int, config: InboxConfig) -> DataFrame:
+    """Latest events in drain order, whatever the sizes of the windows.
 
-    Windows that fit one task are hashed by window: that single exchange and
-    sort serves both the upsert and the order. Larger windows are first cut to
-    one row per key before the exchange, then range-partitioned on the full
-    key, so one of them spreads over many tasks and ordered files.
-    ``windows`` has at most ``max_windows_per_run`` rows, which bounds the broadcasts.
+    Each key is cut to one row per task before the exchange of the upsert; ranges of the
+    full key then spread a window of any size over tasks, in ascending order.
     """
     columns = rows.select(*EVENT_COLUMNS, *ORIGIN_COLUMNS)
-    large = windows.where(F.col("deliveries") > config.rows_per_file)
-    in_large = F.when(F.col("deliveries") > config.rows_per_file, F.col("deliveries"))
-    totals = windows.agg(
-        F.count("*").alias("windows"),
-        F.sum("deliveries").alias("all"),
-        F.coalesce(F.sum(in_large), F.lit(0)).alias("large"),
-    ).first()
-
-    def tasks(n: int) -> int:
-        return max(1, -(-n // config.rows_per_file))
-
-    if not totals["large"]:
-        small_rows, small = columns, windows
-    else:
-        small = windows.where(F.col("deliveries") <= config.rows_per_file)
-        keys = F.broadcast(large.select("window_bucket"))
-        small_rows = columns.join(keys, "window_bucket", "left_anti")
-    small_count = totals["all"] - totals["large"]
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    parallel = min(totals["windows"], max(tasks(small_count), cores))
-    by_window = small_rows.repartition(parallel, "window_bucket")
-    parts = [(upsert_latest(by_window).select(*EVENT_COLUMNS), small)]
-    if totals["large"]:
-        large_rows = columns.join(F.broadcast(large.select("window_bucket")), "window_bucket", "left_semi")
-        ordered = ordered_window(upsert_latest(large_rows), tasks(totals["large"]))
-        parts.append((ordered.select(*EVENT_COLUMNS), large))
-    return parts
+    tasks = max(1, -(-deliveries // config.rows_per_file))
+    return ordered_window(upsert_latest(columns), tasks).select(*EVENT_COLUMNS)
 
 
 def drain_span(
@@ -99,20 +71,21 @@ def drain_span(
     now = F.timestamp_seconds(F.lit(now_epoch))
     rows = store.live(now, first, last)
     windows = cut_lineage(window_ledger(rows, first, last, config))
-    for events, covered in ordered_parts(rows, windows, config):
-        sink(events, covered.select("window_bucket", "event_count"), drain_id)
-    drained_at = int(time.time()) if drained_at_epoch is None else drained_at_epoch
+    totals = windows.agg(
+        F.count("*").alias("w"), F.sum("event_count").alias("e"), F.sum("deliveries").alias("d")
+    ).first()
+    sink(ordered_events(rows, totals["d"], config), windows.select("window_bucket", "event_count"), drain_id)
+    drained_at = int(time.time() * 1000) if drained_at_epoch is None else drained_at_epoch * 1000
     store.append_progress(
         windows.select(
             F.lit(drain_id).alias("drain_id"),
             "window_bucket",
             "event_count",
-            F.timestamp_seconds(F.lit(drained_at)).alias("drained_at"),
+            F.timestamp_millis(F.lit(drained_at)).alias("drained_at"),
         )
     )
     if store.ledger_is_fragmented(drain_id):
         store.compact_progress(drain_id, now_epoch)
-    totals = windows.agg(F.count("*").alias("w"), F.sum("event_count").alias("e")).first()
     return DrainRun(drain_id, first, last, totals["w"], totals["e"])
 
 
@@ -122,13 +95,25 @@ def drain(
     now_epoch: int | None = None,
     drained_at_epoch: int | None = None,
 ) -> DrainRun:
-    """One cycle: resume or bootstrap the cursor, drain what is sealed at ``now_epoch``."""
+    """One cycle: resume or bootstrap the cursor, drain all that is sealed at ``now_epoch``.
+
+    Works in runs of at most ``max_windows_per_run`` windows, ascending, and records each
+    before the next begins: when one fails, the windows of the earlier runs stay recorded.
+    """
     config = store.config
     now_epoch = int(time.time()) if now_epoch is None else now_epoch
     last = store.last_drained(config.drain_id, now_epoch)
     cursor = bootstrap_cursor(last, now_epoch, config)
     first, newest = sealed_span(cursor, now_epoch, config)
-    return drain_span(store, first, newest, sink, config.drain_id, now_epoch, drained_at_epoch)
+    windows = events = 0
+    start = first
+    while True:
+        run = drain_span(store, first, newest, sink, config.drain_id, now_epoch, drained_at_epoch)
+        windows, events = windows + run.windows, events + run.events
+        following, newest = sealed_span(newest, now_epoch, config) if newest >= first else (first, newest)
+        if newest < following:
+            return DrainRun(config.drain_id, start, run.last, windows, events)
+        first = following
 
 
 def replay_windows(

@@ -7,7 +7,7 @@ the payload itself is the answer.
 
 from __future__ import annotations
 
-from tidegate.plans.catalog import AFTER, NOW
+from tidegate.plans.catalog import AFTER, LATE_PARTITION, NOW
 
 LATE_AFTER = 60
 
@@ -94,14 +94,13 @@ LINE = f"""window_bucket AS "windowBucket", {_iso('event_ts_ms')} AS "eventTs",
 
 
 def _ledger(w: int, now: int) -> str:
-    """Further tables: l = ledger of a punctual drainer at ``now``."""
+    """Further tables: l = ledger of a drain at ``now`` that met all but the late partition's events."""
     newest = (now - w - LATE_AFTER) // w * w
     return f""", emitted AS (
-  SELECT window_bucket, event_ts_ms, event_id FROM k
-  WHERE first_seen // 1000 < window_bucket + {w + LATE_AFTER}
+  SELECT window_bucket, event_ts_ms, event_id FROM k WHERE CAST(event_id AS BIGINT) % 6 <> {LATE_PARTITION}
 ),
 span AS (
-  SELECT unnest(generate_series(min(window_bucket), {newest}, {w})) AS window_bucket FROM k
+  SELECT unnest(generate_series(min(window_bucket), {newest}, {w})) AS window_bucket FROM emitted
 ),
 l AS (
   SELECT span.window_bucket, count(emitted.event_id) AS event_count
@@ -153,10 +152,10 @@ ORACLE: dict[str, str] = {
     + f"SELECT {PLAIN} FROM u WHERE window_bucket = (SELECT max(window_bucket) FROM u)",
     "scan_progress": H
     + _ledger(3600, NOW)
-    + f"SELECT 'primary' AS drain_id, window_bucket, event_count, window_bucket + {3600 + LATE_AFTER} AS drained_at FROM l",
+    + f"SELECT 'primary' AS drain_id, window_bucket, event_count, CAST({NOW} AS BIGINT) AS drained_at FROM l",
     "scan_dead_letters": N
-    + f"""SELECT CAST(event_id AS VARCHAR) AS key, {TEXT} AS value, "offset"
-      FROM d WHERE kind IN (13, 29, 41, 53) ORDER BY "offset" LIMIT 20""",
+    + f"""SELECT CAST(event_id AS VARCHAR) AS key, {TEXT} AS value, "partition", "offset"
+      FROM d WHERE kind IN (13, 29, 41, 53) ORDER BY "partition", "offset" LIMIT 20""",
     "sample_inbox": N + f"SELECT {KEYS}, operation FROM u ORDER BY 1, 2, 3 LIMIT 20",
     "parse_events": N
     + """SELECT "offset", window_bucket, event_ts_ms, CAST(event_id AS VARCHAR) AS event_id, guid,
@@ -183,16 +182,18 @@ ORACLE: dict[str, str] = {
     "reject_reasons": N
     + f"SELECT {REASON} AS reason, count(*) AS deliveries FROM d WHERE kind IN (13, 29, 41, 53) GROUP BY ALL",
     "blank_id": "SELECT event_id, event_id % 4 <> 3 AS blank FROM events",
-    "key_lookup": N
+    "key_lookup": H
     + """SELECT window_bucket, event_ts_ms, event_id, CAST(1 AS BIGINT) AS stored_rows, copies
       FROM k ORDER BY copies DESC, window_bucket, event_ts_ms, event_id LIMIT 1""",
     "sealed_windows": N
     + f"""SELECT window_bucket, count(*) AS event_count, CAST(sum(copies) AS BIGINT) AS deliveries,
       window_bucket + 65 AS sealed_after FROM k WHERE {NOW} >= window_bucket + 65 GROUP BY ALL""",
     "live_rows": N + f"SELECT {KEYS} FROM u WHERE ingest_ms > CAST({NOW} - 86400 AS BIGINT) * 1000",
-    "replay_range": N + f"SELECT {KEYS} FROM u WHERE window_bucket >= {NOW} // 5 * 5",
-    "late_arrivals": N
-    + 'SELECT "offset", CAST(event_id AS VARCHAR) AS event_id, window_bucket FROM ok WHERE late',
+    "replay_range": H + f"SELECT {KEYS} FROM u WHERE window_bucket >= {NOW} // 3600 * 3600",
+    "inbox_ttl": H + f"SELECT {KEYS} FROM u WHERE ingest_ms > CAST({NOW} + 129600 - 86400 AS BIGINT) * 1000",
+    "late_arrivals": H
+    + f"""SELECT "offset", CAST(event_id AS VARCHAR) AS event_id, window_bucket FROM ok
+      WHERE "partition" = {LATE_PARTITION} AND window_bucket <= {(NOW - 3600 - LATE_AFTER) // 3600 * 3600}""",
     "late_behind_ledger": H
     + f"SELECT {KEYS} FROM u WHERE window_bucket <= ({NOW} - {3600 + LATE_AFTER}) // 3600 * 3600",
     "late_data_kept": H
@@ -200,17 +201,20 @@ ORACLE: dict[str, str] = {
       FROM ok GROUP BY ALL""",
     "windows_gapfilled": _gapfilled(3600),
     "windows_gapfilled_narrow": _gapfilled(5),
-    "undrained_windows": N
-    + _ledger(5, NOW)
+    "undrained_windows": H
+    + _ledger(3600, NOW)
     + """SELECT window_bucket, count(*) AS event_count FROM k
       WHERE window_bucket NOT IN (SELECT window_bucket FROM l) GROUP BY ALL""",
-    "drain_reconcile": N
-    + _ledger(5, NOW)
-    + """, a AS (SELECT window_bucket, count(*) AS actual FROM k GROUP BY ALL)
-      SELECT window_bucket, event_count AS recorded, actual, actual - event_count AS late_rows
-      FROM l JOIN a USING (window_bucket)""",
-    "late_side_output": N
-    + _ledger(5, NOW)
+    "drain_reconcile": H
+    + _ledger(3600, NOW)
+    + """, a AS (
+        SELECT window_bucket, count(*) AS actual FROM k
+        WHERE window_bucket >= (SELECT min(window_bucket) + 86400 FROM emitted) GROUP BY ALL)
+      SELECT window_bucket, event_count AS recorded, coalesce(actual, 0) AS actual,
+        coalesce(actual, 0) - event_count AS late_rows
+      FROM l FULL JOIN a USING (window_bucket)""",
+    "late_side_output": H
+    + _ledger(3600, NOW)
     + f"""SELECT {PLAIN} FROM u
       WHERE window_bucket IN (SELECT window_bucket FROM l)
         AND (window_bucket, event_ts_ms, CAST(event_id AS VARCHAR)) NOT IN
@@ -222,11 +226,10 @@ ORACLE: dict[str, str] = {
     "window_counts": H
     + """SELECT window_bucket, count(*) AS event_count, CAST(sum(copies) AS BIGINT) AS deliveries
       FROM k GROUP BY ALL""",
-    "last_drained": N
-    + _ledger(5, NOW)
-    + f"""SELECT 'primary' AS drain_id, max(window_bucket) AS last_bucket FROM l
+    "last_drained": H
+    + f"""SELECT 'primary' AS drain_id, max({(NOW - 3660) // 3600 * 3600}::BIGINT) AS last_bucket FROM k
       UNION ALL
-      SELECT 'hourly', max({(NOW - 3660) // 3600 * 3600}::BIGINT) FROM k""",
+      SELECT 'replay', min(window_bucket) + 864000 FROM k""",
     "ingest_counters": COUNTERS + "(SELECT count(*) FROM ok WHERE late) AS late_arrival",
     "throughput": N
     + """SELECT count(*) AS deliveries, (max(ingest_ms) - min(ingest_ms)) / 1000 AS elapsed_seconds,
@@ -261,11 +264,21 @@ ORACLE: dict[str, str] = {
     "drain_cycle": _drained(
         f"CASE WHEN span.window_bucket + 3660 <= {NOW} THEN {NOW} ELSE {AFTER} END"
     ).format(last=(AFTER - 3660) // 3600 * 3600),
-    "bootstrap_cursor": N
-    + _ledger(5, NOW)
-    + """SELECT 'resume' AS rule, max(window_bucket) + 5 AS bucket FROM l
-      UNION ALL SELECT 'latest', (max(ingest_ms) // 1000 - 65) // 5 * 5 FROM ok
-      UNION ALL SELECT 'configured', min(window_bucket) FROM ok""",
+    "bootstrap_cursor": H
+    + f""", rules AS (
+        SELECT 'latest' AS rule, max({(NOW - 3660) // 3600 * 3600}::BIGINT) AS bucket, true AS is_ledger_first FROM k
+        UNION ALL SELECT 'start_zero', max({(NOW - 3660) // 3600 * 3600}::BIGINT), true FROM k
+        UNION ALL SELECT 'configured', min(window_bucket), true FROM k
+        UNION ALL SELECT 'inside_a_window', min(window_bucket), true FROM k
+        UNION ALL SELECT 'resume', max({(NOW - 3660) // 3600 * 3600}::BIGINT) + 3600, false FROM k)
+      SELECT * FROM rules""",
+    "drain_backlog": N
+    + f""", span AS (
+        SELECT unnest(generate_series(min(window_bucket), {(AFTER - 65) // 5 * 5}, 5)) AS window_bucket FROM k)
+      SELECT span.window_bucket, count(k.event_id) AS event_count
+      FROM span LEFT JOIN k USING (window_bucket) GROUP BY ALL""",
+    "drain_order": H
+    + "SELECT window_bucket, CAST(row_number() OVER (ORDER BY window_bucket) AS INTEGER) AS nth FROM k GROUP BY window_bucket",
     "replay_windows": H + f"SELECT {KEYS} FROM u WHERE window_bucket >= {NOW // 3600 * 3600}",
     "split_large_windows": H + f"SELECT {KEYS} FROM u",
     "seal_by_event_time": H

@@ -2,8 +2,8 @@
 
 A sink is called as ``sink(events, windows, drain_id)``: ``events`` holds whole
 windows in drain order, ``windows`` one row (window_bucket, event_count) per
-window, empty ones included. It must be idempotent; raising means the windows
-are not recorded and will come again.
+window, empty ones included. Runs come in ascending order of their windows. A sink
+must be idempotent; raising means the windows are not recorded and will come again.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.timestamps import iso_utc
 from tidegate.schema import EVENT_COLUMNS
-from tidegate.session import delete_dir, list_dirs
+from tidegate.session import delete_dir, exists, list_dirs
 
 WindowSink = Callable[[DataFrame, DataFrame, str], None]
 
@@ -48,33 +48,48 @@ def line_json() -> Column:
     return F.to_json(F.struct(*line_columns()))
 
 
+DAY_SECONDS = 86_400
+
+
+def window_day() -> Column:
+    """Start of the UTC day of a window: the folder level above it, which keeps every listing short."""
+    return (F.floor(F.col("window_bucket") / DAY_SECONDS) * DAY_SECONDS).cast("bigint")
+
+
 def _write_windows(lines: DataFrame, fmt: str, path: str) -> None:
     (
-        lines.write.format(fmt)
+        lines.withColumn("day", window_day())
+        .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("window_bucket")
+        .partitionBy("day", "window_bucket")
         .save(path)
     )
 
 
 def _remove_stale(windows: DataFrame, path: str) -> None:
-    """Folders of windows that are empty now but were written by an earlier attempt."""
+    """Folders of windows that are empty now but were written by an earlier attempt.
+
+    Lists the days of this run only. Both collects are bounded by max_windows_per_run.
+    """
     spark = windows.sparkSession
-    existing = {int(d.split("=")[1]) for d in list_dirs(spark, path) if "=" in d}
-    if not existing:
+    empty = windows.where("event_count = 0").select(window_day().alias("day"), "window_bucket").collect()
+    if not empty or not exists(spark, path):
         return
-    # Bounded by max_windows_per_run.
-    for row in windows.where("event_count = 0").select("window_bucket").collect():
-        if row.window_bucket in existing:
-            delete_dir(spark, f"{path}/window_bucket={row.window_bucket}")
+    existing = {
+        f"day={day}/{d}" for day in {r.day for r in empty} for d in list_dirs(spark, f"{path}/day={day}")
+    }
+    for row in empty:
+        name = f"day={row.day}/window_bucket={row.window_bucket}"
+        if name in existing:
+            delete_dir(spark, f"{path}/{name}")
 
 
 def json_files(output_path: str) -> WindowSink:
-    """JSON lines under ``drain_id=<id>/window_bucket=<b>/``.
+    """JSON lines under ``drain_id=<id>/day=<d>/window_bucket=<b>/``.
 
     A rewritten window replaces its folder. Part file names follow drain order
-    when a large window has more than one.
+    when a window has more than one.
     """
 
     def write(events: DataFrame, windows: DataFrame, drain_id: str) -> None:
@@ -97,7 +112,12 @@ def parquet_files(output_path: str) -> WindowSink:
 
 
 def kafka_topic(servers: str, topic: str, **options: str) -> WindowSink:
-    """Lines to a topic, keyed by window so that one window stays in one partition."""
+    """Lines to a topic, keyed by window so that one window stays in one partition.
+
+    Delivery is at least once: windows that come again are written again. Several tasks
+    may write one window at the same time, so readers order its lines by ``eventTs`` and
+    ``eventId``, and drop repeated ones by these and ``windowBucket``.
+    """
 
     def write(events: DataFrame, windows: DataFrame, drain_id: str) -> None:
         records = events.select(

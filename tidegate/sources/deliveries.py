@@ -69,15 +69,3 @@ def file_stream(
 
 def file_batch(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).schema(DELIVERY).load(path)
-
-
-def from_lines(lines: DataFrame, topic: str) -> DataFrame:
-    """Raw text rows (column ``value``) as deliveries without key or offset."""
-    return lines.select(
-        F.lit(None).cast("string").alias("key"),
-        "value",
-        F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.lit(None).cast("bigint").alias("offset"),
-        F.current_timestamp().alias("timestamp"),
-    )

@@ -28,6 +28,7 @@ from tidegate.functions.windows import storage_bucket
 from tidegate.operators.latest import upsert_latest
 from tidegate.operators.outcomes import ACCEPTED, REJECTED
 from tidegate.operators.progress import latest_progress, live_progress
+from tidegate.operators.window_queries import live_rows
 from tidegate.schema import (
     EVENT_COLUMNS,
     EVENT_KEY,
@@ -66,6 +67,11 @@ def _replace_partitions(rows: DataFrame, columns: list[str], path: str) -> None:
     )
 
 
+def storage_time() -> Column:
+    """Second by which a delivery is stored: its window, else its source time, which a replay repeats."""
+    return F.coalesce("window_bucket", F.unix_seconds("timestamp"), F.lit(0))
+
+
 def _between(rows: DataFrame, first: int | None, last: int | None) -> DataFrame:
     if first is not None:
         rows = rows.where(F.col("window_bucket") >= first)
@@ -104,8 +110,6 @@ class InboxStore:
         each file in key order, which keeps Parquet statistics selective.
         """
         accepted = F.col("reason").isNull()
-        # Rejected deliveries go by their source time, which a replay repeats.
-        place = F.coalesce("window_bucket", F.unix_seconds("timestamp"), F.lit(0))
         event_columns = [
             F.when(accepted, F.col(c)).alias(c)
             for c in EVENT_COLUMNS
@@ -123,7 +127,7 @@ class InboxStore:
         ).select(
             *STORED.fieldNames(),
             F.when(accepted, ACCEPTED).otherwise(REJECTED).alias("outcome"),
-            storage_bucket(place, self.config).alias("storage_bucket"),
+            storage_bucket(storage_time(), self.config).alias("storage_bucket"),
             F.lit(segment).alias("segment"),
         )
         if self.config.rebalance_writes:
@@ -163,11 +167,10 @@ class InboxStore:
 
     def live(self, now: Column, first: int | None = None, last: int | None = None) -> DataFrame:
         """Accepted writes still retained. Expiry follows the last write, so it commutes with the upsert."""
-        oldest = F.unix_micros(now) - F.lit(self.config.inbox_ttl_seconds * 1_000_000)
-        return self.accepted(first, last).where(F.col("ingest_time") > F.timestamp_micros(oldest))
+        return live_rows(self.accepted(first, last), now, self.config.inbox_ttl_seconds)
 
-    def inbox(self, first: int | None = None, last: int | None = None) -> DataFrame:
-        """The upserted table: the last write of every key.
+    def inbox(self, first: int | None = None, last: int | None = None, now: Column | None = None) -> DataFrame:
+        """The upserted table: the last write of every key, without rows past their retention.
 
         A key never leaves its storage folder, and a folder holding nothing but
         one compaction has each key once: those are read without an exchange.
@@ -179,13 +182,23 @@ class InboxStore:
                 merged.append(f"{folder}/{segments[0]}")
             else:
                 mixed.append(folder)
-        unique = _between(self._read_folders(merged), first, last).select(*EVENT_COLUMNS)
+        now = F.current_timestamp() if now is None else now
+        ttl = self.config.inbox_ttl_seconds
+        unique = live_rows(_between(self._read_folders(merged), first, last), now, ttl).select(*EVENT_COLUMNS)
         if not mixed:
             return unique
-        rows = _between(self._read_folders(mixed), first, last)
+        rows = live_rows(_between(self._read_folders(mixed), first, last), now, ttl)
         latest = upsert_latest(rows.select(*EVENT_COLUMNS, *ORIGIN_COLUMNS)).select(*EVENT_COLUMNS)
         return latest.unionByName(unique) if merged else latest
 
+    def rejected_segment(self, segment: str, first: int, last: int) -> DataFrame:
+        """Rejected deliveries of one segment, stored for times between two.
+
+        The segment is looked up by name in the folders of that span; other segments are not listed.
+        """
+        paths = [f"{folder}/segment={segment}" for folder in self._folders(REJECTED, first, last)]
+        return self._read_folders([p for p in paths if exists(self.spark, p)])
+
     def dead_letters(self) -> DataFrame:
         return self.read(REJECTED).select(
             "key", F.col("payload").alias("value"), "reason", *ORIGIN_COLUMNS
@@ -222,21 +235,44 @@ class InboxStore:
             delete_dir(self.spark, path)
 
     def expire(self, now_epoch: int) -> list[int]:
-        """Drop the storage folders in which every row has outlived its retention."""
-        dropped = []
+        """Delete the segments in which every row has outlived its retention; returns their storage folders.
+
+        Only segments listed at the start are judged and deleted, so a write that arrives
+        meanwhile survives, and only folders whose events are older than the retention are read.
+        """
+        oldest = now_epoch - self.config.inbox_ttl_seconds
+        dropped = set()
         for outcome in (ACCEPTED, REJECTED):
+            old = [f for f in self._folders(outcome, None, oldest) if int(f.rsplit("=", 1)[1]) < oldest]
+            listed = [f"{f}/{s}" for f in old for s in list_dirs(self.spark, f)]
             newest = (
-                self.read(outcome)
-                .groupBy("storage_bucket")
+                self._read_folders(listed)
+                .groupBy("storage_bucket", "segment")
                 .agg(F.max(F.unix_seconds("ingest_time")).alias("newest"))
-                .where(F.col("newest") + self.config.inbox_ttl_seconds < now_epoch)
+                .where(F.col("newest") < oldest)
             )
-            # One row per storage folder: bounded by the retention.
+            # One row per segment of the folders past retention, which the calls before have emptied.
             for row in newest.collect():
                 path = f"{self.deliveries_path}/outcome={outcome}/storage_bucket={row.storage_bucket}"
-                delete_dir(self.spark, path)
-                dropped.append(row.storage_bucket)
-        return sorted(set(dropped))
+                delete_dir(self.spark, f"{path}/segment={row.segment}")
+                if not list_dirs(self.spark, path):
+                    delete_dir(self.spark, path)
+                dropped.add(row.storage_bucket)
+        self._expire_metrics(now_epoch)
+        return sorted(dropped)
+
+    def _expire_metrics(self, now_epoch: int) -> None:
+        """Delete counters older than the ledger's retention and merge the rest into one segment."""
+        listed = [f"{self.metrics_path}/{s}" for s in list_dirs(self.spark, self.metrics_path)]
+        if len(listed) <= MAX_LEDGER_SEGMENTS:
+            return
+        reader = self.spark.read.schema(METRICS).option("basePath", self.metrics_path)
+        oldest = F.timestamp_seconds(F.lit(now_epoch - self.config.progress_ttl_seconds))
+        kept = cut_lineage(reader.parquet(*listed).where(F.col("recorded_at") > oldest))
+        sums = [F.sum(c).cast("bigint").alias(c) for c in ("success", "parse_error", "late_arrival")]
+        merged = kept.agg(*sums, F.max("recorded_at").alias("recorded_at")).where("recorded_at IS NOT NULL")
+        self.write_metrics(merged.withColumn("segment", F.lit(f"{MERGED}-{uuid.uuid4().hex}")))
+        self.drop(listed)
 
     # -- ledger -------------------------------------------------------------
 
@@ -317,7 +353,7 @@ class InboxStore:
         _replace_partitions(row.select(*METRICS.fieldNames()), ["segment"], self.metrics_path)
 
     def register_views(self) -> None:
-        """Expose the tables to ``spark.sql``."""
+        """Expose the tables to ``spark.sql``, as stored now: call again to see later segments."""
         self.inbox().createOrReplaceTempView("inbox")
         self.progress().createOrReplaceTempView("drain_progress")
         self.dead_letters().createOrReplaceTempView("dead_letter")

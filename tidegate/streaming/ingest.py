@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions.envelope import Parser, decode, envelope_parser
-from tidegate.operators.outcomes import REJECTED, counter_columns, dead_letters, with_ingest_time
+from tidegate.operators.outcomes import counter_columns, dead_letters, with_ingest_time
 from tidegate.schema import METRICS
-from tidegate.sources.store import InboxStore
+from tidegate.sources.store import InboxStore, storage_time
 
 QUERY_ID = "sql.streaming.queryId"
 
@@ -47,11 +47,14 @@ def ingest_batch(
     decoded = decode(deliveries, config.window_seconds, parser)
     decoded = with_ingest_time(decoded, clock)
     observation = Observation()
-    observed = decoded.observe(observation, *counter_columns(cursor))
+    rejected_at = F.when(F.col("reason").isNotNull(), storage_time())
+    span = [F.min(rejected_at).alias("rejected_from"), F.max(rejected_at).alias("rejected_to")]
+    observed = decoded.observe(observation, *counter_columns(cursor), *span)
     store.write_segment(store.stored_form(observed, segment))
-    counters = {k: int(v or 0) for k, v in observation.get.items()}
+    seen = observation.get
+    counters = {k: int(seen[k] or 0) for k in ("success", "parse_error", "late_arrival")}
     if dead_letter_sink is not None and counters["parse_error"]:
-        rejected = store.read(REJECTED).where(F.col("segment") == segment)
+        rejected = store.rejected_segment(segment, seen["rejected_from"], seen["rejected_to"])
         dead_letter_sink(dead_letters(rejected.withColumnRenamed("payload", "value")))
     row = deliveries.sparkSession.range(1).select(
         F.lit(segment).alias("segment"),
