@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,6 +29,14 @@ def kafka_dead_letters(servers: str, topic: str) -> DeadLetterSink:
     return write
 
 
+def _observed(observation: Observation) -> dict:
+    """Metrics of a write that has succeeded; a batch the optimizer proved empty has none."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def ingest_batch(
     store: InboxStore,
     deliveries: DataFrame,
@@ -51,8 +60,8 @@ def ingest_batch(
     span = [F.min(rejected_at).alias("rejected_from"), F.max(rejected_at).alias("rejected_to")]
     observed = decoded.observe(observation, *counter_columns(cursor), *span)
     store.write_segment(store.stored_form(observed, segment))
-    seen = observation.get
-    counters = {k: int(seen[k] or 0) for k in ("success", "parse_error", "late_arrival")}
+    seen = _observed(observation)
+    counters = {k: int(seen.get(k) or 0) for k in ("success", "parse_error", "late_arrival")}
     if dead_letter_sink is not None and counters["parse_error"]:
         rejected = store.rejected_segment(segment, seen["rejected_from"], seen["rejected_to"])
         dead_letter_sink(dead_letters(rejected.withColumnRenamed("payload", "value")))
