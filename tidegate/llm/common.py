@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,14 @@ class Scratch:
         rows.write.parquet(f"{self.path}/{name}")
         return self.spark.read.schema(rows.schema).parquet(f"{self.path}/{name}")
 
+    def release(self) -> None:
+        """Let Spark's cleaner delete the shuffle files of plans that nothing refers to any more.
+
+        It follows the driver's garbage collection, which a long job may not reach for hours.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Remove tables that no later step reads."""
         for name in names:
