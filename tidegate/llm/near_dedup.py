@@ -221,6 +221,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
     labelled = scratch.save(labelled, "labelled")
     more = scratch.save(_confirmed(_across(prefixes, labelled, least, least_bits), sets, percent), "more")
     labels = components(links.union(more), scratch, "second")
+    scratch.drop("candidates", "nodes", "prefixes", "sets", "links", "labelled", "more")
 
     own = classes.join(labels, "node", "left").select(
         "digest", "rep", F.coalesce("component", "node").alias("component")
