@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,7 +33,9 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidegate-"))
+    local = tempfile.mkdtemp(prefix="tidegate-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
+    context.setCheckpointDir(local)
     return context.getCheckpointDir()
 
 
