@@ -14,7 +14,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tidegate.llm import attention_model, decontamination, line_dedup, near_dedup, suffix_dedup
+from tidegate.llm import attention_model, decontamination, line_dedup, lm_scoring, near_dedup, suffix_dedup
 from tidegate.llm.common import Scratch
 from tidegate.llm.components import components
 from tidegate.llm.decontamination import find_leaks, without_leaks
@@ -381,6 +381,18 @@ def test_scores(spark, hard_texts):
         assert r.base_score == pytest.approx(base) and r.score < 0 and math.isfinite(r.score)
 
 
+def test_model_trains_on_all_texts(spark, monkeypatch):
+    draw = random.Random(8)
+    docs = doc_frame(spark, [prose(draw, 30) for _ in range(300)])
+    seen, average = [], lm_scoring.average
+    monkeypatch.setattr(lm_scoring, "average", lambda parts: seen.append(sum(n for n, _ in parts)) or average(parts))
+    held = F.col("doc_id") % 3 == 2
+    score_texts(docs, held, WORDS, least_bytes=1)
+    texts = [r.text for r in docs.where(~held).collect()]
+    ids = lm_scoring._ids(WORDS, 49_407, texts)
+    assert seen == [sum(-(-len(i) // attention_model.STRIDE) for i in ids)] * len(lm_scoring.RATES)
+
+
 def test_scores_hard_tables(spark):
     assert score_texts(doc_frame(spark, []), F.lit(False), WORDS).collect() == []
     rows = spark.createDataFrame([(None, "a b"), (1, "c c"), (1, "c c"), (1, None)], "doc_id long, text string")
