@@ -393,6 +393,30 @@ def test_model_trains_on_all_texts(spark, monkeypatch):
     assert seen == [sum(-(-len(i) // attention_model.STRIDE) for i in ids)] * len(lm_scoring.RATES)
 
 
+def test_classes_come_from_all_training_ids(spark, monkeypatch):
+    draw = random.Random(9)
+    texts = ["long " * 3000, None, *(prose(draw, draw.randint(1, 6)) for _ in range(4300))]
+    docs = doc_frame(spark, texts).repartition(3)
+    given, assign = [], lm_scoring.assign_classes
+    monkeypatch.setattr(lm_scoring, "assign_classes", lambda *a: given.append(a) or assign(*a))
+    score_texts(docs, F.lit(False), WORDS)
+    counts, table = given[0]
+    ids = list(lm_scoring._ids(WORDS, 49_407, [t or "" for t in texts]))
+    assert np.array_equal(counts, np.bincount(np.concatenate(ids), minlength=49_408))
+    anchor = attention_model.frequent_ids(counts)
+    hand = Counter()
+    for own in ids:
+        for i, x in enumerate(own):
+            for j in range(max(0, i - 8), min(len(own), i + 9)):
+                if i != j:
+                    hand[x, {-1: 0, 1: 1}.get(j - i, 2), anchor[own[j]]] += 1
+    assert {k: table[k] for k in hand} == hand and table.sum() == hand.total()
+    monkeypatch.setattr(attention_model, "LOT", 1000)
+    lots = np.zeros(table.size, np.int64)
+    attention_model.count_neighbours(ids, anchor, lots)
+    assert np.array_equal(lots, table.ravel())
+
+
 def test_scores_hard_tables(spark):
     assert score_texts(doc_frame(spark, []), F.lit(False), WORDS).collect() == []
     rows = spark.createDataFrame([(None, "a b"), (1, "c c"), (1, "c c"), (1, None)], "doc_id long, text string")
