@@ -381,6 +381,17 @@ def test_scores(spark, hard_texts):
         assert r.base_score == pytest.approx(base) and r.score < 0 and math.isfinite(r.score)
 
 
+def test_windows_keep_their_context():
+    x, y = attention_model.windows(np.arange(200, dtype=np.int32), 200)
+    before = {}
+    for own, targets in zip(x, y, strict=True):
+        for j, target in enumerate(targets):
+            # The start of the text counts as one.
+            before[target] = int((own[: attention_model.OVERLAP + j + 1] >= 0).sum())
+    inside = [n for target, n in before.items() if target >= 48]
+    assert (min(inside), max(inside)) == (17, 48) and before[0] == 1 and before[20] == 21
+
+
 def test_model_trains_on_all_texts(spark, monkeypatch):
     draw = random.Random(8)
     docs = doc_frame(spark, [prose(draw, 30) for _ in range(300)])
