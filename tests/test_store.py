@@ -225,6 +225,18 @@ def test_ledger_retention_loses_the_cursor(spark, tmp_path):
     assert store.last_drained("primary", T0 + 1000) is None
 
 
+def test_merged_ledgers_are_spread_over_files(spark, tmp_path):
+    store = make_store(spark, tmp_path, rows_per_file=10, progress_ttl_seconds=1000)
+    store.append_progress(ledger(spark, "primary", [T0 + 5 * i for i in range(60)], T0 + 500))
+    store.append_progress(ledger(spark, "primary", [T0 - 5], T0))
+    store.forget_progress("primary", T0 + 200, T0 + 1200)
+    assert sorted(r.window_bucket for r in store.progress().collect()) == [T0 + 5 * i for i in range(40)]
+    files = lambda: len(list(tmp_path.rglob(f"segment=*{MERGED}/*.parquet")))
+    assert 2 <= files() <= 4
+    store.compact_progress("primary", T0 + 1200)
+    assert files() >= 4 and store.progress().count() == 40
+
+
 def test_ledger_compaction_and_forgetting(spark, tmp_path):
     store = make_store(spark, tmp_path)
     for i in range(5):

@@ -283,8 +283,13 @@ class InboxStore:
         """Record drained windows; repeating a record is harmless."""
         segment = f"{time.time_ns():020d}-{kind}"
         rows = windows.select(*PROGRESS.fieldNames()).withColumn("segment", F.lit(segment))
-        # One file: a run records at most max_windows_per_run narrow rows.
-        _replace_partitions(rows.coalesce(1), ["drain_id", "segment"], self.progress_path)
+        if kind == MERGED:
+            files = max(1, -(-rows.count() // self.config.rows_per_file))
+            rows = rows.repartitionByRange(files, "window_bucket")
+        else:
+            # One file: a run records at most max_windows_per_run narrow rows.
+            rows = rows.coalesce(1)
+        _replace_partitions(rows, ["drain_id", "segment"], self.progress_path)
 
     def _progress_rows(self) -> DataFrame:
         if not list_dirs(self.spark, self.progress_path):
@@ -308,10 +313,15 @@ class InboxStore:
             rows = live_progress(rows, now_epoch, self.config.progress_ttl_seconds)
         return rows.agg(F.max("window_bucket").alias("last")).first()["last"]
 
-    def forget_progress(self, drain_id: str, first: int) -> None:
-        """Remove a drain identity's ledger rows from window ``first`` on, so they drain again."""
+    def forget_progress(self, drain_id: str, first: int, now_epoch: int | None = None) -> None:
+        """Remove a drain identity's ledger rows from window ``first`` on, so they drain again.
+
+        ``now_epoch`` applies the ledger's retention to the rows that stay.
+        """
         old, rows = self._ledger_segments(drain_id)
         if old:
+            if now_epoch is not None:
+                rows = live_progress(rows, now_epoch, self.config.progress_ttl_seconds)
             self.append_progress(cut_lineage(rows.where(F.col("window_bucket") < first)), MERGED)
             self.drop(old)
 
