@@ -74,3 +74,14 @@ def doc_batches(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator
 
 def longs(values) -> pa.Array:
     return pa.array(np.asarray(values, np.int64))
+
+
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """The names, lengthened where a table has a column of that name already."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

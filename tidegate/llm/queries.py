@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.common import Scratch, table
 from tidegate.llm.decontamination import find_leaks
+from tidegate.llm.language_id import identify
 from tidegate.llm.line_dedup import dedup_lines
 from tidegate.llm.lm_scoring import score_texts
 from tidegate.llm.near_dedup import near_duplicates
@@ -133,3 +134,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document under the attention model and under the unigram base."""
     docs = table(spark, sf_dir, "documents")
     return score_texts(docs, held_out(7, 2), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the nearest rank-order profile."""
+    judged = identify(table(spark, sf_dir, "documents"), ~held_out(4, 2), keep=["doc_id"])
+    return judged.select("doc_id", F.coalesce(held_out(4, 2), F.lit(False)).alias("held_out"), "lang_pred", "score")
