@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.common import Scratch, table
 from tidegate.llm.decontamination import find_leaks
+from tidegate.llm.divergence import audit_sources
 from tidegate.llm.language_id import identify
 from tidegate.llm.line_dedup import dedup_lines
 from tidegate.llm.lm_scoring import score_texts
@@ -141,3 +142,55 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by the nearest rank-order profile."""
     judged = identify(table(spark, sf_dir, "documents"), ~held_out(4, 2), keep=["doc_id"])
     return judged.select("doc_id", F.coalesce(held_out(4, 2), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against the others of its language, and the terms that set it apart."""
+    return audit_sources(table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
+# The whole matrix of sources and kept terms, every cell by itself.
+SQL["op12_source_divergence"] = r"""
+WITH d AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text,
+           row_number() OVER () AS id
+    FROM documents
+), words AS (
+    SELECT lang, source, id, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS word FROM d
+), t AS (
+    SELECT lang, source, id, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+    FROM words
+), kept AS (
+    SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+), found AS (
+    SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term
+), g AS (
+    SELECT DISTINCT lang, source FROM d
+), cell AS (
+    SELECT g.lang, g.source, kept.term, kept.total, coalesce(found.n, 0) AS n
+    FROM g JOIN kept USING (lang) LEFT JOIN found USING (lang, source, term)
+), sizes AS (
+    SELECT lang, source, sum(n) AS size, sum(total) AS lang_size, count(*) AS v FROM cell GROUP BY lang, source
+), shares AS (
+    SELECT lang, source, term, n,
+           CAST(1 + CAST(1000000000 AS HUGEINT) * (n + 2) // (size + 2 * v) AS BIGINT) AS p,
+           CAST(1 + CAST(1000000000 AS HUGEINT) * (total + 2) // (lang_size + 2 * v) AS BIGINT) AS q
+    FROM cell JOIN sizes USING (lang, source)
+), apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(apart.value, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+), terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+    FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
