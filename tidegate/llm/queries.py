@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm.common import Scratch, table
+from tidegate.llm.conversations import conversation_report, damaged, digests, repair_conversations
 from tidegate.llm.decontamination import find_leaks
 from tidegate.llm.divergence import audit_sources
 from tidegate.llm.language_id import identify
@@ -194,3 +195,14 @@ WITH d AS (
 )
 SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
 """
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every damaged conversation with its faults and its cheapest repair."""
+    rows = table(spark, sf_dir, "conversations")
+    scratch = Scratch(spark, "repair")
+    pieces = scratch.save(repair_conversations(damaged(rows)), "pieces")
+    found = conversation_report(rows, pieces).join(digests(pieces), "conv", "left").drop("conv")
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return found.withColumn("repaired_sha256", F.coalesce("sha256", nothing)).drop("sha256")
