@@ -7,6 +7,7 @@ from conftest import deliveries_of, envelope
 from pyspark.sql import functions as F
 
 from tidegate.config import InboxConfig
+from tidegate.schema import COUNTERS
 from tidegate.session import exists, list_dirs
 from tidegate.sources.store import MAX_LEDGER_SEGMENTS, MERGED, InboxStore
 from tidegate.streaming.ingest import ingest_batch
@@ -142,14 +143,106 @@ def test_a_write_during_expiry_survives(spark, tmp_path, monkeypatch):
     assert contents(store.inbox(now=F.timestamp_seconds(F.lit(T0 + 301)))) == [(0, "late", 300)]
 
 
-def test_old_counters_are_merged(spark, tmp_path, monkeypatch):
+def sums(store):
+    return tuple(store.metrics().agg(*[F.sum(c) for c in COUNTERS]).first())
+
+
+def test_old_counters_are_merged_and_a_replayed_batch_counts_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("tidegate.sources.store.MAX_LEDGER_SEGMENTS", 2)
     store = make_store(spark, tmp_path)
-    for i in range(4):
-        put(store, [(i, f"id{i}", i + 1)], f"batch-{i}")
+    names = [f"{query}-{i:010d}" for query in ("q1", "q2") for i in range(3)]
+    for i, name in enumerate(names):
+        put(store, [(i, f"id{i}", i + 1)], name)
+    store.count_failure(names[2])
+    assert sums(store) == (6, 0, 0, 1)
+    store.expire(T0)
+    # The newest batch of each query may come again and keeps its row.
+    assert sums(store) == (6, 0, 0, 1) and len(list_dirs(spark, store.metrics_path)) == 3
+    for i in (2, 5):
+        put(store, [(i, f"id{i}", i + 1)], names[i])
+    assert sums(store) == (6, 0, 0, 1)
+    put(store, [(9, "id9", 10)], "q1-0000000003")
+    store.expire(T0)
+    assert sums(store) == (7, 0, 0, 1) and len(list_dirs(spark, store.metrics_path)) == 3
+
+
+def test_an_interrupted_merge_of_counters_counts_nothing_twice(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidegate.sources.store.MAX_LEDGER_SEGMENTS", 2)
+    store = make_store(spark, tmp_path)
+    for i in range(5):
+        put(store, [(i, f"id{i}", i + 1)], f"q-{i:010d}")
+    monkeypatch.setattr(InboxStore, "drop", lambda self, folders: None)
+    store.expire(T0)
+    assert sums(store)[0] == 5 and len(list_dirs(spark, store.metrics_path)) == 6
+    store.expire(T0)
+    assert sums(store)[0] == 5
+    monkeypatch.undo()
+    monkeypatch.setattr("tidegate.sources.store.MAX_LEDGER_SEGMENTS", 2)
+    store.expire(T0)
+    assert sums(store)[0] == 5 and len(list_dirs(spark, store.metrics_path)) == 2
+
+
+def test_old_counters_expire(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidegate.sources.store.MAX_LEDGER_SEGMENTS", 1)
+    store = make_store(spark, tmp_path)
+    for i in range(3):
+        put(store, [(i, f"id{i}", i + 1)], f"q-{i:010d}")
+    store.expire(2 * T0)
+    assert sums(store)[0] == 1
+
+
+def test_how_far_source_partitions_have_come(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidegate.sources.store.MAX_LEDGER_SEGMENTS", 1)
+    store = make_store(spark, tmp_path)
+    assert store.stream_clock() is None
+    for i in range(3):
+        put(store, [(20 - i, f"id{i}", 30 + i)], f"q-{i:010d}", first_offset=5 * i)
+    ingest_batch(store, deliveries_of(spark, ["bad"], [T0 * 1000], partition=1), "q-0000000003", F.col("timestamp"))
+
+    def state():
+        rows = store.partitions().collect()
+        return {r.partition: (r.next_offset, r.high_event_ts and int(r.high_event_ts.timestamp()) - T0) for r in rows}
+
+    assert state() == {0: (11, 20), 1: (1, None)}
     store.expire(T0)
-    assert len(list_dirs(spark, store.metrics_path)) == 1
-    assert store.metrics().agg(F.sum("success")).first()[0] == 4
+    assert state() == {0: (11, 20), 1: (1, None)} and len(list_dirs(spark, store.partitions_path)) == 1
+    assert store.stream_clock() == T0 + 20 and store.stream_clock(expected=2) is None
+
+
+def test_dead_letters_are_merged_without_losing_any(spark, tmp_path):
+    store = make_store(spark, tmp_path)
+    for i in range(4):
+        ingest_batch(store, deliveries_of(spark, [f"bad{i}", "same"], [T0 * 1000] * 2, first_offset=2 * i), f"b-{i}", F.col("timestamp"))
+    ingest_batch(store, deliveries_of(spark, ["bad0"], [T0 * 1000]), "again", F.col("timestamp"))
+    nowhere = deliveries_of(spark, ["lost", "lost"], [T0 * 1000] * 2).withColumn("offset", F.lit(None).cast("long"))
+    ingest_batch(store, nowhere, "nowhere", F.col("timestamp"))
+    before = sorted(r.value for r in store.dead_letters().collect())
+    assert before == ["bad0", "bad0", "bad1", "bad2", "bad3", "lost", "lost", "same", "same", "same", "same"]
+    old = store.compact()
+    assert len(old) == 6
+    put(store, [(0, "a", 1)], "later")
+    ingest_batch(store, deliveries_of(spark, ["new"], [T0 * 1000], first_offset=90), "newer", F.col("timestamp"))
+    expected = sorted(["bad0", "bad1", "bad2", "bad3", "lost", "lost", "new", "same", "same", "same", "same"])
+    store.drop(old)
+    assert sorted(r.value for r in store.dead_letters().collect()) == expected
+    store.drop(store.compact())
+    assert sorted(r.value for r in store.dead_letters().collect()) == expected
+    assert len(store.read("rejected").inputFiles()) == 1
+
+
+def test_ids_have_filters(spark, tmp_path):
+    store = make_store(spark, tmp_path)
+    put(store, [(i, f"id{i}", i) for i in range(50)], "b0")
+    (path,) = store.accepted().inputFiles()
+    footer = spark._jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+        spark._jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
+            spark._jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()
+        )
+    )
+    columns = footer.getFooter().getBlocks()[0].getColumns()
+    filtered = {c.getPath().toDotString() for c in columns if c.getBloomFilterOffset() > 0}
+    footer.close()
+    assert filtered == {"event_id"}
 
 
 def test_files_of_a_batch_do_not_follow_its_tasks(spark, tmp_path):

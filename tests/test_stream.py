@@ -54,13 +54,14 @@ def test_failed_batch_does_not_advance_and_replays_cleanly(spark, tmp_path):
 
     with pytest.raises(Exception, match="dead letter topic is down"):
         run(spark, source, store, offsets, dead_letter_sink=dead_letter_sink_down)
-    assert store.metrics().count() == 0
+    # The failed attempt is all that was counted.
+    assert [(r.success, r.write_error) for r in store.metrics().collect()] == [(0, 1)]
     published = []
     run(spark, source, store, offsets, dead_letter_sink=lambda x: published.extend(x.collect()))
     assert [(r.key, r.value, r.reason) for r in published] == [(None, "oops", "not_json")]
     assert store.accepted().count() == 1
     assert store.dead_letters().count() == 1
-    assert store.metrics().count() == 1
+    assert sorted((r.success, r.write_error) for r in store.metrics().collect()) == [(0, 1), (1, 0)]
 
 
 def test_a_new_checkpoint_redelivers_without_duplicates(spark, tmp_path):

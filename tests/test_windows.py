@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidegate.config import CONFIGURED, InboxConfig
 from tidegate.functions.windows import (
     bootstrap_cursor,
-    cursor_when_keeping_up,
     is_sealed,
     last_sealed_bucket,
     latest_cursor,
@@ -64,14 +63,6 @@ def test_bootstrap_order():
         bootstrap_cursor(1_784_194_901, now, config)
 
 
-def test_cursor_column_agrees_with_the_scalar(spark):
-    config = InboxConfig()
-    nows = [0, 64, 65, 69, 70, 1_000_000_080]
-    df = spark.createDataFrame([(n,) for n in nows], "now bigint")
-    got = [r.c for r in df.select(cursor_when_keeping_up(F.col("now"), config).alias("c")).collect()]
-    assert got == [max(0, last_sealed_bucket(n, config)) for n in nows]
-
-
 @pytest.mark.parametrize("n", [1, 2, GAP_FAN_OUT, GAP_FAN_OUT + 1, 3 * GAP_FAN_OUT + 7])
 def test_window_range_is_complete(spark, n):
     bounds = spark.sql(f"SELECT 1000L AS first, 1000L + {(n - 1) * 5}L AS last")

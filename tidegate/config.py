@@ -18,7 +18,10 @@ class InboxConfig:
     folder holds at least some hundred megabytes. ``rebalance_writes`` spends one
     exchange per micro-batch on evenly sized files; without it every task writes a
     file per folder it meets. ``max_windows_per_run`` bounds one run of a drain, not
-    the drain: runs follow each other until nothing sealed is left.
+    the drain: runs follow each other until nothing sealed is left. ``late_output`` makes
+    drains log the keys they emit, which the late output compares with.
+    ``idle_seconds`` is how far a source partition may fall behind the stream's newest
+    reception before it no longer holds back the stream clock; None lets it do so for ever.
     """
 
     window_seconds: int = 5
@@ -35,6 +38,8 @@ class InboxConfig:
     max_lag: int = 10_000
     rebalance_writes: bool = True
     window_warn_bytes: int = 100 * 1024 * 1024
+    late_output: bool = False
+    idle_seconds: int | None = None
 
     def __post_init__(self) -> None:
         if self.window_seconds <= 0:
@@ -45,6 +50,8 @@ class InboxConfig:
             raise ValueError(f"bootstrap must be {LATEST} or {CONFIGURED}")
         if not self.drain_id or "/" in self.drain_id:
             raise ValueError("drain_id must be a non-empty path-safe name")
+        if self.idle_seconds is not None and self.idle_seconds < 0:
+            raise ValueError("idle_seconds must be >= 0")
         for name in (
             "storage_seconds",
             "inbox_ttl_seconds",

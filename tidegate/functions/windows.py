@@ -37,12 +37,6 @@ def last_sealed_bucket(now_epoch: int, config: InboxConfig) -> int:
     return horizon // config.window_seconds * config.window_seconds
 
 
-def cursor_when_keeping_up(now_epoch: Column, config: InboxConfig) -> Column:
-    """Cursor at ``now_epoch`` of a drainer that never falls behind; 0 before the first seal."""
-    horizon = now_epoch - F.lit(config.window_seconds + config.allowed_lateness_seconds)
-    return F.greatest(F.lit(0), bucket_of_seconds(horizon, config.window_seconds))
-
-
 def latest_cursor(now_epoch: int, config: InboxConfig) -> int:
     """Cursor that makes the newest sealed window the first one to drain; 0 if none is sealed."""
     newest = last_sealed_bucket(now_epoch, config)

@@ -5,27 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegate.config import CONFIGURED, InboxConfig
 from tidegate.functions.envelope import decode, is_blank
-from tidegate.functions.windows import cursor_when_keeping_up, seal_time, window_bucket
+from tidegate.functions.windows import seal_time, window_bucket
 from tidegate.operators import latency as latency_ops
 from tidegate.operators import progress as ledger_ops
 from tidegate.operators import window_queries as win
+from tidegate.operators.clock import stream_clock
 from tidegate.operators.lag import lag_summary, offset_lag
-from tidegate.operators.latest import dedup_stats, key_counts, key_lookup, upsert_latest
+from tidegate.operators.latest import dedup_stats, key_lookup, upsert_latest
 from tidegate.operators.outcomes import (
     dead_letter_summary,
     dead_letters,
-    ingest_counters,
     is_late,
     valid_events,
     with_ingest_time,
 )
-from tidegate.plans.drain import drain, ordered_events, replay_windows, window_ledger
-from tidegate.schema import EVENT, EVENT_KEY
+from tidegate.plans.drain import drain, drain_by_stream_clock, ordered_events, replay_windows, window_ledger
+from tidegate.plans.late_output import emit_late, late_name
+from tidegate.schema import COUNTERS, EVENT, EVENT_KEY
 from tidegate.session import configure, cut_lineage, fresh_dir
 from tidegate.sinks.window_files import LINE_NAMES, json_files, line_json, parquet_files
 from tidegate.sources.deliveries import file_batch
@@ -33,6 +35,7 @@ from tidegate.sources.offsets import next_offsets
 from tidegate.sources.store import InboxStore
 from tidegate.sources.synthetic import deliveries, read_events, stream_events
 from tidegate.streaming.ingest import ingest_batch, stream_ingest
+from tidegate.streaming.monitor import IngestMonitor, stream_throughput
 from tidegate.streaming.sealing import seal_by_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +58,12 @@ NOW = 1_705_406_460
 AFTER = 1_706_745_600
 # This source partition is down until after the drain: all its deliveries are late.
 LATE_PARTITION = 4
+# Of these source partitions one stops two days before NOW, the other is read to its end; the rest up to NOW.
+BEHIND_PARTITION, AHEAD_PARTITION = 1, 2
+BEHIND_UNTIL = NOW - 2 * 86_400
+# Between NOW and the end of the events lie more than 14 days, between the stopped partition and it more than 16.
+IDLE_SECONDS = 15 * 86_400
+LATE_TTL = 10 * 86_400
 
 CATALOG: dict[str, Query] = {}
 
@@ -103,21 +112,91 @@ def _history(spark: SparkSession, sf_dir: str) -> InboxStore:
 
 
 # Stores that several queries read and none changes, one per session and input: the text is parsed and drained once.
-_OUTAGES: dict[tuple[str, str], tuple[InboxStore, str]] = {}
+_STORES: dict[tuple[str, str, str], object] = {}
 
 
-def _outage(spark: SparkSession, sf_dir: str) -> tuple[InboxStore, str]:
-    """An hourly inbox drained at NOW, after which the late partition was ingested; and the drained files."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _OUTAGES:
-        rows = _deliveries(spark, sf_dir)
-        store, files = InboxStore(spark, fresh_dir(spark, "inbox"), HOURLY), fresh_dir(spark, "windows")
-        ingest_batch(store, rows.where(F.col("partition") != LATE_PARTITION), "in-time", F.col("timestamp"))
-        store = _from_first(store)
-        drain(store, parquet_files(files), NOW, NOW)
-        ingest_batch(store, rows.where(F.col("partition") == LATE_PARTITION), "late", F.col("timestamp"))
-        _OUTAGES[key] = (store, files)
-    return _OUTAGES[key]
+def _shared(spark: SparkSession, sf_dir: str, make: Callable[[SparkSession, str], object]):
+    key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
+    if key not in _STORES:
+        _STORES[key] = make(spark, sf_dir)
+    return _STORES[key]
+
+
+def _at(epoch: int) -> Column:
+    """The time of a read."""
+    return F.timestamp_seconds(F.lit(epoch))
+
+
+def _discard(events: DataFrame, windows: DataFrame, drain_id: str) -> None:
+    """A sink that only has the events computed."""
+    events.write.format("noop").mode("overwrite").save()
+
+
+def _hourly_outage(spark: SparkSession, sf_dir: str) -> InboxStore:
+    """An hourly inbox drained at NOW, after which the late partition was ingested."""
+    rows = _deliveries(spark, sf_dir)
+    store = InboxStore(spark, fresh_dir(spark, "inbox"), HOURLY)
+    ingest_batch(store, rows.where(F.col("partition") != LATE_PARTITION), "in-time", F.col("timestamp"))
+    store = _from_first(store)
+    drain(store, _discard, NOW, NOW)
+    ingest_batch(store, rows.where(F.col("partition") == LATE_PARTITION), "late", F.col("timestamp"))
+    return store
+
+
+def _outage(spark: SparkSession, sf_dir: str) -> InboxStore:
+    return _shared(spark, sf_dir, _hourly_outage)
+
+
+def _streamed_outage(spark: SparkSession, sf_dir: str) -> InboxStore:
+    """An inbox of 5-second windows drained at NOW; then the late partition comes as a stream whose first attempt fails."""
+    rows = _deliveries(spark, sf_dir).where(F.col("partition") != LATE_PARTITION)
+    store = InboxStore(spark, fresh_dir(spark, "inbox"), replace(NARROW, late_output=True))
+    ingest_batch(store, rows, "in-time", F.col("timestamp"))
+    store = _from_first(store, max_windows_per_run=1_000_000)
+    drain(store, _discard, NOW, NOW)
+
+    attempts = []
+
+    def down_at_first(letters: DataFrame) -> None:
+        attempts.append(1)
+        if len(attempts) == 1:
+            raise OSError("dead letter topic is down")
+
+    stream = deliveries(stream_events(spark, sf_dir)).where(F.col("partition") == LATE_PARTITION)
+    offsets, monitor = fresh_dir(spark, "offsets"), IngestMonitor(store)
+    for _ in range(2):
+        run = stream_ingest(
+            stream, store, offsets, lambda: F.col("timestamp"), dead_letter_sink=down_at_first, monitor=monitor
+        )
+        try:
+            run.awaitTermination()
+        except StreamingQueryException:
+            # The failure is what the counter is for; the next run replays the batch.
+            continue
+        monitor.collect(run)
+    monitor.flush()
+    return store
+
+
+def _narrow_outage(spark: SparkSession, sf_dir: str) -> InboxStore:
+    return _shared(spark, sf_dir, _streamed_outage)
+
+
+def _uneven_store(spark: SparkSession, sf_dir: str) -> InboxStore:
+    """An hourly inbox in which one source partition has stopped early and one is far ahead."""
+    until = (
+        F.when(F.col("partition") == BEHIND_PARTITION, BEHIND_UNTIL)
+        .when(F.col("partition") == AHEAD_PARTITION, AFTER)
+        .otherwise(NOW)
+    )
+    store = InboxStore(spark, fresh_dir(spark, "inbox"), HOURLY)
+    rows = _deliveries(spark, sf_dir).where(F.unix_seconds("timestamp") < until)
+    ingest_batch(store, rows, "batch-0", F.col("timestamp"))
+    return _from_first(store)
+
+
+def _uneven(spark: SparkSession, sf_dir: str) -> InboxStore:
+    return _shared(spark, sf_dir, _uneven_store)
 
 
 def _plain_columns() -> list[Column | str]:
@@ -170,14 +249,14 @@ def scan_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("scan_progress")
 def scan_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored ledger of a drain."""
-    store, _ = _outage(spark, sf_dir)
+    store = _outage(spark, sf_dir)
     return store.progress().withColumn("drained_at", F.unix_seconds("drained_at"))
 
 
 @query("scan_dead_letters")
 def scan_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first stored dead letters by partition and offset."""
-    store, _ = _outage(spark, sf_dir)
+    store = _outage(spark, sf_dir)
     letters = store.dead_letters().select("key", "value", "partition", "offset")
     return letters.orderBy("partition", "offset").limit(20)
 
@@ -317,13 +396,12 @@ def blank_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("key_lookup")
-def lookup_most_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full-key lookup of the most redelivered event, in the storage folder of its window: one stored row."""
-    store, _ = _outage(spark, sf_dir)
-    order = [F.col("copies").desc(), *EVENT_KEY]
-    key = key_counts(store.accepted()).orderBy(*order).limit(1).first()
-    events = store.accepted(key.window_bucket, key.window_bucket)
-    found = key_lookup(events, *[F.lit(key[c]) for c in EVENT_KEY])
+def lookup_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full-key lookup of event 50, which is sent three times: one stored row, found in one storage folder."""
+    store = _narrow_outage(spark, sf_dir)
+    sent = read_events(spark, sf_dir).where("event_id = 50").select(F.unix_millis(F.col("ts").cast("timestamp")).alias("ms")).first()
+    bucket = sent.ms // 1000 // 5 * 5
+    found = key_lookup(store.accepted(bucket, bucket), F.lit(bucket), F.timestamp_millis(F.lit(sent.ms)), F.lit("50"))
     return found.withColumn("event_ts_ms", F.unix_millis("event_ts")).drop("event_ts")
 
 
@@ -343,16 +421,16 @@ def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("replay_range")
 def replay_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored events of every window from a start window on; earlier storage folders are not read."""
-    store, _ = _outage(spark, sf_dir)
+    store = _outage(spark, sf_dir)
     return _keys(store.inbox(first=NOW // HOURLY.window_seconds * HOURLY.window_seconds))
 
 
 @query("inbox_ttl")
 def inbox_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An ordinary read a day and a half after NOW: writes older than a day are hidden, also in shared folders."""
-    store, _ = _outage(spark, sf_dir)
+    store = _outage(spark, sf_dir)
     short = replace(store, config=replace(store.config, inbox_ttl_seconds=86_400))
-    return _keys(short.inbox(now=F.timestamp_seconds(F.lit(NOW + 129_600))))
+    return _keys(short.inbox(now=_at(NOW + 129_600)))
 
 
 # -- ledger against inbox ----------------------------------------------------
@@ -361,27 +439,28 @@ def inbox_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("late_arrivals")
 def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes of the late batch at or behind the cursor the ledger held when they came."""
-    store, _ = _outage(spark, sf_dir)
+    store = _narrow_outage(spark, sf_dir)
     cursor = store.last_drained(store.config.drain_id)
-    late = ledger_ops.late_arrivals(store.accepted().where(F.col("segment") == "late"), cursor)
+    late = ledger_ops.late_arrivals(store.live(_at(AFTER)).where(F.col("segment") != "in-time"), cursor)
     return late.select("offset", "event_id", "window_bucket")
 
 
 @query("late_behind_ledger")
 def late_behind_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored events at or behind the cursor the ledger holds."""
-    store, _ = _outage(spark, sf_dir)
+    store = _narrow_outage(spark, sf_dir)
     cursor = ledger_ops.cursor_of(store.progress(), store.config.drain_id)
-    return _keys(ledger_ops.late_arrivals(store.inbox(), cursor))
+    return _keys(ledger_ops.late_arrivals(store.inbox(now=_at(AFTER)), cursor))
 
 
 @query("late_data_kept")
 def late_data_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Late events stay in their natural window: on-time and late rows per window."""
-    cursor = cursor_when_keeping_up(F.unix_seconds("ingest_time"), HOURLY)
-    events = _events(spark, sf_dir, HOURLY).withColumn("late", is_late(F.col("window_bucket"), cursor))
-    return events.groupBy("window_bucket").agg(
-        F.count("*").alias("writes"), F.count_if("late").alias("late_writes")
+    """Late events stay in their natural window: all writes, and those that came after the window's drain."""
+    store = _narrow_outage(spark, sf_dir)
+    cursor = store.last_drained(store.config.drain_id)
+    after = (F.col("segment") != "in-time") & is_late(F.col("window_bucket"), cursor)
+    return store.live(_at(AFTER)).groupBy("window_bucket").agg(
+        F.count("*").alias("writes"), F.count_if(after).alias("late_writes")
     )
 
 
@@ -397,35 +476,67 @@ def windows_gapfilled_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("undrained_windows")
 def undrained_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store, _ = _outage(spark, sf_dir)
-    windows = win.window_counts(store.accepted()).select("window_bucket", "event_count")
+    store = _outage(spark, sf_dir)
+    windows = win.window_counts(store.live(_at(AFTER))).select("window_bucket", "event_count")
     return ledger_ops.undrained_windows(windows, store.progress(), store.config.drain_id)
 
 
 @query("drain_reconcile")
 def drain_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger against the inbox without the first day, which has expired since."""
-    store, _ = _outage(spark, sf_dir)
-    kept = store.accepted(first=store.config.start_bucket + 86_400)
-    return ledger_ops.drain_reconcile(kept, store.progress(), store.config.drain_id)
+    """The ledger against the inbox at NOW, with a retention that has just ended for what came on the first day."""
+    store = _outage(spark, sf_dir)
+    retention = NOW - (store.config.start_bucket + 86_400)
+    short = replace(store, config=replace(store.config, inbox_ttl_seconds=retention))
+    rows = short.live(_at(NOW))
+    return ledger_ops.drain_reconcile(rows, store.progress(), store.config.drain_id)
 
 
 @query("late_side_output")
 def late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored events of drained windows that the drained files do not hold."""
-    store, files = _outage(spark, sf_dir)
-    emitted = spark.read.schema(EVENT).parquet(f"{files}/drain_id={store.config.drain_id}")
-    late = ledger_ops.late_side_output(store.accepted(), emitted, store.progress(), store.config.drain_id)
+    """Stored events of drained windows that the log of emitted keys does not hold."""
+    store = _narrow_outage(spark, sf_dir)
+    drain_id = store.config.drain_id
+    late = ledger_ops.late_side_output(store.live(_at(AFTER)), store.emitted(drain_id), store.progress(), drain_id)
     return _plain(late)
 
 
+@query("late_output_ticks")
+def late_output_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late events as two ticks emit them: half of the late partition, then all of it again with an in-time one.
+
+    What has expired by then comes out of neither.
+    """
+    rows = _deliveries(spark, sf_dir)
+    late = rows.where(F.col("partition") == LATE_PARTITION)
+    store = InboxStore(spark, fresh_dir(spark, "inbox"), replace(NARROW, late_output=True))
+    ingest_batch(store, rows.where(F.col("partition") != LATE_PARTITION), "in-time", F.col("timestamp"))
+    store = _from_first(store, max_windows_per_run=1_000_000)
+    drain(store, _discard, NOW, NOW)
+    path = fresh_dir(spark, "late")
+    short = replace(store, config=replace(store.config, inbox_ttl_seconds=LATE_TTL))
+
+    def log(events: DataFrame, windows: DataFrame, drain_id: str) -> None:
+        events.select(*EVENT_KEY).write.mode("overwrite").parquet(f"{path}/run={drain_id}")
+
+    ingest_batch(store, late.where("offset div 3 % 4 < 2"), "late-1", F.col("timestamp"))
+    emit_late(short, log, NOW)
+    again = rows.where(F.col("partition").isin(LATE_PARTITION, 0))
+    ingest_batch(store, again, "late-2", F.col("timestamp"))
+    emit_late(short, log, NOW)
+    emit_late(short, log, NOW)
+    names = [late_name(store.config.drain_id, tick) for tick in range(2)]
+    found = spark.read.schema("window_bucket bigint, event_ts timestamp, event_id string, run string").parquet(path)
+    tick = F.when(F.col("run") == names[0], 0).when(F.col("run") == names[1], 1)
+    return found.select(tick.alias("tick"), "window_bucket", F.unix_millis("event_ts").alias("event_ts_ms"), "event_id")
+
+
 # -- lag ---------------------------------------------------------------------
 
 
 def _lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _deliveries(spark, sf_dir)
-    processed = F.unix_seconds("timestamp") < NOW
-    return offset_lag(next_offsets(rows, processed), next_offsets(rows))
+    """Offsets the store has recorded while ingesting against the ends of the source."""
+    committed = _uneven(spark, sf_dir).partitions().withColumnRenamed("next_offset", "offset")
+    return offset_lag(committed, next_offsets(_deliveries(spark, sf_dir)))
 
 
 @query("offset_lag")
@@ -438,6 +549,21 @@ def lag_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lag_summary(_lag(spark, sf_dir), NARROW)
 
 
+@query("stream_throughput")
+def reported_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the streaming query reported about its batches: one batch over all source rows, at some rate."""
+    rates = stream_throughput(_narrow_outage(spark, sf_dir).rates())
+    return rates.select("batches", F.col("deliveries").alias("source_rows"), (F.col("per_second") > 0).alias("has_rate"))
+
+
+@query("stream_clock")
+def source_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream clock with the stopped source partition, and without it once it counts as idle."""
+    partitions = _uneven(spark, sf_dir).partitions()
+    waiting = stream_clock(partitions).withColumn("idle_seconds", F.lit(None).cast("bigint"))
+    return waiting.unionByName(stream_clock(partitions, IDLE_SECONDS).withColumn("idle_seconds", F.lit(IDLE_SECONDS).cast("bigint")))
+
+
 # -- aggregations ------------------------------------------------------------
 
 
@@ -458,8 +584,9 @@ def last_drained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ingest_counters")
 def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cursor = cursor_when_keeping_up(F.unix_seconds("ingest_time"), NARROW)
-    return ingest_counters(_decoded(spark, sf_dir), cursor)
+    """The stored counters of all batches: the late ones met the ledger's cursor, one attempt at a batch failed."""
+    stored = _narrow_outage(spark, sf_dir).metrics()
+    return stored.agg(*[F.sum(c).alias(c) for c in COUNTERS])
 
 
 @query("throughput")
@@ -498,7 +625,7 @@ def upsert_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ordered_window")
 def ordered_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drain order as a position inside each window."""
-    store, _ = _outage(spark, sf_dir)
+    store = _outage(spark, sf_dir)
     return win.drain_position(store.inbox()).select("window_bucket", "event_id", "position")
 
 
@@ -594,13 +721,9 @@ def stream_ingest_inbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_ingest_metrics")
 def stream_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = InboxStore(spark, fresh_dir(spark, "inbox"), NARROW)
-    stream = deliveries(stream_events(spark, sf_dir))
-    run = stream_ingest(stream, store, fresh_dir(spark, "offsets"), lambda: F.col("timestamp"))
-    run.awaitTermination()
-    return store.metrics().agg(
-        *[F.sum(c).alias(c) for c in ("success", "parse_error", "late_arrival")]
-    )
+    """Counters of the streamed late partition: its writes behind the drain cursor are counted as late."""
+    stored = _narrow_outage(spark, sf_dir).metrics().where(F.col("segment") != "in-time")
+    return stored.agg(*[F.sum(c).alias(c) for c in ("success", "parse_error", "late_arrival")])
 
 
 @query("drain_cycle")
@@ -639,15 +762,22 @@ def bootstrap_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("rule", "bucket", (F.col("bucket") == F.col("ledger_first")).alias("is_ledger_first"))
 
 
+@query("drain_by_stream_clock")
+def drained_by_stream_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledgers of drains that seal by the stream clock: held back by the stopped partition, and with it idle."""
+    store = _uneven(spark, sf_dir)
+    patient = replace(store, config=replace(store.config, drain_id="patient"))
+    drain_by_stream_clock(patient, _discard, AFTER, AFTER, expected=6)
+    hasty = replace(store, config=replace(store.config, drain_id="hasty", idle_seconds=IDLE_SECONDS))
+    drain_by_stream_clock(hasty, _discard, AFTER, AFTER)
+    return store.progress().select("drain_id", "window_bucket", "event_count")
+
+
 @query("drain_backlog")
 def drain_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A month of 5-second windows in one drain whose runs are far shorter: every window is recorded."""
     store = _from_first(_stored(spark, sf_dir, NARROW), max_windows_per_run=120_000)
-
-    def discard(events: DataFrame, windows: DataFrame, drain_id: str) -> None:
-        events.write.format("noop").mode("overwrite").save()
-
-    drain(store, discard, AFTER, AFTER)
+    drain(store, _discard, AFTER, AFTER)
     return store.progress().select("window_bucket", "event_count")
 
 
@@ -681,10 +811,11 @@ def replayed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("split_large_windows")
 def split_large_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tasks of an average window's size: larger windows spread over several and still drain whole."""
-    store, _ = _outage(spark, sf_dir)
-    sizes = win.window_counts(store.accepted()).agg(F.ceil(F.avg("deliveries")).alias("a"), F.sum("deliveries").alias("d"))
+    store = _outage(spark, sf_dir)
+    rows = store.live(_at(AFTER))
+    sizes = win.window_counts(rows).agg(F.ceil(F.avg("deliveries")).alias("a"), F.sum("deliveries").alias("d"))
     size = sizes.first()
-    return _keys(ordered_events(store.accepted(), size["d"], replace(HOURLY, rows_per_file=size["a"])))
+    return _keys(ordered_events(rows, size["d"], replace(HOURLY, rows_per_file=size["a"])))
 
 
 @query("seal_by_event_time")

@@ -12,7 +12,7 @@ from tidegate.config import InboxConfig
 from tidegate.functions.windows import bootstrap_cursor, last_sealed_bucket
 from tidegate.operators.latest import upsert_latest
 from tidegate.operators.window_queries import fill_gaps, ordered_window, window_counts
-from tidegate.schema import EVENT_COLUMNS, ORIGIN_COLUMNS
+from tidegate.schema import EVENT_COLUMNS, EVENT_KEY, ORIGIN_COLUMNS
 from tidegate.session import cut_lineage
 from tidegate.sinks.window_files import WindowSink
 from tidegate.sources.store import InboxStore
@@ -75,6 +75,9 @@ def drain_span(
         F.count("*").alias("w"), F.sum("event_count").alias("e"), F.sum("deliveries").alias("d")
     ).first()
     sink(ordered_events(rows, totals["d"], config), windows.select("window_bucket", "event_count"), drain_id)
+    if config.late_output:
+        # The same files as the sink's events: the listing was made once.
+        store.append_emitted(rows.select(*EVENT_KEY).distinct(), drain_id, f"drain-{first}-{last}")
     drained_at = int(time.time() * 1000) if drained_at_epoch is None else drained_at_epoch * 1000
     store.append_progress(
         windows.select(
@@ -94,28 +97,49 @@ def drain(
     sink: WindowSink,
     now_epoch: int | None = None,
     drained_at_epoch: int | None = None,
+    seal_at_epoch: int | None = None,
 ) -> DrainRun:
     """One cycle: resume or bootstrap the cursor, drain all that is sealed at ``now_epoch``.
 
     Works in runs of at most ``max_windows_per_run`` windows, ascending, and records each
     before the next begins: when one fails, the windows of the earlier runs stay recorded.
+    ``seal_at_epoch`` seals by another clock than the one retention follows.
     """
     config = store.config
     now_epoch = int(time.time()) if now_epoch is None else now_epoch
+    seal_at = now_epoch if seal_at_epoch is None else seal_at_epoch
     last = store.last_drained(config.drain_id, now_epoch)
-    cursor = bootstrap_cursor(last, now_epoch, config)
-    first, newest = sealed_span(cursor, now_epoch, config)
+    cursor = bootstrap_cursor(last, seal_at, config)
+    first, newest = sealed_span(cursor, seal_at, config)
     windows = events = 0
     start = first
     while True:
         run = drain_span(store, first, newest, sink, config.drain_id, now_epoch, drained_at_epoch)
         windows, events = windows + run.windows, events + run.events
-        following, newest = sealed_span(newest, now_epoch, config) if newest >= first else (first, newest)
+        following, newest = sealed_span(newest, seal_at, config) if newest >= first else (first, newest)
         if newest < following:
             return DrainRun(config.drain_id, start, run.last, windows, events)
         first = following
 
 
+def drain_by_stream_clock(
+    store: InboxStore,
+    sink: WindowSink,
+    now_epoch: int | None = None,
+    drained_at_epoch: int | None = None,
+    expected: int | None = None,
+) -> DrainRun | None:
+    """One cycle that seals a window once every source partition, idle ones aside, has passed it by the lateness.
+
+    A source that is behind, as after an outage, delays its windows instead of finding
+    them drained. Returns None as long as the clock is not known.
+    """
+    clock = store.stream_clock(expected)
+    if clock is None:
+        return None
+    return drain(store, sink, now_epoch, drained_at_epoch, clock)
+
+
 def replay_windows(
     store: InboxStore,
     sink: WindowSink,

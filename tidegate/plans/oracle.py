@@ -7,7 +7,16 @@ the payload itself is the answer.
 
 from __future__ import annotations
 
-from tidegate.plans.catalog import AFTER, LATE_PARTITION, NOW
+from tidegate.plans.catalog import (
+    AFTER,
+    AHEAD_PARTITION,
+    BEHIND_PARTITION,
+    BEHIND_UNTIL,
+    IDLE_SECONDS,
+    LATE_PARTITION,
+    LATE_TTL,
+    NOW,
+)
 
 LATE_AFTER = 60
 
@@ -35,8 +44,7 @@ d AS (
 ),
 ok AS (
   SELECT *, coalesce(request, '') AS request_name, coalesce(address, '') AS client_address,
-    ingest_ms // 1000 >= window_bucket + {w + LATE_AFTER} AS late,
-    ingest_ms // 1000 < window_bucket + {w + LATE_AFTER} AS in_time
+    "partition" = {LATE_PARTITION} AND window_bucket <= {(NOW - w - LATE_AFTER) // w * w} AS late
   FROM d WHERE kind NOT IN (13, 29, 41, 53)
 ),
 k AS (
@@ -131,10 +139,10 @@ N, H = _deliveries(5), _deliveries(3600)
 INBOX = N + f"SELECT {PLAIN} FROM u"
 LETTERS = N + f"""SELECT CAST(event_id AS VARCHAR) AS key, {TEXT} AS value, {REASON} AS reason,
   'cloud-events' AS topic, "partition", "offset" FROM d WHERE kind IN (13, 29, 41, 53)"""
-COUNTERS = N + """SELECT (SELECT count(*) FROM ok) AS success,
-  (SELECT count(*) FROM d) - (SELECT count(*) FROM ok) AS parse_error, """
+# The deliveries of the store in which one source partition has stopped and one is ahead.
+UNEVEN = f"""CASE "partition" WHEN {BEHIND_PARTITION} THEN {BEHIND_UNTIL} WHEN {AHEAD_PARTITION} THEN {AFTER} ELSE {NOW} END"""
 LAG = N + f""", c AS (
-  SELECT "partition", max("offset") + 1 AS committed_offset FROM d WHERE ingest_ms // 1000 < {NOW} GROUP BY ALL
+  SELECT "partition", max("offset") + 1 AS committed_offset FROM d WHERE ingest_ms // 1000 < {UNEVEN} GROUP BY ALL
 ), e AS (
   SELECT "partition", max("offset") + 1 AS end_offset FROM d GROUP BY ALL
 ), lag AS (
@@ -143,6 +151,20 @@ LAG = N + f""", c AS (
   FROM c JOIN e USING ("partition")
 )
 """
+CLOCK = H + f""", i AS (
+  SELECT * FROM ok WHERE ingest_ms // 1000 < {UNEVEN}
+), seen AS (
+  SELECT "partition", max(ingest_ms) AS last_seen FROM d WHERE ingest_ms // 1000 < {UNEVEN} GROUP BY ALL
+), high AS (
+  SELECT "partition", max(event_ts_ms) // 1000 AS high FROM i GROUP BY ALL
+), clock AS (
+  SELECT CAST(NULL AS BIGINT) AS idle_seconds, min(high) AS clock, count(*) AS partitions FROM high
+  UNION ALL
+  SELECT {IDLE_SECONDS}, min(high) FILTER (WHERE last_seen >= (SELECT max(last_seen) FROM seen) - {IDLE_SECONDS * 1000}),
+    count(*)
+  FROM high JOIN seen USING ("partition")
+)
+"""
 
 ORACLE: dict[str, str] = {
     "scan_deliveries": N
@@ -182,21 +204,19 @@ ORACLE: dict[str, str] = {
     "reject_reasons": N
     + f"SELECT {REASON} AS reason, count(*) AS deliveries FROM d WHERE kind IN (13, 29, 41, 53) GROUP BY ALL",
     "blank_id": "SELECT event_id, event_id % 4 <> 3 AS blank FROM events",
-    "key_lookup": H
+    "key_lookup": N
     + """SELECT window_bucket, event_ts_ms, event_id, CAST(1 AS BIGINT) AS stored_rows, copies
-      FROM k ORDER BY copies DESC, window_bucket, event_ts_ms, event_id LIMIT 1""",
+      FROM k WHERE event_id = '50'""",
     "sealed_windows": N
     + f"""SELECT window_bucket, count(*) AS event_count, CAST(sum(copies) AS BIGINT) AS deliveries,
       window_bucket + 65 AS sealed_after FROM k WHERE {NOW} >= window_bucket + 65 GROUP BY ALL""",
     "live_rows": N + f"SELECT {KEYS} FROM u WHERE ingest_ms > CAST({NOW} - 86400 AS BIGINT) * 1000",
     "replay_range": H + f"SELECT {KEYS} FROM u WHERE window_bucket >= {NOW} // 3600 * 3600",
     "inbox_ttl": H + f"SELECT {KEYS} FROM u WHERE ingest_ms > CAST({NOW} + 129600 - 86400 AS BIGINT) * 1000",
-    "late_arrivals": H
-    + f"""SELECT "offset", CAST(event_id AS VARCHAR) AS event_id, window_bucket FROM ok
-      WHERE "partition" = {LATE_PARTITION} AND window_bucket <= {(NOW - 3600 - LATE_AFTER) // 3600 * 3600}""",
-    "late_behind_ledger": H
-    + f"SELECT {KEYS} FROM u WHERE window_bucket <= ({NOW} - {3600 + LATE_AFTER}) // 3600 * 3600",
-    "late_data_kept": H
+    "late_arrivals": N + 'SELECT "offset", CAST(event_id AS VARCHAR) AS event_id, window_bucket FROM ok WHERE late',
+    "late_behind_ledger": N
+    + f"SELECT {KEYS} FROM u WHERE window_bucket <= ({NOW} - {5 + LATE_AFTER}) // 5 * 5",
+    "late_data_kept": N
     + """SELECT window_bucket, count(*) AS writes, count(*) FILTER (WHERE late) AS late_writes
       FROM ok GROUP BY ALL""",
     "windows_gapfilled": _gapfilled(3600),
@@ -208,21 +228,28 @@ ORACLE: dict[str, str] = {
     "drain_reconcile": H
     + _ledger(3600, NOW)
     + """, a AS (
-        SELECT window_bucket, count(*) AS actual FROM k
-        WHERE window_bucket >= (SELECT min(window_bucket) + 86400 FROM emitted) GROUP BY ALL)
+        SELECT window_bucket, count(DISTINCT (event_ts_ms, event_id)) AS actual FROM ok
+        WHERE ingest_ms > (SELECT min(window_bucket) + 86400 FROM emitted) * 1000 GROUP BY ALL)
       SELECT window_bucket, event_count AS recorded, coalesce(actual, 0) AS actual,
         coalesce(actual, 0) - event_count AS late_rows
       FROM l FULL JOIN a USING (window_bucket)""",
-    "late_side_output": H
-    + _ledger(3600, NOW)
+    "late_side_output": N
+    + _ledger(5, NOW)
     + f"""SELECT {PLAIN} FROM u
       WHERE window_bucket IN (SELECT window_bucket FROM l)
         AND (window_bucket, event_ts_ms, CAST(event_id AS VARCHAR)) NOT IN
           (SELECT (window_bucket, event_ts_ms, event_id) FROM emitted)""",
+    "late_output_ticks": N
+    + _ledger(5, NOW)
+    + f"""SELECT CAST(CASE WHEN event_id % 4 < 2 THEN 0 ELSE 1 END AS INTEGER) AS tick, {KEYS} FROM u
+      WHERE "partition" = {LATE_PARTITION} AND window_bucket IN (SELECT window_bucket FROM l)
+        AND ingest_ms > CAST({NOW - LATE_TTL} AS BIGINT) * 1000""",
     "offset_lag": LAG + "SELECT * FROM lag",
     "lag_summary": LAG
     + """SELECT max(lag) AS largest_lag, CAST(sum(lag) AS BIGINT) AS total_lag,
       count(*) AS partitions, CAST(10000 AS BIGINT) AS max_lag FROM lag""",
+    "stream_throughput": "SELECT CAST(1 AS BIGINT) AS batches, count(*) AS source_rows, true AS has_rate FROM events",
+    "stream_clock": CLOCK + "SELECT * FROM clock",
     "window_counts": H
     + """SELECT window_bucket, count(*) AS event_count, CAST(sum(copies) AS BIGINT) AS deliveries
       FROM k GROUP BY ALL""",
@@ -230,7 +257,9 @@ ORACLE: dict[str, str] = {
     + f"""SELECT 'primary' AS drain_id, max({(NOW - 3660) // 3600 * 3600}::BIGINT) AS last_bucket FROM k
       UNION ALL
       SELECT 'replay', min(window_bucket) + 864000 FROM k""",
-    "ingest_counters": COUNTERS + "(SELECT count(*) FROM ok WHERE late) AS late_arrival",
+    "ingest_counters": N
+    + """SELECT (SELECT count(*) FROM ok) AS success, (SELECT count(*) FROM d) - (SELECT count(*) FROM ok) AS parse_error,
+      (SELECT count(*) FROM ok WHERE late) AS late_arrival, CAST(1 AS BIGINT) AS write_error""",
     "throughput": N
     + """SELECT count(*) AS deliveries, (max(ingest_ms) - min(ingest_ms)) / 1000 AS elapsed_seconds,
       count(*) / ((max(ingest_ms) - min(ingest_ms)) / 1000) AS per_second FROM ok""",
@@ -260,7 +289,10 @@ ORACLE: dict[str, str] = {
     "pluggable_sink": H + "SELECT window_bucket, operation, count(*) AS events FROM u GROUP BY ALL",
     "record_progress": _drained(str(AFTER)).format(last="max(window_bucket)"),
     "stream_ingest": INBOX,
-    "stream_ingest_metrics": COUNTERS + "CAST(0 AS BIGINT) AS late_arrival",
+    "stream_ingest_metrics": N
+    + f"""SELECT (SELECT count(*) FROM ok WHERE "partition" = {LATE_PARTITION}) AS success,
+      (SELECT count(*) FROM d WHERE "partition" = {LATE_PARTITION} AND kind IN (13, 29, 41, 53)) AS parse_error,
+      (SELECT count(*) FROM ok WHERE late) AS late_arrival""",
     "drain_cycle": _drained(
         f"CASE WHEN span.window_bucket + 3660 <= {NOW} THEN {NOW} ELSE {AFTER} END"
     ).format(last=(AFTER - 3660) // 3600 * 3600),
@@ -277,6 +309,16 @@ ORACLE: dict[str, str] = {
         SELECT unnest(generate_series(min(window_bucket), {(AFTER - 65) // 5 * 5}, 5)) AS window_bucket FROM k)
       SELECT span.window_bucket, count(k.event_id) AS event_count
       FROM span LEFT JOIN k USING (window_bucket) GROUP BY ALL""",
+    "drain_by_stream_clock": CLOCK
+    + """, ends AS (
+        SELECT CASE WHEN idle_seconds IS NULL THEN 'patient' ELSE 'hasty' END AS drain_id,
+          (clock - 3660) // 3600 * 3600 AS last FROM clock
+      ), span AS (
+        SELECT drain_id, unnest(generate_series((SELECT min(window_bucket) FROM i), last, 3600)) AS window_bucket FROM ends
+      ), counted AS (
+        SELECT window_bucket, count(DISTINCT (event_ts_ms, event_id)) AS n FROM i GROUP BY ALL
+      )
+      SELECT drain_id, window_bucket, coalesce(n, 0) AS event_count FROM span LEFT JOIN counted USING (window_bucket)""",
     "drain_order": H
     + "SELECT window_bucket, CAST(row_number() OVER (ORDER BY window_bucket) AS INTEGER) AS nth FROM k GROUP BY window_bucket",
     "replay_windows": H + f"SELECT {KEYS} FROM u WHERE window_bucket >= {NOW // 3600 * 3600}",

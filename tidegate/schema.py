@@ -82,12 +82,46 @@ STORED_FULL = T.StructType(
 
 PROGRESS = _struct(drain_id=STRING, window_bucket=LONG, event_count=LONG, drained_at=TS)
 
+# Counters of one micro-batch, of one failed attempt at it, or of the segments a merged row stands for.
+COUNTERS = ["success", "parse_error", "late_arrival", "write_error"]
 METRICS = _struct(
     segment=STRING,
     success=LONG,
     parse_error=LONG,
     late_arrival=LONG,
+    write_error=LONG,
+    covers=T.ArrayType(STRING),
     recorded_at=TS,
 )
 
+# How far one micro-batch came in each source partition: every column is a maximum, so rows may repeat.
+SOURCE_PARTITIONS = _struct(
+    segment=STRING,
+    topic=STRING,
+    partition=T.IntegerType(),
+    next_offset=LONG,
+    high_event_ts=TS,
+    last_seen=TS,
+)
+
+# What a streaming query reported about one micro-batch; offsets as the source's own JSON.
+RATES = _struct(
+    segment=STRING,
+    rows=LONG,
+    seconds=T.DoubleType(),
+    committed=STRING,
+    latest=STRING,
+    recorded_at=TS,
+)
+
+# Keys a drain or a late output has handed to its sink.
+EMITTED = T.StructType(
+    [
+        *[EVENT[c] for c in EVENT_KEY],
+        T.StructField("drain_id", STRING),
+        T.StructField("storage_bucket", LONG),
+        T.StructField("run", STRING),
+    ]
+)
+
 OFFSETS = _struct(topic=STRING, partition=T.IntegerType(), offset=LONG)

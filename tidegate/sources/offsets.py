@@ -24,12 +24,19 @@ def offsets_frame(spark: SparkSession, offsets: Mapping[str, Mapping[str, int]]
     return spark.createDataFrame(rows, OFFSETS)
 
 
-def progress_offsets(spark: SparkSession, progress: Mapping) -> tuple[DataFrame, DataFrame]:
-    """Committed and end offsets of a Kafka-backed query from its ``lastProgress``."""
-    committed: dict = {}
-    end: dict = {}
+def source_offsets(progress: Mapping) -> tuple[dict, dict]:
+    """Committed and end offsets ``{topic: {partition: offset}}`` of a progress report; other forms are left out."""
+    found: tuple[dict, dict] = ({}, {})
     for source in progress["sources"]:
-        for target, field in ((committed, "endOffset"), (end, "latestOffset")):
+        for target, field in zip(found, ("endOffset", "latestOffset"), strict=True):
             value = source.get(field) or {}
-            target.update(json.loads(value) if isinstance(value, str) else value)
+            value = json.loads(value) if isinstance(value, str) else value
+            if isinstance(value, dict):
+                target.update({topic: parts for topic, parts in value.items() if isinstance(parts, dict)})
+    return found
+
+
+def progress_offsets(spark: SparkSession, progress: Mapping) -> tuple[DataFrame, DataFrame]:
+    """Committed and end offsets of a Kafka-backed query from its ``lastProgress``."""
+    committed, end = source_offsets(progress)
     return offsets_frame(spark, committed), offsets_frame(spark, end)

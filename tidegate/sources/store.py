@@ -4,7 +4,11 @@ Layout below ``root``::
 
     deliveries/outcome=<accepted|rejected>/storage_bucket=<b>/segment=<s>/
     progress/drain_id=<id>/segment=<s>/
-    metrics/
+    emitted/drain_id=<id>/storage_bucket=<b>/run=<r>/
+    late/drain_id=<id>/tick=<n>/
+    metrics/segment=<s>/
+    partitions/segment=<s>/
+    rates/segment=<s>/
 
 One segment holds one micro-batch or one compaction. A segment written twice
 replaces itself, so a replayed micro-batch changes nothing. Readers take the
@@ -19,22 +23,27 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.config import InboxConfig
 from tidegate.functions.windows import storage_bucket
+from tidegate.operators.clock import stream_clock
 from tidegate.operators.latest import upsert_latest
 from tidegate.operators.outcomes import ACCEPTED, REJECTED
 from tidegate.operators.progress import latest_progress, live_progress
 from tidegate.operators.window_queries import live_rows
 from tidegate.schema import (
+    COUNTERS,
+    EMITTED,
     EVENT_COLUMNS,
     EVENT_KEY,
     METRICS,
     ORIGIN_COLUMNS,
     PROGRESS,
+    RATES,
+    SOURCE_PARTITIONS,
     STORED,
     STORED_FULL,
     STORED_PARTITIONS,
@@ -52,9 +61,12 @@ from tidegate.session import (
 COMPACT = "compact"
 MERGED = "merged"
 MAX_LEDGER_SEGMENTS = 64
+# The number of a micro-batch behind the name of its query, and the mark of a failed attempt.
+BATCH_NUMBER = r"-[0-9]{10}$"
+FAILED = ".failed-"
 
 
-def _replace_partitions(rows: DataFrame, columns: list[str], path: str) -> None:
+def _replace_partitions(rows: DataFrame, columns: list[str], path: str, **options: str) -> None:
     """Write rows, replacing exactly the partitions they hold.
 
     Jobs stage their files separately, so several may write below one path at a time.
@@ -62,16 +74,31 @@ def _replace_partitions(rows: DataFrame, columns: list[str], path: str) -> None:
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .options(**options)
         .partitionBy(*columns)
         .parquet(path)
     )
 
 
+# A lookup by id skips the row groups that cannot hold it; the filters adapt to the ids there are.
+ID_FILTER = {"parquet.bloom.filter.enabled#event_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 def storage_time() -> Column:
     """Second by which a delivery is stored: its window, else its source time, which a replay repeats."""
     return F.coalesce("window_bucket", F.unix_seconds("timestamp"), F.lit(0))
 
 
+def latest_rejected(rows: DataFrame) -> DataFrame:
+    """One row per rejected delivery of a storage folder: origin and text name it, the last segment wins.
+
+    Deliveries without an offset cannot be told apart, so all of them stay.
+    """
+    order = Window.partitionBy("storage_bucket", *ORIGIN_COLUMNS, "key", "payload")
+    order = order.orderBy(F.col("ingest_time").desc(), F.col("segment").desc())
+    return rows.withColumn("_rn", F.row_number().over(order)).where("_rn = 1 OR offset IS NULL").drop("_rn")
+
+
 def _between(rows: DataFrame, first: int | None, last: int | None) -> DataFrame:
     if first is not None:
         rows = rows.where(F.col("window_bucket") >= first)
@@ -101,6 +128,18 @@ class InboxStore:
     def metrics_path(self) -> str:
         return f"{self.root}/metrics"
 
+    @property
+    def emitted_path(self) -> str:
+        return f"{self.root}/emitted"
+
+    @property
+    def partitions_path(self) -> str:
+        return f"{self.root}/partitions"
+
+    @property
+    def rates_path(self) -> str:
+        return f"{self.root}/rates"
+
     # -- deliveries ---------------------------------------------------------
 
     def stored_form(self, decoded: DataFrame, segment: str) -> DataFrame:
@@ -136,7 +175,7 @@ class InboxStore:
 
     def write_segment(self, stored: DataFrame) -> None:
         """Write one segment; the same segment written again replaces itself."""
-        _replace_partitions(stored, STORED_PARTITIONS, self.deliveries_path)
+        _replace_partitions(stored, STORED_PARTITIONS, self.deliveries_path, **ID_FILTER)
 
     def _folders(self, outcome: str, first: int | None, last: int | None) -> list[str]:
         """Storage folders that can hold the windows ``first``..``last``."""
@@ -191,43 +230,66 @@ class InboxStore:
         latest = upsert_latest(rows.select(*EVENT_COLUMNS, *ORIGIN_COLUMNS)).select(*EVENT_COLUMNS)
         return latest.unionByName(unique) if merged else latest
 
-    def rejected_segment(self, segment: str, first: int, last: int) -> DataFrame:
-        """Rejected deliveries of one segment, stored for times between two.
+    def segment_rows(self, outcome: str, segment: str, first: int, last: int) -> DataFrame:
+        """Deliveries of one segment, stored for times between two.
 
         The segment is looked up by name in the folders of that span; other segments are not listed.
         """
-        paths = [f"{folder}/segment={segment}" for folder in self._folders(REJECTED, first, last)]
+        paths = [f"{folder}/segment={segment}" for folder in self._folders(outcome, first, last)]
         return self._read_folders([p for p in paths if exists(self.spark, p)])
 
+    def rejected_segment(self, segment: str, first: int, last: int) -> DataFrame:
+        return self.segment_rows(REJECTED, segment, first, last)
+
+    def segment_folders(self, first: int | None = None, last: int | None = None) -> list[str]:
+        """Names ``storage_bucket=<b>/segment=<s>`` of the accepted segments that can hold the windows of a span."""
+        folders = self._folders(ACCEPTED, first, last)
+        return [f"{f.rsplit('/', 1)[1]}/{s}" for f in folders for s in list_dirs(self.spark, f)]
+
+    def read_segments(self, names: list[str]) -> DataFrame:
+        """Every accepted write of segments named by ``segment_folders``."""
+        return self._read_folders([f"{self.deliveries_path}/outcome={ACCEPTED}/{n}" for n in names])
+
     def dead_letters(self) -> DataFrame:
-        return self.read(REJECTED).select(
-            "key", F.col("payload").alias("value"), "reason", *ORIGIN_COLUMNS
-        )
+        """Every dead letter. One that a merge and its inputs both hold comes once, if it has an offset."""
+        merged, mixed = [], []
+        for folder in self._folders(REJECTED, None, None):
+            names = list_dirs(self.spark, folder)
+            held = any(n.startswith(f"segment={COMPACT}") for n in names)
+            (mixed if held and len(names) > 1 else merged).append(folder)
+        rows = self._read_folders(merged)
+        if mixed:
+            rows = rows.unionByName(latest_rejected(self._read_folders(mixed)))
+        return rows.select("key", F.col("payload").alias("value"), "reason", *ORIGIN_COLUMNS)
 
     # -- maintenance --------------------------------------------------------
 
     def compact(self, first: int | None = None, last: int | None = None) -> list[str]:
-        """Merge the segments of each storage folder in the span into one row per key.
+        """Merge the segments of each storage folder in the span: one row per key, every dead letter once.
 
         Returns the superseded folders for ``drop`` to delete once no running
-        job reads them; until then they are only redundant. Writes arriving
+        job reads them; until then the accepted ones are only redundant. Writes arriving
         meanwhile are neither merged nor returned. Range partitioning on the
         unique key gives even, ordered files however uneven the folders are.
         """
-        folders = self._folders(ACCEPTED, first, last)
-        old = [f"{f}/{s}" for f in folders for s in list_dirs(self.spark, f)]
+        return self._merge(ACCEPTED, first, last) + self._merge(REJECTED, first, last)
+
+    def _merge(self, outcome: str, first: int | None, last: int | None) -> list[str]:
+        listed = {f: list_dirs(self.spark, f) for f in self._folders(outcome, first, last)}
+        if outcome == REJECTED:
+            # A folder of one segment has nothing to merge; dead letters have no key that could cut them.
+            listed = {f: names for f, names in listed.items() if len(names) > 1}
+        old = [f"{f}/{name}" for f, names in listed.items() for name in names]
         if not old:
             return []
-        segment = f"{COMPACT}-{uuid.uuid4().hex}"
         rows = self._read_folders(old)
         files = max(1, -(-rows.count() // self.config.rows_per_file))
-        latest = upsert_latest(rows).withColumn("segment", F.lit(segment))
-        ordered = latest.repartitionByRange(files, "storage_bucket", *EVENT_KEY)
-        self.write_segment(
-            ordered.select(*STORED_FULL.fieldNames()).sortWithinPartitions(
-                *STORED_PARTITIONS, *EVENT_KEY
-            )
+        order = EVENT_KEY if outcome == ACCEPTED else ORIGIN_COLUMNS
+        merged = (upsert_latest(rows) if outcome == ACCEPTED else latest_rejected(rows)).withColumn(
+            "segment", F.lit(f"{COMPACT}-{uuid.uuid4().hex}")
         )
+        ordered = merged.select(*STORED_FULL.fieldNames()).repartitionByRange(files, "storage_bucket", *order)
+        self.write_segment(ordered.sortWithinPartitions(*STORED_PARTITIONS, *order))
         return old
 
     def drop(self, folders: list[str]) -> None:
@@ -258,21 +320,46 @@ class InboxStore:
                 if not list_dirs(self.spark, path):
                     delete_dir(self.spark, path)
                 dropped.add(row.storage_bucket)
+        self._expire_emitted(now_epoch)
         self._expire_metrics(now_epoch)
         return sorted(dropped)
 
+    def _expire_emitted(self, now_epoch: int) -> None:
+        """Forget emitted keys of windows older than both retentions: neither rows nor ledger can name them."""
+        config = self.config
+        oldest = now_epoch - max(config.progress_ttl_seconds, config.inbox_ttl_seconds) - config.storage_seconds
+        for drain in list_dirs(self.spark, self.emitted_path):
+            base = f"{self.emitted_path}/{drain}"
+            self.drop([f"{base}/{n}" for n in list_dirs(self.spark, base) if int(n.split("=")[1]) < oldest])
+
     def _expire_metrics(self, now_epoch: int) -> None:
-        """Delete counters older than the ledger's retention and merge the rest into one segment."""
-        listed = [f"{self.metrics_path}/{s}" for s in list_dirs(self.spark, self.metrics_path)]
+        """Delete counters older than the ledger's retention and merge old ones into one row.
+
+        Only the newest batch of a query can come again, so it is never merged: a replay replaces its own
+        row. The merged row names what it stands for, and readers leave that out: a
+        crash before the deletion counts nothing twice.
+        """
+        listed = list_dirs(self.spark, self.metrics_path)
         if len(listed) <= MAX_LEDGER_SEGMENTS:
             return
-        reader = self.spark.read.schema(METRICS).option("basePath", self.metrics_path)
+        # What an interrupted merge has left, ahead of the row that covers it.
+        covered = self._covered_metrics()
+        self.drop([f"{self.metrics_path}/{s}" for s in listed if s.removeprefix("segment=") in covered])
+        rows = self._metrics_rows().withColumn("query", F.regexp_replace("segment", BATCH_NUMBER, ""))
+        newest = Window.partitionBy("query").orderBy(F.col("segment").desc())
+        single = F.col("segment").contains(FAILED) | F.col("segment").startswith(MERGED)
+        done = single | ((F.col("query") != F.col("segment")) & (F.row_number().over(newest) > 1))
         oldest = F.timestamp_seconds(F.lit(now_epoch - self.config.progress_ttl_seconds))
-        kept = cut_lineage(reader.parquet(*listed).where(F.col("recorded_at") > oldest))
-        sums = [F.sum(c).cast("bigint").alias(c) for c in ("success", "parse_error", "late_arrival")]
-        merged = kept.agg(*sums, F.max("recorded_at").alias("recorded_at")).where("recorded_at IS NOT NULL")
+        # One narrow row per batch since the last merge.
+        old = cut_lineage(rows.withColumn("done", done).where("done").withColumn("live", F.col("recorded_at") > oldest))
+        live = old.where("live")
+        sums = [F.sum(c).cast("bigint").alias(c) for c in COUNTERS]
+        merged = live.agg(
+            *sums, F.collect_set("segment").alias("covers"), F.max("recorded_at").alias("recorded_at")
+        ).where("recorded_at IS NOT NULL")
         self.write_metrics(merged.withColumn("segment", F.lit(f"{MERGED}-{uuid.uuid4().hex}")))
-        self.drop(listed)
+        self.drop([f"{self.metrics_path}/segment={r.segment}" for r in old.select("segment").collect()])
+        self._merge_partitions()
 
     # -- ledger -------------------------------------------------------------
 
@@ -353,15 +440,127 @@ class InboxStore:
 
     # -- counters -----------------------------------------------------------
 
+    def _stored(self, path: str, schema: T.StructType) -> DataFrame:
+        if not list_dirs(self.spark, path):
+            return empty_table(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _covered_metrics(self) -> set[str]:
+        """Segments that a merged row stands for, deleted or not: names of one merge, at most."""
+        rows = self._stored(self.metrics_path, METRICS).where(F.col("segment").startswith(MERGED))
+        return {r.s for r in rows.select(F.explode("covers").alias("s")).collect()}
+
+    def _metrics_rows(self) -> DataFrame:
+        rows = self._stored(self.metrics_path, METRICS)
+        covered = rows.select(F.explode("covers").alias("segment"))
+        return rows.join(covered, "segment", "left_anti").select(*METRICS.fieldNames())
+
     def metrics(self) -> DataFrame:
-        """Counters per micro-batch; a replayed batch replaces its own row."""
-        if not exists(self.spark, self.metrics_path):
-            return empty_table(self.spark, METRICS)
-        return self.spark.read.schema(METRICS).parquet(self.metrics_path)
+        """Counters per micro-batch and failed attempt; a replayed batch replaces its own row."""
+        return self._metrics_rows().drop("covers")
 
     def write_metrics(self, row: DataFrame) -> None:
         _replace_partitions(row.select(*METRICS.fieldNames()), ["segment"], self.metrics_path)
 
+    def count_batch(self, segment: str, counters: dict[str, int]) -> None:
+        """Record the counters of one batch."""
+        columns = [F.lit(counters.get(k, 0)).cast("bigint").alias(k) for k in COUNTERS]
+        covers = F.lit(None).cast("array<string>").alias("covers")
+        row = self.spark.range(1).select(F.lit(segment).alias("segment"), *columns, covers, F.current_timestamp().alias("recorded_at"))
+        self.write_metrics(row)
+
+    def count_failure(self, segment: str) -> None:
+        """Record one failed attempt at a batch; every attempt counts."""
+        self.count_batch(f"{segment}{FAILED}{time.time_ns()}", {"write_error": 1})
+
+    # -- source partitions and rates ------------------------------------------
+
+    def write_partitions(self, rows: DataFrame, segment: str) -> None:
+        """Record how far the deliveries of a segment reach in each source partition."""
+        seen = rows.groupBy("topic", "partition").agg(
+            (F.max("offset") + 1).alias("next_offset"),
+            F.max("event_ts").alias("high_event_ts"),
+            F.max("ingest_time").alias("last_seen"),
+        )
+        seen = seen.withColumn("segment", F.lit(segment)).select(*SOURCE_PARTITIONS.fieldNames())
+        _replace_partitions(seen.coalesce(1), ["segment"], self.partitions_path)
+
+    def partitions(self) -> DataFrame:
+        """(topic, partition, next_offset, high_event_ts, last_seen) of every source partition met so far."""
+        rows = self._stored(self.partitions_path, SOURCE_PARTITIONS)
+        return rows.groupBy("topic", "partition").agg(
+            *[F.max(c).alias(c) for c in ("next_offset", "high_event_ts", "last_seen")]
+        )
+
+    def _merge_partitions(self) -> None:
+        """One row per source partition instead of one per batch; repeated rows cannot change a maximum."""
+        listed = list_dirs(self.spark, self.partitions_path)
+        if len(listed) > MAX_LEDGER_SEGMENTS:
+            name = f"{MERGED}-{uuid.uuid4().hex}"
+            rows = cut_lineage(self.partitions()).withColumn("segment", F.lit(name)).select(*SOURCE_PARTITIONS.fieldNames())
+            _replace_partitions(rows.coalesce(1), ["segment"], self.partitions_path)
+            self.drop([f"{self.partitions_path}/{s}" for s in listed])
+
+    def stream_clock(self, expected: int | None = None) -> int | None:
+        """Epoch second up to which every source partition that is not idle has come; None when not known.
+
+        With ``expected`` partitions it stays unknown until all of them have sent an event.
+        """
+        row = stream_clock(self.partitions(), self.config.idle_seconds).first()
+        return None if expected is not None and row["partitions"] < expected else row["clock"]
+
+    def write_rates(self, rows: list[tuple]) -> None:
+        """Record what a streaming query reported, by rows of RATES."""
+        if rows:
+            frame = self.spark.createDataFrame(rows, RATES).coalesce(1)
+            _replace_partitions(frame, ["segment"], self.rates_path)
+
+    def rates(self) -> DataFrame:
+        return self._stored(self.rates_path, RATES)
+
+    # -- late output ----------------------------------------------------------
+
+    def append_emitted(self, keys: DataFrame, drain_id: str, run: str) -> None:
+        """Log keys handed to a sink; the same run logged again replaces itself."""
+        rows = keys.select(
+            *EVENT_KEY,
+            F.lit(drain_id).alias("drain_id"),
+            storage_bucket(F.col("window_bucket"), self.config).alias("storage_bucket"),
+            F.lit(run).alias("run"),
+        ).hint("rebalance", "storage_bucket")
+        _replace_partitions(rows, ["drain_id", "storage_bucket", "run"], self.emitted_path)
+
+    def emitted(self, drain_id: str, buckets: list[int] | None = None) -> DataFrame:
+        """Keys a drain identity and its late output have emitted; only the given storage folders are listed."""
+        base = f"{self.emitted_path}/drain_id={drain_id}"
+        names = list_dirs(self.spark, base)
+        if buckets is not None:
+            names = [n for n in names if int(n.split("=")[1]) in set(buckets)]
+        if not names:
+            return empty_table(self.spark, EMITTED)
+        reader = self.spark.read.schema(EMITTED).option("basePath", self.emitted_path)
+        return reader.parquet(*[f"{base}/{n}" for n in names])
+
+    def _late_path(self, drain_id: str) -> str:
+        return f"{self.root}/late/drain_id={drain_id}"
+
+    def examined_segments(self, drain_id: str) -> tuple[int, set[str]]:
+        """Number of the next late tick, and the segments the ticks before have looked at."""
+        base = self._late_path(drain_id)
+        ticks = [int(n.split("=")[1]) for n in list_dirs(self.spark, base) if exists(self.spark, f"{base}/{n}/_SUCCESS")]
+        if not ticks:
+            return 0, set()
+        rows = self.spark.read.schema("name string").parquet(f"{base}/tick={max(ticks):010d}")
+        # One name per segment the inbox holds now.
+        return max(ticks) + 1, {r.name for r in rows.collect()}
+
+    def mark_examined(self, drain_id: str, tick: int, names: list[str]) -> None:
+        """Record the segments looked at up to a tick, and forget all earlier ticks."""
+        base = self._late_path(drain_id)
+        frame = self.spark.createDataFrame([(n,) for n in names], "name string").coalesce(1)
+        frame.write.mode("overwrite").parquet(f"{base}/tick={tick:010d}")
+        self.drop([f"{base}/{n}" for n in list_dirs(self.spark, base) if int(n.split("=")[1]) < tick])
+
     def register_views(self) -> None:
         """Expose the tables to ``spark.sql``, as stored now: call again to see later segments."""
         self.inbox().createOrReplaceTempView("inbox")

@@ -7,20 +7,32 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegate.plans.drain import drain
+from tidegate.plans.drain import drain, drain_by_stream_clock
+from tidegate.plans.late_output import emit_late
 from tidegate.sinks.window_files import WindowSink
 from tidegate.sources.store import InboxStore
 
 
-def run_drainer(store: InboxStore, sink: WindowSink, checkpoint: str, clock=time.time) -> StreamingQuery:
-    """Drain on every poll interval. One drainer per drain identity may run at a time.
+def run_drainer(
+    store: InboxStore,
+    sink: WindowSink,
+    checkpoint: str,
+    clock=time.time,
+    by_stream_clock: bool = False,
+    late_sink: WindowSink | None = None,
+) -> StreamingQuery:
+    """Drain on every poll interval, then emit late events to ``late_sink``. One drainer per drain identity may run.
 
-    The ledger, not the ticker's checkpoint, says where to continue.
+    ``by_stream_clock`` seals windows by the events received instead of the wall clock. The
+    ledger, not the ticker's checkpoint, says where to continue.
     """
     ticks = store.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
     def run(_: DataFrame, __: int) -> None:
-        drain(store, sink, int(clock()))
+        now = int(clock())
+        (drain_by_stream_clock if by_stream_clock else drain)(store, sink, now)
+        if late_sink is not None:
+            emit_late(store, late_sink, now)
 
     return (
         ticks.writeStream.foreachBatch(run)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
@@ -10,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions.envelope import Parser, decode, envelope_parser
-from tidegate.operators.outcomes import counter_columns, dead_letters, with_ingest_time
-from tidegate.schema import METRICS
+from tidegate.operators.outcomes import ACCEPTED, REJECTED, counter_columns, dead_letters, with_ingest_time
 from tidegate.sources.store import InboxStore, storage_time
+from tidegate.streaming.monitor import IngestMonitor
 
 QUERY_ID = "sql.streaming.queryId"
 
@@ -56,24 +58,37 @@ def ingest_batch(
     decoded = decode(deliveries, config.window_seconds, parser)
     decoded = with_ingest_time(decoded, clock)
     observation = Observation()
-    rejected_at = F.when(F.col("reason").isNotNull(), storage_time())
-    span = [F.min(rejected_at).alias("rejected_from"), F.max(rejected_at).alias("rejected_to")]
+    span = []
+    for outcome, rows in ((ACCEPTED, F.col("reason").isNull()), (REJECTED, F.col("reason").isNotNull())):
+        stored_at = F.when(rows, storage_time())
+        span += [F.min(stored_at).alias(f"{outcome}_from"), F.max(stored_at).alias(f"{outcome}_to")]
     observed = decoded.observe(observation, *counter_columns(cursor), *span)
     store.write_segment(store.stored_form(observed, segment))
     seen = _observed(observation)
     counters = {k: int(seen.get(k) or 0) for k in ("success", "parse_error", "late_arrival")}
+    stored = [
+        store.segment_rows(outcome, segment, seen[f"{outcome}_from"], seen[f"{outcome}_to"])
+        for outcome in (ACCEPTED, REJECTED)
+        if seen.get(f"{outcome}_from") is not None
+    ]
     if dead_letter_sink is not None and counters["parse_error"]:
-        rejected = store.rejected_segment(segment, seen["rejected_from"], seen["rejected_to"])
-        dead_letter_sink(dead_letters(rejected.withColumnRenamed("payload", "value")))
-    row = deliveries.sparkSession.range(1).select(
-        F.lit(segment).alias("segment"),
-        *[F.lit(counters[k]).cast("bigint").alias(k) for k in ("success", "parse_error", "late_arrival")],
-        F.current_timestamp().alias("recorded_at"),
-    )
-    store.write_metrics(row.select(*METRICS.fieldNames()))
+        dead_letter_sink(dead_letters(stored[-1].withColumnRenamed("payload", "value")))
+    if stored:
+        # Narrow columns of what was just written: the text is not parsed again.
+        columns = ["topic", "partition", "offset", "event_ts", "ingest_time"]
+        store.write_partitions(reduce(DataFrame.unionByName, [rows.select(*columns) for rows in stored]), segment)
+    store.count_batch(segment, counters)
     return counters
 
 
+def _count_failure(store: InboxStore, segment: str) -> None:
+    """Count a failed attempt; the failure itself is what the caller raises, also when counting fails too."""
+    try:
+        store.count_failure(segment)
+    except Exception:
+        logging.getLogger(__name__).exception("could not count the failure of %s", segment)
+
+
 def stream_ingest(
     deliveries: DataFrame,
     store: InboxStore,
@@ -82,11 +97,14 @@ def stream_ingest(
     parser: Parser = envelope_parser,
     dead_letter_sink: DeadLetterSink | None = None,
     trigger: dict | None = None,
+    monitor: IngestMonitor | None = None,
 ) -> StreamingQuery:
     """Run ingest on a stream of deliveries.
 
     Offsets move only when the batch function returned. A failed or repeated
     batch runs again under the same segment name, which replaces what it left.
+    Every failed attempt is counted as a write error. ``monitor`` has the rates and
+    offsets of finished batches written to the store.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -95,9 +113,14 @@ def stream_ingest(
             raise RuntimeError("micro-batch without a streaming query id")
         clock = ingest_time() if ingest_time else None
         batch_store = InboxStore(batch.sparkSession, store.root, store.config)
-        ingest_batch(
-            batch_store, batch, f"{query_id}-{batch_id:010d}", clock, parser, dead_letter_sink
-        )
+        segment = f"{query_id}-{batch_id:010d}"
+        if monitor is not None:
+            monitor.flush()
+        try:
+            ingest_batch(batch_store, batch, segment, clock, parser, dead_letter_sink)
+        except Exception:
+            _count_failure(batch_store, segment)
+            raise
 
     writer = deliveries.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
