@@ -1,0 +1,249 @@
+"""Published window files, the drainer's lease, source replay and sketches."""
+
+from __future__ import annotations
+
+import random
+import time
+
+import pytest
+from conftest import deliveries_of, envelope
+from pyspark.sql import functions as F
+from test_store import T0, contents, iso, ledger, make_store, put
+
+from tidegate.config import CONFIGURED, InboxConfig
+from tidegate.operators.sketches import latency_estimates, redelivery_estimates
+from tidegate.plans.drain import drain
+from tidegate.plans.late_output import emit_late
+from tidegate.plans.rebuild import active_store, active_version, drop_superseded, rebuild, same_inbox
+from tidegate.session import list_dirs
+from tidegate.sinks.published_files import PublishedWindows
+from tidegate.sinks.window_files import json_files
+from tidegate.sources.lease import StaleLease, acquire
+from tidegate.streaming.drainer import run_drainer
+from tidegate.streaming.ingest import ingest_batch
+
+CONFIG = {"allowed_lateness_seconds": 10, "bootstrap": CONFIGURED, "start_bucket": T0}
+
+
+def published(spark, tmp_path):
+    return PublishedWindows(spark, str(tmp_path / "out"))
+
+
+def shown(out):
+    windows = {r.window_bucket - T0: r.event_count for r in out.windows("primary").collect()}
+    return windows, [(r.window_bucket - T0, r.event_id) for r in out.read("primary").collect()]
+
+
+def test_windows_appear_whole_and_empty_ones_too(spark, tmp_path):
+    store, out = make_store(spark, tmp_path, **CONFIG), published(spark, tmp_path)
+    assert shown(out) == ({}, [])
+    put(store, [(0, "b", 1), (0, "a", 1), (11, "c", 12)], "b0")
+    drain(store, out, T0 + 25, T0 + 25)
+    assert shown(out) == ({0: 2, 5: 0, 10: 1}, [(0, "a"), (0, "b"), (10, "c")])
+    assert out.read("primary", T0 + 5).count() == 1 and out.read("primary", None, T0 + 5).count() == 2
+    assert out.read("nobody").columns == store.inbox().columns
+
+
+def test_a_kill_between_files_and_manifest_shows_nothing(spark, tmp_path, monkeypatch):
+    store, out = make_store(spark, tmp_path, **CONFIG), published(spark, tmp_path)
+    put(store, [(0, "a", 1)], "b0")
+    with monkeypatch.context() as patch:
+        patch.setattr(PublishedWindows, "_publish", lambda *_: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError, match="killed"):
+            drain(store, out, T0 + 25, T0 + 25)
+    assert shown(out) == ({}, []) and store.progress().count() == 0
+    # A manifest that was being written is not complete either.
+    base = str(tmp_path / "out/manifest/drain_id=primary/name=half")
+    ledger(spark, "primary", [T0], T0).write.parquet(base)
+    (tmp_path / "out/manifest/drain_id=primary/name=half/_SUCCESS").unlink()
+    assert shown(out) == ({}, [])
+    drain(store, out, T0 + 25, T0 + 25)
+    assert shown(out)[1] == [(0, "a")]
+    assert len(out.clean("primary")) == 1 and shown(out)[1] == [(0, "a")]
+
+
+def test_a_window_that_comes_again_replaces_itself(spark, tmp_path):
+    store, out = make_store(spark, tmp_path, **CONFIG), published(spark, tmp_path)
+    put(store, [(0, "a", 1), (6, "b", 7)], "b0")
+    drain(store, out, T0 + 20, T0 + 20)
+    store.forget_progress("primary", T0 + 5)
+    store.drop(store.compact())
+    put(store, [(7, "late", 30)], "b1")
+    drain(store, out, T0 + 20, T0 + 20)
+    expected = ({0: 1, 5: 2}, [(0, "a"), (5, "b"), (5, "late")])
+    windows, rows = shown(out)
+    assert (windows, sorted(rows)) == expected
+    out.merge("primary")
+    assert len(list_dirs(spark, str(tmp_path / "out/manifest/drain_id=primary"))) == 1
+    assert out.clean("primary") == []
+    windows, rows = shown(out)
+    assert (windows, sorted(rows)) == expected
+    # Now empty: its former events are not shown any more, and their folder can go.
+    out(store.inbox().limit(0), spark.createDataFrame([(T0, 0), (T0 + 5, 0)], "window_bucket long, event_count long"), "primary")
+    assert shown(out) == ({0: 0, 5: 0}, [])
+    assert len(out.clean("primary")) == 2
+
+
+# -- lease -------------------------------------------------------------------
+
+
+def test_one_drainer_holds_the_lease(spark, tmp_path):
+    store = make_store(spark, tmp_path, **CONFIG)
+    one = acquire(store, "primary", 10, now=100)
+    assert one.epoch == 1 and acquire(store, "primary", 10, now=109) is None
+    assert acquire(store, "other", 10, now=109).epoch == 1
+    one.renew(now=109)
+    assert acquire(store, "primary", 10, now=118) is None
+    two = acquire(store, "primary", 10, now=120)
+    assert two.epoch == 2
+    with pytest.raises(StaleLease):
+        one.renew(now=121)
+    two.release()
+    assert acquire(store, "primary", 10, now=121).epoch == 3
+
+
+def test_a_stale_epoch_cannot_append(spark, tmp_path):
+    store = make_store(spark, tmp_path, **CONFIG)
+    put(store, [(0, "a", 1), (6, "b", 7)], "b0")
+    one = acquire(store, "primary", 10, now=100)
+
+    def slow(events, windows, drain_id):
+        assert acquire(store, "primary", 10, now=time.time() + 1000).epoch == 2
+
+    with pytest.raises(StaleLease):
+        drain(store, slow, T0 + 20, T0 + 20, lease=one)
+    assert store.progress().count() == 0
+    called = []
+    with pytest.raises(StaleLease):
+        drain(store, lambda *_: called.append(1), T0 + 20, T0 + 20, lease=one)
+    assert called == []
+
+
+def test_a_segment_written_by_a_fenced_holder_is_taken_back(spark, tmp_path, monkeypatch):
+    store = make_store(spark, tmp_path)
+    one = acquire(store, "primary", 10, now=100)
+    plain = type(one).check
+    calls = []
+
+    def check(self):
+        calls.append(1)
+        if len(calls) == 2:
+            acquire(store, "primary", 10, now=time.time() + 1000)
+        plain(self)
+
+    monkeypatch.setattr(type(one), "check", check)
+    with pytest.raises(StaleLease):
+        store.append_progress(ledger(spark, "primary", [T0], T0), lease=one)
+    assert store.last_drained("primary") is None
+
+
+def test_of_two_drainers_one_works_until_it_stops_beating(spark, tmp_path):
+    config = {**CONFIG, "poll_interval_ms": 200, "late_output": True}
+    store = make_store(spark, tmp_path, **config)
+    put(store, [(0, "a", 1)], "b0")
+    other = acquire(store, "primary", 3)
+    late = []
+    query = run_drainer(
+        store, json_files(str(tmp_path / "out")), str(tmp_path / "cp"), lambda: T0 + 20, lease_seconds=3,
+        late_sink=lambda events, *_: late.extend(r.event_id for r in events.collect()),
+    )
+    try:
+        time.sleep(1)
+        assert store.last_drained("primary") is None
+        deadline = time.time() + 90
+        while store.last_drained("primary") is None and time.time() < deadline:
+            time.sleep(0.5)
+        assert store.last_drained("primary") == T0 + 5
+        with pytest.raises(StaleLease):
+            other.check()
+        put(store, [(1, "z", 30)], "b1")
+        while not late and time.time() < deadline:
+            time.sleep(0.5)
+        assert late == ["z"]
+    finally:
+        query.stop()
+
+
+# -- source replay -----------------------------------------------------------
+
+
+def test_a_rebuilt_inbox_is_used_when_it_is_complete(spark, tmp_path):
+    base, config = str(tmp_path / "inboxes"), InboxConfig(**{**CONFIG, "inbox_ttl_seconds": 10**10, "late_output": True})
+    with pytest.raises(ValueError):
+        active_store(spark, base, config)
+    one = rebuild(spark, base, config, lambda s: put(s, [(0, "a", 1)], "b0"))
+    drain(one, lambda *_: None, T0 + 15, T0 + 15)
+
+    def breaks(store):
+        put(store, [(0, "x", 1)], "b0")
+        raise OSError("source is down")
+
+    with pytest.raises(OSError):
+        rebuild(spark, base, config, breaks)
+    assert active_store(spark, base, config).root == one.root
+    two = rebuild(spark, base, config, lambda s: put(s, [(0, "a", 1), (1, "lost", 1), (7, "c", 8)], "b0"))
+    assert active_version(spark, base) == (2, two.root)
+    assert contents(active_store(spark, base, config).inbox()) == [(0, "a", 1), (0, "lost", 1), (5, "c", 8)]
+    # Drained windows stay drained; what the rebuild has found in them is late output.
+    assert two.last_drained("primary") == T0
+    late = []
+    assert emit_late(two, lambda e, *_: late.extend(r.event_id for r in e.collect()), T0 + 20).events == 1
+    assert late == ["lost"]
+    assert not same_inbox(one, two, T0 + 20)
+    assert len(drop_superseded(spark, base)) == 2 and active_store(spark, base, config).inbox().count() == 3
+
+
+def test_of_two_rebuilds_one_switches(spark, tmp_path):
+    base, config = str(tmp_path / "inboxes"), InboxConfig(inbox_ttl_seconds=10**10)
+
+    def overtaken(store):
+        put(store, [(0, "slow", 1)], "b0")
+        rebuild(spark, base, config, lambda s: put(s, [(0, "fast", 1)], "b0"))
+
+    with pytest.raises(RuntimeError, match="another rebuild"):
+        rebuild(spark, base, config, overtaken)
+    assert contents(active_store(spark, base, config).inbox()) == [(0, "fast", 1)]
+    assert len(list_dirs(spark, base)) == 2
+    other = make_store(spark, tmp_path)
+    put(other, [(0, "fast", 1)], "b7")
+    assert same_inbox(active_store(spark, base, config), other, T0 + 10)
+
+
+def test_a_rebuild_without_ledgers_drains_again(spark, tmp_path):
+    base, config = str(tmp_path / "inboxes"), InboxConfig(**{**CONFIG, "inbox_ttl_seconds": 10**10})
+    one = rebuild(spark, base, config, lambda s: put(s, [(0, "a", 1)], "b0"))
+    drain(one, lambda *_: None, T0 + 15, T0 + 15)
+    two = rebuild(spark, base, config, lambda s: put(s, [(0, "a", 1)], "b0"), keep_ledgers=False)
+    assert two.last_drained("primary") is None
+
+
+# -- sketches ----------------------------------------------------------------
+
+
+def test_sketches_follow_the_exact_answers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidegate.sources.store.MAX_LEDGER_SEGMENTS", 2)
+    store, draw = make_store(spark, tmp_path), random.Random(3)
+    assert redelivery_estimates(store.metrics()).first().deliveries == 0
+    assert [r.latency_ms for r in latency_estimates(store.metrics(), [0.5]).collect()] == [None]
+    sent = []
+    for batch in range(4):
+        ids = [draw.randrange(1500) for _ in range(1000)]
+        waits = [int(draw.expovariate(1 / 5000)) for _ in ids]
+        sent += list(zip(ids, waits, strict=True))
+        values = [envelope(f"e{i}", iso(T0 + i)) for i in ids] + ["bad"]
+        arrivals = [(T0 + i) * 1000 + w for i, w in zip(ids, waits, strict=True)] + [T0 * 1000]
+        name = f"q-{batch:010d}"
+        for _ in range(2):
+            ingest_batch(store, deliveries_of(spark, values, arrivals, first_offset=2000 * batch), name, F.col("timestamp"))
+    for merged in (False, True):
+        if merged:
+            store.expire(T0)
+            assert len(list_dirs(spark, store.metrics_path)) == 2
+        row = redelivery_estimates(store.metrics()).first()
+        assert row.deliveries == 4000 and row.distinct_events + row.redeliveries == 4000
+        assert abs(row.distinct_events - len({i for i, _ in sent})) <= 0.04 * 1500
+        waits = sorted(w for _, w in sent)
+        for r in latency_estimates(store.metrics(), [0.1, 0.5, 0.95, 0.99]).collect():
+            below = sum(w < r.latency_ms for w in waits) / 4000
+            upto = sum(w <= r.latency_ms for w in waits) / 4000
+            assert below - 0.03 <= r.p <= upto + 0.03

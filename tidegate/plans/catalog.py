@@ -25,10 +25,13 @@ from tidegate.operators.outcomes import (
     valid_events,
     with_ingest_time,
 )
+from tidegate.operators.sketches import latency_estimates, redelivery_estimates
 from tidegate.plans.drain import drain, drain_by_stream_clock, ordered_events, replay_windows, window_ledger
 from tidegate.plans.late_output import emit_late, late_name
+from tidegate.plans.rebuild import active_store, drop_superseded, rebuild
 from tidegate.schema import COUNTERS, EVENT, EVENT_KEY
 from tidegate.session import configure, cut_lineage, fresh_dir
+from tidegate.sinks.published_files import PublishedWindows
 from tidegate.sinks.window_files import LINE_NAMES, json_files, line_json, parquet_files
 from tidegate.sources.deliveries import file_batch
 from tidegate.sources.offsets import next_offsets
@@ -600,6 +603,36 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latency_ops.percentiles(histogram, [0.5, 0.95, 0.99])
 
 
+@query("latency_estimates")
+def estimated_latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latency quantiles from the batches' sketches: whether the true rank of each is within three percent."""
+    store = _narrow_outage(spark, sf_dir)
+    found = latency_estimates(store.metrics(), [0.5, 0.95, 0.99])
+    latency = F.unix_millis("ingest_time") - F.unix_millis("event_ts")
+    rows = store.live(_at(AFTER)).select(latency.alias("ms"))
+    # Three numbers.
+    quantiles = {r.p: r.latency_ms for r in found.collect()}
+    ranks = [
+        F.struct(
+            F.lit(p).alias("p"),
+            F.avg((F.col("ms") < q).cast("int")).alias("below"),
+            F.avg((F.col("ms") <= q).cast("int")).alias("upto"),
+        )
+        for p, q in quantiles.items()
+    ]
+    within = (F.col("below") - 0.03 <= F.col("p")) & (F.col("upto") + 0.03 >= F.col("p"))
+    return rows.agg(F.array(*ranks).alias("ranks")).select(F.inline("ranks")).select("p", within.alias("within"))
+
+
+@query("redelivery_estimates")
+def estimated_redeliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries, and whether the sketches' distinct events are within four percent of the true number."""
+    store = _narrow_outage(spark, sf_dir)
+    exact = dedup_stats(store.live(_at(AFTER))).select(F.col("distinct_events").alias("n")).scalar()
+    found = redelivery_estimates(store.metrics())
+    return found.select("deliveries", (F.abs(F.col("distinct_events") - exact) <= exact * 0.04).alias("within"))
+
+
 @query("window_size_audit")
 def window_size_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _events(spark, sf_dir, HOURLY).withColumn(
@@ -671,6 +704,48 @@ def drain_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{path}/drain_id={store.config.drain_id}").drop("day")
 
 
+@query("published_windows")
+def published_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows as their manifests show them: two drains, one of which died behind its files, and a replaced half.
+
+    Every window has its row, empty ones too; ``events`` counts what a reader finds in its files.
+    """
+    store = _from_first(_stored(spark, sf_dir, HOURLY), max_windows_per_run=300)
+    published = PublishedWindows(spark, fresh_dir(spark, "published"))
+
+    def dies(events: DataFrame, windows: DataFrame, drain_id: str) -> None:
+        events.write.parquet(f"{published.path}/data/drain_id={drain_id}/run=dead")
+        raise OSError("killed")
+
+    drain(store, published, NOW, NOW)
+    try:
+        drain(store, dies, AFTER, AFTER)
+    except OSError:
+        drain(store, published, AFTER, AFTER)
+    store.forget_progress("primary", NOW)
+    drain(store, published, AFTER, AFTER)
+    published.merge("primary")
+    published.clean("primary")
+    found = published.read("primary").groupBy("window_bucket").agg(F.count("*").alias("events"))
+    windows = published.windows("primary").join(found, "window_bucket", "left")
+    return windows.select("window_bucket", "event_count", F.coalesce("events", F.lit(0)).alias("events"))
+
+
+@query("source_replay")
+def source_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inbox after a replay of the source into a new root; the one before had lost a source partition."""
+    rows, base = _deliveries(spark, sf_dir), f"{fresh_dir(spark, 'inboxes')}"
+    whole = F.lit(True)
+
+    def fill(wanted: Column) -> Callable[[InboxStore], None]:
+        return lambda store: ingest_batch(store, rows.where(wanted), "batch-0", F.col("timestamp")) and None
+
+    rebuild(spark, base, NARROW, fill(F.col("partition") != LATE_PARTITION))
+    rebuild(spark, base, NARROW, fill(whole))
+    drop_superseded(spark, base)
+    return _plain(active_store(spark, base, NARROW).inbox(now=_at(AFTER)))
+
+
 @query("pluggable_sink")
 def custom_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's own sink: drained windows summed per operation."""

@@ -15,6 +15,7 @@ from tidegate.operators.window_queries import fill_gaps, ordered_window, window_
 from tidegate.schema import EVENT_COLUMNS, EVENT_KEY, ORIGIN_COLUMNS
 from tidegate.session import cut_lineage
 from tidegate.sinks.window_files import WindowSink
+from tidegate.sources.lease import DrainLease
 from tidegate.sources.store import InboxStore
 
 
@@ -63,9 +64,15 @@ def drain_span(
     drain_id: str,
     now_epoch: int,
     drained_at_epoch: int | None = None,
+    lease: DrainLease | None = None,
 ) -> DrainRun:
-    """Emit the windows ``first``..``last`` and record them after the sink returned."""
+    """Emit the windows ``first``..``last`` and record them after the sink returned.
+
+    With a lease, a drainer that was replaced stops ahead of the sink or, if it loses the lease there, ahead of the ledger.
+    """
     config = store.config
+    if lease is not None:
+        lease.renew()
     if last < first:
         return DrainRun(drain_id, first, last)
     now = F.timestamp_seconds(F.lit(now_epoch))
@@ -85,7 +92,8 @@ def drain_span(
             "window_bucket",
             "event_count",
             F.timestamp_millis(F.lit(drained_at)).alias("drained_at"),
-        )
+        ),
+        lease=lease,
     )
     if store.ledger_is_fragmented(drain_id):
         store.compact_progress(drain_id, now_epoch)
@@ -98,6 +106,7 @@ def drain(
     now_epoch: int | None = None,
     drained_at_epoch: int | None = None,
     seal_at_epoch: int | None = None,
+    lease: DrainLease | None = None,
 ) -> DrainRun:
     """One cycle: resume or bootstrap the cursor, drain all that is sealed at ``now_epoch``.
 
@@ -114,7 +123,7 @@ def drain(
     windows = events = 0
     start = first
     while True:
-        run = drain_span(store, first, newest, sink, config.drain_id, now_epoch, drained_at_epoch)
+        run = drain_span(store, first, newest, sink, config.drain_id, now_epoch, drained_at_epoch, lease)
         windows, events = windows + run.windows, events + run.events
         following, newest = sealed_span(newest, seal_at, config) if newest >= first else (first, newest)
         if newest < following:
@@ -128,6 +137,7 @@ def drain_by_stream_clock(
     now_epoch: int | None = None,
     drained_at_epoch: int | None = None,
     expected: int | None = None,
+    lease: DrainLease | None = None,
 ) -> DrainRun | None:
     """One cycle that seals a window once every source partition, idle ones aside, has passed it by the lateness.
 
@@ -137,7 +147,7 @@ def drain_by_stream_clock(
     clock = store.stream_clock(expected)
     if clock is None:
         return None
-    return drain(store, sink, now_epoch, drained_at_epoch, clock)
+    return drain(store, sink, now_epoch, drained_at_epoch, clock, lease)
 
 
 def replay_windows(

@@ -286,6 +286,14 @@ ORACLE: dict[str, str] = {
     "compacted_inbox": INBOX,
     "write_dead_letters": LETTERS,
     "drain_files": H + f"SELECT window_bucket, {LINE} FROM u",
+    "published_windows": H
+    + f""", span AS (
+        SELECT unnest(generate_series(min(window_bucket), {(AFTER - 3660) // 3600 * 3600}, 3600)) AS window_bucket FROM k)
+      SELECT span.window_bucket, count(k.event_id) AS event_count, count(k.event_id) AS events
+      FROM span LEFT JOIN k USING (window_bucket) GROUP BY ALL""",
+    "source_replay": INBOX,
+    "latency_estimates": "SELECT CAST(p AS DOUBLE) AS p, true AS within FROM (VALUES (0.5), (0.95), (0.99)) t(p)",
+    "redelivery_estimates": N + "SELECT CAST(sum(copies) AS BIGINT) AS deliveries, true AS within FROM k",
     "pluggable_sink": H + "SELECT window_bucket, operation, count(*) AS events FROM u GROUP BY ALL",
     "record_progress": _drained(str(AFTER)).format(last="max(window_bucket)"),
     "stream_ingest": INBOX,

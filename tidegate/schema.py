@@ -90,6 +90,8 @@ METRICS = _struct(
     parse_error=LONG,
     late_arrival=LONG,
     write_error=LONG,
+    latency_sketch=T.BinaryType(),
+    key_sketch=T.BinaryType(),
     covers=T.ArrayType(STRING),
     recorded_at=TS,
 )

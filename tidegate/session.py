@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,3 +89,44 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 def delete_dir(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless there is one already; False if there is. At most one caller succeeds."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    try:
+        stream = fs.create(hadoop_path, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception) or "already exists" in str(error.java_exception):
+            return False
+        raise
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, replacing what is there."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path.getParent())
+    stream = fs.create(hadoop_path, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path``; empty when it does not exist."""
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isFile())

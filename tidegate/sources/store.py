@@ -22,15 +22,20 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+if TYPE_CHECKING:
+    from tidegate.sources.lease import DrainLease
+
 from tidegate.config import InboxConfig
 from tidegate.functions.windows import storage_bucket
 from tidegate.operators.clock import stream_clock
 from tidegate.operators.latest import upsert_latest
+from tidegate.operators.sketches import SKETCHES, merged_sketches
 from tidegate.operators.outcomes import ACCEPTED, REJECTED
 from tidegate.operators.progress import latest_progress, live_progress
 from tidegate.operators.window_queries import live_rows
@@ -355,7 +360,10 @@ class InboxStore:
         live = old.where("live")
         sums = [F.sum(c).cast("bigint").alias(c) for c in COUNTERS]
         merged = live.agg(
-            *sums, F.collect_set("segment").alias("covers"), F.max("recorded_at").alias("recorded_at")
+            *sums,
+            *merged_sketches(),
+            F.collect_set("segment").alias("covers"),
+            F.max("recorded_at").alias("recorded_at"),
         ).where("recorded_at IS NOT NULL")
         self.write_metrics(merged.withColumn("segment", F.lit(f"{MERGED}-{uuid.uuid4().hex}")))
         self.drop([f"{self.metrics_path}/segment={r.segment}" for r in old.select("segment").collect()])
@@ -366,8 +374,14 @@ class InboxStore:
     def _progress_schema(self) -> T.StructType:
         return T.StructType([*PROGRESS.fields, T.StructField("segment", T.StringType())])
 
-    def append_progress(self, windows: DataFrame, kind: str = "run") -> None:
-        """Record drained windows; repeating a record is harmless."""
+    def append_progress(self, windows: DataFrame, kind: str = "run", lease: DrainLease | None = None) -> None:
+        """Record drained windows; repeating a record is harmless.
+
+        A holder of a lease that was taken over meanwhile records nothing: it looks before it
+        writes, and takes its segment back if the epoch has changed by the time it is there.
+        """
+        if lease is not None:
+            lease.check()
         segment = f"{time.time_ns():020d}-{kind}"
         rows = windows.select(*PROGRESS.fieldNames()).withColumn("segment", F.lit(segment))
         if kind == MERGED:
@@ -377,6 +391,12 @@ class InboxStore:
             # One file: a run records at most max_windows_per_run narrow rows.
             rows = rows.coalesce(1)
         _replace_partitions(rows, ["drain_id", "segment"], self.progress_path)
+        if lease is not None:
+            try:
+                lease.check()
+            except RuntimeError:
+                self.drop([f"{self.progress_path}/drain_id={lease.drain_id}/segment={segment}"])
+                raise
 
     def _progress_rows(self) -> DataFrame:
         if not list_dirs(self.spark, self.progress_path):
@@ -456,15 +476,17 @@ class InboxStore:
         return rows.join(covered, "segment", "left_anti").select(*METRICS.fieldNames())
 
     def metrics(self) -> DataFrame:
-        """Counters per micro-batch and failed attempt; a replayed batch replaces its own row."""
+        """Counters and sketches per micro-batch and failed attempt; a replayed batch replaces its own row."""
         return self._metrics_rows().drop("covers")
 
     def write_metrics(self, row: DataFrame) -> None:
         _replace_partitions(row.select(*METRICS.fieldNames()), ["segment"], self.metrics_path)
 
-    def count_batch(self, segment: str, counters: dict[str, int]) -> None:
-        """Record the counters of one batch."""
+    def count_batch(self, segment: str, counters: dict[str, int], sketches: dict[str, bytes] | None = None) -> None:
+        """Record the counters of one batch, and the sketches of its latencies and keys."""
         columns = [F.lit(counters.get(k, 0)).cast("bigint").alias(k) for k in COUNTERS]
+        for name in SKETCHES:
+            columns.append(F.lit((sketches or {}).get(name)).cast("binary").alias(name))
         covers = F.lit(None).cast("array<string>").alias("covers")
         row = self.spark.range(1).select(F.lit(segment).alias("segment"), *columns, covers, F.current_timestamp().alias("recorded_at"))
         self.write_metrics(row)

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions.envelope import Parser, decode, envelope_parser
 from tidegate.operators.outcomes import ACCEPTED, REJECTED, counter_columns, dead_letters, with_ingest_time
+from tidegate.operators.sketches import SKETCHES, sketch_columns
 from tidegate.sources.store import InboxStore, storage_time
 from tidegate.streaming.monitor import IngestMonitor
 
@@ -62,7 +63,7 @@ def ingest_batch(
     for outcome, rows in ((ACCEPTED, F.col("reason").isNull()), (REJECTED, F.col("reason").isNotNull())):
         stored_at = F.when(rows, storage_time())
         span += [F.min(stored_at).alias(f"{outcome}_from"), F.max(stored_at).alias(f"{outcome}_to")]
-    observed = decoded.observe(observation, *counter_columns(cursor), *span)
+    observed = decoded.observe(observation, *counter_columns(cursor), *sketch_columns(), *span)
     store.write_segment(store.stored_form(observed, segment))
     seen = _observed(observation)
     counters = {k: int(seen.get(k) or 0) for k in ("success", "parse_error", "late_arrival")}
@@ -77,7 +78,7 @@ def ingest_batch(
         # Narrow columns of what was just written: the text is not parsed again.
         columns = ["topic", "partition", "offset", "event_ts", "ingest_time"]
         store.write_partitions(reduce(DataFrame.unionByName, [rows.select(*columns) for rows in stored]), segment)
-    store.count_batch(segment, counters)
+    store.count_batch(segment, counters, {name: seen.get(name) for name in SKETCHES})
     return counters
 
 
