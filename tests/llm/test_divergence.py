@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate.llm import divergence
-from tidegate.llm.divergence import Block, audit_sources, merged, share, term_lists
+from tidegate.llm.divergence import Block, audit_sources, merged, segments, share
 
 from .conftest import doc_frame
 
@@ -81,7 +81,7 @@ def test_against_the_whole_matrix(spark, min_docs):
 
 def test_blocks_runs_and_rows_of_any_size(spark, monkeypatch):
     rows = sample()
-    for name, size in {"BLOCK_POSTINGS": 7, "ROW_POSTINGS": 2, "TEXT_BYTES": 5, "HELD_PAIRS": 3, "SALTS": 2}.items():
+    for name, size in {"BLOCK_POSTINGS": 7, "BLOCK_DOCS": 3, "ROW_POSTINGS": 2, "TEXT_BYTES": 5, "HELD_PAIRS": 3, "SALTS": 2}.items():
         monkeypatch.setattr(divergence, name, size)
     got = audit_sources(frame(spark, rows).repartition(5), 3, top=4, shards=3)
     assert result(got) == by_hand(rows, 3, top=4)
@@ -110,12 +110,19 @@ def test_runs_are_sorted_and_merge_into_sums(monkeypatch):
             for w in terms_by_hand(text):
                 sums.setdefault((lang or "", w), Counter())[source or ""] += 1
             docs.update((lang or "", w) for w in set(terms_by_hand(text)))
-        run = list(block.run(4))
-        for shard, lang, first, terms, *_ in run:
+        run = [tuple(r.values()) for r in block.run(4).to_pylist()]
+        for _, first, terms, ends, sources, counts in run:
             assert terms == sorted(terms) and terms[0] == first
+            assert len(ends) == len(terms) and ends[-1] == len(sources) == len(counts) <= 3
         runs += run
-    runs.sort(key=lambda r: r[:3])
-    found = {(lang, term.decode()): (n, Counter(c)) for lang, term, n, c in merged(iter(runs))}
+    assert Block().run(4) is None
+    runs.sort(key=lambda r: r[:2])
+    low = (1 << divergence.COUNT_BITS) - 1
+    found = {}
+    for name, postings in merged(iter(runs)):
+        lang, term = name.decode().split("\0")
+        n_docs = sum(postings.values()) >> divergence.COUNT_BITS
+        found[lang, term] = (n_docs, Counter({s: n & low for s, n in postings.items()}))
     assert found == {k: (docs[k], c) for k, c in sums.items()}
 
 
@@ -123,7 +130,7 @@ def test_runs_are_sorted_and_merge_into_sums(monkeypatch):
 def test_terms_of_a_text(monkeypatch, size):
     monkeypatch.setattr(divergence, "TEXT_BYTES", size)
     text = "Ab@c[É ñ`日{本}z\x7f\x00Q\n\tİ ½a"
-    assert [t.decode() for part in term_lists(text) for t in part] == terms_by_hand(text)
+    assert [t.decode() for part in segments(text) for t in part.split()] == terms_by_hand(text)
 
 
 def test_shares_are_exact_beyond_64_bits(spark):

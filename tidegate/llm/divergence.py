@@ -12,21 +12,24 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.llm.common import Scratch, doc_batches, longs
 
-#: Postings of one block in memory.
-BLOCK_POSTINGS = 1 << 20
+#: Postings (of single documents) and documents of one block in memory.
+BLOCK_POSTINGS = 5 << 20
+BLOCK_DOCS = 1 << 20
+#: A posting holds its occurrences and, above this many bits, its documents.
+COUNT_BITS = 40
 #: Postings of one row of a run, which bounds what a batch of such rows holds.
 ROW_POSTINGS = 256
-#: Bytes of a text handled at once.
+#: Bytes of texts indexed at once.
 TEXT_BYTES = 1 << 22
 #: Sums of pairs of sources one task holds before it sends them.
 HELD_PAIRS = 1 << 20
@@ -38,110 +41,188 @@ PARTS = 1_000_000_000
 _FOLD = bytes(
     c if c >= 0x80 or 0x61 <= c <= 0x7A else c + 0x20 if 0x41 <= c <= 0x5A else 0x20 for c in range(256)
 )
-RUN_SCHEMA = (
-    "shard int, lang string, first binary, terms array<binary>, docs array<long>, ends array<int>, "
-    "sources array<string>, counts array<long>"
+RUN = pa.schema(
+    [
+        ("shard", pa.int32()),
+        ("first", pa.binary()),
+        ("terms", pa.list_(pa.binary())),
+        ("ends", pa.list_(pa.int32())),
+        ("sources", pa.list_(pa.string())),
+        ("counts", pa.list_(pa.int64())),
+    ]
 )
+RUN_SQL = "shard int, first binary, terms array<binary>, ends array<int>, sources array<string>, counts array<long>"
+#: Between a language and a term; no term holds it.
+BETWEEN = b"\x00"
 
 
-def term_lists(text: str) -> Iterator[list[bytes]]:
-    """The terms of a whole text, a bounded part of it at a time."""
+def segments(text: str) -> Iterator[bytes]:
+    """A whole text with its terms folded and blanks between them, in parts that cut no term."""
     data = text.encode().translate(_FOLD)
     begin = 0
     while begin < len(data):
         end = data.find(b" ", begin + TEXT_BYTES)
         end = len(data) if end < 0 else end
-        yield data[begin:end].split()
+        yield data[begin:end]
         begin = end
 
 
+def part_postings(found: list[tuple[int, bytes]]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms of segments (document, bytes); document, place among the terms and count of each posting."""
+    codes = np.frombuffer(b" ".join(data for _, data in found), np.uint8)
+    solid = codes != 0x20
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    start = np.flatnonzero(begins)
+    edges = np.append(np.cumsum(solid)[start] - 1, solid.sum()).astype(np.int32)
+    buffers = [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(codes[solid]))]
+    coded = pa.Array.from_buffers(pa.binary(), len(start), buffers).dictionary_encode()
+    segment_at = np.cumsum([0, *(len(data) + 1 for _, data in found[:-1])])
+    doc = np.array([doc for doc, _ in found], np.int64)[np.searchsorted(segment_at, start, side="right") - 1]
+    key, n = np.unique(doc << 32 | coded.indices.to_numpy().astype(np.int64), return_counts=True)
+    return coded.dictionary, key >> 32, key & 0xFFFFFFFF, n
+
+
 class Block:
     """Postings of some documents in memory."""
 
     def __init__(self) -> None:
-        self.counts: dict[tuple[str, str], Counter] = {}
-        self.docs: dict[str, Counter] = {}
+        self.owners: dict[tuple[str, str], int] = {}
+        #: The group of each document; documents that lie in more than one part.
+        self.group_of: list[int] = []
+        self.spanning: set[int] = set()
+        self.parts: list[tuple] = []
+        self.waiting: list[tuple[int, bytes]] = []
+        self.size = self.held = 0
 
     def add(self, lang: str, source: str, text: str) -> None:
-        counts = self.counts.setdefault((lang, source), Counter())
-        own: set[bytes] = set()
-        for terms in term_lists(text):
-            counts.update(terms)
-            own.update(terms)
-        self.docs.setdefault(lang, Counter()).update(own)
-
-    def size(self) -> int:
-        return sum(map(len, self.counts.values()))
-
-    def run(self, shards: int) -> Iterator[tuple]:
-        """The block as rows of RUN_SCHEMA: within a shard and language in ascending order of terms."""
-        groups: dict[str, list[str]] = {}
-        for lang, source in self.counts:
-            groups.setdefault(lang, []).append(source)
-        for lang, docs in self.docs.items():
-            postings: dict[bytes, list[tuple[str, int]]] = {}
-            for source in groups[lang]:
-                for term, n in self.counts[lang, source].items():
-                    postings.setdefault(term, []).append((source, n))
-            seed = zlib.crc32(lang.encode())
-            open_rows: dict[int, tuple] = {}
-            for term in sorted(postings):
-                shard = zlib.crc32(term, seed) % shards
-                found = postings[term]
-                for i in range(0, len(found), ROW_POSTINGS):
-                    some = found[i : i + ROW_POSTINGS]
-                    row = open_rows.get(shard)
-                    if row and len(row[6]) + len(some) > ROW_POSTINGS:
-                        yield open_rows.pop(shard)
-                        row = None
-                    if row is None:
-                        row = open_rows[shard] = (shard, lang, term, [], [], [], [], [])
-                    row[3].append(term)
-                    # A term's documents count once, however many rows its postings take.
-                    row[4].append(docs[term] if i == 0 else 0)
-                    row[6].extend(s for s, _ in some)
-                    row[7].extend(n for _, n in some)
-                    row[5].append(len(row[6]))
-            yield from open_rows.values()
-
-
-def _record(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        doc = len(self.group_of)
+        self.group_of.append(self.owners.setdefault((lang, source), len(self.owners)))
+        for i, data in enumerate(segments(text)):
+            if self.held + len(data) > TEXT_BYTES:
+                self._index()
+                if i:
+                    self.spanning.add(doc)
+            self.waiting.append((doc, data))
+            self.held += len(data)
+
+    def _index(self) -> None:
+        if self.waiting:
+            self.parts.append(part_postings(self.waiting))
+            self.size += len(self.parts[-1][1])
+        self.waiting, self.held = [], 0
+
+    def full(self) -> bool:
+        return len(self.group_of) >= BLOCK_DOCS or self.size > BLOCK_POSTINGS
+
+    def _postings(self) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct terms; group, place among the terms and value (count and documents) of each posting of a group."""
+        coded = pa.concat_arrays([terms for terms, *_ in self.parts]).dictionary_encode()
+        every = coded.indices.to_numpy().astype(np.int64)
+        begin = np.cumsum([0, *(len(terms) for terms, *_ in self.parts)])
+        doc = np.concatenate([doc for _, doc, _, _ in self.parts])
+        term = np.concatenate([every[a + place] for a, (_, _, place, _) in zip(begin, self.parts, strict=False)])
+        value = np.concatenate([n for *_, n in self.parts]).astype(np.int64)
+        one = np.ones(len(doc), np.int64)
+        if self.spanning:
+            # A document counts once for a term, in however many of its parts it has it.
+            again = np.flatnonzero(np.isin(doc, list(self.spanning)))
+            _, first = np.unique(doc[again] << 32 | term[again], return_index=True)
+            one[again] = 0
+            one[again[first]] = 1
+        value += one << COUNT_BITS
+        key = np.array(self.group_of, np.int64)[doc] << 32 | term
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        return coded.dictionary, key[start] >> 32, key[start] & 0xFFFFFFFF, np.add.reduceat(value[order], start)
+
+    def run(self, shards: int) -> pa.RecordBatch | None:
+        """The block as rows of RUN: in a shard, ascending by language and term, at most ROW_POSTINGS postings a row."""
+        self._index()
+        if not sum(len(doc) for _, doc, _, _ in self.parts):
+            return None
+        terms, group, term, value = self._postings()
+        owners = list(self.owners)
+        langs = {lang: i for i, lang in enumerate(dict.fromkeys(lang for lang, _ in owners))}
+        prefixes = [lang.encode() + BETWEEN for lang in langs]
+        lang_of = np.array([langs[lang] for lang, _ in owners], np.int64)
+        named, which = np.unique(lang_of[group] << 32 | term, return_inverse=True)
+        texts = terms.take(pa.array(named & 0xFFFFFFFF)).to_numpy(zero_copy_only=False)
+        values = [prefixes[i] + text for i, text in zip((named >> 32).tolist(), texts.tolist(), strict=True)]
+        names = pa.array(values, pa.binary())
+        # Places of the distinct names in ascending order, and their shards.
+        ascending = pc.sort_indices(names).to_numpy()
+        rank = np.empty(len(ascending), np.int64)
+        rank[ascending] = np.arange(len(ascending))
+        shard_of = np.fromiter((zlib.crc32(v) % shards for v in values), np.int64, len(values))
+        order = np.lexsort((rank[which], shard_of[which]))
+        which, size = which[order], len(order)
+        shard = shard_of[which]
+        new_shard = np.append(True, shard[1:] != shard[:-1])
+        begin = np.flatnonzero(new_shard)
+        place = np.arange(size) - np.repeat(begin, np.diff(np.append(begin, size)))
+        row_start = np.flatnonzero(place % ROW_POSTINGS == 0)
+        term_start = np.append(True, which[1:] != which[:-1])
+        term_start[row_start] = True
+        term_at = np.flatnonzero(term_start)
+        row_ends = np.append(row_start, size)
+        # Terms of each row, and where each one's postings end in its row.
+        term_rows = np.searchsorted(term_at, row_ends)
+        row_of_term = np.searchsorted(row_start, term_at, side="right") - 1
+        ends = np.append(term_at[1:], size) - row_start[row_of_term]
+        sources = pa.array([source for _, source in owners], pa.string()).take(pa.array(group[order]))
+        edges = pa.array(row_ends, pa.int32())
+        columns = [
+            pa.array(shard[row_start], pa.int32()),
+            names.take(pa.array(which[row_start])),
+            pa.ListArray.from_arrays(pa.array(term_rows, pa.int32()), names.take(pa.array(which[term_at]))),
+            pa.ListArray.from_arrays(pa.array(term_rows, pa.int32()), pa.array(ends, pa.int32())),
+            pa.ListArray.from_arrays(edges, sources),
+            pa.ListArray.from_arrays(edges, longs(value[order])),
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=RUN)
 
 
 def sorted_runs(docs: DataFrame, shards: int) -> DataFrame:
     """The index of ``docs`` (lang, source, text) as term-sorted runs."""
-    types = [pa.int32(), pa.string(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32())]
-    names = [part.split()[0] for part in RUN_SCHEMA.split(", ")]
-    schema = pa.schema(list(zip(names, [*types, pa.list_(pa.string()), pa.list_(pa.int64())], strict=True)))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block()
 
         def spill() -> Iterator[pa.RecordBatch]:
-            rows = []
-            for row in block.run(shards):
-                rows.append(row)
-                if len(rows) == 512:
-                    yield _record(rows, schema)
-                    rows = []
-            if rows:
-                yield _record(rows, schema)
+            rows = block.run(shards)
+            if rows is not None:
+                yield from doc_batches(iter([rows]), 512)
 
         for batch in doc_batches(batches, 256):
             columns = (batch.column(n).to_pylist() for n in ("lang", "source", "text"))
             for lang, source, text in zip(*columns, strict=True):
                 block.add(lang, source, text)
-            if block.size() > BLOCK_POSTINGS:
+            if block.full():
                 yield from spill()
                 block = Block()
         yield from spill()
 
-    return docs.select("lang", "source", "text").mapInArrow(index, RUN_SCHEMA)
+    return docs.select("lang", "source", "text").mapInArrow(index, RUN_SQL)
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of RUN as Python values; list columns are converted whole, then cut."""
+    columns = []
+    for name in RUN.names:
+        column = batch.column(name)
+        if pa.types.is_list(column.type):
+            values = column.flatten().to_numpy(zero_copy_only=False).tolist()
+            edges = (column.offsets.to_numpy() - column.offsets[0].as_py()).tolist()
+            columns.append([values[a:b] for a, b in zip(edges, edges[1:], strict=False)])
+        else:
+            columns.append(column.to_pylist())
+    yield from zip(*columns, strict=True)
 
 
-def merged(rows: Iterator[tuple]) -> Iterator[tuple[str, bytes, int, dict[str, int]]]:
-    """(lang, term, documents, count by source) of runs whose rows come in order of shard, lang and first term.
+def merged(rows: Iterator[tuple]) -> Iterator[tuple[bytes, dict[str, int]]]:
+    """(language and term, posting by source) of runs whose rows come in order of shard and first term.
 
     A heap holds the rows that may still have a term below the next row's first; a term is
     complete once every row that could hold it has been opened.
@@ -151,22 +232,22 @@ def merged(rows: Iterator[tuple]) -> Iterator[tuple[str, bytes, int, dict[str, i
 
     def complete(below: bytes | None) -> Iterator[tuple]:
         while heap and (below is None or heap[0][0] < below):
-            term, docs, sums = heap[0][0], 0, {}
+            term, sums = heap[0][0], {}
             while heap and heap[0][0] == term:
-                _, order, i, (lang, terms, n_docs, ends, sources, counts) = heap[0]
-                docs += n_docs[i]
-                for k in range(ends[i - 1] if i else 0, ends[i]):
-                    sums[sources[k]] = sums.get(sources[k], 0) + counts[k]
+                _, order, i, (terms, ends, sources, counts) = heap[0]
+                begin, end = ends[i - 1] if i else 0, ends[i]
+                for source, n in zip(sources[begin:end], counts[begin:end], strict=True):
+                    sums[source] = sums.get(source, 0) + n
                 if i + 1 < len(terms):
-                    heapq.heapreplace(heap, (terms[i + 1], order, i + 1, (lang, terms, n_docs, ends, sources, counts)))
+                    heapq.heapreplace(heap, (terms[i + 1], order, i + 1, (terms, ends, sources, counts)))
                 else:
                     heapq.heappop(heap)
-            yield lang, term, docs, sums
+            yield term, sums
 
-    for shard, lang, first, *lists in rows:
-        yield from complete(first if home == (shard, lang) else None)
-        home, opened = (shard, lang), opened + 1
-        heapq.heappush(heap, (first, opened, 0, (lang, *lists)))
+    for shard, first, *lists in rows:
+        yield from complete(first if home == shard else None)
+        home, opened = shard, opened + 1
+        heapq.heappush(heap, (first, opened, 0, lists))
     yield from complete(None)
 
 
@@ -177,27 +258,33 @@ def kept_postings(docs: DataFrame, min_docs: int, shards: int) -> DataFrame:
     """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in doc_batches(batches, 64):
-                yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
-
-        schema = pa.schema(
-            [("lang", pa.string()), ("term", pa.binary()), ("source", pa.string())]
-            + [("n", pa.int64()), ("total", pa.int64()), ("lead", pa.bool_())]
-        )
-        out: list[tuple] = []
-        for lang, term, n_docs, sums in merged(rows()):
-            if n_docs < min_docs:
+        kinds = {"lang": pa.string(), "term": pa.binary(), "source": pa.string(), "n": pa.int64(), "total": pa.int64(), "lead": pa.bool_()}
+        low = (1 << COUNT_BITS) - 1
+        out: dict[str, list] = {name: [] for name in kinds}
+
+        def send() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(out[n], kind) for n, kind in kinds.items()], names=list(kinds))
+            for values in out.values():
+                values.clear()
+            return batch
+
+        for name, sums in merged(row for batch in doc_batches(batches, 256) for row in _rows(batch)):
+            if sum(sums.values()) >> COUNT_BITS < min_docs:
                 continue
-            total = sum(sums.values())
-            out += [(lang, term, source, n, total, i == 0) for i, (source, n) in enumerate(sums.items())]
-            if len(out) > 8192:
-                yield _record(out, schema)
-                out = []
-        if out:
-            yield _record(out, schema)
-
-    dealt = sorted_runs(docs, shards).repartition("shard").sortWithinPartitions("shard", "lang", "first")
+            lang, _, term = name.rpartition(BETWEEN)
+            counts, k = [n & low for n in sums.values()], len(sums)
+            out["lang"] += [lang.decode()] * k
+            out["term"] += [term] * k
+            out["source"] += sums
+            out["n"] += counts
+            out["total"] += [sum(counts)] * k
+            out["lead"] += [True] + [False] * (k - 1)
+            if len(out["n"]) > 8192:
+                yield send()
+        if out["n"]:
+            yield send()
+
+    dealt = sorted_runs(docs, shards).repartition("shard").sortWithinPartitions("shard", "first")
     found = dealt.mapInArrow(merge, "lang string, term binary, source string, n long, total long, lead boolean")
     return found.withColumn("term", F.col("term").cast("string"))
 
@@ -344,11 +431,11 @@ def audit_sources(docs: DataFrame, min_docs: int = 10, top: int = 10, shards: in
     1, larger values first, then by item. A source alone in its language has no pairs; a
     language without kept terms has pairs of value 0; an empty table gives no rows.
 
-    ``shards`` (16 for each shuffle partition by default) bounds what one merge holds.
+    ``shards`` (two for each shuffle partition by default) are merged one by one.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "divergence")
-    shards = shards or 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     postings = scratch.save(kept_postings(docs, min_docs, shards), "postings")
     totals = scratch.save(_group_totals(docs, postings), "totals")
