@@ -26,12 +26,21 @@ def test_ids_equal_the_library(path, kind, block, hard_texts, monkeypatch):
     monkeypatch.setattr(tokens, "BLOCK_BYTES", block)
     draw = random.Random(7)
     parts = ["a", "b", " ", "\n", "é", "'s", "1", " ", "\t", "。", " ", "　", "😀", "<|endoftext|>"]
+    parts += ["<|EndOfText|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|", "|>", "A", "Z<", "|endoftext|>"]
     texts = hard_texts + ["".join(draw.choice(parts) for _ in range(draw.randint(1, 14))) for _ in range(800)]
     found = [ids.tolist() for ids in tokens.Encoder(path, kind).encode(texts)]
     library = Tokenizer.from_file(path)
     assert found == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_folding_leaves_special_tokens_alone():
+    cases = [b"", b"Ab C", b"A<|B|>C D", b"X\nY<|Z", b"<|A <|B\n<|C D", b"A B<| C", b"A<|B<|C D<|", "É<|É B".encode()]
+    for case in cases:
+        words = case.replace(b"\n", b" ").split(b" ")
+        expected = b" ".join(w if b"<|" in w else w.lower() for w in words)
+        assert tokens.folded(case).replace(b"\n", b" ") == expected
+
+
 def test_closest_fill_is_the_best():
     draw = random.Random(3)
     for _ in range(60):

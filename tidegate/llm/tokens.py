@@ -105,11 +105,27 @@ def spaced_pieces(data: np.ndarray, doc_start: np.ndarray) -> tuple[np.ndarray,
     return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
+def folded(data: bytes) -> bytes:
+    """ASCII letters in lower case, but for pieces that hold ``<|``: special tokens are known in one case only."""
+    small = data.lower()
+    at = data.find(b"<|")
+    if at < 0:
+        return small
+    out, done = [], 0
+    while at >= 0:
+        begin = max(data.rfind(b" ", done, at), data.rfind(b"\n", done, at), done - 1) + 1
+        ends = [e for e in (data.find(b" ", at), data.find(b"\n", at)) if e >= 0]
+        end = min(ends, default=len(data))
+        out += [small[done:begin], data[begin:end]]
+        done, at = end, data.find(b"<|", end)
+    return b"".join([*out, small[done:]])
+
+
 class Encoder:
     """Encodes texts to ids with a vocabulary file of the ``tokenizers`` library.
 
     ``kind`` says how texts may be cut: ``byte_level`` or ``spaced`` (the latter for
-    vocabularies that fold case as well, so ASCII capitals are folded first).
+    vocabularies that fold case as well, so ASCII capitals are folded first, see ``folded``).
     """
 
     def __init__(self, path: str, kind: str) -> None:
@@ -146,7 +162,7 @@ class Encoder:
     def block(self, data: bytes, doc_start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of consecutive texts in one buffer and, per text, the number of its ids."""
         if self.fold:
-            data = data.lower()
+            data = folded(data)
         codes = np.frombuffer(data, np.uint8)
         start, end = self.cut(codes, doc_start)
         hashes = self.hash.of(codes, start, end)
@@ -201,7 +217,7 @@ class Encoder:
         while len(raw) > BLOCK_BYTES:
             size = BLOCK_BYTES
             while True:
-                head = raw[:size].lower() if self.fold else raw[:size]
+                head = folded(raw[:size]) if self.fold else raw[:size]
                 start, _ = self.cut(np.frombuffer(head, np.uint8), np.zeros(1, np.int64))
                 # The last cut was judged with all its neighbours in view; later ones may not have been.
                 if len(start) > 1 and start[-1] > 0:
