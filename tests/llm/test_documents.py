@@ -251,6 +251,50 @@ def test_leaks(spark, hard_texts, chunk, monkeypatch):
     assert clean.columns == doc_frame(spark, []).columns
 
 
+def closest(item, text):
+    """Fewest edits between an item and any stretch of a text."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j - 1] + (a != b), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.25, 0.4])
+def test_short_items_have_their_whole_budget(spark, rate, monkeypatch):
+    monkeypatch.setattr(decontamination, "HITS", 50)
+    draw = random.Random(int(rate * 100))
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    items = ["".join(draw.choice(letters) for _ in range(n)) for n in range(1, 41)]
+    texts = []
+    for item in items:
+        for _ in range(3):
+            around = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 30))) for _ in range(2)]
+            texts.append(around[0] + edited(draw, item, draw.randint(0, int(rate * len(item)) + 1)) + around[1])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = {(r.doc_id, r.item_id): r.distance for r in find_leaks(doc_frame(spark, texts), bench, rate=rate).collect()}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            least = closest(item, text)
+            budget = min(int(rate * len(item) + 1e-9), len(item) - 1)
+            assert rows.get((d, i)) == (least if least <= budget else None), (item, text)
+
+
+def test_repetitive_texts_need_little_memory():
+    import tracemalloc
+
+    block = decontamination.Block()
+    block.add(0, decontamination.normal("ab" * 500)[0])
+    block.close(0.1)
+    tracemalloc.start()
+    (found,) = decontamination._text_matches(block, ["ab" * 300_000])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == (0, 0, 0, 0, 1000) and most < 400 << 20
+
+
 def test_leaks_hard_tables(spark):
     bench = spark.createDataFrame([(None, "some benchmark passage of words")], "item_id long, text string")
     assert find_leaks(doc_frame(spark, []), bench).collect() == []

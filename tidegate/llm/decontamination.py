@@ -20,7 +20,10 @@ from pyspark.sql import types as T
 
 from tidegate.llm.common import doc_batches, longs
 
-GRAM = 8
+#: Lengths of q-grams. An item takes the longest at which copies with all its edits still share one.
+GRAMS = (8, 4, 2, 1)
+#: Shared q-grams that are expanded at once.
+HITS = 1 << 21
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 #: Code points of text handled at once.
 CHUNK = 1 << 20
@@ -48,11 +51,11 @@ def trimmed(codes: np.ndarray) -> np.ndarray:
     return codes[:-1] if len(codes) and codes[-1] == 32 else codes
 
 
-def grams(codes: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM characters from each position on."""
+def grams(codes: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` characters (a power of two) from each position on."""
     h = codes.astype(np.uint64) + np.uint64(1)
     span = 1
-    for mix in MIX:
+    for mix in MIX[: gram.bit_length() - 1]:
         if len(h) <= span:
             return np.empty(0, np.uint64)
         h = h[:-span] * np.uint64(mix) + h[span:]
@@ -88,9 +91,59 @@ def banded_ends(item: np.ndarray, text: np.ndarray, first: int, last: int, most:
     return row
 
 
+class GramIndex:
+    """The q-grams of the items that one length of q-grams serves."""
+
+    def __init__(self, gram: int, items: list[int], codes: list[np.ndarray]) -> None:
+        self.gram = gram
+        hashes = [grams(codes[i], gram) for i in items]
+        item = np.repeat(np.array(items, np.int64), [len(h) for h in hashes])
+        place = np.concatenate([np.arange(len(h)) for h in hashes])
+        every = np.concatenate(hashes)
+        order = np.argsort(every, kind="stable")
+        self.known, self.first, self.count = np.unique(every[order], return_index=True, return_counts=True)
+        self.item, self.place = item[order], place[order]
+        self.shift = np.uint64(64 - max(16, (16 * max(1, len(self.known))).bit_length()))
+        self.maybe = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.maybe[(self.known >> self.shift).astype(np.int64)] = True
+
+    def found(self, codes: np.ndarray, stretch: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the text's known q-grams, and which they are.
+
+        Of a q-gram's occurrences in one stretch of positions the first and the last are enough: in bands at least
+        that wide all of them lie in the bands of these two.
+        """
+        h = grams(codes, self.gram)
+        at = np.flatnonzero(self.maybe[(h >> self.shift).astype(np.int64)])
+        entry = np.searchsorted(self.known, h[at])
+        good = entry < len(self.known)
+        good[good] = self.known[entry[good]] == h[at[good]]
+        at, entry = at[good], entry[good]
+        if stretch > 2 and len(at):
+            order = np.lexsort((at, at // stretch, entry))
+            at, entry = at[order], entry[order]
+            new = (entry[1:] != entry[:-1]) | (at[1:] // stretch != at[:-1] // stretch)
+            keep = np.append(True, new) | np.append(new, True)
+            at, entry = at[keep], entry[keep]
+        return at, entry
+
+    def hits(self, at: np.ndarray, entry: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Text position, item and item position of shared q-grams, a bounded number at a time."""
+        n = self.count[entry]
+        upto = np.cumsum(n)
+        begin = 0
+        while begin < len(at):
+            before = upto[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(upto, before + HITS, side="right")))
+            some = n[begin:end]
+            posting = np.repeat(self.first[entry[begin:end]] - (np.cumsum(some) - some), some) + np.arange(some.sum())
+            yield np.repeat(at[begin:end], some), self.item[posting], self.place[posting]
+            begin = end
+
+
 @dataclass
 class Block:
-    """Benchmark items with the index of their q-grams."""
+    """Benchmark items with the indexes of their q-grams."""
 
     ids: list = field(default_factory=list)
     codes: list[np.ndarray] = field(default_factory=list)
@@ -104,60 +157,44 @@ class Block:
     def close(self, rate: float) -> Block:
         length = np.array([len(c) for c in self.codes], np.int64)
         self.length = length
-        #: Items below one q-gram are searched for as they are.
-        self.short = np.flatnonzero(length < GRAM).tolist()
-        self.edits = np.maximum(0, np.minimum((rate * length).astype(np.int64), length // GRAM - 1))
-        self.least = length + 1 - GRAM * (self.edits + 1)
-        hashes = [grams(c) for c in self.codes]
-        item = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
-        place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.empty(0, np.int64)
-        every = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-        order = np.argsort(every, kind="stable")
-        self.known, first, self.count = np.unique(every[order], return_index=True, return_counts=True)
-        self.first = first
-        self.item, self.place = item[order], place[order]
-        self.shift = np.uint64(64 - max(16, (16 * max(1, len(self.known))).bit_length()))
-        self.maybe = np.zeros(1 << (64 - int(self.shift)), bool)
-        self.maybe[(self.known >> self.shift).astype(np.int64)] = True
+        # An item of nothing but edits would be found everywhere.
+        self.edits = np.minimum((rate * length + 1e-9).astype(np.int64), length - 1)
+        shared = [length + 1 - gram * (self.edits + 1) for gram in GRAMS]
+        which = np.argmax(np.array(shared) >= 1, axis=0)
+        self.least = np.array(shared)[which, np.arange(len(length))]
+        lists = [np.flatnonzero(which == i).tolist() for i in range(len(GRAMS))]
+        self.indexes = [GramIndex(gram, items, self.codes) for gram, items in zip(GRAMS, lists, strict=True) if items]
         return self
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text position, item and item position of each shared q-gram."""
-        h = grams(codes)
-        at = np.flatnonzero(self.maybe[(h >> self.shift).astype(np.int64)])
-        entry = np.searchsorted(self.known, h[at])
-        good = entry < len(self.known)
-        good[good] = self.known[entry[good]] == h[at[good]]
-        at, entry = at[good], entry[good]
-        n = self.count[entry]
-        posting = np.repeat(self.first[entry] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.repeat(at, n), self.item[posting], self.place[posting]
-
     def matches(self, codes: np.ndarray, edge: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(text number, item, distance, start, end) of verified regions; texts lie between edges."""
-        if not len(self.known):
-            return
-        at, item, place = self.hits(codes)
-        text = np.searchsorted(edge, at, side="right") - 1
+        for index in self.indexes:
+            yield from self._matches(index, codes, edge)
+
+    def _matches(self, index: GramIndex, codes: np.ndarray, edge: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        low = longest = int(self.length.max(initial=0)) + 1
+        bands = (int(np.diff(edge).max(initial=0)) + 2 * low) + 2
+        at, entry = index.found(codes, int(self.edits[index.item].min(initial=0)) + 1)
         # A q-gram over the edge of two texts belongs to neither.
-        inside = at + GRAM <= edge[text + 1]
-        at, item, place, text = at[inside], item[inside], place[inside], text[inside]
-        width = self.edits[item] + 1
-        diagonal = at - edge[text] - place
-        low = int(self.length.max(initial=0)) + 1
-        band = (diagonal + low) // width
-        bands = int(band.max(initial=0)) + 2
-        # Each q-gram of an item counts once in a stretch of diagonals, however often it occurs there.
-        own = (text * len(self.ids) + item) * bands + band
-        longest = int(self.length.max(initial=0)) + 1
-        key, count = np.unique(np.unique(own * longest + place) // longest, return_counts=True)
+        inside = at + index.gram <= edge[np.searchsorted(edge, at, side="right")]
+        keys = np.empty(0, np.int64)
+        for position, item, place in index.hits(at[inside], entry[inside]):
+            text = np.searchsorted(edge, position, side="right") - 1
+            band = (position - edge[text] - place + low) // (self.edits[item] + 1)
+            own = (text * len(self.ids) + item) * bands + band
+            # Each q-gram of an item counts once in a stretch of diagonals, however often it occurs there.
+            keys = np.unique(np.concatenate([keys, own * longest + place]))
+        key, count = np.unique(keys // longest, return_counts=True)
         nxt = np.zeros(len(key), np.int64)
         nxt[:-1] = np.where(key[1:] == key[:-1] + 1, count[1:], 0)
         owner = key // bands
         which = owner % len(self.ids)
+        done = -1
         # A band covers its own and the next stretch of diagonals, so neighbours overlap; the
         # stretch before the first filled one needs no test of its own.
         for i in np.flatnonzero(count + nxt >= self.least[which]).tolist():
+            if owner[i] == done:
+                continue
             t, it = divmod(int(owner[i]), len(self.ids))
             w, k = int(self.edits[it]) + 1, int(self.edits[it])
             first = int(key[i] % bands) * w - low - k
@@ -165,6 +202,8 @@ class Block:
             found = self.verify(it, own, first, first + 2 * w + 2 * k)
             if found:
                 yield (t, it, *found)
+                # Bands come in ascending order: nothing is closer than an exact copy, and later ones start later.
+                done = owner[i] if found[0] == 0 else done
 
     def verify(self, it: int, text: np.ndarray, first: int, last: int) -> tuple[int, int, int] | None:
         """Distance, start and end of the best alignment on the diagonals, if within the budget."""
@@ -225,7 +264,7 @@ def _text_matches(block: Block, texts: list[str | None]) -> Iterator[tuple[int,
     """(row, item, distance, start, length in the original text) of the best region of each row and item."""
     held: list[tuple[int, int, np.ndarray, np.ndarray]] = []
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    overlap = int(2 * block.length.max(initial=0) + 4 * block.edits.max(initial=0) + GRAM)
+    overlap = int(2 * block.length.max(initial=0) + 4 * block.edits.max(initial=0) + max(GRAMS))
 
     def note(row: int, item: int, distance: int, start: int, end: int) -> None:
         found = (distance, start, end - start)
@@ -253,13 +292,6 @@ def _text_matches(block: Block, texts: list[str | None]) -> Iterator[tuple[int,
             if size >= CHUNK:
                 flush()
                 size = 0
-        if block.short:
-            own = codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-            for it in block.short:
-                item = block.codes[it].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-                start = own.find(item)
-                if start >= 0:
-                    note(row, it, 0, int(place[start]), int(place[start + len(item) - 1]) + 1)
     flush()
     for (row, item), (distance, start, length) in sorted(best.items()):
         yield row, item, distance, start, length
@@ -271,7 +303,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, most_ch
     Returns doc_id, item_id, distance, start, length: the closest region of each pair, in code
     points of the text, the first of equal ones. Null and empty texts and items match nothing; repeated rows
     are reported each; null ids stay null; empty tables give no rows; other columns are not read.
-    An item shorter than two q-grams must occur without edits.
+    An item may have ``rate`` times its characters in edits, but one character less than it has at most.
     """
     spark = docs.sparkSession
     found = spark.createDataFrame([], LEAK_SCHEMA)
