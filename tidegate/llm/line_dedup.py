@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.llm.common import Scratch, doc_batches, longs
+from tidegate.llm.common import Scratch, doc_batches, free_names, longs
 
 BLANKS = b" \t\n\x0b\x0c\r"
 PROBES = 4
@@ -166,8 +166,8 @@ def dedup_lines(
     keys of fewer than ``min_chars`` bytes are never removed. With ``keep_first`` the
     first such line by (doc_id, line number) stays. Returns the columns of ``docs`` with the
     remaining lines as ``text``, and n_lines (before), n_dropped; columns of these two
-    names are replaced. A null text is one empty line and stays null; repeated rows count as
-    documents of their own; an empty table gives no rows.
+    names are replaced. A null text is one empty line and stays null; rows that share a doc_id
+    count as one document, rows without one each as their own; an empty table gives no rows.
 
     Up to ``most_shipped`` confirmed keys are sent to every task; beyond that the keys
     of each document reach it by a join on doc_id. ``filter_bits`` bounds the second filter.
@@ -209,9 +209,13 @@ def dedup_lines(
 
     suspects = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     suspects = scratch.save(suspects.mapInArrow(suspected, "key binary, doc_id long, line int"), "suspects")
+    # Rows that share a doc_id are one document; rows without one are documents of their own.
+    own_docs = F.when(F.col("doc_id").isNull(), F.count(F.lit(1))).otherwise(F.lit(1))
     confirmed = (
-        suspects.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc_id", "line")).alias("first"))
+        suspects.groupBy("key", "doc_id")
+        .agg(own_docs.alias("docs"), F.min("line").alias("line"))
+        .groupBy("key")
+        .agg(F.sum("docs").alias("docs"), F.min(F.struct("doc_id", "line")).alias("first"))
         .where(F.col("docs") >= min_docs)
         .select("key", F.col("first.doc_id").alias("first_doc"), F.col("first.line").alias("first_line"))
     )
@@ -247,17 +251,18 @@ def dedup_lines(
 
         return docs.mapInArrow(shipped, schema)
 
+    owner, listed = free_names(docs.columns, "owner", "gone")
     own = (
         suspects.drop("line")
         .join(confirmed, "key")
-        .groupBy(F.col("doc_id").alias("__doc"))
-        .agg(F.collect_list(F.struct("key", "first_doc", "first_line")).alias("__gone"))
+        .groupBy(F.col("doc_id").alias(owner))
+        .agg(F.collect_set(F.struct("key", "first_doc", "first_line")).alias(listed))
     )
-    joined = docs.join(own.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__doc")), "left").drop("__doc")
+    joined = docs.join(own.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(owner)), "left").drop(owner)
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in doc_batches(batches):
-            lists = batch.column("__gone").to_pylist()
+            lists = batch.column(listed).to_pylist()
             yield rewrite(
                 batch, [{g["key"]: (g["first_doc"], g["first_line"]) for g in own or []} for own in lists]
             )
