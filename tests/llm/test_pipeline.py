@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidegate.llm.queries import QUERIES, SQL
@@ -31,6 +32,63 @@ def test_run_gives_packed_pieces(spark):
     assert {"doc_id", "sequence_id", "offset", "length"} <= set(rows.columns) and rows.count() > 100
 
 
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau"
+HARD = [
+    (1, WORDS), (2, WORDS), (2, f"own text of two {WORDS[::-1]}"), (3, WORDS + " upsilon"),
+    (None, WORDS), (4, "repeated row with words enough to count"), (4, "repeated row with words enough to count"),
+    (None, "a copy without any id at all here"), (None, "a copy without any id at all here"),
+    (5, "a copy without any id at all here"), (6, None), (6, None), (7, ""), (None, ""), (8, " \n "), (9, "x" * 50_000),
+]
+
+
+def hard_table(spark):
+    rows = [(i, t, "en", None, 7, "l", "d", "g", "r", "c", 3) for i, t in HARD]
+    names = "doc_id long, text string, lang string, source string, n_chars long, n_lines string, n_dropped string, "
+    return spark.createDataFrame(rows, names + "gone string, `row` string, component string, owner int")
+
+
+def test_near_copies_keeps_one_row_of_each_group(spark):
+    out = corpus_pipeline.near_copies(spark, hard_table(spark), SF)
+    kept = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert out.columns == hard_table(spark).columns
+    expected = [HARD[0], HARD[2], HARD[5], (5, HARD[9][1]), *HARD[10:]]
+    assert kept == sorted(expected, key=str)
+    assert corpus_pipeline.near_copies(spark, hard_table(spark).limit(0), SF).collect() == []
+
+
+def test_lines_keep_other_columns_and_count_documents_once(spark):
+    docs = hard_table(spark).unionByName(
+        hard_table(spark).limit(1).selectExpr(
+            "explode(sequence(1, 12)) AS n", "* EXCEPT (doc_id, text)"
+        ).selectExpr(
+            "IF(n <= 9, 100 + n, 110) AS doc_id", "IF(n <= 9, 'often', 'often\nrarely') AS text", "* EXCEPT (n)"
+        ).unionByName(hard_table(spark).limit(1).withColumn("doc_id", F.lit(200).cast("long")).withColumn("text", F.lit("rarely")))
+    )
+    out = corpus_pipeline.lines(spark, docs, SF)
+    assert out.columns == docs.columns
+    texts = {(r.doc_id, r.text) for r in out.collect()}
+    # "often" is in ten documents, "rarely" in two, three of its rows share a doc_id.
+    assert {t for i, t in texts if i and i >= 100} == {"", "rarely"}
+    assert {(r.n_lines, r.n_dropped, r.gone, r.owner) for r in out.collect()} == {("l", "d", "g", 3)}
+
+
+@pytest.mark.parametrize("stage", ["quality", "decontamination"])
+def test_stages_take_hard_tables(spark, stage):
+    run = dict(corpus_pipeline.STAGES)[stage]
+    docs = hard_table(spark)
+    out = run(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert set(map(tuple, out.collect())) <= set(map(tuple, docs.collect()))
+    if stage == "decontamination":
+        assert out.count() == docs.count()
+    assert run(spark, docs.limit(0), SF).collect() == []
+
+
+def test_packing_takes_hard_tables(spark):
+    rows = corpus_pipeline.packing(spark, hard_table(spark), SF)
+    assert rows.agg({"length": "sum"}).first()[0] > len(HARD)
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
@@ -43,4 +101,4 @@ def test_query_equals_sql(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
