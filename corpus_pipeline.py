@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Scratch, table
+from tidegate.llm.common import Scratch, free_names, table
 from tidegate.llm.decontamination import without_leaks
 from tidegate.llm.line_dedup import dedup_lines
 from tidegate.llm.near_dedup import near_duplicates
@@ -34,19 +34,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many of them share; ``n_chars`` follows the text."""
-    kept = dedup_lines(docs, min_docs=LINE_DOCS)
+    """Documents without the lines that many of them share; ``n_chars`` follows the text.
+
+    A null text is one empty line and stays. Repeated rows are one document to the count. Columns of any other
+    name stay as they are, those named like the operator's own included.
+    """
+    own = [c for c in docs.columns if c.lower() in ("n_lines", "n_dropped")]
+    aside = dict(zip(own, free_names([*docs.columns, "n_lines", "n_dropped"], *own), strict=True))
+    kept = dedup_lines(docs.withColumnsRenamed(aside), min_docs=LINE_DOCS)
     if "n_chars" in docs.columns:
         changed = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
         kept = kept.withColumn("n_chars", changed)
-    return kept.select(*docs.columns)
+    return kept.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id."""
-    dropped = near_duplicates(docs, percent=SIMILARITY, words=5).where("not kept")
-    gone = dropped.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("__gone"), "left_anti")
+    """One row of each group of near duplicates: the one with the smallest doc_id, one without a doc_id last.
+
+    Rows are told apart by a number of their own, so repeated rows are copies of each other, and a
+    row that shares its doc_id with a copy of something else is judged by its own text. Texts without
+    words are copies of nothing. Columns of any name are kept.
+    """
+    scratch = Scratch(spark, "pipeline-copies")
+    row, component = free_names(docs.columns, "row", "component")
+    rows = scratch.save(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), percent=SIMILARITY, words=5)
+    groups = found.select(F.col("doc_id").alias(row), F.col("component_id").alias(component))
+    first = F.min_by(F.col(row), F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias(row)
+    kept = groups.join(rows.select(row, "doc_id"), row).groupBy(component).agg(first).select(row)
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
