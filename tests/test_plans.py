@@ -6,7 +6,7 @@ import re
 from pathlib import Path
 
 from pyspark.sql import functions as F
-from test_store import T0, make_store, put
+from test_store import T0, contents, make_store, put
 
 from tidegate.config import InboxConfig
 from tidegate.operators.latest import upsert_latest
@@ -63,6 +63,51 @@ def test_drain_is_one_upsert_and_one_ordered_exchange(spark, tmp_path):
     assert "WindowGroupLimit" in text.split("Exchange hashpartitioning")[1]
 
 
+def exchanged(df) -> list[str]:
+    """What every exchange of the physical plan hands on."""
+    node, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(n):
+        if "Exchange" in n.nodeName() and "Broadcast" not in n.nodeName():
+            found.append(n.output().mkString(","))
+        below = n.children()
+        for i in range(below.size()):
+            walk(below.apply(i))
+        if n.nodeName() == "AdaptiveSparkPlan":
+            walk(n.executedPlan())
+
+    walk(node)
+    return found
+
+
+def test_payloads_pass_no_exchange_beyond_a_size(spark, tmp_path, monkeypatch):
+    rows = [[(i % 40, f"id{i % 40}", i) for i in range(100)], [(s, f"id{s}", 200) for s in range(5)]]
+    plain = make_store(spark, tmp_path / "plain")
+    store = make_store(spark, tmp_path / "by_address", address_from_bytes=0)
+    for each in (plain, store):
+        for n, batch in enumerate(rows):
+            put(each, batch, f"b{n}")
+    expected = contents(plain.inbox())
+    assert len(expected) == 40 and contents(store.inbox()) == expected
+    assert any("payload" in columns for columns in exchanged(plain.inbox()))
+    assert not any("payload" in columns for columns in exchanged(store.inbox()))
+    assert contents(store.inbox(T0 + 5, T0 + 10)) == contents(plain.inbox(T0 + 5, T0 + 10))
+    # Compaction hands its writer rows that were not exchanged either, and leaves one row per key.
+    written = []
+    keep = type(store).write_segment
+    monkeypatch.setattr(type(store), "write_segment", lambda self, df: written.append(df) or keep(self, df))
+    store.drop(store.compact())
+    assert not any("payload" in columns for columns in exchanged(written[0]))
+    assert store.accepted().count() == 40 and contents(store.inbox()) == expected
+
+
+def test_with_too_many_overwritten_rows_whole_rows_are_exchanged(spark, tmp_path):
+    store = make_store(spark, tmp_path, address_from_bytes=0, most_overwritten=1)
+    put(store, [(0, "a", i) for i in range(4)], "b0")
+    assert contents(store.inbox()) == [(0, "a", 3)]
+    assert any("payload" in columns for columns in exchanged(store.inbox()))
+
+
 def test_percentiles_parse_the_text_once(spark):
     from tidegate.plans.catalog import CATALOG
 

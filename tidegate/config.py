@@ -20,6 +20,9 @@ class InboxConfig:
     file per folder it meets. ``max_windows_per_run`` bounds one run of a drain, not
     the drain: runs follow each other until nothing sealed is left. ``late_output`` makes
     drains log the keys they emit, which the late output compares with.
+    ``address_from_bytes`` is the size of stored files from which the last writes are found by
+    key alone and payloads are taken by their place in a file instead of being exchanged,
+    unless more than ``most_overwritten`` rows, which every task is sent, were overwritten.
     ``idle_seconds`` is how far a source partition may fall behind the stream's newest
     reception before it no longer holds back the stream clock; None lets it do so for ever.
     """
@@ -38,6 +41,8 @@ class InboxConfig:
     max_lag: int = 10_000
     rebalance_writes: bool = True
     window_warn_bytes: int = 100 * 1024 * 1024
+    address_from_bytes: int = 256 * 1024 * 1024
+    most_overwritten: int = 500_000
     late_output: bool = False
     idle_seconds: int | None = None
 

@@ -20,6 +20,13 @@ def upsert_latest(events: DataFrame) -> DataFrame:
     return events.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").drop("_rn")
 
 
+def overwritten(events: DataFrame, *columns: str) -> DataFrame:
+    """Every write but the last of its key: ``columns`` alone, next to which only key and write order are exchanged."""
+    order = Window.partitionBy(*EVENT_KEY).orderBy(*[F.desc(c) for c in WRITE_ORDER])
+    narrow = events.select(*EVENT_KEY, *WRITE_ORDER, *columns)
+    return narrow.withColumn("_rn", F.row_number().over(order)).where("_rn > 1").select(*columns)
+
+
 def key_counts(events: DataFrame) -> DataFrame:
     """Deliveries per event key; reads the key columns only."""
     return events.groupBy(*EVENT_KEY).agg(F.count("*").alias("copies"))

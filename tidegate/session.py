@@ -130,3 +130,12 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isFile())
+
+
+def stored_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Length of all files below the folders."""
+    total = 0
+    for path in paths:
+        fs, hadoop_path = _file_system(spark, path)
+        total += fs.getContentSummary(hadoop_path).getLength()
+    return total

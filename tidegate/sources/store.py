@@ -34,7 +34,7 @@ if TYPE_CHECKING:
 from tidegate.config import InboxConfig
 from tidegate.functions.windows import storage_bucket
 from tidegate.operators.clock import stream_clock
-from tidegate.operators.latest import upsert_latest
+from tidegate.operators.latest import overwritten, upsert_latest
 from tidegate.operators.sketches import SKETCHES, merged_sketches
 from tidegate.operators.outcomes import ACCEPTED, REJECTED
 from tidegate.operators.progress import latest_progress, live_progress
@@ -60,6 +60,7 @@ from tidegate.session import (
     empty_table,
     exists,
     list_dirs,
+    stored_bytes,
 )
 
 
@@ -232,9 +233,28 @@ class InboxStore:
         if not mixed:
             return unique
         rows = live_rows(_between(self._read_folders(mixed), first, last), now, ttl)
-        latest = upsert_latest(rows.select(*EVENT_COLUMNS, *ORIGIN_COLUMNS)).select(*EVENT_COLUMNS)
+        latest = self._by_address(rows, mixed)
+        if latest is None:
+            latest = upsert_latest(rows.select(*EVENT_COLUMNS, *ORIGIN_COLUMNS))
+        latest = latest.select(*EVENT_COLUMNS)
         return latest.unionByName(unique) if merged else latest
 
+    def _by_address(self, rows: DataFrame, folders: list[str]) -> DataFrame | None:
+        """The last writes of ``rows``, stored in ``folders``, without an exchange of payloads; None if that does not pay.
+
+        Keys alone say which rows were overwritten. These are kept as places in files, in a
+        table whose size is known before every task is sent it, and left out of a plain scan.
+        """
+        config = self.config
+        if stored_bytes(self.spark, folders) < config.address_from_bytes:
+            return None
+        place = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+        located = rows.withColumns(place)
+        old = cut_lineage(overwritten(located, *place))
+        if old.count() > config.most_overwritten:
+            return None
+        return located.join(F.broadcast(old), list(place), "left_anti").drop(*place)
+
     def segment_rows(self, outcome: str, segment: str, first: int, last: int) -> DataFrame:
         """Deliveries of one segment, stored for times between two.
 
@@ -274,8 +294,9 @@ class InboxStore:
 
         Returns the superseded folders for ``drop`` to delete once no running
         job reads them; until then the accepted ones are only redundant. Writes arriving
-        meanwhile are neither merged nor returned. Range partitioning on the
-        unique key gives even, ordered files however uneven the folders are.
+        meanwhile are neither merged nor returned. Up to ``address_from_bytes`` range
+        partitioning on the unique key gives even, ordered files however uneven the folders
+        are; beyond, payloads are not exchanged and each file is in order by itself.
         """
         return self._merge(ACCEPTED, first, last) + self._merge(REJECTED, first, last)
 
@@ -288,13 +309,16 @@ class InboxStore:
         if not old:
             return []
         rows = self._read_folders(old)
-        files = max(1, -(-rows.count() // self.config.rows_per_file))
         order = EVENT_KEY if outcome == ACCEPTED else ORIGIN_COLUMNS
-        merged = (upsert_latest(rows) if outcome == ACCEPTED else latest_rejected(rows)).withColumn(
-            "segment", F.lit(f"{COMPACT}-{uuid.uuid4().hex}")
-        )
-        ordered = merged.select(*STORED_FULL.fieldNames()).repartitionByRange(files, "storage_bucket", *order)
-        self.write_segment(ordered.sortWithinPartitions(*STORED_PARTITIONS, *order))
+        segment = F.lit(f"{COMPACT}-{uuid.uuid4().hex}")
+        # Payloads stay where they are read: a task packs small files and sorts what they hold.
+        merged = self._by_address(rows, old) if outcome == ACCEPTED else None
+        if merged is None:
+            merged = upsert_latest(rows) if outcome == ACCEPTED else latest_rejected(rows)
+            files = max(1, -(-rows.count() // self.config.rows_per_file))
+            merged = merged.repartitionByRange(files, "storage_bucket", *order)
+        written = merged.withColumn("segment", segment).select(*STORED_FULL.fieldNames())
+        self.write_segment(written.sortWithinPartitions(*STORED_PARTITIONS, *order))
         return old
 
     def drop(self, folders: list[str]) -> None:
