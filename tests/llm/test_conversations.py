@@ -208,6 +208,20 @@ def test_hard_cases(spark):
     assert report(docs.limit(0)) == {}
 
 
+def test_rows_of_one_turn_have_one_order_however_they_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(conversations, "CHUNK_ROWS", 3)
+    monkeypatch.setattr(conversations, "HEAD_CHARS", 4)
+    rows = [(1, 5, "user", f"same start {i % 23}.") for i in range(120)]
+    results = set()
+    for partitions in (1, 3, 11):
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        results.add(tuple(report(frame(spark, rows).repartition(partitions), frame(spark, rows)).items()))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    ((_, (gaps, blank, duplicate, truncated, illegal, cost, audit, _)),) = next(iter(results))
+    assert len(results) == 1 and (gaps, blank, duplicate, truncated, illegal) == (0, 0, 97, 0, 119)
+    assert len(audit.replace("I", "")) == 120 and cost > 0
+
+
 def test_nothing_left_after_damage(spark):
     turn = next(t for t in range(1000) if zlib.crc32(f"3:{t}".encode()) % 20 == 0)
     assert report(frame(spark, [(3, turn, "user", "Gone.")])) == {

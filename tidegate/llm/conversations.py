@@ -28,6 +28,8 @@ from tidegate.llm.common import Scratch, doc_batches
 #: Rows and characters of text of one chunk at most; a longer text makes a chunk of its own.
 CHUNK_ROWS = 256
 CHUNK_CHARS = 1 << 14
+#: Characters of a text by which rows of one turn and role are ordered first.
+HEAD_CHARS = 32
 # The costs of edits.
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 # The state after a row kept with an initial, by state.
@@ -178,8 +180,9 @@ def applied(edits: list[str], tail: str, roles: list[str], texts: list[str], sta
 def in_order(rows: DataFrame) -> DataFrame:
     """Rows (conv, turn, role, text) with their faults, sorted over all partitions; ``part`` and ``place`` number them.
 
-    Rows of one conversation go by turn (nulls first), then role and text; equal rows may be dealt to several tasks.
-    The numbers hold for one execution only.
+    Rows of one conversation go by turn (nulls first), then by role, the start of the text and a digest of role and
+    text, so that any number of rows of one turn can be dealt to several tasks and have one order. The numbers
+    hold for one execution only.
     """
     blank = ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     ended = F.col("text").rlike(r"[.!?][\x20\x09-\x0D]*\z")
@@ -188,14 +191,16 @@ def in_order(rows: DataFrame) -> DataFrame:
         {
             "kind": F.when(blank, BLANK).when(ended, SOUND).otherwise(CUT),
             "digest": F.unhex(F.md5(named.cast("binary"))),
-            "head": F.substring("text", 1, 32),
+            "head": F.substring("text", 1, HEAD_CHARS),
+            # Equal rows may stand in any order: the number only lets ranges cut between them.
             "tie": F.monotonically_increasing_id(),
         }
     )
-    ranged = rows.repartitionByRange("conv", "turn", "role", "head", "tie")
+    order = ("conv", "turn", "role", "head", "digest", "tie")
     place = F.monotonically_increasing_id()
     numbers = {"part": F.shiftright(place, 33).cast("int"), "place": place.bitwiseAND(F.lit((1 << 33) - 1))}
-    return ranged.sortWithinPartitions("conv", "turn", "role", "text", "tie").drop("head", "tie").withColumns(numbers)
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranged.drop("head", "tie").withColumns(numbers)
 
 
 def _record(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -332,6 +337,7 @@ def converged(marked: DataFrame, scratch: Scratch) -> DataFrame:
         again = near.withColumn("wanted", F.coalesce("inside", "beyond", end))
         passes += 1
         state = scratch.save(again.mapInArrow(_run_back, PASS_SQL), f"pass-{passes}")
+        scratch.drop(f"pass-{passes - 1}")
     return state.select(*ORDER, "codes", "behind")
 
 
@@ -421,7 +427,7 @@ def repair_conversations(rows: DataFrame) -> DataFrame:
     turns not counted before, first and last turn.
 
     Null roles and texts count as one space, null turns come first, a null conv_id is a conversation of its own. Rows of
-    one turn go by role and text. Other columns are not read. An empty table gives no rows.
+    one turn go by role, the start of the text and a digest. Other columns are not read. An empty table gives no rows.
     """
     scratch = Scratch(rows.sparkSession, "conversations")
     space = F.lit(" ")
@@ -521,7 +527,8 @@ def damaged(rows: DataFrame) -> DataFrame:
     # The remainders and what they do.
     drop, empty, unpunctuate, repeat, to_user = (F.lit(i) for i in range(5))
     way = F.crc32(F.concat(filled("conv_id"), F.lit(":"), filled("turn")).cast("binary")) % 20
-    text = F.when(way == empty, "").when(way == unpunctuate, F.regexp_replace(filled("text"), "[.!?]", "")).otherwise(filled("text"))
+    bare = F.regexp_replace(filled("text"), "[.!?]", "")
+    text = F.when(way == empty, "").when(way == unpunctuate, bare).otherwise(filled("text"))
     role = F.when(way == to_user, "user").otherwise(filled("role"))
     copies = F.explode(F.when(way == repeat, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     left = rows.where(way != drop).select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy"))
