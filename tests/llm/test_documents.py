@@ -186,6 +186,24 @@ def test_repeats(spark, settings, monkeypatch):
         assert sum(r.lengths) == r.n_removed and len(r.starts) == r.n_spans
 
 
+def test_long_runs_under_one_anchor(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "LONG_RUN", 300)
+    texts = ["a" * (20_000 + i) for i in range(30)] + ["ab" * 3000 + str(i) for i in range(10)] + ["b" + "a" * 60]
+    rows = {r.doc_id: r for r in remove_repeats(doc_frame(spark, texts)).collect()}
+    assert rows[0].n_removed == 0 and rows[30].n_removed == 0
+    assert all(rows[i].n_removed == len(texts[i]) and rows[i].n_spans == 1 for i in range(1, 30))
+    # The last byte of the others of period two is their own; it follows 6000 shared ones.
+    assert all(bytes(rows[i].kept) == texts[i][6000:].encode() for i in range(31, 40))
+    assert bytes(rows[40].kept) == b"b"
+
+
+def test_lots_of_long_runs_stay_small():
+    # What a task sorts for many long one-letter documents: single strings, one of each kind.
+    filter_ = type("All", (), {"repeated": 0, "heavy": 1, "test": lambda self, values, which: np.ones(len(values), bool)})()
+    start, end, key = suffix_dedup._pieces(b"a" * 1_000_000, filter_, 50)
+    assert set((end - start).tolist()) == {50} and len(set(key.tolist())) == 1
+
+
 def test_repeats_hard_tables(spark):
     assert remove_repeats(doc_frame(spark, [])).collect() == []
     long = "a long line that is surely longer than fifty bytes, is it not? yes"
