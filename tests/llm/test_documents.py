@@ -429,7 +429,7 @@ def test_scores(spark, hard_texts):
     texts = hard_texts + [prose(draw, draw.randint(1, 90), 40) for _ in range(150)] + ["unseen zzz zzz"]
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     docs = doc_frame(spark, texts).repartition(4)
-    rows = score_texts(docs, held, WORDS, least_bytes=200_000, most_frequent=20).collect()
+    rows = score_texts(docs, held, WORDS, most_frequent=20).collect()
     out = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
     tokens = [WORD.findall((t or "").translate(FOLD)) + ["\n"] for t in texts]
     counts = Counter(w for own, o in zip(tokens, out) if not o for w in own)
@@ -460,7 +460,7 @@ def test_model_trains_on_all_texts(spark, monkeypatch):
     seen, average = [], lm_scoring.average
     monkeypatch.setattr(lm_scoring, "average", lambda parts: seen.append(sum(n for n, _ in parts)) or average(parts))
     held = F.col("doc_id") % 3 == 2
-    score_texts(docs, held, WORDS, least_bytes=1)
+    score_texts(docs, held, WORDS)
     texts = [r.text for r in docs.where(~held).collect()]
     ids = lm_scoring._ids(WORDS, 49_407, texts)
     assert seen == [sum(-(-len(i) // attention_model.STRIDE) for i in ids)] * len(lm_scoring.RATES)
