@@ -55,6 +55,18 @@ def seconds(run) -> float:
     return time.perf_counter() - start
 
 
+def filled(spark: SparkSession) -> dict[str, float]:
+    """Fills and drains the stores that several queries read, timed by themselves."""
+    from tidegate.plans.catalog import _narrow_outage, _outage
+
+    times = {}
+    for name, make in (("fill_hourly", _outage), ("fill_narrow", _narrow_outage)):
+        start = time.perf_counter()
+        make(spark, SF_DIR)
+        times[name] = round(time.perf_counter() - start, 3)
+    return times
+
+
 def prepared(spark: SparkSession) -> dict[str, float]:
     """Read, compaction and drain of a store that is filled before the clock starts."""
     from tidegate.plans.catalog import AFTER, _history
@@ -82,12 +94,14 @@ def main() -> None:
     rows = deliveries(read_events(spark, SF_DIR)).count()
     names = os.environ["BENCH_ONLY"].split(",") if "BENCH_ONLY" in os.environ else HEADLINE
     times = {}
+    # Ahead of the queries that read these stores, so that none of them is timed with or without the fill by chance.
+    fills = filled(spark) if "BENCH_ONLY" not in os.environ else {}
     for name in names:
         best = min(seconds(lambda: CATALOG[name](spark, SF_DIR)) for _ in range(REPEATS))
         times[name] = round(best, 3)
     total = round(sum(times.values()), 3)
     if "BENCH_ONLY" not in os.environ:
-        times |= prepared(spark)
+        times |= fills | prepared(spark)
     print(
         json.dumps(
             {
