@@ -424,6 +424,106 @@ def test_chances_sum_to_one_and_see_no_later_token():
     assert np.allclose(a, b, atol=1e-6) and (y >= 0).sum() == len(seq)
 
 
+def _emission(draw, size, number):
+    """An emission of drawn pair counts, made by hand: p(class | before) and p(id | class, before)."""
+    classes = np.append(np.arange(number), draw.integers(0, number, size - number)).astype(np.int32)
+    n = draw.integers(0, 4, (size + 1, size))
+    of = np.append(classes, number)
+    by_class = np.zeros((number + 1, size))
+    np.add.at(by_class, of, n)
+    alone = by_class.sum(0) + 0.1
+    mass = np.array([alone[classes == c].sum() for c in range(number)])
+    under, prior, after = np.zeros((number + 1, size)), np.zeros((size + 1, number)), np.zeros((size + 1, size))
+    follow = np.zeros((number + 1, number))
+    for b in range(number + 1):
+        for c in range(number):
+            mine = classes == c
+            under[b, mine] = (by_class[b, mine] + 20 * alone[mine] / mass[c]) / (by_class[b, mine].sum() + 20)
+            follow[b, c] = (by_class[b, mine].sum() + mass[c] / mass.sum()) / (by_class[b].sum() + 1)
+    for b in range(size + 1):
+        met = 0
+        for c in range(number):
+            mine = classes == c
+            total, kinds = n[b, mine].sum(), (n[b, mine] > 0).sum()
+            met += total > 0
+            after[b, mine] = under[of[b], mine]
+            if total:
+                after[b, mine] = (np.where(n[b, mine] > 0, n[b, mine] - 0.75, 0) + 0.75 * kinds * under[of[b], mine]) / total
+        for c in range(number):
+            total = n[b, classes == c].sum()
+            prior[b, c] = (max(total - 0.75, 0) + 0.75 * met * follow[of[b], c]) / n[b].sum() if n[b].sum() else follow[of[b], c]
+    return classes, n, prior, after
+
+
+def test_emission_by_hand(spark):
+    size, number = 40, 6
+    classes, n, prior, after = _emission(np.random.default_rng(4), size, number)
+    rows = [(lm_scoring.PAIRS, int(b * size + i), int(n[b, i])) for b, i in zip(*np.nonzero(n), strict=True)]
+    counts = spark.createDataFrame(rows, "kind int, key long, n long")
+    found = lm_scoring._emission(counts, classes, size, 10**6)
+    assert np.allclose(np.exp(found.prior), prior, rtol=1e-4) and np.allclose(prior.sum(1), 1)
+    for b in range(size):
+        got = [found.log_chances(np.array([b, i]))[1] for i in range(size)]
+        assert np.allclose(np.exp(got), after[b], rtol=1e-4)
+        assert np.allclose(np.bincount(classes, weights=np.exp(got)), 1, rtol=1e-4)
+    # Without pairs of their own, ids follow the class before; chances still add up.
+    few = lm_scoring._emission(counts, classes, size, 0)
+    got = np.exp([few.log_chances(np.array([3, i]))[1] for i in range(size)])
+    assert len(few.pairs) == 0 and np.allclose(np.bincount(classes, weights=got), 1, rtol=1e-4)
+    assert np.allclose(np.exp(few.prior).sum(1), 1, rtol=1e-4)
+
+
+def _chance_by_hand(w, classes, prior, ids, at):
+    """Chances of classes at one place of a text, from the classes before it in its window."""
+    first = at // attention_model.STRIDE * attention_model.STRIDE - attention_model.OVERLAP
+    seen = [(j - first, len(w["embed"]) - 1 if j == 0 else classes[ids[j - 1]]) for j in range(max(0, first), at + 1)]
+    e = [w["embed"][c] + w["place"][place] for place, c in seen]
+    q = e[-1] @ w["query"] / math.sqrt(attention_model.WIDTH)
+    weight = np.exp([q @ (own @ w["key"]) for own in e])
+    z = e[-1] + (weight / weight.sum()) @ np.array([own @ w["value"] for own in e]) @ w["mix"]
+    u = z + np.maximum(z @ w["up"] + w["up_bias"], 0) @ w["down"]
+    g = np.exp(u @ w["out"] + w["out_bias"] + np.log(prior[ids[at - 1] if at else len(classes)]))
+    return g / g.sum()
+
+
+def test_scores_by_hand(spark):
+    size, number = 40, 6
+    draw = np.random.default_rng(5)
+    classes, n, prior, after = _emission(draw, size, number)
+    rows = [(lm_scoring.PAIRS, int(b * size + i), int(n[b, i])) for b, i in zip(*np.nonzero(n), strict=True)]
+    emission = lm_scoring._emission(spark.createDataFrame(rows, "kind int, key long, n long"), classes, size, 10**6)
+    weights = attention_model.Weights.fresh(number)
+    w = {k: a.astype(np.float64) for k, a in weights.arrays.items()}
+    texts = [draw.integers(0, size, k) for k in (1, 2, 31, 32, 33, 100, 250)]
+    want = []
+    for ids in texts:
+        chances = [_chance_by_hand(w, classes, prior, ids, i)[classes[x]] for i, x in enumerate(ids)]
+        emitted = [after[ids[i - 1] if i else size, x] for i, x in enumerate(ids)]
+        want.append(np.log10(chances).sum() + np.log10(emitted).sum())
+    assert np.allclose(lm_scoring._log10_texts(texts, weights, emission), want, rtol=1e-4)
+
+
+def test_held_out_order_scores_above_the_base(spark):
+    # Each word has three successors; the same words in drawn order have the same base.
+    draw = random.Random(12)
+    words = "the of and to in is you that it he was for on are as with his they at be this have from or one".split()
+    after = {w: draw.sample(words, 3) for w in words}
+    texts = []
+    for i in range(400):
+        own = [draw.choice(words)]
+        while len(own) < 80:
+            own.append(draw.choice(after[own[-1]]))
+        texts.append(" ".join(own))
+        if i % 5 == 0:
+            texts.append(" ".join(draw.sample(texts[-1].split(), 80)))
+    held = F.col("doc_id") % 6 < 2
+    rows = {r.doc_id: r for r in score_texts(doc_frame(spark, texts), held, WORDS).where("held_out").collect()}
+    assert len(rows) == 160
+    for i in range(0, 480, 6):
+        assert rows[i].score > rows[i].base_score and rows[i].score > rows[i + 1].score
+        assert rows[i].base_score == pytest.approx(rows[i + 1].base_score)
+
+
 def test_scores(spark, hard_texts):
     draw = random.Random(6)
     texts = hard_texts + [prose(draw, draw.randint(1, 90), 40) for _ in range(150)] + ["unseen zzz zzz"]
@@ -463,7 +563,8 @@ def test_model_trains_on_all_texts(spark, monkeypatch):
     score_texts(docs, held, WORDS)
     texts = [r.text for r in docs.where(~held).collect()]
     ids = lm_scoring._ids(WORDS, 49_407, texts)
-    assert seen == [sum(-(-len(i) // attention_model.STRIDE) for i in ids)] * len(lm_scoring.RATES)
+    # Every window once, in one of the rounds.
+    assert sum(seen) == sum(-(-len(i) // attention_model.STRIDE) for i in ids) and len(seen) == len(lm_scoring.RATES)
 
 
 def test_classes_come_from_all_training_ids(spark, monkeypatch):
