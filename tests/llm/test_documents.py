@@ -460,14 +460,14 @@ def test_emission_by_hand(spark):
     classes, n, prior, after = _emission(np.random.default_rng(4), size, number)
     rows = [(lm_scoring.PAIRS, int(b * size + i), int(n[b, i])) for b, i in zip(*np.nonzero(n), strict=True)]
     counts = spark.createDataFrame(rows, "kind int, key long, n long")
-    found = lm_scoring._emission(counts, classes, size, 10**6)
+    found = lm_scoring._pair_counts(counts, classes, size, 10**6).emission()
     assert np.allclose(np.exp(found.prior), prior, rtol=1e-4) and np.allclose(prior.sum(1), 1)
     for b in range(size):
         got = [found.log_chances(np.array([b, i]))[1] for i in range(size)]
         assert np.allclose(np.exp(got), after[b], rtol=1e-4)
         assert np.allclose(np.bincount(classes, weights=np.exp(got)), 1, rtol=1e-4)
     # Without pairs of their own, ids follow the class before; chances still add up.
-    few = lm_scoring._emission(counts, classes, size, 0)
+    few = lm_scoring._pair_counts(counts, classes, size, 0).emission()
     got = np.exp([few.log_chances(np.array([3, i]))[1] for i in range(size)])
     assert len(few.pairs) == 0 and np.allclose(np.bincount(classes, weights=got), 1, rtol=1e-4)
     assert np.allclose(np.exp(few.prior).sum(1), 1, rtol=1e-4)
@@ -491,7 +491,8 @@ def test_scores_by_hand(spark):
     draw = np.random.default_rng(5)
     classes, n, prior, after = _emission(draw, size, number)
     rows = [(lm_scoring.PAIRS, int(b * size + i), int(n[b, i])) for b, i in zip(*np.nonzero(n), strict=True)]
-    emission = lm_scoring._emission(spark.createDataFrame(rows, "kind int, key long, n long"), classes, size, 10**6)
+    counts = spark.createDataFrame(rows, "kind int, key long, n long")
+    emission = lm_scoring._pair_counts(counts, classes, size, 10**6).emission()
     weights = attention_model.Weights.fresh(number)
     w = {k: a.astype(np.float64) for k, a in weights.arrays.items()}
     texts = [draw.integers(0, size, k) for k in (1, 2, 31, 32, 33, 100, 250)]
