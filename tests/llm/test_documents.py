@@ -90,6 +90,18 @@ def test_line_dedup_hard_tables(spark):
         assert sorted((r.text, r.n_lines, r.n_dropped) for r in found.collect()) == [("", 1, 1), ("b", 2, 1), ("c", 2, 1)]
 
 
+def test_line_dedup_with_any_number_of_slices(spark):
+    texts = [f"own {i}\nshared line {i // 2}" for i in range(300)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for slices in (3, 12, 211):
+            spark.conf.set("spark.sql.shuffle.partitions", slices)
+            rows = dedup_lines(doc_frame(spark, texts).repartition(4), min_docs=2).collect()
+            assert {r.n_dropped for r in rows} == {1}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_second_filter_holds_every_repeat():
     draw = np.random.default_rng(1)
     hashes = draw.integers(0, 1 << 63, 500, dtype=np.uint64)
