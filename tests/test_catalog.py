@@ -44,5 +44,20 @@ def test_query_matches_its_twin(spark, duck, name):
     assert table(df.columns, [tuple(r) for r in df.collect()]) == table(columns, expected.fetchall())
 
 
+def test_key_lookup_finds_the_most_redelivered_event_of_the_whole_inbox(spark, duck, tmp_path):
+    # Events 50, 100 and 200 are sent three times; 200 has the earliest window of them.
+    ids = [(i, 60 * i) for i in range(1, 51)] + [(100, 5_000), (200, 600)]
+    values = ", ".join(f"({i}, TIMESTAMP '2024-01-16 10:00:00' + INTERVAL {s} SECOND)" for i, s in ids)
+    duck.execute(f"""COPY (SELECT CAST(id AS BIGINT) AS event_id, ts, CAST(id % 7 AS BIGINT) AS user_id, 'view' AS event_type,
+        CAST(1 AS DOUBLE) AS value, '{{}}' AS props FROM (VALUES {values}) v(id, ts)) TO '{tmp_path}/events.parquet'""")
+    (row,) = queries()["key_lookup"](spark, str(tmp_path)).collect()
+    own = duckdb.connect()
+    own.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    expected = own.execute(oracle_sql()["key_lookup"])
+    names = [c[0] for c in expected.description]
+    assert tuple(row[n] for n in names) == expected.fetchone()
+    assert (row.event_id, row.copies) == ("200", 3)
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
