@@ -8,11 +8,12 @@ from pathlib import Path
 from pyspark.sql import functions as F
 from test_store import T0, contents, make_store, put
 
+from tidegate import session
 from tidegate.config import InboxConfig
 from tidegate.operators.latest import upsert_latest
 from tidegate.operators.window_queries import drain_position, window_counts, window_size_audit
 from tidegate.plans.catalog import _decoded, _events
-from tidegate.plans.drain import ordered_events
+from tidegate.plans.drain import drain_tasks, ordered_events
 from tidegate.session import spread
 
 SF = "/root/testdata/sf0.001"
@@ -147,6 +148,22 @@ def test_spread_only_adds_an_exchange_when_splits_are_few(spark):
     assert "Exchange" not in plan(spread(spark.range(100, numPartitions=cores)))
 
 
+def test_spread_bounds_the_rows_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 1_000)
+    cores = spark.sparkContext.defaultParallelism
+    rows = spread(spark.range(40_000, numPartitions=cores))
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert rows.rdd.getNumPartitions() == 40 and max(sizes) < 3_000
+    assert sorted(r.id for r in rows.collect()) == list(range(40_000))
+
+
+def test_tasks_of_a_drain_do_not_grow_with_small_files():
+    small = InboxConfig(rows_per_file=10)
+    assert [drain_tasks(n, small) for n in (0, 5, 95, 2_000, 1_700_000)] == [1, 1, 10, 200, 200]
+    assert drain_tasks(100_000_000, small) == 1_000
+    assert [drain_tasks(n, InboxConfig()) for n in (1, 250_000, 100_000_000)] == [1, 3, 1_000]
+
+
 def test_no_local_checkpoint_and_no_row_udf_in_the_package():
     root = Path(__file__).resolve().parents[1] / "tidegate"
     text = "\n".join(p.read_text() for p in root.rglob("*.py"))
