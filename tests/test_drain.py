@@ -193,6 +193,23 @@ def test_forgotten_windows_drain_again(spark, tmp_path):
     assert (run.first, run.events) == (T0 + 5, 2)
 
 
+def test_late_output_hands_on_only_segments_that_hold_late_keys(spark, tmp_path, monkeypatch):
+    from tidegate.operators import progress
+
+    store = make_store(spark, tmp_path, late_output=True, **CONFIG)
+    put(store, [(i % 5, f"id{i}", 1) for i in range(40)], "b0")
+    drain(store, parquet_files(str(tmp_path / "out")), T0 + 15, T0 + 15)
+    put(store, [(0, "id0", 20), (2, "z", 20), (2, "z", 30), (7, "open", 20)], "b1")
+    put(store, [(1, "id1", 25)], "b2")
+    put(store, [(2, "z", 25)], "b3")
+    handed = []
+    keep = progress.upsert_latest
+    monkeypatch.setattr(progress, "upsert_latest", lambda rows: handed.append(rows) or keep(rows))
+    late = progress.late_side_output(store.accepted(), store.emitted("primary"), store.progress(), "primary")
+    assert [(r.event_id, r.ingest_time.timestamp() - T0) for r in late.collect()] == [("z", 30)]
+    assert {r.segment for r in handed[0].select("segment").collect()} == {"b1", "b3"}
+
+
 def test_misaligned_ledger_is_an_error(spark, tmp_path):
     store = make_store(spark, tmp_path, **CONFIG)
     drain(store, json_files(str(tmp_path / "out")), T0 + 20, T0 + 20)
