@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -485,6 +486,54 @@ def test_emission_by_hand(spark):
     assert np.allclose(np.exp(few.prior).sum(1), 1, rtol=1e-4)
 
 
+def test_pairs_beyond_the_bound_by_hand(spark):
+    size, number = 40, 6
+    classes, n, prior, after = _emission(np.random.default_rng(4), size, number)
+    rows = [(lm_scoring.PAIRS, int(b * size + i), int(n[b, i])) for b, i in zip(*np.nonzero(n), strict=True)]
+    counts = spark.createDataFrame(rows, "kind int, key long, n long")
+    for most in (0, len(rows) * 3 // 4):
+        few = lm_scoring._pair_counts(counts, classes, size, most).emission()
+        assert np.allclose(np.exp(few.prior), prior, rtol=1e-4) and len(few.pairs) <= most < len(rows)
+        assert (len(few.pairs) > 0) == (most > 0)
+        for b, i in np.ndindex(size, size):
+            chances, keys, left, unit = few.parted(np.array([b, i]))
+            got = chances[1]
+            if b * size + i in keys:
+                at = keys.tolist().index(b * size + i)
+                got += np.log(left[at]) + (np.log(1 + (n[b, i] - 0.75) / unit[at]) if n[b, i] else 0)
+            assert got == pytest.approx(np.log(after[b, i]), rel=1e-4)
+
+
+@pytest.mark.parametrize("most", [0, 150])
+def test_scores_do_not_depend_on_the_pairs_sent(spark, most):
+    draw = random.Random(13)
+    texts = [None, "", *(prose(draw, draw.randint(1, 90), 40) for _ in range(60))]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[5]), (7, texts[7])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    held = F.col("doc_id") % 4 == 1
+    key = lambda r: (str(r.doc_id), r.n_tokens)
+    whole = sorted(score_texts(docs, held, WORDS).collect(), key=key)
+    part = sorted(score_texts(docs, held, WORDS, most_pairs=most).collect(), key=key)
+    assert len(part) == len(whole) == len(rows)
+    for a, b in zip(whole, part, strict=True):
+        assert a[:6] == b[:6] and b.score == pytest.approx(a.score, rel=1e-5)
+
+
+def test_tables_sent_to_tasks_are_small_and_come_back_whole(spark):
+    size, number = 5000, 100
+    classes = np.arange(size, dtype=np.int32) % number
+    rows = [(lm_scoring.PAIRS, b * size + i, b + i) for b in range(1, 40) for i in range(20)]
+    counts = spark.createDataFrame(rows, "kind int, key long, n long")
+    for most in (0, 10**6):
+        sent = lm_scoring._pair_counts(counts, classes, size, most).emission()
+        raw = pickle.dumps(sent)
+        back = pickle.loads(raw)
+        assert len(raw) < 1_000_000 < sent.prior.nbytes
+        for name, values in vars(sent).items():
+            got = vars(back)[name]
+            assert got.dtype == values.dtype and np.array_equal(got, values)
+
+
 def _chance_by_hand(w, classes, prior, ids, at):
     """Chances of classes at one place of a text, from the classes before it in its window."""
     first = at // attention_model.STRIDE * attention_model.STRIDE - attention_model.OVERLAP

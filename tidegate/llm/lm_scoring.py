@@ -6,7 +6,7 @@ trains from the same weights on its share of the windows of each of its texts, a
 are averaged, first in tasks; the rounds together learn every window once.
 
 Counts of frequent words and of frequent pairs of ids go to every task, up to a bound; those of
-all other words reach the documents by a join, all other pairs follow the class of the id before.
+all other words and pairs reach the documents by a join.
 """
 
 from __future__ import annotations
@@ -58,49 +58,86 @@ CHUNK = 2048
 
 
 @dataclass
-class Emission:
+class Context:
+    """Classes of ids, and log p(class | id before), from which the attention model starts."""
+
+    classes: np.ndarray
+    prior: np.ndarray
+
+    def __getstate__(self) -> dict:
+        """Compressed: what is sent lies on disk twice, and most places are alike where a table of texts is small."""
+        return {
+            name: (a.dtype.str, a.shape, pa.compress(np.ascontiguousarray(a), "zstd", asbytes=True) if a.size else b"")
+            for name, a in self.__dict__.items()
+        }
+
+    def __setstate__(self, state: dict) -> None:
+        for name in list(state):
+            kind, shape, raw = state.pop(name)
+            room = math.prod(shape) * np.dtype(kind).itemsize
+            plain = pa.decompress(raw, room, "zstd") if room else b""
+            setattr(self, name, np.frombuffer(plain, kind).reshape(shape))
+
+    def windows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs, targets and ids before the targets, of the windows of one text."""
+        inputs, targets = windows(self.classes[ids], self.prior.shape[1])
+        return inputs, targets, windows(ids, len(self.classes))[0][:, OVERLAP:]
+
+
+@dataclass
+class Emission(Context):
     """p(id | class of the id, id before): counts of pairs, and beneath them p(id | its class, class before).
 
-    ``table`` has the latter, one row per class before; ``share`` the part of a pair of ids in all pairs of the
-    first one with that class, and ``left`` what the pairs leave to ``table``, by the id before and the class.
-    ``prior`` has log p(class | id before), from which the attention model starts.
+    ``table`` has the latter, one row per class before. By the id before and the class, ``left`` is what all pairs
+    of ids leave to ``table``, and ``kinds`` how many pairs there are if ``pairs`` lacks some of them, else 0.
+    ``share`` is the part of each of ``pairs`` in all pairs of its first id with that class.
     """
 
-    classes: np.ndarray
     table: np.ndarray
-    start: int
     pairs: np.ndarray
     share: np.ndarray
     left: np.ndarray
-    prior: np.ndarray
-
-    def windows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, targets and ids before the targets, of the windows of one text."""
-        inputs, targets = windows(self.classes[ids], self.start)
-        return inputs, targets, windows(ids, len(self.classes))[0][:, OVERLAP:]
+    kinds: np.ndarray
 
     def log_chances(self, ids: np.ndarray) -> np.ndarray:
+        """By ``pairs``; an id whose pair may be one beyond them follows the class before."""
+        return self.parted(ids)[0]
+
+    def parted(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Log chances by ``pairs``, and of the pairs that may be beyond them the key, ``left`` and a unit.
+
+        Such an id, here at the chance after the class before, has this chance times left * (1 + (n - DISCOUNT) / unit)
+        if its pair has a count n, and times left if it has none.
+        """
         size = len(self.classes)
         before, own = np.append(size, ids[:-1]), self.classes[ids]
-        chance = self.left[before, own] * self.table[np.append(self.start, own[:-1]), ids]
+        alone = self.table[np.append(len(self.table) - 1, own[:-1]), ids]
+        left = self.left[before, own]
+        chance = left * alone
+        wanted, there = before * size + ids, np.zeros(len(ids), bool)
         if len(self.pairs):
-            wanted = before * size + ids
             at = np.searchsorted(self.pairs, wanted)
             at[at == len(self.pairs)] = 0
-            chance += np.where(self.pairs[at] == wanted, self.share[at], np.float32(0))
-        return np.log(chance)
+            there = self.pairs[at] == wanted
+            chance += np.where(there, self.share[at], np.float32(0))
+        kinds = self.kinds[before, own]
+        beyond = np.flatnonzero((kinds > 0) & ~there)
+        chance[beyond] = alone[beyond]
+        return np.log(chance), wanted[beyond], left[beyond], kinds[beyond] * np.float32(DISCOUNT) * alone[beyond]
 
 
 @dataclass
 class PairCounts:
-    """What an emission is made of: counts of ids after each class (``place``: class before, id) and of pairs of ids.
-
-    Tasks get this, a fraction of the tables, and every worker makes the tables once.
+    """What an emission is made of, on the driver: counts of ids after each class (``place``: class before, id), of all
+    pairs of ids by the id before and the class (``cells``: pairs in ``total``, different ones in ``kinds``), and of ``pairs``.
     """
 
     classes: np.ndarray
     place: np.ndarray
     times: np.ndarray
+    cells: np.ndarray
+    total: np.ndarray
+    kinds: np.ndarray
     pairs: np.ndarray
     n: np.ndarray
 
@@ -116,29 +153,24 @@ class PairCounts:
             total = np.bincount(classes, weights=table[before], minlength=number)
             follow[before] = (total + of_class / of_class.sum()) / (total.sum() + 1)
             table[before] = (table[before] + PRIOR * chance) / (total[classes] + PRIOR)
+        shape, cells = (size + 1, number), (size + 1) * number
+        left, total = np.ones(cells, np.float32), np.zeros(cells, np.float32)
+        left[self.cells], total[self.cells] = self.kinds * DISCOUNT / self.total, self.total
+        # Pairs of a cell that all are in ``pairs`` leave none beyond it.
         place = self.pairs // size * number + classes[self.pairs % size]
-        cells = (size + 1) * number
-        total = np.bincount(place, weights=self.n, minlength=cells)
-        share = ((self.n - DISCOUNT) / total[place]).astype(np.float32)
-        left = np.bincount(place, minlength=cells) * DISCOUNT / np.maximum(total, 1)
-        left[total == 0] = 1
-        left, total = (a.astype(np.float32).reshape(size + 1, number) for a in (left, total))
+        kinds = np.zeros(cells, np.uint16)
+        kinds[self.cells] = np.where(self.kinds > np.bincount(place, minlength=cells)[self.cells], self.kinds, 0)
+        exact = np.zeros(cells)
+        exact[self.cells] = self.total
+        share = ((self.n - DISCOUNT) / exact[place]).astype(np.float32)
+        left, total, kinds = (a.reshape(shape) for a in (left, total, kinds))
         # Classes after an id by its pairs, and what they leave by the classes after its class.
         every = np.maximum(total.sum(1, keepdims=True), 1)
         prior = follow.astype(np.float32)[np.append(classes, number)]
         some = total > 0
         prior *= np.where(total.any(1, keepdims=True), DISCOUNT * some.sum(1, keepdims=True) / every, 1)
         prior += np.where(some, total - DISCOUNT, 0) / every
-        return Emission(classes, table, number, self.pairs, share, left, np.log(prior, dtype=np.float32))
-
-
-def _worker_emission(shared: Broadcast, name: str) -> Emission:
-    """The tables of a run, made once by a worker; those of an earlier run go."""
-    held = worker_value("lm emission", dict)
-    if name not in held:
-        held.clear()
-        held[name] = shared.value.emission()
-    return held[name]
+        return Emission(classes, np.log(prior, dtype=np.float32), table, self.pairs, share, left, kinds)
 
 
 def _hasher() -> PieceHash:
@@ -235,7 +267,7 @@ def _classes(dealt: DataFrame, counts: DataFrame, size: int) -> np.ndarray:
 
 
 def _pair_counts(counts: DataFrame, classes: np.ndarray, size: int, most: int) -> PairCounts:
-    """One vector per class and ``most`` pairs come to the driver, whatever the corpus."""
+    """One vector per class, sums by id before and class, and ``most`` pairs come to the driver, whatever the corpus."""
     number = int(classes.max()) + 1
     shared = counts.sparkSession.sparkContext.broadcast(np.append(classes, number).astype(np.int64))
 
@@ -245,6 +277,12 @@ def _pair_counts(counts: DataFrame, classes: np.ndarray, size: int, most: int) -
             columns = [longs(shared.value[key // size]), longs(key % size), batch.column("n")]
             yield pa.RecordBatch.from_arrays(columns, names=["before", "id", "n"])
 
+    def by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column("key").to_numpy()
+            cell = key // size * number + shared.value[key % size]
+            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), batch.column("n")], names=["cell", "n"])
+
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -262,11 +300,15 @@ def _pair_counts(counts: DataFrame, classes: np.ndarray, size: int, most: int) -
     for r in found:
         table[r["before"]] += np.frombuffer(bytes(r["n"]), np.float32)
     place = np.flatnonzero(table)
+    # Each pair is one row of the counts.
+    sums = pairs.mapInArrow(by_cell, "cell int, n long").groupBy("cell")
+    sums = sums.agg(F.sum("n").alias("n"), F.count(F.lit(1)).cast("int").alias("kinds")).toArrow()
+    cells, total, kinds = (sums.column(c).to_numpy() for c in ("cell", "n", "kinds"))
     keys, n = _frequent(counts, PAIRS, most)
-    return PairCounts(classes, place.astype(np.int32), table.ravel()[place], keys, n)
+    return PairCounts(classes, place.astype(np.int32), table.ravel()[place], cells, total, kinds, keys, n)
 
 
-def _train(dealt: DataFrame, parts: int, classes: int, shared: Broadcast, name: str) -> Weights:
+def _train(dealt: DataFrame, parts: int, classes: int, shared: Broadcast) -> Weights:
     """Every round learns another share of the windows of each text; together they learn each window once."""
     weights = Weights.fresh(classes)
     # The first round starts from the prior alone.
@@ -284,18 +326,18 @@ def _train(dealt: DataFrame, parts: int, classes: int, shared: Broadcast, name:
         given = pickle.dumps(weights.arrays)
 
         def learn(batches: Iterator[pa.RecordBatch], given=given, rate=rate, turn=turn) -> Iterator[pa.RecordBatch]:
-            emission = _worker_emission(shared, name)
+            context = shared.value
             trainer = Trainer(Weights(pickle.loads(given)), rate)
             lot, held = [], 0
 
             def learn_lot() -> None:
                 x, y, before = (np.concatenate(part) for part in zip(*lot, strict=True))
-                trainer.learn(x, y, Prior(emission.prior, before))
+                trainer.learn(x, y, Prior(context.prior, before))
                 lot.clear()
 
             for batch in doc_batches(batches, 64):
                 for raw in batch.column("ids").to_pylist():
-                    own = emission.windows(np.frombuffer(raw, "<u2").astype(np.int64))
+                    own = context.windows(np.frombuffer(raw, "<u2").astype(np.int64))
                     # Texts of few windows begin with different rounds.
                     first = (turn - len(raw) // 2) % len(RATES)
                     own = [part[first :: len(RATES)] for part in own]
@@ -321,8 +363,14 @@ def _train(dealt: DataFrame, parts: int, classes: int, shared: Broadcast, name:
     return weights
 
 
-def _log10_texts(texts: list[np.ndarray], weights: Weights, emission: Emission) -> np.ndarray:
-    """log10 probability of each id sequence; windows of many texts are scored together."""
+def _log10_texts(
+    texts: list[np.ndarray], weights: Weights, emission: Emission, beyond: list[tuple[np.ndarray, np.ndarray]] | None = None
+) -> np.ndarray:
+    """log10 probability of each id sequence; windows of many texts are scored together.
+
+    ``beyond`` receives keys and units of each text's pairs that may be beyond those of ``emission``; they are
+    then scored as having no count.
+    """
     out = np.zeros(len(texts))
     lot, owner, held = [], [], 0
 
@@ -333,7 +381,11 @@ def _log10_texts(texts: list[np.ndarray], weights: Weights, emission: Emission)
         owner.clear()
 
     for i, ids in enumerate(texts):
-        out[i] += emission.log_chances(ids).sum(dtype=np.float64)
+        chances, keys, left, unit = emission.parted(ids)
+        out[i] += chances.sum(dtype=np.float64)
+        if beyond is not None:
+            out[i] += np.log(left).sum(dtype=np.float64)
+            beyond.append((keys, unit))
         own = emission.windows(ids)
         for j in range(0, len(own[0]), CHUNK):
             lot.append([part[j : j + CHUNK] for part in own])
@@ -376,7 +428,8 @@ def score_texts(
     Returns doc_id, held_out, n_tokens (words and one end), n_known (tokens of the training
     texts among them), train_tokens, base_score (log10, add-one unigram) and score (log10,
     the model over the subword ids of ``vocabulary`` and an end id). The model trains on all training
-    texts; of pairs of ids, the ``most_pairs`` most frequent ones are part of it. A null text is empty: its end is scored. A null doc_id is never held out; repeated rows are scored each;
+    texts and has the counts of all their pairs of ids: the ``most_pairs`` most frequent ones go to every task, the
+    others reach the texts by a join. A null text is empty: its end is scored. A null doc_id is never held out; repeated rows are scored each;
     an empty table gives no rows; other columns are not read.
     """
     if size > 1 << 16:
@@ -416,10 +469,18 @@ def score_texts(
     distinct, tokens = sums[0] + (train_docs > 0), (sums[1] or 0) + train_docs
     keys, n = _frequent(counts, WORDS, most_frequent)
     classes = _classes(dealt, counts, size)
-    model = spark.sparkContext.broadcast(_pair_counts(counts, classes, size, most_pairs))
-    run = scratch.path
-    weights = _train(dealt, parts, int(classes.max()) + 1, model, run)
+    shared_counts = _pair_counts(counts, classes, size, most_pairs)
+    emission = shared_counts.emission()
+    # Training reads the prior alone; a worker lets go of it when scoring sends the rest.
+    context = spark.sparkContext.broadcast(Context(classes, emission.prior))
+    weights = _train(dealt, parts, int(classes.max()) + 1, context)
+    context.unpersist()
     scratch.drop("dealt")
+    model = spark.sparkContext.broadcast(emission)
+    has_beyond = bool(emission.kinds.any())
+    # Every pair that tasks don't have has a smaller count than those that they have.
+    least_pair = int(shared_counts.n.min()) if len(shared_counts.n) else (1 << 63) - 1
+    del emission, shared_counts
     common = spark.sparkContext.broadcast((keys.view(np.uint64), n))
 
     def known(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -432,9 +493,13 @@ def score_texts(
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in doc_batches(batches, 256):
             own = [np.frombuffer(raw, "<u2").astype(np.int64) for raw in batch.column("ids").to_pylist()]
-            names = ["doc_id", "held_out", "text_hash"]
-            columns = [*(batch.column(c) for c in names), pa.array(_log10_texts(own, weights, _worker_emission(model, run)))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "score"])
+            names, beyond = ["doc_id", "held_out", "text_hash"], []
+            score = pa.array(_log10_texts(own, weights, model.value, beyond))
+            keys, units = (np.concatenate(part) for part in zip(*beyond, strict=True))
+            edge = np.cumsum([0, *(len(k) for k, _ in beyond)]).astype(np.int32)
+            pairs = pa.StructArray.from_arrays([longs(keys), pa.array(units, pa.float32())], names=["key", "unit"])
+            columns = [*(batch.column(c) for c in names), score, pa.ListArray.from_arrays(pa.array(edge), pairs)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "score", "beyond"])
 
     def base_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per document one row with its sums over frequent words, and a row for each other word."""
@@ -465,7 +530,7 @@ def score_texts(
             ]
             yield pa.RecordBatch.from_arrays(columns, names=PART_NAMES)
 
-    main = "doc_id long, held_out boolean, text_hash long, score double"
+    main = "doc_id long, held_out boolean, text_hash long, score double, beyond array<struct<key: long, unit: float>>"
     done = scratch.save(encoded.mapInArrow(scored, main), "scored")
     model.unpersist()
     scratch.drop("ids")
@@ -473,14 +538,23 @@ def score_texts(
         base_parts,
         "doc_id long, text_hash long, key long, times long, n_tokens long, n_known long, base double",
     )
+    found = parts.join(words.select("key", "n"), "key", "left").select(
+        "doc_id",
+        "text_hash",
+        "n_tokens",
+        (F.col("n_known") + F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_known"),
+        (F.col("base") + F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("base"),
+        F.lit(0.0).alias("gain"),
+    )
+    if has_beyond:
+        others = counts.where((F.col("kind") == PAIRS) & (F.col("n") < least_pair)).select("key", "n")
+        met = done.select("doc_id", "text_hash", F.inline("beyond")).join(others, "key")
+        gain = F.log10(1 + (F.col("n") - DISCOUNT) / F.col("unit").cast("double"))
+        none = [F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(0.0)]
+        found = found.union(met.select("doc_id", "text_hash", *none, gain))
     sums = (
-        parts.join(words.select("key", "n"), "key", "left")
-        .groupBy("doc_id", "text_hash")
-        .agg(
-            F.sum("n_tokens").alias("n_tokens"),
-            F.sum(F.col("n_known") + F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_known"),
-            F.sum(F.col("base") + F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("base"),
-        )
+        found.groupBy("doc_id", "text_hash")
+        .agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "gain")))
         .withColumnsRenamed({"doc_id": "d", "text_hash": "t"})
     )
     # Rows that share doc_id and text each sent the same parts.
@@ -492,6 +566,7 @@ def score_texts(
         (F.col("n_tokens") / F.col("copies")).cast("long").alias("n_tokens"),
         (F.col("n_known") / F.col("copies")).cast("long").alias("n_known"),
         (F.col("base") / F.col("copies")).alias("base"),
+        (F.col("gain") / F.col("copies")).alias("gain"),
     )
     joined = done.join(sums, same)
     norm = math.log10(tokens + distinct + 1)
@@ -502,5 +577,5 @@ def score_texts(
         "n_known",
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
-        "score",
+        (F.col("score") + F.col("gain")).alias("score"),
     )
