@@ -217,6 +217,42 @@ def test_lots_of_long_runs_stay_small():
     assert set((end - start).tolist()) == {50} and len(set(key.tolist())) == 1
 
 
+@pytest.mark.parametrize("block", [1 << 20, 300])
+def test_pieces_of_many_texts_at_once_are_those_of_each(monkeypatch, block):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", block)
+    monkeypatch.setattr(suffix_dedup, "LOT_BYTES", 900)
+    draw = random.Random(14)
+    texts = ["", "x" * 49, *corpus()[:40], "", "é" * 400, "ab" * 700, "y" * 50, "y" * 50, "z"]
+    draw.shuffle(texts)
+
+    def test(self, values, which):
+        return values % np.uint64(3) != 0 if which == 0 else values % np.uint64(4) == 0
+
+    filter_ = type("Some", (), {"repeated": 0, "heavy": 1, "test": test})()
+    lots = list(suffix_dedup._lots(texts))
+    assert [t.encode() for t in texts] == [raw[a:b] for _, raw, at in lots for a, b in zip(at[:-1], at[1:])]
+    assert 1 < len(lots) < len(texts) and [f for f, *_ in lots][1:] == list(np.cumsum([len(at) - 1 for *_, at in lots])[:-1])
+    got, want = [], []
+    for first, raw, bounds in lots:
+        start, end, key = suffix_dedup._pieces(raw, filter_, 50, bounds)
+        own = np.searchsorted(bounds, start, "right") - 1
+        got += zip((first + own).tolist(), (start - bounds[own]).tolist(), (end - bounds[own]).tolist(), key.tolist(), strict=True)
+    for i, text in enumerate(texts):
+        raw = text.encode()
+        values = suffix_dedup.anchors(raw, 50)
+        edge = [j for j in range(len(values)) if j == 0 or values[j] != values[j - 1]]
+        for a, b in zip(edge, [*edge[1:], len(values)]):
+            if values[a] % np.uint64(3) == 0:
+                continue
+            if values[a] % np.uint64(4):
+                want.append((i, a, b + 49, int(values[a])))
+            else:
+                for j in range(a, b):
+                    own = suffix_dedup._hasher().of(np.frombuffer(raw[j : j + 50], np.uint8), np.array([0]), np.array([50]))
+                    want.append((i, j, j + 50, int(own[0])))
+    assert sorted(got) == sorted(want) and len({i for i, *_ in want}) > 30
+
+
 def test_repeats_hard_tables(spark):
     assert remove_repeats(doc_frame(spark, [])).collect() == []
     long = "a long line that is surely longer than fifty bytes, is it not? yes"
