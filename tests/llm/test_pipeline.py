@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import duckdb
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tidegate.llm.common import BATCH_BYTES, doc_batches
 from tidegate.llm.queries import QUERIES, SQL
+from tidegate.llm.tokens import encoder, worker_value
 
 SF = "/root/testdata/sf0.001"
 
@@ -89,6 +93,40 @@ def test_packing_takes_hard_tables(spark):
     assert rows.agg({"length": "sum"}).first()[0] > len(HARD)
 
 
+def test_workers_let_go_of_what_other_stages_kept(spark):
+    def kept(batches):
+        for _ in doc_batches(batches):
+            pass
+        values = worker_value("encoders", dict)
+        size = sum(len(v[1].known) for v in values.values()) if values else 0
+        yield pa.RecordBatch.from_arrays([pa.array([len(values)]), pa.array([size])], names=["n", "size"])
+
+    def encoded(batches):
+        for batch in doc_batches(batches):
+            ids = list(encoder(public_tokenizers.path("byte_bpe_50k.json"), "byte_level").encode(["some text"] * batch.num_rows))
+            yield pa.RecordBatch.from_arrays([pa.array([len(i) for i in ids])], names=["n"])
+        yield pa.RecordBatch.from_arrays([pa.array([100 + len(worker_value("encoders", dict))])], names=["n"])
+
+    rows = spark.range(0, 100, 1, 4)
+    assert max(r.n for r in rows.mapInArrow(encoded, "n long").collect()) == 101
+    assert {(r.n, r.size) for r in rows.mapInArrow(kept, "n long, size long").collect()} == {(0, 0)}
+
+
+@pytest.mark.parametrize("stage", [stage for _, stage in corpus_pipeline.STAGES])
+def test_stages_bound_batches_by_bytes(spark, stage):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(conf)
+    texts = spark.range(0, 300, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 10000) AS text")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
+    stage(spark, docs, SF)
+    most = max(r.n for r in texts.mapInArrow(sizes, "n long").collect())
+    assert most < BATCH_BYTES + 200_000
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
