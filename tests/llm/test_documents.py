@@ -652,6 +652,22 @@ def test_windows_keep_their_context():
     assert (min(inside), max(inside)) == (17, 48) and before[0] == 1 and before[20] == 21
 
 
+def test_rounds_make_only_their_own_windows():
+    draw = np.random.default_rng(2)
+    for size in (1, 16, 31, 32, 33, 64, 500):
+        ids = draw.integers(0, 90, size)
+        x, y = attention_model.windows(ids, 90)
+        seen = 0
+        for first in range(5):
+            parts = list(attention_model.text_windows(ids, 90, first, 5, 2))
+            assert all(0 < len(own) <= 2 for own in parts)
+            own = np.concatenate([np.empty((0, x.shape[1] + 1), int), *parts])
+            assert np.array_equal(own[:, :-1], x[first::5])
+            assert np.array_equal(own[:, attention_model.OVERLAP + 1 :], y[first::5])
+            seen += len(own)
+        assert seen == len(x) and np.array_equal(y[y >= 0], ids)
+
+
 def test_model_trains_on_all_texts(spark, monkeypatch):
     draw = random.Random(8)
     docs = doc_frame(spark, [prose(draw, 30) for _ in range(300)])

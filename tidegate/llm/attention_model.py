@@ -9,6 +9,7 @@ only, so each token is scored once and, but for the start of a text, has that mu
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -124,19 +125,27 @@ class Weights:
         return cls(arrays)
 
 
-def windows(classes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """Inputs and targets (-1: none) of the windows of one text; the inputs are a view, not a copy."""
-    n = -(-len(classes) // STRIDE)
-    padded = np.full(n * STRIDE + OVERLAP, -1, np.int32)
+def text_windows(ids: np.ndarray, start: int, first: int = 0, step: int = 1, most: int = 1 << 11) -> Iterator[np.ndarray]:
+    """Every ``step``-th window of one text from ``first`` on, at most ``most`` at once; places outside the text hold -1.
+
+    A row is one longer than a window's inputs: they are all but its last place, the targets all behind OVERLAP.
+    """
+    n = -(-len(ids) // STRIDE)
+    padded = np.full(n * STRIDE + OVERLAP + 1, -1, np.int32)
     padded[OVERLAP] = start
-    inside = len(padded) - OVERLAP - 1
-    padded[OVERLAP + 1 : OVERLAP + 1 + len(classes)] = classes[:inside]
-    targets = np.full(n * STRIDE, -1, np.int32)
-    targets[: len(classes)] = classes
-    inputs = np.lib.stride_tricks.sliding_window_view(padded, OVERLAP + STRIDE)[::STRIDE]
-    return inputs, targets.reshape(n, STRIDE)
+    padded[OVERLAP + 1 : OVERLAP + 1 + len(ids)] = ids
+    begin = np.arange(first, n, step) * STRIDE
+    for i in range(0, len(begin), most):
+        yield padded[begin[i : i + most, None] + _SPAN]
+
+
+def windows(classes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and targets (-1: none) of the windows of one text."""
+    own = np.concatenate([np.empty((0, len(_SPAN)), np.int32), *text_windows(classes, start)])
+    return own[:, :-1], own[:, OVERLAP + 1 :]
 
 
+_SPAN = np.arange(OVERLAP + STRIDE + 1)
 _CAUSAL = np.where(
     np.arange(OVERLAP + STRIDE)[None, :] <= np.arange(STRIDE)[:, None] + OVERLAP, np.float32(0), np.float32(-1e9)
 )
@@ -187,7 +196,8 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray, room: Room, prior: Prior |
     v = np.matmul(flat, w["value"], out=room("v", n * length, WIDTH)).reshape(e.shape)
     p = np.matmul(q, k.transpose(0, 2, 1), out=room("p", n, STRIDE, length))
     p += _CAUSAL
-    short = np.flatnonzero(x.min(1) < 0)
+    # Only the first or last places of a window may lie outside its text.
+    short = np.flatnonzero((x[:, 0] < 0) | (x[:, -1] < 0))
     p[short] += np.where(x[short] < 0, np.float32(-1e9), np.float32(0))[:, None, :]
     # A position behind the end of a text may see no key at all; its row is never used.
     p *= (1 / np.maximum(_exp_sum(p), np.float32(1e-30)))[..., None]
@@ -265,7 +275,7 @@ def gradients(
     de = de.reshape(n, length, WIDTH)
     de[:, OVERLAP:] += dz.reshape(n, STRIDE, WIDTH)
     out["place"] = (np.ones(n, np.float32) @ de.reshape(n, -1)).reshape(length, WIDTH)
-    at = (np.maximum(x, 0).reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
+    at = np.take(np.arange(w["embed"].size).reshape(-1, WIDTH), x, axis=0, mode="clip").ravel()
     out["embed"] = np.bincount(at, weights=de.ravel(), minlength=w["embed"].size).reshape(-1, WIDTH)
     scale = np.float32(1 / max(1, rows - len(none)))
     return {name: (g * scale).astype(np.float32) for name, g in out.items()}

@@ -34,7 +34,7 @@ from tidegate.llm.attention_model import (
     count_neighbours,
     frequent_ids,
     log_chances,
-    windows,
+    text_windows,
 )
 from tidegate.llm.common import Scratch, doc_batches, longs
 from tidegate.llm.near_dedup import mix, word_hashes
@@ -78,10 +78,10 @@ class Context:
             plain = pa.decompress(raw, room, "zstd") if room else b""
             setattr(self, name, np.frombuffer(plain, kind).reshape(shape))
 
-    def windows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, targets and ids before the targets, of the windows of one text."""
-        inputs, targets = windows(self.classes[ids], self.prior.shape[1])
-        return inputs, targets, windows(ids, len(self.classes))[0][:, OVERLAP:]
+    def windows(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs, targets and ids before the targets, of windows of ids as ``text_windows`` makes them."""
+        classes = np.append(self.classes, [self.prior.shape[1], -1]).astype(np.int32)[own]
+        return classes[:, :-1], classes[:, OVERLAP + 1 :], own[:, OVERLAP:-1]
 
 
 @dataclass
@@ -116,7 +116,10 @@ class Emission(Context):
         chance = left * alone
         wanted, there = before * size + ids, np.zeros(len(ids), bool)
         if len(self.pairs):
-            at = np.searchsorted(self.pairs, wanted)
+            # In ascending order most steps of a search find their place in the processor's cache.
+            order = np.argsort(wanted)
+            at = np.empty(len(wanted), np.int64)
+            at[order] = np.searchsorted(self.pairs, wanted[order])
             at[at == len(self.pairs)] = 0
             there = self.pairs[at] == wanted
             chance += np.where(there, self.share[at], np.float32(0))
@@ -331,19 +334,17 @@ def _train(dealt: DataFrame, parts: int, classes: int, shared: Broadcast) -> Wei
             lot, held = [], 0
 
             def learn_lot() -> None:
-                x, y, before = (np.concatenate(part) for part in zip(*lot, strict=True))
+                x, y, before = context.windows(np.concatenate(lot))
                 trainer.learn(x, y, Prior(context.prior, before))
                 lot.clear()
 
             for batch in doc_batches(batches, 64):
                 for raw in batch.column("ids").to_pylist():
-                    own = context.windows(np.frombuffer(raw, "<u2").astype(np.int64))
                     # Texts of few windows begin with different rounds.
                     first = (turn - len(raw) // 2) % len(RATES)
-                    own = [part[first :: len(RATES)] for part in own]
-                    for i in range(0, len(own[0]), CHUNK):
-                        lot.append([part[i : i + CHUNK] for part in own])
-                        held += len(lot[-1][0])
+                    for own in text_windows(np.frombuffer(raw, "<u2"), len(context.classes), first, len(RATES), CHUNK):
+                        lot.append(own)
+                        held += len(own)
                         if held >= CHUNK:
                             learn_lot()
                             held = 0
@@ -375,7 +376,7 @@ def _log10_texts(
     lot, owner, held = [], [], 0
 
     def score() -> None:
-        x, y, before = (np.concatenate(part) for part in zip(*lot, strict=True))
+        x, y, before = emission.windows(np.concatenate(lot))
         np.add.at(out, np.concatenate(owner), log_chances(weights, x, y, Prior(emission.prior, before)).sum(1))
         lot.clear()
         owner.clear()
@@ -386,10 +387,9 @@ def _log10_texts(
         if beyond is not None:
             out[i] += np.log(left).sum(dtype=np.float64)
             beyond.append((keys, unit))
-        own = emission.windows(ids)
-        for j in range(0, len(own[0]), CHUNK):
-            lot.append([part[j : j + CHUNK] for part in own])
-            owner.append(np.full(len(lot[-1][0]), i))
+        for own in text_windows(ids, len(emission.classes), most=CHUNK):
+            lot.append(own)
+            owner.append(np.full(len(own), i))
             held += len(owner[-1])
             if held >= CHUNK:
                 score()
