@@ -668,6 +668,43 @@ def test_rounds_make_only_their_own_windows():
         assert seen == len(x) and np.array_equal(y[y >= 0], ids)
 
 
+def test_scoring_projects_each_class_and_place_once(monkeypatch):
+    draw = np.random.default_rng(6)
+    weights = attention_model.Weights.fresh(9)
+    ids = [draw.integers(0, 9, k).astype(np.int32) for k in (1, 20, 33, 700, 5000)]
+    x, y = (np.concatenate(part) for part in zip(*(attention_model.windows(own, 9) for own in ids), strict=True))
+    few = np.concatenate([attention_model.log_chances(weights, x[i : i + 8], y[i : i + 8]) for i in range(0, len(x), 8)])
+    made, projected = [], attention_model._projected
+    monkeypatch.setattr(attention_model, "_projected", lambda w, x, room: made.append(len(x)) or projected(w, x, room))
+    many = attention_model.log_chances(weights, x, y)
+    # One window per class and the start instead of all, and the same chances to the last bit.
+    assert len(x) > 150 and made == [10] and np.array_equal(many, few)
+
+
+@pytest.mark.parametrize("most", [0, 300, 10**6])
+def test_pairs_of_several_texts_are_looked_up_together(spark, monkeypatch, most):
+    size, number = 40, 6
+    draw = np.random.default_rng(7)
+    classes, n, _, _ = _emission(draw, size, number)
+    rows = [(lm_scoring.PAIRS, int(b * size + i), int(n[b, i])) for b, i in zip(*np.nonzero(n), strict=True)]
+    counts = spark.createDataFrame(rows, "kind int, key long, n long")
+    emission = lm_scoring._pair_counts(counts, classes, size, most).emission()
+    weights = attention_model.Weights.fresh(number)
+    texts = [draw.integers(0, size, k) for k in (1, 2, 31, 1, 100, 250, 7)]
+    alone, apart = [], []
+    for own in texts:
+        alone += lm_scoring._log10_texts([own], weights, emission, apart).tolist()
+    asked, parted = [], lm_scoring.Emission.parted_texts
+    monkeypatch.setattr(lm_scoring.Emission, "parted_texts", lambda e, i, first: asked.append(len(i)) or parted(e, i, first))
+    monkeypatch.setattr(lm_scoring, "LOOKED_UP", 100)
+    beyond = []
+    found = lm_scoring._log10_texts(texts, weights, emission, beyond)
+    assert asked == [135, 250, 7] and found.tolist() == pytest.approx(alone, rel=1e-12)
+    assert any(len(keys) for keys, _ in beyond) == (most < len(rows)) and len(beyond) == len(texts)
+    for got, want in zip(beyond, apart, strict=True):
+        assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+
+
 def test_model_trains_on_all_texts(spark, monkeypatch):
     draw = random.Random(8)
     docs = doc_frame(spark, [prose(draw, 30) for _ in range(300)])

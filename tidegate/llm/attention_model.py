@@ -18,8 +18,8 @@ WIDTH = 16
 HIDDEN = 32
 OVERLAP = 16
 STRIDE = 32
-#: Windows in one step of scoring.
-BATCH = 32
+#: Windows in one step of scoring; a log chance does not depend on it.
+BATCH = 128
 
 
 #: Ids that have a class of their own; the neighbours of an id are counted by these and one class of all others.
@@ -183,17 +183,46 @@ class Prior:
         return Prior(self.table, self.before[rows])
 
 
-def _forward(w: dict[str, np.ndarray], x: np.ndarray, room: Room, prior: Prior | None = None) -> dict[str, np.ndarray]:
-    n, length, rows = len(x), x.shape[1], len(x) * STRIDE
-    # A place without a class is masked below; it reads any row.
+def _projected(w: dict[str, np.ndarray], x: np.ndarray, room: Room) -> dict[str, np.ndarray]:
+    """Inputs, those of the scored places alone, and what attention compares and takes of them."""
+    n, length = x.shape
+    # A place without a class is masked by attention; it reads any row.
     e = np.take(w["embed"], x, axis=0, out=room("e", n, length, WIDTH), mode="clip")
     e += w["place"]
     own = room("own", n, STRIDE, WIDTH)
     own[:] = e[:, OVERLAP:]
     flat, mine = e.reshape(-1, WIDTH), own.reshape(-1, WIDTH)
-    q = np.matmul(mine, w["query"] * np.float32(WIDTH**-0.5), out=room("q", rows, WIDTH)).reshape(n, STRIDE, WIDTH)
+    q = np.matmul(mine, w["query"] * np.float32(WIDTH**-0.5), out=room("q", n * STRIDE, WIDTH)).reshape(own.shape)
     k = np.matmul(flat, w["key"], out=room("k", n * length, WIDTH)).reshape(e.shape)
     v = np.matmul(flat, w["value"], out=room("v", n * length, WIDTH)).reshape(e.shape)
+    return {"e": e, "own": own, "q": q, "k": k, "v": v}
+
+
+class Places:
+    """``_projected`` for weights that stay: what it makes of each class at each place, made once and looked up."""
+
+    def __init__(self, w: dict[str, np.ndarray]) -> None:
+        classes = len(w["embed"])
+        made = _projected(w, np.repeat(np.arange(classes)[:, None], OVERLAP + STRIDE, axis=1), Room())
+        self.rows = {name: made[name].reshape(-1, WIDTH) for name in ("own", "q", "k", "v")}
+
+    def __call__(self, w: dict[str, np.ndarray], x: np.ndarray, room: Room) -> dict[str, np.ndarray]:
+        n, length = x.shape
+        # A place without a class reads any row, as above.
+        x = np.maximum(x, 0).astype(np.intp)
+        at, scored = x * length + np.arange(length), x[:, OVERLAP:] * STRIDE + np.arange(STRIDE)
+        return {
+            name: np.take(rows, i, axis=0, out=room(name, *i.shape, WIDTH), mode="clip")
+            for (name, rows), i in zip(self.rows.items(), (scored, scored, at, at), strict=True)
+        }
+
+
+def _forward(
+    w: dict[str, np.ndarray], x: np.ndarray, room: Room, prior: Prior | None = None, projected=_projected
+) -> dict[str, np.ndarray]:
+    n, length, rows = len(x), x.shape[1], len(x) * STRIDE
+    f = projected(w, x, room)
+    own, q, k, v = f["own"], f["q"], f["k"], f["v"]
     p = np.matmul(q, k.transpose(0, 2, 1), out=room("p", n, STRIDE, length))
     p += _CAUSAL
     # Only the first or last places of a window may lie outside its text.
@@ -203,7 +232,7 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray, room: Room, prior: Prior |
     p *= (1 / np.maximum(_exp_sum(p), np.float32(1e-30)))[..., None]
     a = np.matmul(p, v, out=room("a", n, STRIDE, WIDTH)).reshape(-1, WIDTH)
     z = np.matmul(a, w["mix"], out=room("z", rows, WIDTH))
-    z += mine
+    z += own.reshape(-1, WIDTH)
     r = np.matmul(z, w["up"], out=room("r", rows, HIDDEN))
     r += w["up_bias"]
     np.maximum(r, 0, out=r)
@@ -214,15 +243,17 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray, room: Room, prior: Prior |
     g = np.matmul(u, np.vstack([w["out"], w["out_bias"]]), out=room("g", rows, w["out"].shape[1]))
     if prior is not None:
         g += np.take(prior.table, prior.before.ravel(), axis=0, out=room("prior", *g.shape), mode="clip")
-    return {"e": e, "own": own, "q": q, "k": k, "v": v, "p": p, "a": a, "z": z, "r": r, "u": u, "g": g}
+    return {**f, "p": p, "a": a, "z": z, "r": r, "u": u, "g": g}
 
 
 def log_chances(weights: Weights, x: np.ndarray, y: np.ndarray, prior: Prior | None = None) -> np.ndarray:
     """Natural log chance of each target; 0 where there is none."""
     out, room = np.zeros(y.size, np.float64), Room()
+    # Few windows cost less than every class at every place; the rows are the same.
+    projected = Places(weights.arrays) if len(x) > 2 * len(weights.arrays["embed"]) else _projected
     for i in range(0, len(x), BATCH):
         rows = slice(i, i + BATCH)
-        g = _forward(weights.arrays, x[rows], room, prior and prior.of(rows))["g"]
+        g = _forward(weights.arrays, x[rows], room, prior and prior.of(rows), projected)["g"]
         target = y[rows].ravel()
         if g.max() > 60:
             g -= g.max(-1, keepdims=True)
